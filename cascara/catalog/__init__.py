@@ -10,5 +10,6 @@ from cascara.catalog.registry import ORACLE, QUERIES  # noqa: F401
 from cascara.catalog import (  # noqa: F401  (import registers the queries)
     q_clean,
     q_drift,
+    q_encode,
     q_profile,
 )
