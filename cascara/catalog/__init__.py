@@ -11,5 +11,6 @@ from cascara.catalog import (  # noqa: F401  (import registers the queries)
     q_clean,
     q_drift,
     q_encode,
+    q_evaluate,
     q_profile,
 )
