@@ -12,5 +12,6 @@ from cascara.catalog import (  # noqa: F401  (import registers the queries)
     q_drift,
     q_encode,
     q_evaluate,
+    q_io,
     q_profile,
 )
