@@ -13,5 +13,6 @@ from cascara.catalog import (  # noqa: F401  (import registers the queries)
     q_encode,
     q_evaluate,
     q_io,
+    q_repair,
     q_profile,
 )

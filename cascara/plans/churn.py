@@ -85,3 +85,35 @@ def clean_strings(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
 def clean(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     """The whole cleaning chain: one shuffle for distinct, one for the key dedup, the rest is one projection/filter."""
     return C.recode_booleans(clean_strings(raw, spec), spec.booleans)
+
+
+# The allowed words of the repairable columns, in the order the original job lists them.
+GENDERS = ["Male", "Female"]
+YES_NO = ["Yes", "No"]
+YES_NO_PHONE = ["Yes", "No", "No phone service"]
+YES_NO_INTERNET = ["Yes", "No", "No internet service"]
+REPAIR_VOCAB = {
+    "Gender": GENDERS,
+    "Partner": YES_NO,
+    "Dependents": YES_NO,
+    "PhoneService": YES_NO,
+    "MultipleLines": YES_NO_PHONE,
+    **{c: YES_NO_INTERNET for c in INTERNET_CHILDREN},
+    "PaperlessBilling": YES_NO,
+    "Churn": YES_NO,
+}
+
+
+def repaired(raw: DataFrame, scorer: str = "levenshtein", threshold: float = 80.0) -> DataFrame:
+    """rename → fuzzy vocabulary repair of the 13 Yes/No-style columns (before any dedup)."""
+    from cascara.operators.repair import fuzzy_repair
+
+    return fuzzy_repair(C.rename_columns(raw, RENAMES), REPAIR_VOCAB, scorer, threshold)
+
+
+def clean_repaired(raw: DataFrame, spec: CleanSpec = CleanSpec(), scorer: str = "levenshtein",
+                   threshold: float = 80.0) -> DataFrame:
+    """The cleaning chain with typo repair between rename and distinct (the renames are already applied)."""
+    from dataclasses import replace
+
+    return clean(repaired(raw, scorer, threshold), replace(spec, renames={}))
