@@ -246,10 +246,18 @@ class FeatureModel:
 
 
 def feature_fit(df: DataFrame, id_cols: Sequence[str]) -> FeatureModel:
-    """Fit the feature pipeline on ``df`` (two small aggregates: categories, then min/max of the encoded columns)."""
+    """Fit the feature pipeline on ``df`` (two small aggregates: categories, then min/max of the encoded columns).
+
+    The input is persisted for the two fitting jobs and released afterwards."""
+    from pyspark import StorageLevel
+
     strings, nums = model_columns(df, id_cols)
-    oh = one_hot_fit(df, strings)
-    encoded = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in nums], *[
-        e.alias(n) for n, e in oh.expressions().items()])
-    scaler = minmax_fit(encoded, list(nums) + oh.names())
+    cached = df.select(*strings, *nums).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        oh = one_hot_fit(cached, strings)
+        encoded = cached.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in nums], *[
+            e.alias(n) for n, e in oh.expressions().items()])
+        scaler = minmax_fit(encoded, list(nums) + oh.names())
+    finally:
+        cached.unpersist()
     return FeatureModel(list(nums), oh, scaler)

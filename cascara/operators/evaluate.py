@@ -210,15 +210,16 @@ def confusion_matrix(pairs: DataFrame, y: str = "y", p: str = "pred") -> DataFra
 def class_report(pairs: DataFrame, y: str = "y", p: str = "pred") -> DataFrame:
     """Per-class precision, recall, f1 and support, plus macro and weighted averages (zero division → 0).
 
-    Works on the confusion counts (classes² rows), so the data is scanned once.
+    Every (truth, prediction) pair contributes one row to its true class (support, hit) and one to its predicted
+    class (predicted count); a single grouped aggregate gives all per-class counts — no join of truth and
+    prediction tables. The averages aggregate that per-class table (one row per class).
     """
-    cm = confusion_matrix(pairs, y, p)
-    per_true = cm.groupBy(F.col("y").alias("cls")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("y") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"))
-    per_pred = cm.groupBy(F.col("pred").alias("cls")).agg(F.sum("n").alias("npred"))
-    cls = per_true.join(per_pred, "cls", "full_outer").select(
-        "cls", F.coalesce("support", F.lit(0)).alias("support"), F.coalesce("tp", F.lit(0)).alias("tp"),
-        F.coalesce("npred", F.lit(0)).alias("npred"))
+    both = pairs.select(F.explode(F.array(
+        F.struct(F.col(y).alias("cls"), F.lit(1).alias("sup"), (F.col(y) == F.col(p)).cast("int").alias("tp"),
+                 F.lit(0).alias("np")),
+        F.struct(F.col(p).alias("cls"), F.lit(0).alias("sup"), F.lit(0).alias("tp"), F.lit(1).alias("np")),
+    )).alias("r")).select("r.*")
+    cls = both.groupBy("cls").agg(F.sum("sup").alias("support"), F.sum("tp").alias("tp"), F.sum("np").alias("npred"))
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred").cast("double")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
     per = cls.select(F.col("cls").cast("string").alias("class"), prec.alias("precision"), rec.alias("recall"),

@@ -59,116 +59,125 @@ def minmax_bounds(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 # exact quantiles without collecting a column into one task
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float], buckets: int = 4096, final_limit: int = 1_000_000,
+def exact_quantiles(long: DataFrame, probs: Sequence[float], buckets: int = 4096, final_limit: int = 50_000,
                     max_rounds: int = 16) -> dict[tuple[str, float], float]:
     """Exact quantiles with linear interpolation (``quantile_cont`` / Spark ``percentile``) per feature.
 
     ``long`` has columns ``feature`` and ``value`` (double); NULL and NaN are ignored. Distributed selection: each
-    round counts rows per equal-width bucket of the current search range (one aggregate, map-side combined), the
-    driver picks the bucket holding each wanted rank, and the range narrows to it. When a bucket holds few distinct
-    values it is finished by a grouped count of the distinct values and a running sum; a value repeated a billion
-    times collapses to one row before the shuffle. Only bucket counts (features × ranks × buckets) reach the driver.
+    round counts rows per equal-width bucket of every open search range (one aggregate, map-side combined; the
+    wanted ranks that share a range share its counts), the driver picks the bucket holding each wanted rank and the
+    range narrows to it. A range with at most ``final_limit`` rows — or few distinct values — is finished by a
+    grouped count of its distinct values and a running sum; a value repeated a billion times collapses to one row
+    before the shuffle. Only bucket counts (ranges × buckets) reach the driver.
     """
     data = long.where(F.col("value").isNotNull() & ~F.isnan("value")).select("feature", "value")
     stats = {r["feature"]: (r["n"], r["lo"], r["hi"]) for r in
              data.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
                                          F.max("value").alias("hi")).collect()}
-    # wanted 0-based ranks per feature
-    targets = {}  # (feature, rank) -> [lo, hi, local_rank]
+    spark = long.sparkSession
+    found: dict[tuple[str, int], float] = {}
+    # open ranges: (feature, lo, hi) -> [rows in range, few distinct values?, {global rank: rank inside range}]
+    ranges: dict[tuple, list] = {}
     for feat, (n, lo, hi) in stats.items():
+        wants = {}
         for p in probs:
-            pos = (n - 1) * p
-            for r in {int(math.floor(pos)), min(int(math.floor(pos)) + 1, n - 1)}:
-                targets[(feat, r)] = [lo, hi, r, n]
-    spark = long.sparkSession
-    values: dict[tuple[str, int], float] = {}
-    schema = "tid int, feature string, lo double, hi double"
-    for _ in range(max_rounds):
-        open_t = {k: v for k, v in targets.items() if k not in values}
-        if not open_t:
+            r0 = int(math.floor((n - 1) * p))
+            for r in (r0, min(r0 + 1, n - 1)):
+                wants[r] = r
+        ranges[(feat, lo, hi)] = [n, False, wants]
+    for rnd in range(max_rounds + 1):
+        if not ranges:
             break
-        keys = list(open_t)
-        # finish targets whose range is a single value or whose range is small
-        small = [k for k in keys if open_t[k][0] == open_t[k][1] or open_t[k][3] <= final_limit]
-        for k in small:
-            if open_t[k][0] == open_t[k][1]:
-                values[k] = open_t[k][0]
-        small = [k for k in small if k not in values]
-        if small:
-            _finish(spark, data, small, open_t, values, schema)
-        keys = [k for k in keys if k not in values]
-        if not keys:
+        for key in [k for k in ranges if k[1] == k[2]]:  # a single value
+            for g in ranges.pop(key)[2]:
+                found[(key[0], g)] = key[1]
+        done = {k: v for k, v in ranges.items() if v[0] <= final_limit or v[1] or rnd == max_rounds}
+        if done:
+            _finish(spark, data, done, found)
+        ranges = {k: v for k, v in ranges.items() if k not in done}
+        if not ranges:
             break
-        rng = spark.createDataFrame(
-            [(i, k[0], float(open_t[k][0]), float(open_t[k][1])) for i, k in enumerate(keys)], schema)
+        keys = list(ranges)
+        rng = spark.createDataFrame([(i, k[0], float(k[1]), float(k[2])) for i, k in enumerate(keys)],
+                                    "rid int, feature string, lo double, hi double")
         b = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets),
                     F.lit(buckets - 1)).cast("int")
-        rows = (data.join(F.broadcast(rng), "feature")
+        rows = (data.join(F.broadcast(rng), "feature")  # the open ranges: a few rows per feature
                 .where(F.col("value").between(F.col("lo"), F.col("hi")))
-                .groupBy("tid", b.alias("b"))
+                .groupBy("rid", b.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"),
                      F.approx_count_distinct("value").alias("nd"))
                 .collect())
-        per = {}
+        cells: dict[int, list] = {}
         for r in rows:
-            per.setdefault(r["tid"], []).append((r["b"], r["n"], r["mn"], r["mx"], r["nd"]))
-        for i, k in enumerate(keys):
-            cells = sorted(per.get(i, []))
-            ns = np.array([c[1] for c in cells], dtype=np.int64)
-            cum = np.cumsum(ns)
-            local = open_t[k][2]
-            j = int(np.searchsorted(cum, local, side="right"))
-            before = int(cum[j - 1]) if j > 0 else 0
-            _, n_b, mn, mx, nd = cells[j]
-            # a bucket with few distinct values is as good as finished: its grouped count is small
-            targets[k] = [mn, mx, local - before, n_b if nd > final_limit // 2 else min(n_b, final_limit)]
-    open_t = {k: v for k, v in targets.items() if k not in values}
-    if open_t:
-        _finish(spark, data, list(open_t), open_t, values, schema)
+            cells.setdefault(r["rid"], []).append((r["b"], r["n"], r["mn"], r["mx"], r["nd"]))
+        nxt: dict[tuple, list] = {}
+        for i, key in enumerate(keys):
+            cs = sorted(cells[i])
+            cum = np.cumsum(np.array([c[1] for c in cs], dtype=np.int64))
+            for g, local in ranges[key][2].items():
+                j = int(np.searchsorted(cum, local, side="right"))
+                before = int(cum[j - 1]) if j > 0 else 0
+                _, n_b, mn, mx, nd = cs[j]
+                entry = nxt.setdefault((key[0], mn, mx), [n_b, nd <= final_limit // 2, {}])
+                entry[2][g] = local - before
+        ranges = nxt
     out = {}
     for feat, (n, _, _) in stats.items():
         for p in probs:
             pos = (n - 1) * p
             r0 = int(math.floor(pos))
             r1 = min(r0 + 1, n - 1)
-            v0, v1 = values[(feat, r0)], values[(feat, r1)]
+            v0, v1 = found[(feat, r0)], found[(feat, r1)]
             out[(feat, p)] = v0 + (pos - r0) * (v1 - v0)
     return out
 
 
-def _finish(spark, data, keys, open_t, values, schema):
-    """Rank inside a narrowed range: distinct values with counts and a running sum (window per target)."""
+def _finish(spark, data, ranges: dict, found: dict) -> None:
+    """Rank inside narrowed ranges: distinct values with counts and a running sum (one window per range)."""
+    keys = list(ranges)
     rng = spark.createDataFrame(
-        [(i, k[0], float(open_t[k][0]), float(open_t[k][1]), int(open_t[k][2])) for i, k in enumerate(keys)],
-        schema + ", want long")
+        [(i, k[0], float(k[1]), float(k[2]), [int(x) for x in ranges[k][2].values()]) for i, k in enumerate(keys)],
+        "rid int, feature string, lo double, hi double, wants array<long>")
     grouped = (data.join(F.broadcast(rng), "feature")
                .where(F.col("value").between(F.col("lo"), F.col("hi")))
-               .groupBy("tid", "want", "value").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("tid").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = (grouped.withColumn("cum", F.sum("c").over(w))
-           .where((F.col("cum") - F.col("c") <= F.col("want")) & (F.col("want") < F.col("cum")))
-           .select("tid", "value").collect())
-    for r in hit:
-        values[keys[r["tid"]]] = r["value"]
+               .groupBy("rid", "value").agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy("rid").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = grouped.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(rng.select("rid", "wants")), "rid")
+    hits = cum.select("rid", "value", F.explode(F.filter(
+        "wants", lambda x: (F.col("cum") - F.col("c") <= x) & (x < F.col("cum")))).alias("want")).collect()
+    local_to_global = [{v: g for g, v in ranges[k][2].items()} for k in keys]
+    for r in hits:
+        key = keys[r["rid"]]
+        found[(key[0], local_to_global[r["rid"]][r["want"]])] = r["value"]
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                      probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """pandas-style ``describe``: ``(feature, count, mean, std, min, p25, p50, p75, max)`` per numeric column.
 
-    Moments come from one aggregate over the long form; the quantiles are exact (see ``exact_quantiles``).
+    Moments come from one aggregate over the long form; the quantiles are exact (see ``exact_quantiles``). The long
+    form is persisted while the few summary jobs run (so an expensive upstream plan is evaluated once) and released
+    afterwards; the result is one small row per feature.
     """
+    from pyspark import StorageLevel
+
     cols = list(columns or numeric_columns(df))
     long = to_long(df, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, probs)
+    long = long.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        moments = {r["feature"]: r for r in long.groupBy("feature").agg(
+            F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"), F.max("value").alias("max")).collect()}
+        q = exact_quantiles(long, probs)
+    finally:
+        long.unpersist()
     names = [f"p{int(round(p * 100))}" for p in probs]
-    qrows = [(f, *[float(q[(f, p)]) for p in probs]) for f in cols if (f, probs[0]) in q]
-    qdf = df.sparkSession.createDataFrame(qrows, "feature string, " + ", ".join(f"{n} double" for n in names))
-    return moments.join(F.broadcast(qdf), "feature", "left").select(
-        "feature", "count", "mean", "std", "min", *names, "max")
+    rows = [(f, moments[f]["count"], moments[f]["mean"], moments[f]["std"], moments[f]["min"],
+             *[float(q[(f, p)]) for p in probs], moments[f]["max"]) for f in cols if f in moments]
+    schema = ("feature string, count long, mean double, std double, min double, "
+              + ", ".join(f"{n} double" for n in names) + ", max double")
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def schema_profile(df: DataFrame, approx: bool = False) -> DataFrame:

@@ -9,7 +9,6 @@ checkpoint folder because three jobs read it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +17,47 @@ from cascara.operators import evaluate as EV
 from cascara.session import scratch_root
 
 
-@dataclass
 class SearchResult:
-    split: DataFrame          # key, label, is_test
-    train: DataFrame          # key, vec, label, fold (checkpointed)
-    test: DataFrame           # key, vec, label
-    cv_neighbours: DataFrame
-    fold_scores: DataFrame    # metric, n_neighbors, weights, fold, accuracy
-    summary: DataFrame        # metric, n_neighbors, weights, mean_score, rank_test_score, grid_index
-    best: DataFrame           # one row
-    test_neighbours: DataFrame
-    test_pairs: DataFrame     # qid, y, pred
+    """The search's tables. ``fold_scores`` and ``test_pairs`` are small (candidates × folds; one row per test row)
+    and are checkpointed on first use, so every report built on them reads them instead of re-running the
+    neighbour search; the neighbour tables themselves stay lazy."""
+
+    def __init__(self, split, train, test, cv_neighbours, fold_scores, test_neighbours, ks, key, label):
+        self.split, self.train, self.test = split, train, test
+        self.cv_neighbours, self.test_neighbours = cv_neighbours, test_neighbours
+        self._fold_scores, self._ks, self._key, self._label = fold_scores, ks, key, label
+        self._memo: dict = {}
+
+    def _ckpt(self, name, build):
+        if name not in self._memo:
+            df = build()
+            scratch_root(df.sparkSession)
+            self._memo[name] = df.checkpoint(eager=True)
+        return self._memo[name]
+
+    @property
+    def fold_scores(self) -> DataFrame:
+        """metric, n_neighbors, weights, fold, accuracy"""
+        return self._ckpt("fold_scores", lambda: self._fold_scores)
+
+    @property
+    def summary(self) -> DataFrame:
+        """metric, n_neighbors, weights, mean_score, rank_test_score, grid_index"""
+        return EV.grid_summary(self.fold_scores, self._ks)
+
+    @property
+    def best(self) -> DataFrame:
+        return EV.best_candidate(self.summary)
+
+    @property
+    def test_pairs(self) -> DataFrame:
+        """qid, y, pred — test predictions of the best candidate"""
+        def build():
+            preds = EV.knn_vote(self.test_neighbours, self._ks).join(
+                F.broadcast(self.best.select("metric", "n_neighbors", "weights")), ["metric", "n_neighbors", "weights"])
+            truth = self.test.select(F.col(self._key).alias("qid"), F.col(self._label).alias("y"))
+            return preds.join(truth, "qid").select("qid", "y", "pred")
+        return self._ckpt("test_pairs", build)
 
 
 def knn_search(df: DataFrame, *, key: str, vec: str, label: str, ks: Sequence[int] = (3, 5, 7),
@@ -44,15 +73,10 @@ def knn_search(df: DataFrame, *, key: str, vec: str, label: str, ks: Sequence[in
         train = train.checkpoint(eager=True)
     test = split.where(F.col("is_test")).drop("is_test")
     kmax = max(ks)
+    n_train = train.count()
     cv = EV.knn_neighbours(train, train, kmax, qkey=key, tkey=key, vec=vec, label=label, metrics=metrics,
-                           exclude_same="fold", block_rows=block_rows)
+                           exclude_same="fold", block_rows=block_rows, counts=(n_train, n_train))
     fold_scores = EV.cv_scores(EV.knn_vote(cv, ks, weights), train, qkey=key, label=label, fold="fold")
-    summary = EV.grid_summary(fold_scores, ks)
-    best = EV.best_candidate(summary)
     tn = EV.knn_neighbours(test, train, kmax, qkey=key, tkey=key, vec=vec, label=label, metrics=metrics,
-                           block_rows=block_rows)
-    preds = EV.knn_vote(tn, ks, weights).join(
-        F.broadcast(best.select("metric", "n_neighbors", "weights")), ["metric", "n_neighbors", "weights"])
-    pairs = preds.join(test.select(F.col(key).alias("qid"), F.col(label).alias("y")), "qid").select(
-        "qid", "y", "pred")
-    return SearchResult(split.select(key, label, "is_test"), train, test, cv, fold_scores, summary, best, tn, pairs)
+                           block_rows=block_rows, counts=(test.count(), n_train))
+    return SearchResult(split.select(key, label, "is_test"), train, test, cv, fold_scores, tn, ks, key, label)
