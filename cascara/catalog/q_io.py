@@ -105,8 +105,9 @@ al AS (SELECT c.window_start, ht.tot, coalesce(h.n, 0) / ht.tot AS a, coalesce(b
   LEFT JOIN h ON c.window_start = h.window_start AND c.value = h.value LEFT JOIN bs ON c.value = bs.value),
 cl AS (SELECT window_start, tot, CASE WHEN a = 0 THEN 1e-10 ELSE a END AS a,
   CASE WHEN e = 0 THEN 1e-10 ELSE e END AS e FROM al)
-SELECT window_start, CAST(tot AS BIGINT) AS n, round(sum((a - e) * ln(a / e)), 6) AS psi FROM cl
-GROUP BY window_start, tot"""
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(tot AS BIGINT) AS n,
+  round(sum((a - e) * ln(a / e)), 6) AS psi FROM cl
+GROUP BY cl.window_start, tot"""
 
 
 @query("psi_hourly", _HOURLY_SQL)
@@ -115,11 +116,16 @@ def q_psi_hourly(spark, sf):
     ev = table(spark, sf, "events")
     base = ev.where(F.col("ts") < F.lit(BASELINE_END).cast("timestamp"))
     return H.hourly_psi(ev, base, "ts", "event_type").select(
-        "window_start", F.col("n").cast("long").alias("n"), rounded(F.col("psi")).alias("psi"))
+        _hour_text(F.col("window_start")), F.col("n").cast("long").alias("n"), rounded(F.col("psi")).alias("psi"))
+
+
+def _hour_text(c):
+    """Window start as ISO text (timestamp units differ between engines' pandas conversions)."""
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias("window_start")
 
 
 @query("psi_hourly_stream", _HOURLY_SQL
-       + "\nHAVING window_start < (SELECT max(date_trunc('hour', ts)) FROM events) - INTERVAL 1 HOUR")
+       + "\nHAVING cl.window_start < (SELECT max(date_trunc('hour', ts)) FROM events) - INTERVAL 1 HOUR")
 def q_psi_hourly_stream(spark, sf):
     """The same through Structured Streaming: watermark + hourly windows, PSI per closed hour in foreachBatch.
     With a one-hour watermark the two newest hours are still open and are emitted by a later run."""
@@ -142,4 +148,4 @@ def q_psi_hourly_stream(spark, sf):
     ntz = str(ev.schema["ts"].dataType) == "TimestampNTZType()"
     start = F.col("window_start").cast("timestamp_ntz") if ntz else F.col("window_start")
     return spark.read.parquet(sink).select(
-        start.alias("window_start"), F.col("n").cast("long").alias("n"), rounded(F.col("psi")).alias("psi"))
+        _hour_text(start), F.col("n").cast("long").alias("n"), rounded(F.col("psi")).alias("psi"))

@@ -76,9 +76,9 @@ per AS (SELECT CAST(c AS VARCHAR) AS class,
 per2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END
   AS f1 FROM per),
 rep AS (SELECT * FROM per2
-  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), sum(support), avg(f1) FROM per2
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), CAST(sum(support) AS BIGINT), avg(f1) FROM per2
   UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-    sum(support), sum(f1 * support) / sum(support) FROM per2)"""
+    CAST(sum(support) AS BIGINT), sum(f1 * support) / sum(support) FROM per2)"""
 
 
 REPORT_SELECT = ("SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, "
