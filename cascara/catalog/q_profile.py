@@ -92,8 +92,9 @@ def q_row_count(spark, sf):
 
     a = raw(spark, sf).agg(F.count(F.lit(1)).alias("n_raw"))
     b = cleaned(spark, sf).agg(F.count(F.lit(1)).alias("n_clean"))
-    # two one-row aggregates side by side
-    return a.withColumn("k", F.lit(1)).join(b.withColumn("k", F.lit(1)), "k").drop("k")
+    from cascara.operators.drift import side_by_side
+
+    return side_by_side(a, b)
 
 
 @query("preview", S.with_chain("SELECT * FROM clean ORDER BY CustomerID LIMIT 20"))

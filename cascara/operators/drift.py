@@ -1,9 +1,13 @@
 """Population drift: aligned distributions, equal-width histograms on baseline edges, PSI per feature and in total,
 and the refresh gate.
 
-Baseline and current rows are unpivoted, tagged and unioned, then counted in ONE grouped aggregate: the full-outer
-alignment of the two distributions (missing side → 0) falls out of the grouping, with no join of the two tables.
-Per-feature totals are one row per feature and are broadcast back; no window spans all values of a feature.
+Plan shape (whatever the number of features): the baseline is scanned once for the numeric edges (min/max per
+feature — two numbers per feature, collected as the fitted bin model), then baseline and current rows are each
+scanned once more: every feature becomes a string key (the category, or the bin number for a binned numeric
+feature), the rows are unpivoted, tagged by side and counted in ONE grouped aggregate. The full-outer alignment of
+the two distributions (missing side → 0) falls out of that grouping — no join of the two tables — and empty bins are
+completed by a features × bins grid unioned into the same aggregate. Per-feature totals are one row per feature and
+are broadcast back; no window spans all values of a feature.
 
 Modes for numeric features:
   * ``values``  — every distinct value is a category (what the original job computes in practice);
@@ -13,41 +17,86 @@ Modes for numeric features:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cascara.functions.columns import clamp_zero, psi_term
-from cascara.operators.reshape import to_long
 
 EPS = 1e-10
 DEFAULT_THRESHOLD = 0.2
 
+Edges = Mapping[str, tuple[float, float]]
 
-def _tagged(base: DataFrame, cur: DataFrame, features: Sequence[str], value_type: str) -> DataFrame:
-    b = to_long(base, features, value_type).withColumn("is_base", F.lit(1))
-    c = to_long(cur, features, value_type).withColumn("is_base", F.lit(0))
-    return b.unionByName(c).where(F.col("value").isNotNull())
 
-
-def aligned_counts(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, value, n_base, n_cur)`` over the union of categories; a side without the value counts 0."""
-    t = _tagged(base, cur, features, "string")
-    return t.groupBy("feature", "value").agg(
-        F.sum("is_base").cast("long").alias("n_base"), F.sum(1 - F.col("is_base")).cast("long").alias("n_cur"))
-
-
-def category_union(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, value)``: categories seen on either side."""
-    return aligned_counts(base, cur, features).select("feature", "value")
+# ---------------------------------------------------------------------------------------------------------------
+# fitted bin edges
+
+
+def baseline_edges(base: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """``{feature: (lo, hi)}`` of the baseline (NULL and NaN ignored), from one aggregate; features without any
+    value are left out."""
+    aggs = []
+    for i, f in enumerate(features):
+        x = F.col(f"`{f}`").cast("double")
+        ok = F.when(~F.isnan(x), x)
+        aggs += [F.min(ok).alias(f"lo{i}"), F.max(ok).alias(f"hi{i}")]
+    row = base.agg(*aggs).first()
+    out = {}
+    for i, f in enumerate(features):
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        if lo is not None and hi is not None:
+            out[f] = (float(lo), float(hi))
+    return out
+
+
+def bin_of(x: Column, lo: float, hi: float, bins: int) -> Column:
+    """Half-open equal-width bins on [lo, hi], the last one closed: least(floor((x − lo)·b / (hi − lo)), b − 1);
+    NULL outside the range. A constant baseline (hi = lo) has one bin, 0."""
+    inside = x.between(F.lit(lo), F.lit(hi)) & ~F.isnan(x)
+    if hi == lo:
+        b = F.lit(0)
+    else:
+        b = F.least(F.floor((x - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo)), F.lit(bins - 1))
+    return F.when(inside, b.cast("int"))
+
+
+def _lookup(mapping: Mapping[str, float], key: Column) -> Column:
+    if not mapping:
+        return F.lit(None).cast("double")
+    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(float(v)))])
+    return F.element_at(m, key)
 
 
-def _with_shares(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    totals = counts.groupBy("feature").agg(F.sum("n_base").alias("tot_base"), F.sum("n_cur").alias("tot_cur"))
-    return counts.join(F.broadcast(totals), "feature").select(
-        *keys, "n_base", "n_cur", nan_divide(F.col("n_base"), F.col("tot_base")).alias("e"),
-        nan_divide(F.col("n_cur"), F.col("tot_cur")).alias("a"))
+# ---------------------------------------------------------------------------------------------------------------
+# one-pass tagged counts
+
+
+def _keys(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], edges: Edges, bins: int) -> DataFrame:
+    """``(feature, key)`` per row and feature: the category as text, or the bin number of a numeric feature."""
+    cols = {c: F.col(f"`{c}`").cast("string") for c in categorical}
+    for f in numeric:
+        if f in edges:
+            cols[f] = bin_of(F.col(f"`{f}`").cast("double"), *edges[f], bins).cast("string")
+    if not cols:
+        raise ValueError("no feature to compare")
+    slim = df.select(*[e.alias(n) for n, e in cols.items()])
+    return slim.unpivot([], list(cols), "feature", "key").where(F.col("key").isNotNull())
+
+
+def tagged_counts(base: DataFrame, cur: DataFrame, categorical: Sequence[str], numeric: Sequence[str] = (),
+                  edges: Edges | None = None, bins: int = 10) -> DataFrame:
+    """``(feature, key, n_base, n_cur)`` for every category / bin seen on either side, and every bin of the grid."""
+    edges = edges if edges is not None else (baseline_edges(base, numeric) if numeric else {})
+    rows = (_keys(base, categorical, numeric, edges, bins).withColumn("side", F.lit(1))
+            .unionByName(_keys(cur, categorical, numeric, edges, bins).withColumn("side", F.lit(0))))
+    grid_rows = [(f, str(i)) for f in numeric if f in edges for i in range(1 if edges[f][0] == edges[f][1] else bins)]
+    if grid_rows:
+        grid = base.sparkSession.createDataFrame(grid_rows, "feature string, key string")
+        rows = rows.unionByName(grid.withColumn("side", F.lit(None).cast("int")))
+    return rows.groupBy("feature", "key").agg(
+        F.count(F.when(F.col("side") == 1, 1)).alias("n_base"), F.count(F.when(F.col("side") == 0, 1)).alias("n_cur"))
 
 
 def nan_divide(num: Column, den: Column) -> Column:
@@ -56,9 +105,12 @@ def nan_divide(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(float("nan"))).otherwise(F.try_divide(num.cast("double"), den.cast("double")))
 
 
-def aligned_shares(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, value, n_base, n_cur, e, a)``: shares of each side (NULLs excluded)."""
-    return _with_shares(aligned_counts(base, cur, features), ["feature", "value"])
+def _with_shares(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    totals = counts.groupBy("feature").agg(F.sum("n_base").alias("tot_base"), F.sum("n_cur").alias("tot_cur"))
+    # one row per feature: bounded by the column count
+    return counts.join(F.broadcast(totals), "feature").select(
+        *keys, "n_base", "n_cur", nan_divide(F.col("n_base"), F.col("tot_base")).alias("e"),
+        nan_divide(F.col("n_cur"), F.col("tot_cur")).alias("a"))
 
 
 def _psi(rows: DataFrame) -> DataFrame:
@@ -66,56 +118,47 @@ def _psi(rows: DataFrame) -> DataFrame:
     return rows.groupBy("feature").agg(F.sum(term).alias("psi"))
 
 
-def psi_categorical(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, psi)``: Σ (a − e)·ln(a/e) over the category union, zero shares clamped to 1e-10."""
-    return _psi(aligned_shares(base, cur, features))
+# ---------------------------------------------------------------------------------------------------------------
+# public operators
 
 
-# ---------------------------------------------------------------------------------------------------------------
-# numeric features: equal-width bins on the baseline range
+def aligned_counts(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, value, n_base, n_cur)`` over the union of categories; a side without the value counts 0."""
+    return tagged_counts(base, cur, features).withColumnRenamed("key", "value")
+
+
+def category_union(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, value)``: categories seen on either side."""
+    return aligned_counts(base, cur, features).select("feature", "value")
 
 
-def baseline_edges(base: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """``(feature, lo, hi, width)`` of the baseline, one aggregate; one row per feature."""
-    long = to_long(base, features, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).withColumn(
-        "width", (F.col("hi") - F.col("lo")) / F.lit(bins))
+def aligned_shares(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, value, n_base, n_cur, e, a)``: shares of each side (NULLs excluded)."""
+    return _with_shares(aligned_counts(base, cur, features), ["feature", "value"])
 
 
-def bin_index(value: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Half-open equal-width bins, the last one closed: least(floor((x − lo)·b / (hi − lo)), b − 1)."""
-    # a constant baseline has one point-wide range: everything equal to it lands in bin 0
-    return F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor(F.try_divide((value - lo) * F.lit(bins), hi - lo)), F.lit(bins - 1))).cast("int")
+def psi_categorical(base: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(feature, psi)``: Σ (a − e)·ln(a/e) over the category union, zero shares clamped to 1e-10."""
+    return _psi(aligned_shares(base, cur, features))
 
 
 def histogram(base: DataFrame, cur: DataFrame, features: Sequence[str], bins: int = 10,
-              normalise: str = "share") -> DataFrame:
+              normalise: str = "share", edges: Edges | None = None) -> DataFrame:
     """``(feature, bin, lo_edge, hi_edge, n_base, n_cur, e, a)`` on baseline edges for every numeric feature.
 
-    Values outside the baseline range are dropped (also on the baseline side there are none). Empty bins are
-    completed from ``sequence(0, bins-1)`` per feature (features × bins rows). ``normalise`` is ``share`` (count /
-    in-range total), ``density`` (share / bin width) or ``count`` (raw counts in e and a).
+    Values outside the baseline range are dropped. ``normalise`` is ``share`` (count / in-range total), ``density``
+    (share / bin width) or ``count`` (raw counts in e and a).
     """
-    edges = baseline_edges(base, features, bins)
-    t = _tagged(base, cur, features, "double").where(~F.isnan("value"))
-    binned = (t.join(F.broadcast(edges), "feature")
-              .where(F.col("value").between(F.col("lo"), F.col("hi")))
-              .withColumn("bin", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins))
-              .groupBy("feature", "bin")
-              .agg(F.sum("is_base").cast("long").alias("n_base"),
-                   F.sum(1 - F.col("is_base")).cast("long").alias("n_cur")))
-    grid = edges.select("feature", "lo", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    full = grid.join(binned, ["feature", "bin"], "left").select(
-        "feature", "bin",
-        (F.col("lo") + F.col("bin") * F.col("width")).alias("lo_edge"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("hi_edge"),
-        F.coalesce("n_base", F.lit(0)).alias("n_base"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
-        "width")
+    edges = edges if edges is not None else baseline_edges(base, features)
+    counts = tagged_counts(base, cur, [], features, edges, bins).withColumn("bin", F.col("key").cast("int"))
+    lo = _lookup({f: e[0] for f, e in edges.items()}, F.col("feature"))
+    width = _lookup({f: (e[1] - e[0]) / bins for f, e in edges.items()}, F.col("feature"))
+    placed = counts.select("feature", "bin", (lo + F.col("bin") * width).alias("lo_edge"),
+                           (lo + (F.col("bin") + 1) * width).alias("hi_edge"), "n_base", "n_cur", width.alias("width"))
     if normalise == "count":
-        return full.select("*", F.col("n_base").cast("double").alias("e"), F.col("n_cur").cast("double").alias("a")
-                           ).drop("width")
-    shares = _with_shares(full, ["feature", "bin", "lo_edge", "hi_edge", "width"])
+        return placed.select("feature", "bin", "lo_edge", "hi_edge", "n_base", "n_cur",
+                             F.col("n_base").cast("double").alias("e"), F.col("n_cur").cast("double").alias("a"))
+    shares = _with_shares(placed, ["feature", "bin", "lo_edge", "hi_edge", "width"])
     if normalise == "density":
         shares = shares.withColumn("e", nan_divide(F.col("e"), F.col("width"))).withColumn(
             "a", nan_divide(F.col("a"), F.col("width")))
@@ -132,12 +175,19 @@ def psi_numeric(base: DataFrame, cur: DataFrame, features: Sequence[str], bins:
 
 def psi_features(base: DataFrame, cur: DataFrame, categorical: Sequence[str], numeric: Sequence[str] = (),
                  mode: str = "share", bins: int = 10) -> DataFrame:
-    """``(feature, psi)`` for every feature in one plan. ``mode='values'`` scores numeric features by value."""
+    """``(feature, psi)`` for every feature from one counting pass. ``mode='values'`` scores numeric features
+    value by value; ``share`` / ``density`` bin them on the baseline edges."""
     if mode == "values" or not numeric:
         return psi_categorical(base, cur, list(categorical) + list(numeric))
-    cat = psi_categorical(base, cur, categorical) if categorical else None
-    num = psi_numeric(base, cur, numeric, bins, mode)
-    return num if cat is None else cat.unionByName(num)
+    if mode not in ("share", "density"):
+        raise ValueError(f"unknown mode {mode!r}")
+    edges = baseline_edges(base, numeric)
+    shares = _with_shares(tagged_counts(base, cur, categorical, numeric, edges, bins), ["feature", "key"])
+    if mode == "density":
+        width = _lookup({f: (e[1] - e[0]) / bins for f, e in edges.items()}, F.col("feature"))
+        shares = shares.withColumn("e", F.when(width.isNull(), F.col("e")).otherwise(nan_divide(F.col("e"), width)))
+        shares = shares.withColumn("a", F.when(width.isNull(), F.col("a")).otherwise(nan_divide(F.col("a"), width)))
+    return _psi(shares)
 
 
 def psi_total(per_feature: DataFrame) -> DataFrame:
@@ -152,6 +202,15 @@ def drift_gate(total: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFr
         "refresh", F.coalesce((t > F.lit(float(threshold))) & ~F.isnan(t), F.lit(False)))
 
 
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """Columns of several one-row frames in one row: a union of the rows (missing columns NULL) and one aggregate
+    taking each column's only value — no join."""
+    rows = one_row[0]
+    for f in one_row[1:]:
+        rows = rows.unionByName(f, allowMissingColumns=True)
+    return rows.agg(*[F.max(F.col(c)).alias(c) for c in rows.columns])
+
+
 def drift_score(base: DataFrame | None, cur: DataFrame, categorical: Sequence[str], numeric: Sequence[str] = (),
                 mode: str = "share", bins: int = 10, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """One row ``(n_base, n_current, total_psi, threshold, refresh)``.
@@ -163,11 +222,9 @@ def drift_score(base: DataFrame | None, cur: DataFrame, categorical: Sequence[st
         one = n_cur.select(F.lit(0).cast("long").alias("n_base"), "n_current", F.lit(1.0).alias("total_psi"))
         return drift_gate(one, threshold)
     n_base = base.agg(F.count(F.lit(1)).alias("n_base"))
+    if n_base.first()["n_base"] == 0:  # an empty snapshot has no distribution to compare with
+        one = n_cur.select(F.lit(0).cast("long").alias("n_base"), "n_current", F.lit(1.0).alias("total_psi"))
+        return drift_gate(one, threshold)
     tot = psi_total(psi_features(base, cur, categorical, numeric, mode, bins)).select("total_psi")
-    # three one-row frames side by side
-    one = (n_base.withColumn("__k", F.lit(1))
-           .join(n_cur.withColumn("__k", F.lit(1)), "__k")
-           .join(tot.withColumn("__k", F.lit(1)), "__k", "left")
-           .select("n_base", "n_current",
-                   F.when(F.col("n_base") == 0, F.lit(1.0)).otherwise(F.col("total_psi")).alias("total_psi")))
+    one = side_by_side(n_base, n_cur, tot).select("n_base", "n_current", "total_psi")
     return drift_gate(one, threshold)

@@ -55,8 +55,20 @@ def string_index_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.withColumn("index", (F.row_number().over(w) - 1).cast("double"))
 
 
+def _guard_cardinality(distinct_long: DataFrame) -> None:
+    """Count the distinct values per column (one small aggregate) and refuse, before anything is collected, to
+    treat a column with more than ``MAX_CATEGORIES`` values as categorical."""
+    wide = [r for r in distinct_long.groupBy("column").agg(F.count(F.lit(1)).alias("k"))
+            .where(F.col("k") > MAX_CATEGORIES).collect()]
+    if wide:
+        raise ValueError(f"not categorical (> {MAX_CATEGORIES} values): "
+                         + ", ".join(f"{r['column']} ({r['k']})" for r in wide))
+
+
 def _collect_labels(fitted: DataFrame, columns: Sequence[str], order: str) -> dict[str, list[str]]:
-    rows = fitted.where(F.col("column").isin(list(columns))).select("column", "value", order).collect()
+    fitted = fitted.where(F.col("column").isin(list(columns)))
+    _guard_cardinality(fitted)
+    rows = fitted.select("column", "value", order).collect()
     labels: dict[str, list[tuple]] = {c: [] for c in columns}
     for r in rows:
         labels[r["column"]].append((r[order], r["value"]))
@@ -154,7 +166,9 @@ def one_hot_fit(df: DataFrame, columns: Sequence[str]) -> OneHotModel:
     """Distinct values per column (one aggregate over the long form, NULL kept as a category)."""
     long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], list(columns),
                                                                                           "column", "value")
-    rows = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).select("column", "value").collect()
+    distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    _guard_cardinality(distinct)
+    rows = distinct.select("column", "value").collect()
     cats: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         cats[r["column"]].append(r["value"])
@@ -173,7 +187,9 @@ def one_hot_fit(df: DataFrame, columns: Sequence[str]) -> OneHotModel:
 
 def label_encoder(df: DataFrame, column: str) -> list:
     """Sorted distinct classes of a label column (NULL excluded)."""
-    rows = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
+    distinct = df.where(F.col(column).isNotNull()).select(column).distinct()
+    _guard_cardinality(distinct.select(F.lit(column).alias("column")))
+    rows = distinct.collect()
     classes = sorted(r[0] for r in rows)
     if len(classes) > MAX_CATEGORIES:
         raise ValueError(f"{column} has {len(classes)} classes")

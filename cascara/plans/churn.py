@@ -58,11 +58,18 @@ class CleanSpec:
                     (INTERNET_PARENT, "No", tuple(INTERNET_CHILDREN), NO_INTERNET))
     post_fill_rules: tuple = (RULE_NUMERIC,)
     booleans: dict = field(default_factory=lambda: dict(BOOLEANS))
-    distinct_first: bool = True
+    distinct_first: bool = False
 
 
 def dedup_stage(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
-    """rename → distinct → one row per key."""
+    """rename → distinct → one row per key.
+
+    The key dedup keeps the smallest row of each key by all columns, which is the same row with or without exact
+    duplicates, so the separate distinct is redundant and skipped by default (``distinct_first=True`` forces it).
+    Skipping it matters at scale: distinct and key dedup would share one shuffle on the key, and the map-side
+    partial aggregate of the dedup — which shrinks a hot key to one row per partition before the shuffle — only
+    runs when the dedup is the first aggregate.
+    """
     df = C.rename_columns(raw, spec.renames)
     if spec.distinct_first:
         df = C.distinct_rows(df)

@@ -24,10 +24,8 @@ def baseline_shares(base: DataFrame, column: str) -> DataFrame:
     """``(value, e)`` of the baseline (NULLs excluded)."""
     counts = base.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    tot = counts.agg(F.sum("n").alias("tot"))
-    # one total row broadcast to every category row
-    return counts.withColumn("__k", F.lit(1)).join(F.broadcast(tot.withColumn("__k", F.lit(1))), "__k").select(
-        "value", (F.col("n") / F.col("tot")).alias("e"))
+    tot = counts.agg(F.sum("n")).first()[0] or 0  # one number: the baseline size
+    return counts.select("value", (F.col("n") / F.lit(float(tot))).alias("e"))
 
 
 def hourly_counts(events: DataFrame, ts: str, column: str, width: str = "1 hour") -> DataFrame:
@@ -39,7 +37,7 @@ def hourly_counts(events: DataFrame, ts: str, column: str, width: str = "1 hour"
 
 def psi_by_window(counts: DataFrame, shares: DataFrame) -> DataFrame:
     """``(window_start, n, psi)`` from per-window category counts and baseline shares."""
-    k_total = shares.agg(F.sum(_term(F.lit(EPS), F.col("e"))).alias("k"))
+    k_total = shares.agg(F.sum(_term(F.lit(EPS), F.col("e")))).first()[0] or 0.0  # one number per baseline
     tot = counts.groupBy("window_start").agg(F.sum("n").alias("tot"))
     a = F.col("n") / F.col("tot")
     a_c = F.when(a == 0, F.lit(EPS)).otherwise(a)
@@ -51,9 +49,7 @@ def psi_by_window(counts: DataFrame, shares: DataFrame) -> DataFrame:
                  F.sum(_term(a_c, e_c)).alias("present"),
                  F.sum(F.when(F.col("e").isNotNull(), _term(F.lit(EPS), F.col("e"))).otherwise(F.lit(0.0)))
                  .alias("overlap")))
-    return (seen.withColumn("__k", F.lit(1))
-            .join(F.broadcast(k_total.withColumn("__k", F.lit(1))), "__k")
-            .select("window_start", "n", (F.col("present") + F.col("k") - F.col("overlap")).alias("psi")))
+    return seen.select("window_start", "n", (F.col("present") + F.lit(float(k_total)) - F.col("overlap")).alias("psi"))
 
 
 def hourly_psi(events: DataFrame, base: DataFrame, ts: str, column: str, width: str = "1 hour") -> DataFrame:

@@ -145,3 +145,12 @@ def test_parquet_scan_pushes_filters_and_prunes(spark):
     assert "l_partkey" not in plan and "l_returnflag" not in plan
 
 
+
+
+def test_cardinality_guard_refuses_before_collecting(spark, monkeypatch):
+    monkeypatch.setattr(E, "MAX_CATEGORIES", 5)
+    df = spark.range(50).select(F.col("id").cast("string").alias("k"))
+    with pytest.raises(ValueError, match="not categorical"):
+        E.one_hot_fit(df, ["k"])
+    with pytest.raises(ValueError, match="not categorical"):
+        E.string_indexer(df, ["k"])
