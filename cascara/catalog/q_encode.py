@@ -147,15 +147,29 @@ def q_minmax_scale(spark, sf):
     return out.select("CustomerID", *[rounded(F.col(c)).alias(c) for c in _SCALE])
 
 
-def _feature_sql() -> str:
+def _feature_parts() -> tuple[str, list[str], list[str]]:
+    """(chain + enc CTEs, scaled expressions, names) of the feature pipeline in the oracle dialect."""
     enc = [(c, f"CAST({c} AS DOUBLE)") for c in _FEATURE_NUMERIC] + _onehot_sql_cols()
     inner = "SELECT CustomerID, Churn, " + ", ".join(f"{e} AS {_qi(n)}" for n, e in enc) + " FROM clean"
-    outs = []
+    exprs = []
     for n, _ in enc:
         q = _qi(n)
         lo, hi = f"(SELECT min({q}) FROM enc)", f"(SELECT max({q}) FROM enc)"
-        outs.append(f"round(CASE WHEN {hi} = {lo} THEN 0.0 ELSE ({q} - {lo}) / ({hi} - {lo}) END, 6) AS {q}")
-    return S.with_chain("").rstrip() + f",\nenc AS ({inner})\nSELECT CustomerID, Churn, " + ", ".join(outs) + " FROM enc"
+        exprs.append(f"(CASE WHEN {hi} = {lo} THEN 0.0 ELSE ({q} - {lo}) / ({hi} - {lo}) END)")
+    return S.with_chain("").rstrip() + f",\nenc AS ({inner})\n", exprs, [n for n, _ in enc]
+
+
+def _feature_sql() -> str:
+    ctes, exprs, names = _feature_parts()
+    return ctes + "SELECT CustomerID, Churn, " + ", ".join(
+        f"round({e}, 6) AS {_qi(n)}" for e, n in zip(exprs, names)) + " FROM enc"
+
+
+def churn_vectors_sql() -> str:
+    """``(vec_id, v, label)``: the scaled feature vector of every cleaned customer (key = the digits of its id)."""
+    ctes, exprs, _ = _feature_parts()
+    return (ctes + "SELECT CAST(substr(CustomerID, 2) AS BIGINT) AS vec_id, list_value(" + ", ".join(exprs)
+            + ") AS v, CAST(Churn AS BIGINT) AS label FROM enc")
 
 
 # numeric and boolean columns in table order, as the feature pipeline takes them

@@ -132,3 +132,44 @@ def q_class_metrics_labels(spark, sf):
     lp = table(spark, sf, "labels").select(F.col("quality").cast("long").alias("y"),
                                            F.col("toxic").cast("long").alias("pred"))
     return _report_round(EV.class_report(lp))
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# the original training job: cleaned churn table → features → k-NN grid search → test report
+
+
+def churn_vectors(spark, sf):
+    """Cleaned churn rows as scaled feature vectors (one-hot + min-max fitted on all rows, as the original job)."""
+    from cascara.catalog.q_clean import cleaned
+    from cascara.operators import encode as E
+
+    df = cleaned(spark, sf)
+    model = E.feature_fit(df, ["CustomerID", "Churn"])
+    X = model.transform(df, keep=["CustomerID", "Churn"], as_vector="features")
+    return X.select(F.substring("CustomerID", 2, 20).cast("long").alias(KEY), F.col("features").alias(VEC),
+                    F.col("Churn").cast("long").alias(LABEL))
+
+
+def churn_search(spark, sf):
+    return knn_search(churn_vectors(spark, sf), key=KEY, vec=VEC, label=LABEL)
+
+
+def _churn_search_sql() -> str:
+    from cascara.catalog.q_encode import churn_vectors_sql
+
+    return K.search_sql(churn_vectors_sql())
+
+
+@query("knn_grid_search_churn", _churn_search_sql() + "SELECT metric, n_neighbors, weights, "
+                                                     "round(mean_score, 6) AS mean_score, rank_test_score FROM summ")
+def q_knn_grid_search_churn(spark, sf):
+    """The original job's search on the churn features: 12 candidates × 3 stratified folds."""
+    r = churn_search(spark, sf)
+    return r.summary.select("metric", "n_neighbors", "weights", rounded(F.col("mean_score")).alias("mean_score"),
+                            F.col("rank_test_score").cast("int").alias("rank_test_score"))
+
+
+@query("class_metrics_churn", _churn_search_sql() + ",\n" + K.class_report_sql("tpairs") + "\n" + K.REPORT_SELECT)
+def q_class_metrics_churn(spark, sf):
+    """Test report of the best churn candidate (class 1 = churned)."""
+    return _report_round(EV.class_report(churn_search(spark, sf).test_pairs))

@@ -1,4 +1,5 @@
-"""Oracle-side SQL for split, folds and brute-force k-NN over ``embeddings`` (DuckDB dialect).
+"""Oracle-side SQL for split, folds and brute-force k-NN (DuckDB dialect); distances rounded to 9 places before
+ranking, as in the Spark search.
 
 The oracle evaluates every (query, train) pair — fine for the small check fixture, and exactly the brute force the
 blocked Spark search must agree with.
@@ -6,20 +7,27 @@ blocked Spark search must agree with.
 
 from __future__ import annotations
 
-BASE = """e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIGINT) AS label,
-  md5(CAST(vec_id AS VARCHAR) || '42') AS h FROM embeddings),
+EMB_SOURCE = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIGINT) AS label FROM embeddings"
+
+
+def base_sql(source: str) -> str:
+    """Split and folds over any ``(vec_id, v, label)`` relation."""
+    return f"""e AS (SELECT *, md5(CAST(vec_id AS VARCHAR) || '42') AS h FROM ({source}) src),
 s AS (SELECT *, substr(h, 1, 8) < '33333333' AS is_test FROM e),
 tr AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY h, vec_id) - 1) % 3 AS INTEGER) AS fold
   FROM s WHERE NOT is_test),
 te AS (SELECT * FROM s WHERE is_test)"""
 
+
+BASE = base_sql(EMB_SOURCE)
+
 L1 = "list_sum(list_transform(range(1, len(q.v) + 1), lambda i: abs(q.v[i] - t.v[i])))"
 
 
 def pairs(name: str, left: str, right: str, on: str = "true", extra: str = "") -> str:
     """CTE ``name(qid, y, fold?, tid, tlabel, metric, dist)`` with both metrics in long form."""
     return f"""{name}_p AS (SELECT q.vec_id AS qid, q.label AS y, {extra} t.vec_id AS tid, t.label AS tlabel,
-  list_distance(q.v, t.v) AS d2, {L1} AS d1 FROM {left} q JOIN {right} t ON {on}),
+  round(list_distance(q.v, t.v), 9) AS d2, round({L1}, 9) AS d1 FROM {left} q JOIN {right} t ON {on}),
 {name} AS (SELECT * EXCLUDE (d1, d2), 'euclidean' AS metric, d2 AS dist FROM {name}_p
   UNION ALL SELECT * EXCLUDE (d1, d2), 'manhattan' AS metric, d1 AS dist FROM {name}_p)"""
 
@@ -45,7 +53,9 @@ def votes(name: str, src: str, group_extra: str = "") -> str:
 GRID_INDEX = ("(CASE metric WHEN 'euclidean' THEN 0 ELSE 1 END) * 6 + (CASE n_neighbors WHEN 3 THEN 0 WHEN 5 THEN 1 "
               "ELSE 2 END) * 2 + (CASE weights WHEN 'uniform' THEN 0 ELSE 1 END)")
 
-SEARCH = f"""WITH {BASE},
+def search_sql(source: str = EMB_SOURCE) -> str:
+    """The whole grid search and test predictions as CTEs over a ``(vec_id, v, label)`` relation."""
+    return f"""WITH {base_sql(source)},
 {pairs('cvp', 'tr', 'tr', 'q.fold <> t.fold', 'q.fold AS fold,')},
 {ranked('cvr', 'cvp', 7)},
 {votes('cvv', 'cvr', 'fold,')},
@@ -62,6 +72,9 @@ tpairs AS (SELECT qid, y, pred FROM tv JOIN best USING (metric, n_neighbors, wei
 """
 
 
+SEARCH = search_sql()
+
+
 def class_report_sql(pairs_rel: str) -> str:
     """Per-class precision/recall/f1/support plus macro and weighted averages from a (y, pred) relation."""
     return f"""cm AS (SELECT y, pred, count(*) AS n FROM {pairs_rel} GROUP BY y, pred),

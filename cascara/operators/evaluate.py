@@ -77,7 +77,8 @@ def _block_counts(spark, nq: int, nt: int, block_rows: int) -> tuple[int, int]:
     return qb, tb
 
 
-def _topk_block(k: int, metrics: Sequence[str], has_group: bool, chunk_elems: int = 1 << 24):
+def _topk_block(k: int, metrics: Sequence[str], has_group: bool, decimals: int | None,
+                chunk_elems: int = 1 << 24):
     metrics = list(metrics)
 
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
@@ -105,6 +106,9 @@ def _topk_block(k: int, metrics: Sequence[str], has_group: bool, chunk_elems: in
                     d = np.abs(diff).sum(axis=2)
                 else:
                     raise ValueError(m)
+                if decimals is not None:
+                    # distances equal up to summation order must tie in every engine: rank on rounded values
+                    d = np.round(d, decimals)
                 if mask is not None:
                     d = np.where(mask, np.inf, d)
                 # stable sort on train rows already ordered by key: ties resolve to the smaller key
@@ -122,9 +126,13 @@ def _topk_block(k: int, metrics: Sequence[str], has_group: bool, chunk_elems: in
 
 def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: str, vec: str = "vec",
                    label: str = "label", metrics: Sequence[str] = METRICS, exclude_same: str | None = None,
-                   block_rows: int = 2048, counts: tuple[int, int] | None = None) -> DataFrame:
+                   block_rows: int = 2048, counts: tuple[int, int] | None = None,
+                   decimals: int | None = 9) -> DataFrame:
     """``(qid, metric, rank, tid, tlabel, dist)``: the ``k`` nearest train rows of every query row, per metric.
 
+    Distances are rounded to ``decimals`` places before ranking (None: exact), so that two train rows at the same
+    mathematical distance tie — and go to the smaller key — whatever order the sum was taken in.
+
     ``exclude_same`` names a column present on both sides (e.g. the CV fold): pairs with equal values are not
     neighbours. ``counts`` = (query rows, train rows) if known; otherwise two counts are run to size the blocks.
     """
@@ -142,7 +150,7 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
     schema = "qid long, metric string, tid long, tlabel long, dist double"
     per_block = (q_rep.groupBy("qb", "tb").cogroup(t_rep.groupBy("qb", "tb"))
-                 .applyInPandas(_topk_block(k, metrics, exclude_same is not None), schema))
+                 .applyInPandas(_topk_block(k, metrics, exclude_same is not None, decimals), schema))
     w = Window.partitionBy("qid", "metric").orderBy("dist", "tid")
     return per_block.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
