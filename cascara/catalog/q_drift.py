@@ -8,7 +8,7 @@ from cascara.catalog import sql_churn as S
 from cascara.catalog import sql_drift as D
 from cascara.catalog.q_clean import cleaned
 from cascara.catalog.registry import query, table
-from cascara.functions.columns import rounded
+from cascara.functions.columns import rounded, time_literal
 from cascara.operators import drift as DR
 
 # every churn feature but the key and the target
@@ -33,8 +33,8 @@ def split(spark, sf):
 
 def li_split(spark, sf):
     li = table(spark, sf, "lineitem")
-    return li.where(F.col("l_shipdate") < F.lit(LI_CUT).cast("timestamp")), \
-        li.where(F.col("l_shipdate") >= F.lit(LI_CUT).cast("timestamp"))
+    cut = time_literal(li, "l_shipdate", LI_CUT)
+    return li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut)
 
 
 def _churn_sql(ctes: str, select: str) -> str:

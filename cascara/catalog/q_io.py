@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cascara.catalog import sql_churn as S
 from cascara.catalog.q_clean import cleaned, raw
 from cascara.catalog.registry import query, table
-from cascara.functions.columns import rounded
+from cascara.functions.columns import rounded, time_literal
 from cascara.plans import churn as P
 from cascara.session import scratch_path
 from cascara.sources import files as IO
@@ -53,7 +53,7 @@ def q_parquet_roundtrip(spark, sf):
 def q_parquet_scan(spark, sf):
     """Projection and filter reach the parquet scan (ReadSchema of 5 columns, PushedFilters on both predicates)."""
     li = IO.read_parquet(spark, f"{sf.rstrip('/')}/lineitem.parquet")
-    return li.where((F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp")) & (F.col("l_discount") > 0.05)) \
+    return li.where((F.col("l_shipdate") >= time_literal(li, "l_shipdate", "1998-01-01")) & (F.col("l_discount") > 0.05)) \
         .select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
@@ -114,7 +114,7 @@ GROUP BY cl.window_start, tot"""
 def q_psi_hourly(spark, sf):
     """PSI of ``event_type`` for every hour of ``events`` against the first day."""
     ev = table(spark, sf, "events")
-    base = ev.where(F.col("ts") < F.lit(BASELINE_END).cast("timestamp"))
+    base = ev.where(F.col("ts") < time_literal(ev, "ts", BASELINE_END))
     return H.hourly_psi(ev, base, "ts", "event_type").select(
         _hour_text(F.col("window_start")), F.col("n").cast("long").alias("n"), rounded(F.col("psi")).alias("psi"))
 
@@ -130,7 +130,7 @@ def q_psi_hourly_stream(spark, sf):
     """The same through Structured Streaming: watermark + hourly windows, PSI per closed hour in foreachBatch.
     With a one-hour watermark the two newest hours are still open and are emitted by a later run."""
     ev = table(spark, sf, "events")
-    shares = H.baseline_shares(ev.where(F.col("ts") < F.lit(BASELINE_END).cast("timestamp")), "event_type")
+    shares = H.baseline_shares(ev.where(F.col("ts") < time_literal(ev, "ts", BASELINE_END)), "event_type")
     src = scratch_path(spark, "events-src")
     # land four time slices one after another, so file arrival order follows event time (four micro-batches)
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()

@@ -62,3 +62,9 @@ def hash_unit(key: ColumnLike, seed: int | str) -> Column:
 def rounded(c: Column, digits: int = 6) -> Column:
     """Double rounded to ``digits`` decimals (stable value hashes across engines)."""
     return F.round(c.cast("double"), digits)
+
+
+def time_literal(df, column: str, text: str) -> Column:
+    """A date-time literal typed like ``df[column]`` (TIMESTAMP_NTZ or TIMESTAMP), so comparisons never go through
+    the session time zone."""
+    return F.lit(text).cast(df.schema[column].dataType)

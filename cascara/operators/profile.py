@@ -60,7 +60,7 @@ def minmax_bounds(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float], buckets: int = 4096, final_limit: int = 50_000,
-                    max_rounds: int = 16) -> dict[tuple[str, float], float]:
+                    max_rounds: int = 16, stats: dict | None = None) -> dict[tuple[str, float], float]:
     """Exact quantiles with linear interpolation (``quantile_cont`` / Spark ``percentile``) per feature.
 
     ``long`` has columns ``feature`` and ``value`` (double); NULL and NaN are ignored. Distributed selection: each
@@ -71,9 +71,10 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], buckets: int = 4096
     before the shuffle. Only bucket counts (ranges × buckets) reach the driver.
     """
     data = long.where(F.col("value").isNotNull() & ~F.isnan("value")).select("feature", "value")
-    stats = {r["feature"]: (r["n"], r["lo"], r["hi"]) for r in
-             data.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
-                                         F.max("value").alias("hi")).collect()}
+    if stats is None:  # {feature: (n, lo, hi)} unless the caller already aggregated them
+        stats = {r["feature"]: (r["n"], r["lo"], r["hi"]) for r in
+                 data.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
+                                             F.max("value").alias("hi")).collect()}
     spark = long.sparkSession
     found: dict[tuple[str, int], float] = {}
     # open ranges: (feature, lo, hi) -> [rows in range, few distinct values?, {global rank: rank inside range}]
@@ -169,7 +170,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
         moments = {r["feature"]: r for r in long.groupBy("feature").agg(
             F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
             F.min("value").alias("min"), F.max("value").alias("max")).collect()}
-        q = exact_quantiles(long, probs)
+        q = exact_quantiles(long, probs, stats={f: (r["count"], r["min"], r["max"]) for f, r in moments.items()})
     finally:
         long.unpersist()
     names = [f"p{int(round(p * 100))}" for p in probs]
