@@ -147,14 +147,17 @@ def q_minmax_scale(spark, sf):
     return out.select("CustomerID", *[rounded(F.col(c)).alias(c) for c in _SCALE])
 
 
-def _feature_parts() -> tuple[str, list[str], list[str]]:
-    """(chain + enc CTEs, scaled expressions, names) of the feature pipeline in the oracle dialect."""
+def _feature_parts(fit_on_train: bool = False) -> tuple[str, list[str], list[str]]:
+    """(chain + enc CTEs, scaled expressions, names) of the feature pipeline in the oracle dialect; bounds from all
+    rows, or from the training rows of the md5 split only."""
     enc = [(c, f"CAST({c} AS DOUBLE)") for c in _FEATURE_NUMERIC] + _onehot_sql_cols()
-    inner = "SELECT CustomerID, Churn, " + ", ".join(f"{e} AS {_qi(n)}" for n, e in enc) + " FROM clean"
+    inner = ("SELECT CustomerID, Churn, substr(md5(substr(CustomerID, 2) || '42'), 1, 8) < '33333333' AS is_test, "
+             + ", ".join(f"{e} AS {_qi(n)}" for n, e in enc) + " FROM clean")
+    fit = "enc WHERE NOT is_test" if fit_on_train else "enc"
     exprs = []
     for n, _ in enc:
         q = _qi(n)
-        lo, hi = f"(SELECT min({q}) FROM enc)", f"(SELECT max({q}) FROM enc)"
+        lo, hi = f"(SELECT min({q}) FROM {fit})", f"(SELECT max({q}) FROM {fit})"
         exprs.append(f"(CASE WHEN {hi} = {lo} THEN 0.0 ELSE ({q} - {lo}) / ({hi} - {lo}) END)")
     return S.with_chain("").rstrip() + f",\nenc AS ({inner})\n", exprs, [n for n, _ in enc]
 
@@ -165,9 +168,9 @@ def _feature_sql() -> str:
         f"round({e}, 6) AS {_qi(n)}" for e, n in zip(exprs, names)) + " FROM enc"
 
 
-def churn_vectors_sql() -> str:
+def churn_vectors_sql(fit_on_train: bool = False) -> str:
     """``(vec_id, v, label)``: the scaled feature vector of every cleaned customer (key = the digits of its id)."""
-    ctes, exprs, _ = _feature_parts()
+    ctes, exprs, _ = _feature_parts(fit_on_train)
     return (ctes + "SELECT CAST(substr(CustomerID, 2) AS BIGINT) AS vec_id, list_value(" + ", ".join(exprs)
             + ") AS v, CAST(Churn AS BIGINT) AS label FROM enc")
 

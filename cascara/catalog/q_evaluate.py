@@ -173,3 +173,32 @@ def q_knn_grid_search_churn(spark, sf):
 def q_class_metrics_churn(spark, sf):
     """Test report of the best churn candidate (class 1 = churned)."""
     return _report_round(EV.class_report(churn_search(spark, sf).test_pairs))
+
+
+def _churn_train_fit_sql() -> str:
+    from cascara.catalog.q_encode import churn_vectors_sql
+
+    return K.search_sql(churn_vectors_sql(fit_on_train=True))
+
+
+def churn_search_fit_train(spark, sf):
+    from cascara.catalog.q_clean import cleaned
+    from cascara.plans.evaluate import feature_knn_search
+
+    return feature_knn_search(cleaned(spark, sf), key=F.substring("CustomerID", 2, 20), label="Churn",
+                              id_cols=["CustomerID", "Churn"], fit_on="train")
+
+
+@query("knn_grid_search_churn_fit_train", _churn_train_fit_sql() + "SELECT metric, n_neighbors, weights, "
+       "round(mean_score, 6) AS mean_score, rank_test_score FROM summ")
+def q_knn_grid_search_churn_fit_train(spark, sf):
+    """The churn search with encoder and scaler fitted on the training rows only (no test leakage)."""
+    r = churn_search_fit_train(spark, sf)
+    return r.summary.select("metric", "n_neighbors", "weights", rounded(F.col("mean_score")).alias("mean_score"),
+                            F.col("rank_test_score").cast("int").alias("rank_test_score"))
+
+
+@query("class_metrics_churn_fit_train", _churn_train_fit_sql() + ",\n" + K.class_report_sql("tpairs") + "\n"
+       + K.REPORT_SELECT)
+def q_class_metrics_churn_fit_train(spark, sf):
+    return _report_round(EV.class_report(churn_search_fit_train(spark, sf).test_pairs))

@@ -55,29 +55,28 @@ def string_index_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.withColumn("index", (F.row_number().over(w) - 1).cast("double"))
 
 
-def _guard_cardinality(distinct_long: DataFrame) -> None:
-    """Count the distinct values per column (one small aggregate) and refuse, before anything is collected, to
-    treat a column with more than ``MAX_CATEGORIES`` values as categorical."""
-    wide = [r for r in distinct_long.groupBy("column").agg(F.count(F.lit(1)).alias("k"))
-            .where(F.col("k") > MAX_CATEGORIES).collect()]
-    if wide:
+def _bounded_collect(distinct_long: DataFrame, n_columns: int, fields: Sequence[str]) -> list:
+    """Collect the distinct (column, value, ...) rows — at most ``MAX_CATEGORIES`` per column. The fetch itself is
+    bounded (``limit``), and exceeding the bound raises instead of cutting anything."""
+    cap = MAX_CATEGORIES * max(1, n_columns)
+    rows = distinct_long.select(*fields).limit(cap + 1).collect()
+    per: dict = {}
+    for r in rows:
+        per[r["column"]] = per.get(r["column"], 0) + 1
+    wide = {c: k for c, k in per.items() if k > MAX_CATEGORIES}
+    if wide or len(rows) > cap:
         raise ValueError(f"not categorical (> {MAX_CATEGORIES} values): "
-                         + ", ".join(f"{r['column']} ({r['k']})" for r in wide))
+                         + (", ".join(f"{c} ({k}+)" for c, k in wide.items()) or "too many values"))
+    return rows
 
 
 def _collect_labels(fitted: DataFrame, columns: Sequence[str], order: str) -> dict[str, list[str]]:
     fitted = fitted.where(F.col("column").isin(list(columns)))
-    _guard_cardinality(fitted)
-    rows = fitted.select("column", "value", order).collect()
+    rows = _bounded_collect(fitted, len(columns), ["column", "value", order])
     labels: dict[str, list[tuple]] = {c: [] for c in columns}
     for r in rows:
         labels[r["column"]].append((r[order], r["value"]))
-    out = {}
-    for c, pairs in labels.items():
-        if len(pairs) > MAX_CATEGORIES:
-            raise ValueError(f"column {c} has {len(pairs)} categories (> {MAX_CATEGORIES}); not a categorical column")
-        out[c] = [v for _, v in sorted(pairs)]
-    return out
+    return {c: [v for _, v in sorted(pairs)] for c, pairs in labels.items()}
 
 
 def _lookup(column: str, labels: Sequence[str]) -> Column:
@@ -167,16 +166,13 @@ def one_hot_fit(df: DataFrame, columns: Sequence[str]) -> OneHotModel:
     long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], list(columns),
                                                                                           "column", "value")
     distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    _guard_cardinality(distinct)
-    rows = distinct.select("column", "value").collect()
+    rows = _bounded_collect(distinct, len(columns), ["column", "value"])
     cats: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         cats[r["column"]].append(r["value"])
     out = {}
     for c in columns:
         vals = cats[c]
-        if len(vals) > MAX_CATEGORIES:
-            raise ValueError(f"column {c} has {len(vals)} categories (> {MAX_CATEGORIES})")
         out[c] = sorted(v for v in vals if v is not None) + ([None] if None in vals else [])
     return OneHotModel(out)
 
@@ -187,12 +183,9 @@ def one_hot_fit(df: DataFrame, columns: Sequence[str]) -> OneHotModel:
 
 def label_encoder(df: DataFrame, column: str) -> list:
     """Sorted distinct classes of a label column (NULL excluded)."""
-    distinct = df.where(F.col(column).isNotNull()).select(column).distinct()
-    _guard_cardinality(distinct.select(F.lit(column).alias("column")))
-    rows = distinct.collect()
-    classes = sorted(r[0] for r in rows)
-    if len(classes) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has {len(classes)} classes")
+    distinct = df.where(F.col(column).isNotNull()).select(F.lit(column).alias("column"), F.col(column).alias("value"))
+    rows = _bounded_collect(distinct.distinct(), 1, ["column", "value"])
+    classes = sorted(r["value"] for r in rows)
     return classes
 
 
@@ -262,18 +255,21 @@ class FeatureModel:
 
 
 def feature_fit(df: DataFrame, id_cols: Sequence[str]) -> FeatureModel:
-    """Fit the feature pipeline on ``df`` (two small aggregates: categories, then min/max of the encoded columns).
-
-    The input is persisted for the two fitting jobs and released afterwards."""
+    """Fit the feature pipeline on ``df``: one aggregate for the categories, one for the numeric min/max (the
+    bounds of the indicator columns follow from the category lists). The input is persisted for the two fitting
+    jobs and released afterwards."""
     from pyspark import StorageLevel
 
     strings, nums = model_columns(df, id_cols)
     cached = df.select(*strings, *nums).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         oh = one_hot_fit(cached, strings)
-        encoded = cached.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in nums], *[
-            e.alias(n) for n, e in oh.expressions().items()])
-        scaler = minmax_fit(encoded, list(nums) + oh.names())
+        numeric_bounds = minmax_fit(cached, list(nums)).bounds
     finally:
         cached.unpersist()
-    return FeatureModel(list(nums), oh, scaler)
+    # a fitted indicator column is 1 on some fitted row; it is 0 on some row unless its column has one category
+    bounds = dict(numeric_bounds)
+    for c, vals in oh.categories.items():
+        for name in OneHotModel({c: vals}).names():
+            bounds[name] = (1.0, 1.0) if len(vals) == 1 else (0.0, 1.0)
+    return FeatureModel(list(nums), oh, MinMaxModel(bounds))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cascara.operators import evaluate as EV
@@ -66,10 +66,14 @@ def knn_search(df: DataFrame, *, key: str, vec: str, label: str, ks: Sequence[in
                checkpoint: bool = True) -> SearchResult:
     base = df.select(F.col(key).cast("long").alias(key), F.col(vec).cast("array<double>").alias(vec),
                      F.col(label).cast("long").alias(label))
+    if checkpoint:
+        # the search reads its input many times (split, folds, counts, both neighbour passes, truth): write it
+        # once to the checkpoint folder, which also cuts the upstream lineage
+        scratch_root(df.sparkSession)
+        base = base.checkpoint(eager=True)
     split = EV.train_test_split(base, key, test_fraction, seed)
     train = EV.stratified_folds(split.where(~F.col("is_test")).drop("is_test"), key, label, n_folds, seed)
     if checkpoint:
-        scratch_root(df.sparkSession)
         train = train.checkpoint(eager=True)
     test = split.where(F.col("is_test")).drop("is_test")
     kmax = max(ks)
@@ -80,3 +84,22 @@ def knn_search(df: DataFrame, *, key: str, vec: str, label: str, ks: Sequence[in
     tn = EV.knn_neighbours(test, train, kmax, qkey=key, tkey=key, vec=vec, label=label, metrics=metrics,
                            block_rows=block_rows, counts=(test.count(), n_train))
     return SearchResult(split.select(key, label, "is_test"), train, test, cv, fold_scores, tn, ks, key, label)
+
+
+def feature_knn_search(df: DataFrame, *, key: Column, label: str, id_cols: Sequence[str], fit_on: str = "train",
+                       test_fraction: float = 0.2, seed: int | str = 42, **search_kw) -> SearchResult:
+    """Feature pipeline + k-NN search on a raw table: the row key (``key``, a long expression) decides the split,
+    the one-hot categories and min-max bounds are fitted on the training rows (``fit_on='train'``, no test
+    leakage) or on all rows (``fit_on='all'``, what the original job does), and every row is encoded with them."""
+    from cascara.operators.encode import feature_fit
+
+    keyed = df.withColumn("__key", key.cast("long"))
+    split = EV.train_test_split(keyed, "__key", test_fraction, seed)
+    fit_rows = split.where(~F.col("is_test")) if fit_on == "train" else split
+    if fit_on not in ("train", "all"):
+        raise ValueError(fit_on)
+    model = feature_fit(fit_rows, [*id_cols, "__key", "is_test"])
+    vectors = model.transform(split, keep=["__key", label], as_vector="__vec").select(
+        F.col("__key").alias("vec_id"), F.col("__vec").alias("vec"), F.col(label).cast("long").alias("label"))
+    return knn_search(vectors, key="vec_id", vec="vec", label="label", test_fraction=test_fraction, seed=seed,
+                      **search_kw)

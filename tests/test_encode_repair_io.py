@@ -154,3 +154,5 @@ def test_cardinality_guard_refuses_before_collecting(spark, monkeypatch):
         E.one_hot_fit(df, ["k"])
     with pytest.raises(ValueError, match="not categorical"):
         E.string_indexer(df, ["k"])
+    with pytest.raises(ValueError, match="not categorical"):
+        E.label_encoder(df, "k")
