@@ -171,3 +171,22 @@ def q_psi_lineitem(spark, sf):
 def q_histogram_lineitem(spark, sf):
     b, c = li_split(spark, sf)
     return _hist_round(DR.histogram(b, c, LI_NUM, 10, "share"))
+
+
+@query("drift_refresh_job", S.with_chain(
+    "SELECT 1 AS run, CAST(0 AS BIGINT) AS n_base, count(*) AS n_current, 1.0::DOUBLE AS total_psi, 0.2 AS threshold, "
+    "true AS refresh FROM clean UNION ALL SELECT 2, count(*), count(*), 0.0, 0.2, false FROM clean"))
+def q_drift_refresh_job(spark, sf):
+    """The refresh job twice over the same landing: no snapshot yet → score 1.0, publish; same data again → PSI 0,
+    keep the snapshot."""
+    from cascara.catalog.q_clean import raw
+    from cascara.plans.refresh import refresh_job
+    from cascara.session import scratch_path
+
+    snapshot = scratch_path(spark, "train-snapshot")
+    runs = []
+    for run in (1, 2):
+        d = refresh_job(spark, raw(spark, sf), scratch_path(spark, "cleaned"), snapshot, CATEGORICAL, NUMERIC)
+        runs.append(d.select(F.lit(run).alias("run"), "n_base", "n_current",
+                             rounded(F.col("total_psi")).alias("total_psi"), "threshold", "refresh"))
+    return runs[0].unionByName(runs[1])
