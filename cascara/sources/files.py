@@ -27,7 +27,7 @@ def require_path(spark: SparkSession, path: str) -> None:
         raise NoDataSourceError(f"source {path} does not exist")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
              mode: str = "PERMISSIVE", corrupt_column: str | None = None) -> DataFrame:
     """CSV with a declared schema; columns bind by position, the header line is skipped.
 
@@ -35,7 +35,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     """
     reader = spark.read.option("header", header).option("mode", mode)
     if corrupt_column:
-        schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+        if isinstance(schema, str):  # DDL text
+            schema = f"{schema}, `{corrupt_column}` string"
+        else:
+            schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     try:
         return reader.schema(schema).csv(path)

@@ -108,3 +108,10 @@ def test_hourly_psi_matches_long_form(spark):
         ee = np.array([e.get(k, 0.0) for k in cats])
         aa, ee = np.where(aa == 0, 1e-10, aa), np.where(ee == 0, 1e-10, ee)
         assert math.isclose(fast[h.to_pydatetime()], float(np.sum((aa - ee) * np.log(aa / ee))), rel_tol=1e-9)
+
+
+def test_describe_approx_close_to_exact(clean01):
+    exact = PR.describe_numeric(clean01, ["MonthlyCharges"]).first()
+    approx = PR.describe_numeric(clean01, ["MonthlyCharges"], approx_accuracy=10000).first()
+    assert approx["count"] == exact["count"] and approx["mean"] == exact["mean"]
+    assert abs(approx.p50 - exact.p50) < 1.0

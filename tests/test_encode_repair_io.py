@@ -156,3 +156,12 @@ def test_cardinality_guard_refuses_before_collecting(spark, monkeypatch):
         E.string_indexer(df, ["k"])
     with pytest.raises(ValueError, match="not categorical"):
         E.label_encoder(df, "k")
+
+
+def test_csv_corrupt_record_column_keeps_bad_lines(spark):
+    d = tempfile.mkdtemp(prefix="cascara-bad-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("a,n\nok,1\nbad,notanumber\n")
+    rows = {r.a: r for r in IO.read_csv(spark, d, "a string, n int", corrupt_column="_bad").collect()}
+    assert rows["ok"]._bad is None and rows["ok"].n == 1
+    assert rows["bad"].n is None and rows["bad"]._bad == "bad,notanumber"
