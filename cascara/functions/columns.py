@@ -54,11 +54,6 @@ def psi_term(actual: Column, expected: Column) -> Column:
     return (actual - expected) * F.ln(actual / expected)
 
 
-def hash_unit(key: ColumnLike, seed: int | str) -> Column:
-    """md5 of ``key || seed`` as hex: a repeatable pseudo-random order that does not depend on partitioning."""
-    return F.md5(F.concat(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"), F.lit(str(seed))))
-
-
 def rounded(c: Column, digits: int = 6) -> Column:
     """Double rounded to ``digits`` decimals (stable value hashes across engines)."""
     return F.round(c.cast("double"), digits)
