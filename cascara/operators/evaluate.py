@@ -167,7 +167,10 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
     ``exclude_same`` names a column present on both sides (e.g. the CV fold): pairs with equal values are not
     neighbours. ``counts`` = (query rows, train rows) if known; otherwise two counts are run to size the blocks.
     """
+    from cascara.session import ship_package
+
     spark = queries.sparkSession
+    ship_package(spark)  # the distance kernel runs in Python workers
     grp_q = [F.col(exclude_same).alias("grp")] if exclude_same else []
     grp_t = [F.col(exclude_same).alias("grp")] if exclude_same else []
     q = queries.select(F.col(qkey).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("vec"), *grp_q)

@@ -91,3 +91,10 @@ def test_knn_plan_uses_group_limit_and_no_cross_join(emb):
     assert "FlatMapCoGroupsInArrow" in plan or "FlatMapCoGroupsInPandas" in plan
     opt = n._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in opt or "WindowGroupLimit" in plan
+
+
+def test_package_is_shipped_to_python_workers(spark, emb):
+    from cascara.session import ship_package
+
+    ship_package(spark)
+    assert any("cascara-" in p and p.endswith(".zip") for p in spark.sparkContext._python_includes)
