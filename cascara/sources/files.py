@@ -63,7 +63,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, partitions: int | N
     """Write CSV files (overwrite). ``key`` puts all rows of one key value into one file."""
     out = df
     if key is not None:
-        out = out.repartition(partitions or out.rdd.getNumPartitions(), key)
+        out = out.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, key)
     elif partitions is not None:
         out = out.repartition(partitions)
     out.write.mode("overwrite").option("header", header).csv(path)
