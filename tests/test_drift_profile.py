@@ -115,3 +115,29 @@ def test_describe_approx_close_to_exact(clean01):
     approx = PR.describe_numeric(clean01, ["MonthlyCharges"], approx_accuracy=10000).first()
     assert approx["count"] == exact["count"] and approx["mean"] == exact["mean"]
     assert abs(approx.p50 - exact.p50) < 1.0
+
+
+def test_drift_between_snapshot_and_new_table(spark, clean01):
+    from cascara.session import scratch_path
+    from cascara.sources import files as IO
+
+    snap = scratch_path(spark, "t-drift-snap")
+    IO.publish_snapshot(clean01.where(F.col("Tenure") < 36), snap)
+    base = IO.read_snapshot(spark, snap)
+    cur = clean01.where(F.col("Tenure") >= 36)
+    via_snapshot = {r.feature: r.psi for r in DR.psi_features(base, cur, ["Contract"], ["MonthlyCharges"]).collect()}
+    direct = {r.feature: r.psi for r in DR.psi_features(
+        clean01.where(F.col("Tenure") < 36), cur, ["Contract"], ["MonthlyCharges"]).collect()}
+    assert via_snapshot.keys() == {"Contract", "MonthlyCharges"}
+    for k in direct:
+        assert math.isclose(via_snapshot[k], direct[k], rel_tol=1e-12)
+
+
+def test_side_by_side_one_row_frames(spark):
+    a = spark.createDataFrame([(3,)], "n_base long")
+    b = spark.createDataFrame([(5,)], "n_current long")
+    c = spark.createDataFrame([(0.25,)], "total_psi double")
+    row = DR.side_by_side(a, b, c).first()
+    assert (row.n_base, row.n_current, row.total_psi) == (3, 5, 0.25)
+    plan = DR.side_by_side(a, b, c)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "CartesianProduct" not in plan
