@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack
+from cascara.llm import bin_slack, html_paths, suffix_decon
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_paths.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words and items found in every document."""
+    return suffix_decon.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 1024 tokens."""
