@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, suffix_decon
+from cascara.llm import bin_slack, html_paths, substring_dedup, suffix_decon
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,6 +43,13 @@ def op2_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return suffix_decon.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_level_wise_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 20 words that repeat earlier ones, removed from every document."""
+    out = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 1024 tokens."""
