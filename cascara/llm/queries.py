@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, substring_dedup, suffix_decon
+from cascara.llm import bin_slack, html_paths, run_length_dedup, substring_dedup, suffix_decon
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,13 @@ def op3_level_wise_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by a 200-byte string that starts elsewhere too, removed."""
+    out = run_length_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 1024 tokens."""
