@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, run_length_dedup, substring_dedup, suffix_decon
+from cascara.llm import bin_slack, html_paths, ngram_join, run_length_dedup, substring_dedup, suffix_decon
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,12 @@ def op3_level_wise_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op6_vertical_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document under links of word 5-grams with a Jaccard similarity of 0.8 or more."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document covered by a 200-byte string that starts elsewhere too, removed."""
