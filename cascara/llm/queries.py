@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, ngram_join, run_length_dedup, substring_dedup, suffix_decon
+from cascara.llm import bin_slack, html_paths, ngram_join, reshard, run_length_dedup, substring_dedup, suffix_decon, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,13 @@ def op3_level_wise_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op5_min_cost_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents moved from 32 old shards to 40 of equal bytes."""
+    out = reshard.assign(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 @query
 def op6_vertical_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document under links of word 5-grams with a Jaccard similarity of 0.8 or more."""
@@ -67,3 +74,9 @@ def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 1024 tokens."""
     return bin_slack.packed(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query
+def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
