@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, ngram_join, reshard, run_length_dedup, substring_dedup, suffix_decon, toxicity
+from cascara.llm import bin_slack, html_paths, ngram_join, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,14 @@ def op3_level_wise_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op4_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    found = secrets.spans(table(spark, sf_dir, "documents"))
+    counts = [secrets.count_of(k).alias(f"n_{k}") for k in secrets.KINDS[:3]]
+    return found.select("doc_id", *counts, F.sha2(secrets.written("base"), 256).alias("base_sha256"), secrets.written("spans").alias("spans"))
+
+
 @query
 def op5_min_cost_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents moved from 32 old shards to 40 of equal bytes."""
