@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, ngram_join, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
+from cascara.llm import bin_slack, html_paths, ngram_join, nn_descent, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,6 +78,12 @@ def op7_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows, by inner product, of every embedding whose id is divisible by 20."""
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 1024 tokens."""
