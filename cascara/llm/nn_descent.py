@@ -7,8 +7,9 @@ rounds end when they change little. A cell that is too large (a dense cluster) i
 with the data. Inner product becomes a metric's order by one more coordinate that fills every vector up to the longest.
 Vectors travel to the groups in half precision; the search scores the original vectors in double precision.
 
-A search starts at the query's own node and expands the best unexpanded nodes of its beam, hop by hop, all queries at
-once, until a hop brings nothing nearer.
+A search starts at the query's own node and at a few fixed entries (the longest vectors, which inner products favour,
+and some others) and expands the best unexpanded nodes of its beam, hop by hop, all queries at once, until the k
+nearest found so far are all expanded.
 
 Defined cases: rows whose vector is null, zero, of another length than most, or has null or non-finite parts take no
 part, as queries or as candidates; rows that repeat an id and vector count once; fewer candidates than asked for are
@@ -35,6 +36,8 @@ CELL, TREES, GROUP = 640, 3, 128
 SETTLED, ROUNDS, HOPS = 0.01, 8, 12
 #: Beam of a search, nodes expanded per hop, queries of a search group.
 BEAM, EXPAND, QUERIES = 48, 8, 32
+#: Nodes of either kind where every search starts.
+ENTRIES = 128
 #: Rows that the hyperplanes' medians are taken from.
 SAMPLE = 4_000
 
@@ -178,10 +181,13 @@ def build(points: DataFrame, count: int, degree: int = DEGREE) -> DataFrame:
 BEAMS = "node long, cell long, beam array<long>, score array<double>, open array<boolean>, done boolean"
 
 
-def _hop(k: int):
+def _hop(k: int, entry_ids: np.ndarray, entry: np.ndarray):
     def work(queries: pa.Table, around: pa.Table) -> pa.Table:
         q = matrix(queries["embedding"], np.float64)
         ids, x = around["near"].to_numpy(), matrix(around["vector"], np.float64)
+        if len(entry_ids):
+            fresh = ~np.isin(entry_ids, ids)
+            ids, x = np.append(ids, entry_ids[fresh]), np.vstack([x, entry[fresh]]) if len(x) else entry[fresh]
         scores = q @ x.T if len(ids) else np.zeros((len(q), 0))
         rows = []
         for i, row in enumerate(queries.select(["node", "cell", "beam", "score", "open"]).to_pylist()):
@@ -193,11 +199,10 @@ def _hop(k: int):
                 state[b] = (state[b][0], False)
             take = min(BEAM, len(ids))
             best = np.argpartition(scores[i], len(ids) - take)[len(ids) - take :] if take else []
-            before = shut[: k + 1]
             for j in best:
                 state.setdefault(int(ids[j]), (float(scores[i, j]), True))
             beam = sorted(state, key=lambda b: (-state[b][0], b))[:BEAM]
-            done = bool(before) and beam[: k + 1] == before or not any(state[b][1] for b in beam)
+            done = not any(state[b][1] for b in beam[: k + 1])
             rows.append((row["node"], row["cell"], beam, [state[b][0] for b in beam], [state[b][1] for b in beam], done))
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.bool_()]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
@@ -213,6 +218,10 @@ def search(nodes: DataFrame, points: DataFrame, graph: DataFrame, asked: DataFra
     empty = [F.array().cast(f"array<{t}>").alias(n) for n, t in (("beam", "long"), ("score", "double"), ("open", "boolean"))]
     beams = stage(place.select("node", "cell", *empty, F.lit(False).alias("done")), "search-0")
     vectors = nodes.select("node", "embedding")
+    length = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
+    entries = nodes.orderBy(F.desc(length), "node").limit(ENTRIES).unionByName(nodes.orderBy(F.xxhash64("node")).limit(ENTRIES)).select("node", "embedding").collect()
+    entries = dict((r["node"], r["embedding"]) for r in entries)
+    entry_ids, entry = np.array(list(entries), np.int64), np.array(list(entries.values()), np.float64)
     finished = []
     for hop in range(HOPS):
         if hop == 0:
@@ -223,7 +232,7 @@ def search(nodes: DataFrame, points: DataFrame, graph: DataFrame, asked: DataFra
         around = at.join(graph.withColumnRenamed("node", "from"), "from", "left").select("cell", F.explode(F.concat(F.array("from"), F.coalesce("near", F.array().cast("array<long>")))).alias("near")).distinct()
         seen = around.join(vectors.withColumnRenamed("node", "near"), "near").select(F.col("cell").alias("group"), "near", F.col("embedding").alias("vector"))
         queries = beams.join(vectors, "node").select("cell", "node", "embedding", "beam", "score", "open")
-        beams = stage(queries.groupBy("cell").cogroup(seen.groupBy("group")).applyInArrow(_hop(k), BEAMS), f"search-{hop + 1}")
+        beams = stage(queries.groupBy("cell").cogroup(seen.groupBy("group")).applyInArrow(_hop(k, entry_ids[: 0 if hop else None], entry[: 0 if hop else None]), BEAMS), f"search-{hop + 1}")
         finished.append(beams.where("done").select("node", "beam", "score"))
         beams = beams.where("not done")
         if beams.isEmpty():

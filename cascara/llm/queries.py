@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascara.llm import bin_slack, html_paths, ngram_join, nn_descent, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
+from cascara.llm.sql import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def tokenizer_file() -> str:
