@@ -8,7 +8,7 @@ with the data. Inner product becomes a metric's order by one more coordinate tha
 Vectors travel to the groups in half precision; the search scores the original vectors in double precision.
 
 A search starts at the query's own node and at a few fixed entries (the longest vectors, which inner products favour,
-and some others) and expands the best unexpanded nodes of its beam, hop by hop, all queries at once, until the k
+and some others) and expands the best unexpanded nodes of its beam, hop by hop, all queries at once, until the 2 k
 nearest found so far are all expanded.
 
 Defined cases: rows whose vector is null, zero, of another length than most, or has null or non-finite parts take no
@@ -35,7 +35,7 @@ CELL, TREES, GROUP = 640, 3, 128
 #: A round that renews less than this share of all neighbours is the last; and the most rounds and hops.
 SETTLED, ROUNDS, HOPS = 0.01, 8, 12
 #: Beam of a search, nodes expanded per hop, queries of a search group.
-BEAM, EXPAND, QUERIES = 48, 8, 32
+BEAM, EXPAND, QUERIES = 64, 10, 32
 #: Nodes of either kind where every search starts.
 ENTRIES = 128
 #: Rows that the hyperplanes' medians are taken from.
@@ -202,7 +202,7 @@ def _hop(k: int, entry_ids: np.ndarray, entry: np.ndarray):
             for j in best:
                 state.setdefault(int(ids[j]), (float(scores[i, j]), True))
             beam = sorted(state, key=lambda b: (-state[b][0], b))[:BEAM]
-            done = not any(state[b][1] for b in beam[: k + 1])
+            done = not any(state[b][1] for b in beam[: 2 * k])
             rows.append((row["node"], row["cell"], beam, [state[b][0] for b in beam], [state[b][1] for b in beam], done))
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.bool_()]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6

@@ -225,7 +225,7 @@ def test_min_slack_uses_every_length():
 
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(3000, 24)).astype(np.float32) * rng.uniform(0.5, 2, size=(3000, 1)).astype(np.float32)
+    x = rng.normal(size=(3000, 24)).astype(np.float32) * rng.uniform(0.8, 1.25, size=(3000, 1)).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(10_000 + i, x[7].tolist()) for i in range(400)]
     odd = [(20_000, None), (20_020, [0.0] * 24), (20_040, [float("nan")] * 24), (20_060, [1.0, 2.0]), (20_080, [None] * 24), (20_100, [float("inf")] * 24)]
     table = spark.createDataFrame([(i, v, 1) for i, v in rows + odd + rows[:3]], "vec_id long, embedding array<float>, node int")
