@@ -16,13 +16,15 @@ from cascara.sources.churn import CHURN_SCHEMA
 from cascara.streaming import hourly as H
 from cascara.streaming.ingest import ingest_landing, read_sink
 
-LANDING_FILES = 8
+#: Fields that say which row of a landed file is which, for dealing rows out to files.
+_DEAL = ["customerID", "tenure", "MonthlyCharges", "gender"]
 
 
 def land(spark, sf, name="landing"):
-    """Write the raw churn rows as CSV files, all rows of one key in one file (as a producer would land them)."""
+    """Write the raw churn rows as CSV files, as many as the session shuffles into; the rows of one key lie in several
+    files."""
     path = scratch_path(spark, name)
-    IO.write_csv(raw(spark, sf), path, partitions=LANDING_FILES, key="customerID")
+    IO.write_csv(raw(spark, sf).repartition(*_DEAL), path)
     return path
 
 
@@ -83,7 +85,7 @@ def q_snapshot_publish(spark, sf):
 
 @query("stream_ingest", S.with_chain("SELECT * FROM clean"))
 def q_stream_ingest(spark, sf):
-    """Landing folder → streaming CSV source → cleaned per micro-batch → parquet; a second run adds nothing."""
+    """Landing folder → streaming CSV source → raw table → cleaned snapshot; a second run adds nothing."""
     landing = land(spark, sf)
     sink, ckpt, archive = (scratch_path(spark, n) for n in ("sink", "stream-ckpt", "archive"))
     for _ in range(2):
@@ -124,15 +126,15 @@ def _hour_text(c):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias("window_start")
 
 
-@query("psi_hourly_stream", _HOURLY_SQL
-       + "\nHAVING cl.window_start < (SELECT max(date_trunc('hour', ts)) FROM events) - INTERVAL 1 HOUR")
+@query("psi_hourly_stream", _HOURLY_SQL)
 def q_psi_hourly_stream(spark, sf):
     """The same through Structured Streaming: watermark + hourly windows, PSI per closed hour in foreachBatch.
-    With a one-hour watermark the two newest hours are still open and are emitted by a later run."""
+    The newest hours are still open when the stream ends; being bounded, it closes them at the end."""
     ev = table(spark, sf, "events")
     shares = H.baseline_shares(ev.where(F.col("ts") < time_literal(ev, "ts", BASELINE_END)), "event_type")
     src = scratch_path(spark, "events-src")
-    # land four time slices one after another, so file arrival order follows event time (four micro-batches)
+    sink, ckpt = scratch_path(spark, "hourly-sink"), scratch_path(spark, "hourly-ckpt")
+    # four time slices land one after another, and the job runs after each
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
     step = (hi - lo) / 4
     for i in range(4):
@@ -141,10 +143,9 @@ def q_psi_hourly_stream(spark, sf):
             cond = cond & (F.col("ts") >= F.lit(lo + step * i))
         if i < 3:
             cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)))
-        ev.where(cond).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    sink, ckpt = scratch_path(spark, "hourly-sink"), scratch_path(spark, "hourly-ckpt")
-    H.hourly_psi_stream(stream, shares, "ts", "event_type", sink, ckpt)
+        ev.where(cond).write.mode("append").parquet(src)
+        H.hourly_psi_stream(spark.readStream.schema(ev.schema).parquet(src), shares, "ts", "event_type", sink, ckpt)
+    H.close_open_hours(spark.read.schema(ev.schema).parquet(src), shares, "ts", "event_type", sink)
     ntz = str(ev.schema["ts"].dataType) == "TimestampNTZType()"
     start = F.col("window_start").cast("timestamp_ntz") if ntz else F.col("window_start")
     return spark.read.parquet(sink).select(

@@ -28,6 +28,38 @@ def q_value_counts_all(spark, sf):
     return PR.value_counts(cleaned(spark, sf), CHURN_CAT)
 
 
+@query("value_counts_ranked", S.with_chain(
+    f"SELECT *, row_number() OVER (PARTITION BY \"column\" ORDER BY n DESC, value) AS rank FROM ({_vc_sql('clean', CHURN_CAT)}) v"))
+def q_value_counts_ranked(spark, sf):
+    """Value counts per column in descending order, as a rank."""
+    return PR.value_counts_ranked(cleaned(spark, sf), CHURN_CAT)
+
+
+_RAW_NUM = ["MonthlyCharges", "TotalCharges"]
+
+
+@query("value_counts_nan", S.with_chain(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM raw "
+    f"WHERE {c} IS NOT NULL AND NOT isnan({c}) AND {c} = floor({c}) GROUP BY {c}" for c in _RAW_NUM)))
+def q_value_counts_nan(spark, sf):
+    """Value counts of the raw charges, which hold NaN: a missing value, not a category (whole amounts only, whose
+    text is the same in both engines)."""
+    from cascara.catalog.q_clean import raw
+
+    whole = raw(spark, sf).select(*[F.when((F.col(c) == F.floor(c)) | F.isnan(c), F.col(c)).alias(c) for c in _RAW_NUM])
+    return PR.value_counts(whole, _RAW_NUM)
+
+
+@query("minmax_bounds_nan", S.with_chain(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, min(CAST({c} AS DOUBLE)) FILTER (WHERE NOT isnan({c})) AS min, "
+    f"max(CAST({c} AS DOUBLE)) FILTER (WHERE NOT isnan({c})) AS max FROM raw" for c in _RAW_NUM)))
+def q_minmax_bounds_nan(spark, sf):
+    """Bounds of the raw charges: NaN is neither the least nor the greatest value."""
+    from cascara.catalog.q_clean import raw
+
+    return PR.minmax_bounds(raw(spark, sf), _RAW_NUM)
+
+
 @query("value_counts_orders", _vc_sql("orders", ORDERS_CAT))
 def q_value_counts_orders(spark, sf):
     return PR.value_counts(table(spark, sf, "orders"), ORDERS_CAT)

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 
 def _long(rel: str, features: Sequence[str], tag: int, cast: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, CAST({f} AS {cast}) AS value, {tag} AS is_base FROM {rel} WHERE {f} IS NOT NULL"
-        for f in features)
+        f"SELECT '{f}' AS feature, CAST({f} AS {cast}) AS value, {tag} AS is_base FROM {rel} "
+        f"WHERE {f} IS NOT NULL AND CAST({f} AS VARCHAR) <> 'nan'" for f in features)
 
 
 def counts_ctes(base: str, cur: str, features: Sequence[str]) -> str:
@@ -31,16 +31,20 @@ def hist_ctes(base: str, cur: str, features: Sequence[str], bins: int = 10, norm
         ea = f"{nd(nd('n_base', 'tb'), 'width')} AS e, {nd(nd('n_cur', 'tc'), 'width')} AS a"
     else:
         ea = "CAST(n_base AS DOUBLE) AS e, CAST(n_cur AS DOUBLE) AS a"
-    return f"""edg AS (SELECT feature, lo, hi, (hi - lo) / {bins} AS width FROM ({edges}) x),
+    # Edges are evaluated numbers, one row each (edge i = i * step + lo, the last one hi); a value's bin is the number of
+    # inner edges that it reaches.
+    return f"""edg AS (SELECT feature, lo, hi FROM ({edges}) x),
+eds AS (SELECT feature, lo, hi, CAST(i AS INTEGER) AS i, CASE WHEN i = {bins} THEN hi ELSE i * ((hi - lo) / {bins}) + lo END AS edge
+  FROM edg, range(0, {bins + 1}) r(i)),
+inn AS (SELECT feature, lo, hi, list(edge) FILTER (WHERE i BETWEEN 1 AND {bins - 1}) AS inner_edges FROM eds GROUP BY feature, lo, hi),
 tl AS ({_long(base, features, 1, 'DOUBLE')} UNION ALL {_long(cur, features, 0, 'DOUBLE')}),
-bnd AS (SELECT tl.feature, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) * {bins} / (hi - lo)), {bins - 1}) END AS INTEGER) AS bin,
-  is_base FROM tl JOIN edg USING (feature) WHERE NOT isnan(value) AND value BETWEEN lo AND hi),
+bnd AS (SELECT tl.feature, CAST(len(list_filter(inner_edges, lambda x: x <= value)) AS INTEGER) AS bin, is_base
+  FROM tl JOIN inn USING (feature) WHERE NOT isnan(value) AND value BETWEEN lo AND hi),
 bc AS (SELECT feature, bin, CAST(sum(is_base) AS BIGINT) AS n_base, CAST(sum(1 - is_base) AS BIGINT) AS n_cur
   FROM bnd GROUP BY feature, bin),
-grd AS (SELECT feature, lo, width, CAST(unnest(range(0, {bins})) AS INTEGER) AS bin FROM edg),
-full_h AS (SELECT grd.feature, grd.bin, lo + grd.bin * width AS lo_edge, lo + (grd.bin + 1) * width AS hi_edge,
-  coalesce(n_base, 0) AS n_base, coalesce(n_cur, 0) AS n_cur, width
-  FROM grd LEFT JOIN bc ON grd.feature = bc.feature AND grd.bin = bc.bin),
+grd AS (SELECT x.feature, x.i AS bin, x.edge AS lo_edge, y.edge AS hi_edge FROM eds x JOIN eds y ON x.feature = y.feature AND y.i = x.i + 1),
+full_h AS (SELECT grd.feature, grd.bin, lo_edge, hi_edge, coalesce(n_base, 0) AS n_base, coalesce(n_cur, 0) AS n_cur,
+  hi_edge - lo_edge AS width FROM grd LEFT JOIN bc ON grd.feature = bc.feature AND grd.bin = bc.bin),
 htot AS (SELECT feature, sum(n_base) AS tb, sum(n_cur) AS tc FROM full_h GROUP BY feature),
 hs AS (SELECT full_h.feature, bin, lo_edge, hi_edge, n_base, n_cur, {ea} FROM full_h JOIN htot USING (feature))"""
 

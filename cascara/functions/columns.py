@@ -15,6 +15,17 @@ def as_column(c: ColumnLike) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has (dots, quotes, backticks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def without_nan(df, name: str) -> Column:
+    """A column with NaN as NULL, as pandas treats it; columns that cannot hold NaN unchanged."""
+    c = quoted(name)
+    return F.when(~F.isnan(c), c) if df.schema[name].dataType.typeName() in ("float", "double") else c
+
+
 def not_true(predicate: ColumnLike) -> Column:
     """Rows where the predicate is FALSE or NULL: what ``df.subtract(df.where(p))`` keeps."""
     return ~F.coalesce(as_column(predicate), F.lit(False))

@@ -12,9 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cascara.functions.columns import any_of, fill_when_parent, is_true, not_true, recode_bool
+from cascara.functions.columns import fill_when_parent, is_true, not_true, recode_bool
 
 
 @dataclass(frozen=True)
@@ -29,12 +28,12 @@ class Rule:
 
 
 def _q(name: str) -> str:
-    return f"`{name}`"
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _lit(v) -> str:
     if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
     return repr(v)
 
 
@@ -179,18 +178,3 @@ def _all(cols: Sequence[Column]) -> Column:
 def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """EXCEPT DISTINCT with null-safe row equality (``df.subtract``): a left-anti join on all columns."""
     return left.subtract(right)
-
-
-def schema_matches(df: DataFrame, schema: T.StructType) -> bool:
-    """True when ``df`` has the declared names and types (nullability ignored)."""
-    got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in schema.fields]
-    return got == want
-
-
-__all__ = [
-    "Rule", "dependency_rule", "domain_rule", "required_if_rule", "required_unless_rule", "range_rule",
-    "rename_columns", "distinct_rows", "dedup_by_key", "dedup_by_key_any", "drop_missing", "reject",
-    "reject_by_subtract", "flagged", "fill_dependent", "recode_booleans", "rule_report", "except_rows",
-    "any_of", "schema_matches",
-]

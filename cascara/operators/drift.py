@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascara.functions.columns import clamp_zero, psi_term
+from cascara.functions.columns import clamp_zero, psi_term, quoted, without_nan
 
 EPS = 1e-10
 DEFAULT_THRESHOLD = 0.2
@@ -39,7 +39,7 @@ def baseline_edges(base: DataFrame, features: Sequence[str]) -> dict[str, tuple[
     value are left out."""
     aggs = []
     for i, f in enumerate(features):
-        x = F.col(f"`{f}`").cast("double")
+        x = quoted(f).cast("double")
         ok = F.when(~F.isnan(x), x)
         aggs += [F.min(ok).alias(f"lo{i}"), F.max(ok).alias(f"hi{i}")]
     row = base.agg(*aggs).first()
@@ -51,22 +51,25 @@ def baseline_edges(base: DataFrame, features: Sequence[str]) -> dict[str, tuple[
     return out
 
 
+def bin_edges(lo: float, hi: float, bins: int) -> list[float]:
+    """The ``bins + 1`` edges of equal-width bins as evaluated numbers: lo + i · step, and hi itself as the last."""
+    step = (hi - lo) / bins
+    return [i * step + lo for i in range(bins)] + [hi]
+
+
 def bin_of(x: Column, lo: float, hi: float, bins: int) -> Column:
-    """Half-open equal-width bins on [lo, hi], the last one closed: least(floor((x − lo)·b / (hi − lo)), b − 1);
-    NULL outside the range. A constant baseline (hi = lo) has one bin, 0."""
-    inside = x.between(F.lit(lo), F.lit(hi)) & ~F.isnan(x)
-    if hi == lo:
-        b = F.lit(0)
-    else:
-        b = F.least(F.floor((x - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo)), F.lit(bins - 1))
-    return F.when(inside, b.cast("int"))
+    """The bin of x by comparison with the evaluated edges: half-open bins, the last one closed; NULL outside [lo, hi]
+    and for NaN. On a constant baseline (hi = lo) every edge is that value, and the last, closed bin holds it."""
+    passed = F.lit(0)
+    for e in bin_edges(lo, hi, bins)[1:-1]:
+        passed = passed + (x >= F.lit(e)).cast("int")
+    return F.when(x.between(F.lit(lo), F.lit(hi)) & ~F.isnan(x), passed)
 
 
-def _lookup(mapping: Mapping[str, float], key: Column) -> Column:
-    if not mapping:
-        return F.lit(None).cast("double")
-    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(float(v)))])
-    return F.element_at(m, key)
+def _edge_frame(df: DataFrame, edges: Edges, bins: int) -> DataFrame:
+    """``(feature, key, lo_edge, hi_edge)``: one row per bin of every binned feature (bounded by features × bins)."""
+    rows = [(f, str(i), e[i], e[i + 1]) for f, (lo, hi) in edges.items() for e in [bin_edges(lo, hi, bins)] for i in range(bins)]
+    return df.sparkSession.createDataFrame(rows, "feature string, key string, lo_edge double, hi_edge double")
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -74,11 +77,12 @@ def _lookup(mapping: Mapping[str, float], key: Column) -> Column:
 
 
 def _keys(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], edges: Edges, bins: int) -> DataFrame:
-    """``(feature, key)`` per row and feature: the category as text, or the bin number of a numeric feature."""
-    cols = {c: F.col(f"`{c}`").cast("string") for c in categorical}
+    """``(feature, key)`` per row and feature: the category as text (NaN is a missing value, not a category), or the
+    bin number of a numeric feature."""
+    cols = {c: without_nan(df, c).cast("string") for c in categorical}
     for f in numeric:
         if f in edges:
-            cols[f] = bin_of(F.col(f"`{f}`").cast("double"), *edges[f], bins).cast("string")
+            cols[f] = bin_of(quoted(f).cast("double"), *edges[f], bins).cast("string")
     if not cols:
         raise ValueError("no feature to compare")
     slim = df.select(*[e.alias(n) for n, e in cols.items()])
@@ -91,7 +95,7 @@ def tagged_counts(base: DataFrame, cur: DataFrame, categorical: Sequence[str], n
     edges = edges if edges is not None else (baseline_edges(base, numeric) if numeric else {})
     rows = (_keys(base, categorical, numeric, edges, bins).withColumn("side", F.lit(1))
             .unionByName(_keys(cur, categorical, numeric, edges, bins).withColumn("side", F.lit(0))))
-    grid_rows = [(f, str(i)) for f in numeric if f in edges for i in range(1 if edges[f][0] == edges[f][1] else bins)]
+    grid_rows = [(f, str(i)) for f in numeric if f in edges for i in range(bins)]
     if grid_rows:
         grid = base.sparkSession.createDataFrame(grid_rows, "feature string, key string")
         rows = rows.unionByName(grid.withColumn("side", F.lit(None).cast("int")))
@@ -151,10 +155,8 @@ def histogram(base: DataFrame, cur: DataFrame, features: Sequence[str], bins: in
     """
     edges = edges if edges is not None else baseline_edges(base, features)
     counts = tagged_counts(base, cur, [], features, edges, bins).withColumn("bin", F.col("key").cast("int"))
-    lo = _lookup({f: e[0] for f, e in edges.items()}, F.col("feature"))
-    width = _lookup({f: (e[1] - e[0]) / bins for f, e in edges.items()}, F.col("feature"))
-    placed = counts.select("feature", "bin", (lo + F.col("bin") * width).alias("lo_edge"),
-                           (lo + (F.col("bin") + 1) * width).alias("hi_edge"), "n_base", "n_cur", width.alias("width"))
+    placed = counts.join(F.broadcast(_edge_frame(counts, edges, bins)), ["feature", "key"]).select(
+        "feature", "bin", "lo_edge", "hi_edge", "n_base", "n_cur", (F.col("hi_edge") - F.col("lo_edge")).alias("width"))
     if normalise == "count":
         return placed.select("feature", "bin", "lo_edge", "hi_edge", "n_base", "n_cur",
                              F.col("n_base").cast("double").alias("e"), F.col("n_cur").cast("double").alias("a"))
@@ -182,11 +184,13 @@ def psi_features(base: DataFrame, cur: DataFrame, categorical: Sequence[str], nu
     if mode not in ("share", "density"):
         raise ValueError(f"unknown mode {mode!r}")
     edges = baseline_edges(base, numeric)
-    shares = _with_shares(tagged_counts(base, cur, categorical, numeric, edges, bins), ["feature", "key"])
-    if mode == "density":
-        width = _lookup({f: (e[1] - e[0]) / bins for f, e in edges.items()}, F.col("feature"))
-        shares = shares.withColumn("e", F.when(width.isNull(), F.col("e")).otherwise(nan_divide(F.col("e"), width)))
-        shares = shares.withColumn("a", F.when(width.isNull(), F.col("a")).otherwise(nan_divide(F.col("a"), width)))
+    counts = tagged_counts(base, cur, categorical, numeric, edges, bins)
+    if mode == "share" or not edges:
+        return _psi(_with_shares(counts, ["feature", "key"]))
+    placed = counts.join(F.broadcast(_edge_frame(counts, edges, bins)), ["feature", "key"], "left")
+    shares = _with_shares(placed.withColumn("width", F.col("hi_edge") - F.col("lo_edge")), ["feature", "key", "width"])
+    for side in ("e", "a"):
+        shares = shares.withColumn(side, F.when(F.col("width").isNull(), F.col(side)).otherwise(nan_divide(F.col(side), F.col("width"))))
     return _psi(shares)
 
 
@@ -221,10 +225,9 @@ def drift_score(base: DataFrame | None, cur: DataFrame, categorical: Sequence[st
     if base is None:
         one = n_cur.select(F.lit(0).cast("long").alias("n_base"), "n_current", F.lit(1.0).alias("total_psi"))
         return drift_gate(one, threshold)
+    if base.isEmpty():  # an empty snapshot has no distribution to compare with
+        return drift_score(None, cur, categorical, numeric, mode, bins, threshold)
     n_base = base.agg(F.count(F.lit(1)).alias("n_base"))
-    if n_base.first()["n_base"] == 0:  # an empty snapshot has no distribution to compare with
-        one = n_cur.select(F.lit(0).cast("long").alias("n_base"), "n_current", F.lit(1.0).alias("total_psi"))
-        return drift_gate(one, threshold)
     tot = psi_total(psi_features(base, cur, categorical, numeric, mode, bins)).select("total_psi")
     one = side_by_side(n_base, n_cur, tot).select("n_base", "n_current", "total_psi")
     return drift_gate(one, threshold)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cascara.functions.columns import without_nan
 from cascara.operators.profile import NUMERIC_TYPES, value_counts
 
 MAX_CATEGORIES = 10_000
@@ -215,10 +216,10 @@ class MinMaxModel:
 
 
 def minmax_fit(df: DataFrame, columns: Sequence[str]) -> MinMaxModel:
-    """Min and max of every column in ONE aggregate (one row collected)."""
+    """Min and max of every column in ONE aggregate (one row collected); NULL and NaN are ignored."""
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(f"`{c}`").cast("double")
+        x = without_nan(df, c).cast("double")
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     r = df.agg(*aggs).collect()[0]
     return MinMaxModel({c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(columns)})

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cascara.functions.columns import quoted
 from cascara.operators.reshape import to_long
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -36,6 +37,19 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None, dropna: bo
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def value_counts_ranked(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``(column, value, n, rank)``: value counts in the order of display, most frequent first and ties by value, as a
+    rank from 1 within each column. Equal counts share few distinct numbers: the rank is the number of values with a
+    larger count (a table of counts, not of values) plus the place among equal counts."""
+    counts = value_counts(df, columns)
+    levels = counts.groupBy("column", "n").agg(F.count(F.lit(1)).alias("m"))
+    ahead = Window.partitionBy("column").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.select("column", "n", F.coalesce(F.sum("m").over(ahead), F.lit(0)).alias("ahead"))
+    place = F.row_number().over(Window.partitionBy("column", "n").orderBy("value"))
+    return counts.withColumn("place", place).join(levels, ["column", "n"]).select(
+        "column", "value", "n", (F.col("ahead") + F.col("place")).cast("long").alias("rank"))
+
+
 def value_shares(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, value, n, share)``: relative frequency, NULLs excluded from counts and denominator.
 
@@ -60,32 +74,42 @@ def minmax_bounds(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float], buckets: int = 4096, final_limit: int = 50_000,
-                    max_rounds: int = 16, stats: dict | None = None) -> dict[tuple[str, float], float]:
+                    max_rounds: int = 16) -> dict[tuple[str, float], float]:
     """Exact quantiles with linear interpolation (``quantile_cont`` / Spark ``percentile``) per feature.
 
-    ``long`` has columns ``feature`` and ``value`` (double); NULL and NaN are ignored. Distributed selection: each
+    ``long`` has columns ``feature`` and ``value`` (double); NULL and NaN are ignored, infinities are counted apart
+    (they would make a search range endless). Distributed selection: each
     round counts rows per equal-width bucket of every open search range (one aggregate, map-side combined; the
     wanted ranks that share a range share its counts), the driver picks the bucket holding each wanted rank and the
     range narrows to it. A range with at most ``final_limit`` rows — or few distinct values — is finished by a
     grouped count of its distinct values and a running sum; a value repeated a billion times collapses to one row
     before the shuffle. Only bucket counts (ranges × buckets) reach the driver.
     """
-    data = long.where(F.col("value").isNotNull() & ~F.isnan("value")).select("feature", "value")
-    if stats is None:  # {feature: (n, lo, hi)} unless the caller already aggregated them
-        stats = {r["feature"]: (r["n"], r["lo"], r["hi"]) for r in
-                 data.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
-                                             F.max("value").alias("hi")).collect()}
+    usable = long.where(F.col("value").isNotNull() & ~F.isnan("value")).select("feature", "value")
+    data = usable.where(F.abs("value") < float("inf"))
+    # {feature: (all rows, -inf rows, finite rows, least and greatest finite value)}
+    x = F.col("value")
+    finite = F.when(F.abs(x) < float("inf"), x)
+    stats = {r["feature"]: (r["n"], r["below"], r["finite"], r["lo"], r["hi"]) for r in usable.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(x == float("-inf")).alias("below"), F.count(finite).alias("finite"),
+        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()}
     spark = long.sparkSession
     found: dict[tuple[str, int], float] = {}
     # open ranges: (feature, lo, hi) -> [rows in range, few distinct values?, {global rank: rank inside range}]
     ranges: dict[tuple, list] = {}
-    for feat, (n, lo, hi) in stats.items():
+    for feat, (n, below, inside, lo, hi) in stats.items():
         wants = {}
         for p in probs:
             r0 = int(math.floor((n - 1) * p))
             for r in (r0, min(r0 + 1, n - 1)):
-                wants[r] = r
-        ranges[(feat, lo, hi)] = [n, False, wants]
+                if r < below:
+                    found[(feat, r)] = float("-inf")
+                elif r >= below + inside:
+                    found[(feat, r)] = float("inf")
+                else:
+                    wants[r] = r - below
+        if wants:
+            ranges[(feat, lo, hi)] = [inside, False, wants]
     for rnd in range(max_rounds + 1):
         if not ranges:
             break
@@ -124,13 +148,13 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], buckets: int = 4096
                 entry[2][g] = local - before
         ranges = nxt
     out = {}
-    for feat, (n, _, _) in stats.items():
+    for feat, (n, *_) in stats.items():
         for p in probs:
             pos = (n - 1) * p
             r0 = int(math.floor(pos))
             r1 = min(r0 + 1, n - 1)
             v0, v1 = found[(feat, r0)], found[(feat, r1)]
-            out[(feat, p)] = v0 + (pos - r0) * (v1 - v0)
+            out[(feat, p)] = v0 if v0 == v1 else v0 + (pos - r0) * (v1 - v0)
     return out
 
 
@@ -157,31 +181,26 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                      probs: Sequence[float] = (0.25, 0.5, 0.75), approx_accuracy: int | None = None) -> DataFrame:
     """pandas-style ``describe``: ``(feature, count, mean, std, min, p25, p50, p75, max)`` per numeric column.
 
-    Moments come from one aggregate over the long form; the quantiles are exact (see ``exact_quantiles``). The long
-    form is persisted while the few summary jobs run (so an expensive upstream plan is evaluated once) and released
-    afterwards; the result is one small row per feature. ``approx_accuracy`` switches the quartiles to
-    ``percentile_approx`` (one pass, data values instead of interpolated ones, rank error ≤ n / accuracy).
+    Moments come from one aggregate over the long form; the quantiles are exact (see ``exact_quantiles``). Nothing is
+    cached: pass a written table if its plan is expensive. The result is one small row per column; a column without
+    any value has count 0 and NULLs. ``approx_accuracy`` switches the quartiles to ``percentile_approx`` (one pass,
+    data values instead of interpolated ones, rank error ≤ n / accuracy).
     """
-    from pyspark import StorageLevel
-
     cols = list(columns or numeric_columns(df))
     long = to_long(df, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    long = long.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        moments = {r["feature"]: r for r in long.groupBy("feature").agg(
-            F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"), F.max("value").alias("max")).collect()}
-        if approx_accuracy:
-            q = {(r["feature"], p): v for r in long.groupBy("feature").agg(
-                F.percentile_approx("value", list(probs), approx_accuracy).alias("q")).collect()
-                 for p, v in zip(probs, r["q"])}
-        else:
-            q = exact_quantiles(long, probs, stats={f: (r["count"], r["min"], r["max"]) for f, r in moments.items()})
-    finally:
-        long.unpersist()
+    moments = {r["feature"]: r for r in long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max")).collect()}
+    if approx_accuracy:
+        q = {(r["feature"], p): v for r in long.groupBy("feature").agg(
+            F.percentile_approx("value", list(probs), approx_accuracy).alias("q")).collect()
+             for p, v in zip(probs, r["q"])}
+    else:
+        q = exact_quantiles(long, probs)
     names = [f"p{int(round(p * 100))}" for p in probs]
-    rows = [(f, moments[f]["count"], moments[f]["mean"], moments[f]["std"], moments[f]["min"],
-             *[float(q[(f, p)]) for p in probs], moments[f]["max"]) for f in cols if f in moments]
+    none = (0, *[None] * (len(probs) + 4))
+    rows = [(f, *((m["count"], m["mean"], m["std"], m["min"], *[float(q[(f, p)]) for p in probs], m["max"])
+                  if (m := moments.get(f)) else none)) for f in cols]
     schema = ("feature string, count long, mean double, std double, min double, "
               + ", ".join(f"{n} double" for n in names) + ", max double")
     return df.sparkSession.createDataFrame(rows, schema)
@@ -195,11 +214,11 @@ def schema_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
+        c = quoted(f.name)
         aggs.append(F.count_if(c.isNull()).alias(f"__null{i}"))
         aggs.append((F.approx_count_distinct(c) if approx else F.countDistinct(c)).alias(f"__nd{i}"))
     one = df.agg(*aggs)
-    parts = ", ".join(
-        f"{i}, '{f.name}', '{f.dataType.simpleString()}', __null{i}, __nd{i}" for i, f in enumerate(fields))
-    return one.selectExpr("__n AS n_rows", f"stack({len(fields)}, {parts}) AS (position, column, type, n_null, n_distinct)") \
-        .select("position", "column", "type", "n_rows", "n_null", "n_distinct")
+    each = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+                     F.col("__n").alias("n_rows"), F.col(f"__null{i}").alias("n_null"), F.col(f"__nd{i}").alias("n_distinct"))
+            for i, f in enumerate(fields)]
+    return one.select(F.inline(F.array(*each)))

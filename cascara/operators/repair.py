@@ -3,8 +3,8 @@ else by NULL; NULL stays NULL.
 
 No per-row Python: the distinct (column, value) pairs are scored against the column's vocabulary with native
 expressions (a handful of rows per distinct value), the best word per value is picked by an aggregate, and the
-resulting value map is joined back to the table, one left join per column. The map has one row per distinct
-value; it is checkpointed and broadcast only when its counted size is under ``broadcast_rows``.
+resulting value map is joined back to the table, one left join per column. The map has one row per distinct value and is
+checkpointed; adaptive execution picks the join by its size in bytes and splits skewed keys.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from cascara.functions.text import SCORERS
 from cascara.operators.reshape import to_long
 from cascara.session import scratch_root
 
-BROADCAST_ROWS = 1_000_000
-
 
 def vocabulary_frame(spark, vocab: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(column, pos, choice)``: the allowed words per column, in their given order."""
@@ -51,11 +49,9 @@ def fuzzy_repair(df: DataFrame, vocab: Mapping[str, Sequence[str]], scorer: str
     if checkpoint:
         scratch_root(df.sparkSession)
         mapping = mapping.checkpoint(eager=True)
-    small = mapping.count() <= BROADCAST_ROWS
     out = df
     for c in vocab:
         m = mapping.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("fixed").alias("__fix"))
-        m = F.broadcast(m) if small else m
         out = (out.join(m, out[c] == m["__v"], "left")
                .withColumn(c, F.col("__fix")).drop("__v", "__fix"))
     return out.select(*df.columns)

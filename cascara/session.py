@@ -36,7 +36,7 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the session's checkpoint dir.
 
     Read from the running context first, then from ``spark.checkpoint.dir``; set a local one only when
-    neither is present (local mode, tests).
+    neither is present and the master is local (tests). On a cluster a missing folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,8 +45,10 @@ def scratch_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local[") or sc.master == "local":
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cascara-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return sc.getCheckpointDir().rstrip("/")
 
 

@@ -60,10 +60,11 @@ def read_csv_inferred(spark: SparkSession, path: str, header: bool = True) -> Da
 
 def write_csv(df: DataFrame, path: str, header: bool = True, partitions: int | None = None,
               key: str | None = None) -> str:
-    """Write CSV files (overwrite). ``key`` puts all rows of one key value into one file."""
+    """Write CSV files (overwrite), one per partition of ``df`` unless ``partitions`` says otherwise. ``key`` puts all
+    rows of one key value into one file."""
     out = df
     if key is not None:
-        out = out.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, key)
+        out = out.repartition(*([partitions] if partitions else []), key)
     elif partitions is not None:
         out = out.repartition(partitions)
     out.write.mode("overwrite").option("header", header).csv(path)
@@ -99,30 +100,49 @@ def first_file(spark: SparkSession, path: str, min_bytes: int = 1) -> DataFrame:
     return list_files(spark, path, min_bytes).orderBy("path").limit(1)
 
 
+_POINTER = "CURRENT"
+
+
 def publish_snapshot(df: DataFrame, target: str) -> str:
-    """Replace the snapshot at ``target`` with ``df``.
+    """Make ``df`` the snapshot at ``target``.
 
-    The new data is written to a fresh staging folder first (so ``df`` may itself read the old snapshot), then the
-    old folder is removed and the staging folder renamed into place — a rename on HDFS, a copy on object stores.
+    Each version has a folder of its own below ``target`` (so ``df`` may itself read the old one), and a one-line file
+    names the current one. The switch is an atomic rename of that file; the old version is removed after it. A
+    failure before the switch leaves the old snapshot in place, never an empty path.
     """
     spark = df.sparkSession
-    staging = f"{target.rstrip('/')}-staging-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(staging)
+    target = target.rstrip("/")
+    version = f"version-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(f"{target}/{version}")
+    old = _current(spark, target)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    tpath = jvm.org.apache.hadoop.fs.Path(target)
-    fs = tpath.getFileSystem(conf)
-    if fs.exists(tpath):
-        fs.delete(tpath, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), tpath):
-        raise RuntimeError(f"could not move {staging} to {target}")
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(conf)
+    fresh = path(f"{target}/.{version}")
+    out = fs.create(fresh, True)
+    try:
+        out.write(bytearray(version, "ascii"))
+    finally:
+        out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fresh, path(f"{target}/{_POINTER}"), overwrite)
+    if old:
+        fs.delete(path(f"{target}/{old}"), True)
     return target
 
 
-def read_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
-    """The current snapshot, or None when none was published yet."""
+def _current(spark: SparkSession, target: str) -> str | None:
+    """Name of the current version below ``target``, or None."""
     try:
-        require_path(spark, target)
+        require_path(spark, f"{target}/{_POINTER}")
     except NoDataSourceError:
         return None
-    return spark.read.parquet(target)
+    return spark.read.text(f"{target}/{_POINTER}").first()["value"]
+
+
+def read_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
+    """The current snapshot, or None when none was published yet."""
+    version = _current(spark, target.rstrip("/"))
+    return spark.read.parquet(f"{target.rstrip('/')}/{version}") if version else None

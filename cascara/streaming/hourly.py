@@ -5,13 +5,14 @@ PSI per hour without an hours × categories product: with ``K = Σ_c term(ε, e_
     psi(h) = Σ_{c seen in h} term(a_hc, e'_c)  +  K  −  Σ_{c seen in h and in the baseline} term(ε, e_c)
 
 where ``e'_c`` is the baseline share, or ε for a category the baseline never saw. Only (hour, category) counts
-that exist are touched; the baseline shares are one row per category (broadcast).
+that exist are touched.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cascara.operators.drift import EPS
 
@@ -36,20 +37,19 @@ def hourly_counts(events: DataFrame, ts: str, column: str, width: str = "1 hour"
 
 
 def psi_by_window(counts: DataFrame, shares: DataFrame) -> DataFrame:
-    """``(window_start, n, psi)`` from per-window category counts and baseline shares."""
+    """``(window_start, n, psi)`` from per-window category counts and baseline shares. With n the window's total, every
+    term (a − e)·ln(a/e), a = c/n, splits into sums over the window's categories that need no total beforehand:
+    Σ c·(ln c − ln e)/n − ln n·Σ c/n − Σ e·(ln c − ln e) + ln n·Σ e, so one grouped pass does."""
     k_total = shares.agg(F.sum(_term(F.lit(EPS), F.col("e")))).first()[0] or 0.0  # one number per baseline
-    tot = counts.groupBy("window_start").agg(F.sum("n").alias("tot"))
-    a = F.col("n") / F.col("tot")
-    a_c = F.when(a == 0, F.lit(EPS)).otherwise(a)
-    e_c = F.coalesce(F.when(F.col("e") == 0, F.lit(EPS)).otherwise(F.col("e")), F.lit(EPS))
-    seen = (counts.join(tot, "window_start")
-            .join(F.broadcast(shares), "value", "left")
-            .groupBy("window_start")
-            .agg(F.first("tot").alias("n"),
-                 F.sum(_term(a_c, e_c)).alias("present"),
-                 F.sum(F.when(F.col("e").isNotNull(), _term(F.lit(EPS), F.col("e"))).otherwise(F.lit(0.0)))
-                 .alias("overlap")))
-    return seen.select("window_start", "n", (F.col("present") + F.lit(float(k_total)) - F.col("overlap")).alias("psi"))
+    e = F.coalesce(F.when(F.col("e") == 0, F.lit(EPS)).otherwise(F.col("e")), F.lit(EPS))
+    c = F.col("n").cast("double")
+    gap = F.ln(c) - F.ln(e)
+    seen = counts.join(shares, "value", "left").groupBy("window_start").agg(
+        F.sum("n").alias("total"), F.sum(c * gap).alias("s1"), F.sum(e * gap).alias("s2"), F.sum(e).alias("s3"),
+        F.sum(F.when(F.col("e").isNotNull(), _term(F.lit(EPS), F.col("e"))).otherwise(F.lit(0.0))).alias("overlap"))
+    total = F.col("total").cast("double")
+    present = F.col("s1") / total - F.ln(total) - F.col("s2") + F.ln(total) * F.col("s3")
+    return seen.select("window_start", F.col("total").alias("n"), (present + F.lit(float(k_total)) - F.col("overlap")).alias("psi"))
 
 
 def hourly_psi(events: DataFrame, base: DataFrame, ts: str, column: str, width: str = "1 hour") -> DataFrame:
@@ -60,12 +60,9 @@ def hourly_psi(events: DataFrame, base: DataFrame, ts: str, column: str, width:
 def hourly_psi_stream(stream: DataFrame, shares: DataFrame, ts: str, column: str, sink: str, checkpoint: str,
                       width: str = "1 hour", watermark: str = "1 hour") -> None:
     """Streaming form: windowed counts with a watermark (append mode emits each hour once it is closed), then the
-    PSI of the closed hours in ``foreachBatch`` against the broadcast baseline shares."""
-    from pyspark.sql import types as T
-
-    if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
-        # watermarks need an instant: read the wall-clock time in the session time zone
-        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    PSI of the closed hours in ``foreachBatch`` against the baseline shares. Reads what is there (``availableNow``) and
+    returns when it is done; hours that are still open stay in the state for the next run."""
+    stream = _instants(stream, ts)
     counts = (stream.withWatermark(ts, watermark).where(F.col(column).isNotNull())
               .groupBy(F.window(ts, width), F.col(column).cast("string").alias("value"))
               .agg(F.count(F.lit(1)).alias("n"))
@@ -74,24 +71,18 @@ def hourly_psi_stream(stream: DataFrame, shares: DataFrame, ts: str, column: str
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         psi_by_window(batch, shares).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
 
-    q = (counts.writeStream.outputMode("append").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start())
-    drain(q)
-
-
-def drain(q, timeout: float = 120.0) -> None:
-    """Process everything available, then wait for the follow-up batch without input that emits the windows the
-    last watermark advance closed (an ``availableNow`` run ends before that batch), and stop."""
-    import time
-
-    q.processAllAvailable()
-    last = q.lastProgress["batchId"] if q.lastProgress else -1
-    end = time.monotonic() + timeout
-    while time.monotonic() < end:
-        p = q.lastProgress
-        if p is not None and p["batchId"] > last and p["numInputRows"] == 0:
-            break
-        if p is not None and p["batchId"] == last and p.get("numInputRows", 1) == 0:
-            break
-        time.sleep(0.1)
-    q.stop()
+    (counts.writeStream.outputMode("append").foreachBatch(write_batch)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+
+
+def close_open_hours(events: DataFrame, shares: DataFrame, ts: str, column: str, sink: str, width: str = "1 hour") -> None:
+    """At the end of a bounded stream: score the hours that no watermark has closed (those not in the sink yet)."""
+    spark = events.sparkSession
+    done = spark.read.parquet(sink).select("window_start")
+    still = hourly_counts(_instants(events, ts), ts, column, width).join(done, "window_start", "left_anti")
+    psi_by_window(still, shares).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id=-1")
+
+
+def _instants(events: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need an instant: wall-clock times are read in the session time zone."""
+    return events.withColumn(ts, F.col(ts).cast("timestamp")) if isinstance(events.schema[ts].dataType, T.TimestampNTZType) else events
