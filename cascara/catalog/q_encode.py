@@ -10,6 +10,7 @@ from cascara.catalog.q_profile import _vc_sql
 from cascara.catalog.registry import query, table
 from cascara.functions.columns import rounded
 from cascara.operators import encode as E
+from cascara.session import written
 
 STRING_COLS = ["Gender", "MultipleLines", "InternetService", *S.ADDONS, "Contract", "PaymentMethod"]
 BOOL_COLS = ["SeniorCitizen", "Partner", "Dependents", "PhoneService", "PaperlessBilling"]
@@ -151,7 +152,7 @@ def _feature_parts(fit_on_train: bool = False) -> tuple[str, list[str], list[str
     """(chain + enc CTEs, scaled expressions, names) of the feature pipeline in the oracle dialect; bounds from all
     rows, or from the training rows of the md5 split only."""
     enc = [(c, f"CAST({c} AS DOUBLE)") for c in _FEATURE_NUMERIC] + _onehot_sql_cols()
-    inner = ("SELECT CustomerID, Churn, substr(md5(substr(CustomerID, 2) || '42'), 1, 8) < '33333333' AS is_test, "
+    inner = ("SELECT CustomerID, Churn, substr(md5(CustomerID || '42'), 1, 8) < '33333333' AS is_test, "
              + ", ".join(f"{e} AS {_qi(n)}" for n, e in enc) + " FROM clean")
     fit = "enc WHERE NOT is_test" if fit_on_train else "enc"
     exprs = []
@@ -169,9 +170,9 @@ def _feature_sql() -> str:
 
 
 def churn_vectors_sql(fit_on_train: bool = False) -> str:
-    """``(vec_id, v, label)``: the scaled feature vector of every cleaned customer (key = the digits of its id)."""
+    """``(vec_id, v, label)``: the scaled feature vector of every cleaned customer (key = its id)."""
     ctes, exprs, _ = _feature_parts(fit_on_train)
-    return (ctes + "SELECT CAST(substr(CustomerID, 2) AS BIGINT) AS vec_id, list_value(" + ", ".join(exprs)
+    return (ctes + "SELECT CustomerID AS vec_id, list_value(" + ", ".join(exprs)
             + ") AS v, CAST(Churn AS BIGINT) AS label FROM enc")
 
 
@@ -184,7 +185,7 @@ _FEATURE_NUMERIC = ["SeniorCitizen", "Partner", "Dependents", "Tenure", "PhoneSe
 def q_feature_matrix(spark, sf):
     """Drop id/target → one-hot string columns → concat with numeric/boolean → min-max scale (fit on all rows, as
     the original job does)."""
-    df = cleaned(spark, sf)
+    df = written(cleaned(spark, sf), "clean")
     model = E.feature_fit(df, ID_COLS)
     out = model.transform(df, keep=ID_COLS)
     return out.select(*ID_COLS, *[rounded(F.col(f"`{n}`")).alias(n) for n in model.feature_names()])

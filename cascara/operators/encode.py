@@ -257,17 +257,11 @@ class FeatureModel:
 
 def feature_fit(df: DataFrame, id_cols: Sequence[str]) -> FeatureModel:
     """Fit the feature pipeline on ``df``: one aggregate for the categories, one for the numeric min/max (the
-    bounds of the indicator columns follow from the category lists). The input is persisted for the two fitting
-    jobs and released afterwards."""
-    from pyspark import StorageLevel
-
+    bounds of the indicator columns follow from the category lists). Two jobs read the input, and the transform a
+    third time: pass a written table if its plan is expensive."""
     strings, nums = model_columns(df, id_cols)
-    cached = df.select(*strings, *nums).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        oh = one_hot_fit(cached, strings)
-        numeric_bounds = minmax_fit(cached, list(nums)).bounds
-    finally:
-        cached.unpersist()
+    oh = one_hot_fit(df, strings)
+    numeric_bounds = minmax_fit(df, list(nums)).bounds
     # a fitted indicator column is 1 on some fitted row; it is 0 on some row unless its column has one category
     bounds = dict(numeric_bounds)
     for c, vals in oh.categories.items():

@@ -155,41 +155,57 @@ def _topk_block(k: int, metrics: Sequence[str], has_group: bool, decimals: int |
     return fn
 
 
+def _groups(train: DataFrame, column: str, most: int = 16) -> list | None:
+    """The values of a column with few distinct ones (folds, say), else None."""
+    rows = train.select(column).distinct().limit(most + 1).collect()
+    return None if len(rows) > most or any(r[0] is None for r in rows) else [r[0] for r in rows]
+
+
 def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: str, vec: str = "vec",
                    label: str = "label", metrics: Sequence[str] = METRICS, exclude_same: str | None = None,
                    block_rows: int = 2048, counts: tuple[int, int] | None = None,
-                   decimals: int | None = 9) -> DataFrame:
-    """``(qid, metric, rank, tid, tlabel, dist)``: the ``k`` nearest train rows of every query row, per metric.
-
-    Distances are rounded to ``decimals`` places before ranking (None: exact), so that two train rows at the same
-    mathematical distance tie — and go to the smaller key — whatever order the sum was taken in.
+                   decimals: int | None = None) -> DataFrame:
+    """``(qid, metric, rank, tid, tlabel, dist)``: the ``k`` nearest train rows of every query row, per metric. Keys
+    may be of any type with an order; equal distances go to the smaller key.
 
     ``exclude_same`` names a column present on both sides (e.g. the CV fold): pairs with equal values are not
-    neighbours. ``counts`` = (query rows, train rows) if known; otherwise two counts are run to size the blocks.
+    neighbours; with few values the blocks are cut by value and such pairs are never formed. ``counts`` = (query rows,
+    train rows) if known; otherwise two counts are run to size the blocks. ``decimals`` rounds distances before they
+    are ranked, only for comparing results with an engine that sums in another order; the default is exact.
     """
     from cascara.session import ship_package
 
     spark = queries.sparkSession
     ship_package(spark)  # the distance kernel runs in Python workers
-    grp_q = [F.col(exclude_same).alias("grp")] if exclude_same else []
-    grp_t = [F.col(exclude_same).alias("grp")] if exclude_same else []
-    q = queries.select(F.col(qkey).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("vec"), *grp_q)
-    t = train.select(F.col(tkey).cast("long").alias("tid"), F.col(vec).cast("array<double>").alias("vec"),
-                     F.col(label).cast("long").alias("label"), *grp_t)
+    groups = _groups(train, exclude_same) if exclude_same else None
+    extra = [F.col(exclude_same).alias("grp")] if exclude_same else []
+    q = queries.select(F.col(qkey).alias("qid"), F.col(vec).cast("array<double>").alias("vec"), *extra)
+    t = train.select(F.col(tkey).alias("tid"), F.col(vec).cast("array<double>").alias("vec"),
+                     F.col(label).cast("long").alias("label"), *extra)
     nq, nt = counts if counts is not None else (q.count(), t.count())
-    qb, tb = _block_counts(spark, nq, nt, block_rows)
-    q_rep = (q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
-             .withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(tb - 1)))))
-    t_rep = (t.withColumn("tb", F.pmod(F.xxhash64("tid"), F.lit(tb)).cast("int"))
-             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    schema = "qid long, metric string, tid long, tlabel long, dist double"
-    # The replicated blocks are few bytes but heavy compute: an explicit partition count keeps adaptive execution
-    # from coalescing all block pairs into a couple of tasks; the cogroup reuses this partitioning.
-    parts = max(qb * tb, spark.sparkContext.defaultParallelism)
-    q_rep = q_rep.repartition(parts, "qb", "tb")
-    t_rep = t_rep.repartition(parts, "qb", "tb")
-    per_block = (q_rep.groupBy("qb", "tb").cogroup(t_rep.groupBy("qb", "tb"))
-                 .applyInPandas(_topk_block(k, metrics, exclude_same is not None, decimals), schema))
+    parts = len(groups) if groups else 1
+    qb, tb = _block_counts(spark, math.ceil(nq / parts), math.ceil(nt / parts), block_rows)
+
+    def others(column: str):
+        """The groups that a row meets: all but its own."""
+        if not groups:
+            return F.lit(0)
+        return F.explode(F.array_except(F.array(*map(F.lit, groups)), F.array(column)))
+
+    own = F.col("grp") if groups else F.lit(0)
+    q_rep = (q.withColumn("qg", own).withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
+             .withColumn("tg", others("grp")).withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(tb - 1)))))
+    t_rep = (t.withColumn("tg", own).withColumn("tb", F.pmod(F.xxhash64("tid"), F.lit(tb)).cast("int"))
+             .withColumn("qg", others("grp")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
+    kinds = {f.name: f.dataType.simpleString() for f in [*q.schema.fields, *t.schema.fields]}
+    schema = f"qid {kinds['qid']}, metric string, tid {kinds['tid']}, tlabel long, dist double"
+    # The replicated blocks are few bytes but heavy compute: an explicit partition count, set by the cluster's size and
+    # not by the number of block pairs, keeps adaptive execution from coalescing them into a couple of tasks.
+    pairs = qb * tb * parts * max(1, parts - 1)
+    tasks = min(pairs, 4 * spark.sparkContext.defaultParallelism)
+    key = ["qg", "qb", "tg", "tb"]
+    per_block = (q_rep.repartition(tasks, *key).groupBy(*key).cogroup(t_rep.repartition(tasks, *key).groupBy(*key))
+                 .applyInPandas(_topk_block(k, metrics, bool(exclude_same) and not groups, decimals), schema))
     w = Window.partitionBy("qid", "metric").orderBy("dist", "tid")
     return per_block.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -228,7 +244,7 @@ def grid_index(metric: F.Column, k: F.Column, weights: F.Column, ks: Sequence[in
 
 def cv_scores(preds: DataFrame, truth: DataFrame, *, qkey: str, label: str, fold: str) -> DataFrame:
     """``(metric, n_neighbors, weights, fold, accuracy)`` per candidate and fold."""
-    t = truth.select(F.col(qkey).cast("long").alias("qid"), F.col(label).cast("long").alias("y"),
+    t = truth.select(F.col(qkey).alias("qid"), F.col(label).cast("long").alias("y"),
                      F.col(fold).alias("fold"))
     return (preds.join(t, "qid")
             .groupBy("metric", "n_neighbors", "weights", "fold")

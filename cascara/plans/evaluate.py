@@ -1,8 +1,8 @@
 """k-NN model search as Spark jobs: split → stratified folds → cross-validated neighbours → votes for every grid
 candidate → mean fold accuracy → best candidate → test predictions and metrics.
 
-The neighbour search runs twice (cross-validation and test), each time for every metric at once and for the largest
-k only; the smaller k and both weightings reuse those neighbours. The fold table is checkpointed to the session's
+The neighbour search runs twice: for cross-validation with every metric at once and the largest k (the smaller k and
+both weightings reuse those neighbours), and for the test rows with the best candidate's metric and k only. The fold table is checkpointed to the session's
 checkpoint folder because three jobs read it.
 """
 
@@ -22,10 +22,10 @@ class SearchResult:
     and are checkpointed on first use, so every report built on them reads them instead of re-running the
     neighbour search; the neighbour tables themselves stay lazy."""
 
-    def __init__(self, split, train, test, cv_neighbours, fold_scores, test_neighbours, ks, key, label):
+    def __init__(self, split, train, test, cv_neighbours, fold_scores, find, ks, key, label):
         self.split, self.train, self.test = split, train, test
-        self.cv_neighbours, self.test_neighbours = cv_neighbours, test_neighbours
-        self._fold_scores, self._ks, self._key, self._label = fold_scores, ks, key, label
+        self.cv_neighbours = cv_neighbours
+        self._fold_scores, self._find, self._ks, self._key, self._label = fold_scores, find, ks, key, label
         self._memo: dict = {}
 
     def _ckpt(self, name, build):
@@ -53,8 +53,9 @@ class SearchResult:
     def test_pairs(self) -> DataFrame:
         """qid, y, pred — test predictions of the best candidate"""
         def build():
-            preds = EV.knn_vote(self.test_neighbours, self._ks).join(
-                F.broadcast(self.best.select("metric", "n_neighbors", "weights")), ["metric", "n_neighbors", "weights"])
+            b = self.best.first()  # one row: only its metric and its k are searched
+            near = self._find(b["n_neighbors"], [b["metric"]])
+            preds = EV.knn_vote(near, [b["n_neighbors"]], [b["weights"]])
             truth = self.test.select(F.col(self._key).alias("qid"), F.col(self._label).alias("y"))
             return preds.join(truth, "qid").select("qid", "y", "pred")
         return self._ckpt("test_pairs", build)
@@ -63,8 +64,8 @@ class SearchResult:
 def knn_search(df: DataFrame, *, key: str, vec: str, label: str, ks: Sequence[int] = (3, 5, 7),
                metrics: Sequence[str] = EV.METRICS, weights: Sequence[str] = EV.WEIGHTS, n_folds: int = 3,
                seed: int | str = 42, test_fraction: float = 0.2, block_rows: int = 2048,
-               checkpoint: bool = True) -> SearchResult:
-    base = df.select(F.col(key).cast("long").alias(key), F.col(vec).cast("array<double>").alias(vec),
+               decimals: int | None = None, checkpoint: bool = True) -> SearchResult:
+    base = df.select(F.col(key).alias(key), F.col(vec).cast("array<double>").alias(vec),
                      F.col(label).cast("long").alias(label))
     if checkpoint:
         # the search reads its input many times (split, folds, counts, both neighbour passes, truth): write it
@@ -79,21 +80,25 @@ def knn_search(df: DataFrame, *, key: str, vec: str, label: str, ks: Sequence[in
     kmax = max(ks)
     n_train = train.count()
     cv = EV.knn_neighbours(train, train, kmax, qkey=key, tkey=key, vec=vec, label=label, metrics=metrics,
-                           exclude_same="fold", block_rows=block_rows, counts=(n_train, n_train))
+                           exclude_same="fold", block_rows=block_rows, counts=(n_train, n_train), decimals=decimals)
     fold_scores = EV.cv_scores(EV.knn_vote(cv, ks, weights), train, qkey=key, label=label, fold="fold")
-    tn = EV.knn_neighbours(test, train, kmax, qkey=key, tkey=key, vec=vec, label=label, metrics=metrics,
-                           block_rows=block_rows, counts=(test.count(), n_train))
-    return SearchResult(split.select(key, label, "is_test"), train, test, cv, fold_scores, tn, ks, key, label)
+
+    def find(k: int, wanted: Sequence[str]) -> DataFrame:
+        """The k nearest training rows of every test row."""
+        return EV.knn_neighbours(test, train, k, qkey=key, tkey=key, vec=vec, label=label, metrics=wanted,
+                                 block_rows=block_rows, counts=(test.count(), n_train), decimals=decimals)
+
+    return SearchResult(split.select(key, label, "is_test"), train, test, cv, fold_scores, find, ks, key, label)
 
 
 def feature_knn_search(df: DataFrame, *, key: Column, label: str, id_cols: Sequence[str], fit_on: str = "train",
                        test_fraction: float = 0.2, seed: int | str = 42, **search_kw) -> SearchResult:
-    """Feature pipeline + k-NN search on a raw table: the row key (``key``, a long expression) decides the split,
+    """Feature pipeline + k-NN search on a raw table: the row key (``key``, of any type) decides the split,
     the one-hot categories and min-max bounds are fitted on the training rows (``fit_on='train'``, no test
     leakage) or on all rows (``fit_on='all'``, what the original job does), and every row is encoded with them."""
     from cascara.operators.encode import feature_fit
 
-    keyed = df.withColumn("__key", key.cast("long"))
+    keyed = df.withColumn("__key", key)
     split = EV.train_test_split(keyed, "__key", test_fraction, seed)
     fit_rows = split.where(~F.col("is_test")) if fit_on == "train" else split
     if fit_on not in ("train", "all"):
