@@ -104,10 +104,52 @@ def q_one_hot_droplast(spark, sf):
     df = cleaned(spark, sf)
     model = E.string_indexer(df, STRING_COLS)
     idx = model.transform(df.select("CustomerID", *STRING_COLS), handle_invalid="keep")
-    sizes = {f"{c}Indexed": len(model.labels[c]) + 1 for c in STRING_COLS}
+    sizes = {f"{c}Indexed": model.sizes[c] + 1 for c in STRING_COLS}
     return E.one_hot_drop_last(idx, sizes).drop(*STRING_COLS, *sizes.keys())
 
 
+# The strict form: rows without missing labels, an error otherwise, and the last real category dropped.
+_PRESENT = " AND ".join(f"{c} IS NOT NULL" for c in STRING_COLS)
+_LABELS = {c: len([v for v in CATEGORIES[c] if v is not None]) for c in STRING_COLS}
+_STRICT = S.with_chain("").rstrip() + f""",
+strict AS (SELECT * FROM clean WHERE {_PRESENT}),
+fit AS (SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) - 1 AS DOUBLE) AS "index"
+  FROM ({_vc_sql('strict', STRING_COLS)}) v),
+idx AS (SELECT strict.*, {", ".join(f"(SELECT \"index\" FROM fit WHERE \"column\" = '{c}' AND value = strict.{c}) AS {c}Indexed" for c in STRING_COLS)}
+  FROM strict)
+"""
+
+
+def _strict(spark, sf):
+    """(indexed rows, labels per index column) of the cleaned rows that have every string column."""
+    df = written(cleaned(spark, sf).dropna(subset=STRING_COLS), "strict")
+    model = E.string_indexer(df, STRING_COLS)
+    return model.transform(df, handle_invalid="error"), {f"{c}Indexed": n for c, n in model.sizes.items()}
+
+
+@query("one_hot_droplast_strict", _STRICT + "SELECT CustomerID, " + ", ".join(
+    f"CAST({c}Indexed = {float(i)} AS DOUBLE) AS {c}Vector_{i}" for c in STRING_COLS for i in range(_LABELS[c] - 1)) + " FROM idx")
+def q_one_hot_droplast_strict(spark, sf):
+    """One-hot with the last real category dropped (no spare slot), on rows without missing labels."""
+    idx, sizes = _strict(spark, sf)
+    out = E.one_hot_drop_last(idx, sizes)
+    return out.select("CustomerID", *[c for c in out.columns if "Vector_" in c])
+
+
+@query("notebook_export", _STRICT + "SELECT idx.* EXCLUDE (Churn), Churn, " + ", ".join(
+    f"'(' || (SELECT count(*) - 1 FROM fit WHERE \"column\" = '{c}') || CASE WHEN {c}Indexed < (SELECT count(*) - 1 FROM fit "
+    f"WHERE \"column\" = '{c}') THEN ',[' || CAST({c}Indexed AS INTEGER) || '],[1.0])' ELSE ',[],[])' END AS {c}Vector"
+    for c in STRING_COLS) + " FROM idx")
+def q_notebook_export(spark, sf):
+    """The exploratory notebooks' export: the cleaned columns, an index (errors on missing labels) and a sparse one-hot
+    vector for each string column; vectors written as (size,[indices],[values])."""
+    idx, sizes = _strict(spark, sf)
+    out = E.one_hot_sparse(idx, sizes)
+    text = {f"{c}Vector": F.concat(F.lit("("), F.col(f"{c}Vector.size"), F.lit(",["), F.array_join(F.col(f"{c}Vector.indices").cast("array<string>"), ","),
+                                   F.lit("],["), F.array_join(F.col(f"{c}Vector.values").cast("array<string>"), ","), F.lit("])")) for c in STRING_COLS}
+    return out.withColumns(text)
+
+
 @query("one_hot_full", S.with_chain(
     "SELECT CustomerID, " + ", ".join(f"{e} AS {_qi(n)}" for n, e in _onehot_sql_cols()) + " FROM clean"))
 def q_one_hot_full(spark, sf):

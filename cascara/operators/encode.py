@@ -1,10 +1,9 @@
 """Feature encoding: column selection, frequency string index, one-hot (drop-last and full), label codes, min-max
 scaling and the assembled feature matrix.
 
-Fitting is an aggregate over the data (distinct values with counts, min/max) whose result is small — bounded by the
-categories of categorical columns or by the column count — and is turned into literal expressions; transforming is
-a single projection, so encoding adds no shuffle and no join to the plan. A cardinality guard refuses to one-hot a
-column with more categories than ``max_categories`` (an error, never a silent cut).
+Index and label codes of any number of categories are fitted tables, joined back by value (adaptive execution broadcasts
+them while they are small). Min/max and the categories of the full one-hot form, which make one column each, become
+literal expressions of a single projection; a column with more than ``MAX_CATEGORIES`` categories is an error there.
 """
 
 from __future__ import annotations
@@ -16,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cascara.functions.columns import without_nan
+from cascara.functions.columns import quoted, without_nan
 from cascara.operators.profile import NUMERIC_TYPES, value_counts
+from cascara.session import written
 
 MAX_CATEGORIES = 10_000
 
@@ -46,14 +46,23 @@ def all_except(df: DataFrame, names: Sequence[str]) -> DataFrame:
 # frequency string index (most frequent → 0, ties alphabetical), NULLs ignored when fitting
 
 
-def string_index_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, value, n, index)``: one grouped count over the long form, then a rank per column.
+def distributed_rank(df: DataFrame, group: str, order: Sequence[Column], out: str = "rank") -> DataFrame:
+    """Adds the exact rank from 0 within each group. No group meets in one task: rows are range-partitioned in the wanted
+    order and written once, and a row's rank is the number of its group's rows in earlier partitions (a table of
+    groups × partitions) plus its place in its own partition."""
+    parts = written(df.repartitionByRange(F.col(group), *order).withColumn("__part", F.spark_partition_id()), "rank")
+    sizes = parts.groupBy(group, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    ahead = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(group, "__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+    place = F.row_number().over(Window.partitionBy(group, "__part").orderBy(*order))
+    return parts.withColumn("__place", place).join(sizes, [group, "__part"]).withColumn(
+        out, F.col("__ahead") + F.col("__place") - 1).drop("__part", "__place", "__ahead")
+
 
-    The rank window runs over the *distinct* values of one categorical column, not over its rows.
-    """
-    counts = value_counts(df, columns)
-    w = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
-    return counts.withColumn("index", (F.row_number().over(w) - 1).cast("double"))
+def string_index_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, n, index)``: one grouped count over the long form, then an exact distributed rank per column."""
+    ranked = distributed_rank(value_counts(df, columns), "column", [F.col("n").desc(), F.col("value")])
+    return ranked.select("column", "value", "n", F.col("rank").cast("double").alias("index"))
 
 
 def _bounded_collect(distinct_long: DataFrame, n_columns: int, fields: Sequence[str]) -> list:
@@ -71,54 +80,51 @@ def _bounded_collect(distinct_long: DataFrame, n_columns: int, fields: Sequence[
     return rows
 
 
-def _collect_labels(fitted: DataFrame, columns: Sequence[str], order: str) -> dict[str, list[str]]:
-    fitted = fitted.where(F.col("column").isin(list(columns)))
-    rows = _bounded_collect(fitted, len(columns), ["column", "value", order])
-    labels: dict[str, list[tuple]] = {c: [] for c in columns}
-    for r in rows:
-        labels[r["column"]].append((r[order], r["value"]))
-    return {c: [v for _, v in sorted(pairs)] for c, pairs in labels.items()}
-
-
-def _lookup(column: str, labels: Sequence[str]) -> Column:
-    if not labels:
-        return F.lit(None).cast("double")
-    m = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(float(i)))])
-    return F.element_at(m, F.col(f"`{column}`").cast("string"))
-
-
 @dataclass(frozen=True)
 class StringIndexModel:
-    """Fitted labels per column, most frequent first."""
+    """Fitted labels ``(column, value, index)``, most frequent first, and how many each column has."""
 
-    labels: Mapping[str, Sequence[str]]
+    labels: DataFrame
+    sizes: Mapping[str, int]
 
     def transform(self, df: DataFrame, suffix: str = "Indexed", handle_invalid: str = "error") -> DataFrame:
-        """Add ``{column}{suffix}`` (double). NULL or unseen values: ``error`` raises, ``keep`` gives
-        ``len(labels)``, ``skip`` drops the row."""
-        out = {}
-        skip_cond = None
-        for c, labels in self.labels.items():
-            idx = _lookup(c, labels)
+        """Add ``{column}{suffix}`` (double) by a join with the fitted labels, whatever their number. NULL or unseen
+        values: ``error`` raises, ``keep`` gives the number of labels, ``skip`` drops the row."""
+        if handle_invalid not in ("error", "keep", "skip"):
+            raise ValueError(handle_invalid)
+        for c, size in self.sizes.items():
+            own = self.labels.where(F.col("column") == c).select(F.col("value").alias("__value"), F.col("index").alias("__index"))
+            df = df.join(own, quoted(c).cast("string") == F.col("__value"), "inner" if handle_invalid == "skip" else "left")
+            idx = F.col("__index")
             if handle_invalid == "keep":
-                idx = F.coalesce(idx, F.lit(float(len(labels))))
+                idx = F.coalesce(idx, F.lit(float(size)))
             elif handle_invalid == "error":
                 idx = F.when(idx.isNull(), F.raise_error(F.concat(
-                    F.lit(f"unseen or NULL label in {c}: "), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL"))
+                    F.lit(f"unseen or NULL label in {c}: "), F.coalesce(quoted(c).cast("string"), F.lit("NULL"))
                 ))).otherwise(idx).cast("double")
-            elif handle_invalid == "skip":
-                cond = idx.isNotNull()
-                skip_cond = cond if skip_cond is None else skip_cond & cond
-            else:
-                raise ValueError(handle_invalid)
-            out[f"{c}{suffix}"] = idx
-        res = df.withColumns(out)
-        return res.where(skip_cond) if skip_cond is not None else res
+            df = df.withColumn(f"{c}{suffix}", idx).drop("__value", "__index")
+        return df
 
 
 def string_indexer(df: DataFrame, columns: Sequence[str]) -> StringIndexModel:
-    """Fit a frequency string index (collects only the distinct labels of each column)."""
-    return StringIndexModel(_collect_labels(string_index_fit(df, columns), columns, "index"))
+    """Fit a frequency string index; the labels stay a table, only their number per column is collected."""
+    fitted = written(string_index_fit(df, columns).select("column", "value", "index"), "labels")
+    sizes = {r["column"]: r["n"] for r in fitted.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return StringIndexModel(fitted, {c: sizes.get(c, 0) for c in columns})
+
+
+def one_hot_sparse(df: DataFrame, index_cols: Mapping[str, int], suffix: str = "Vector") -> DataFrame:
+    """One-hot of index columns as one sparse vector each, ``struct(size, indices, values)``, with the last category
+    dropped: size - 1 slots, and the last index has no entry. Any number of categories takes one column."""
+    out = {}
+    for c, size in index_cols.items():
+        base = c[: -len("Indexed")] if c.endswith("Indexed") else c
+        i = quoted(c).cast("int")
+        hit = i < F.lit(size - 1)
+        out[f"{base}{suffix}"] = F.struct(
+            F.lit(size - 1).alias("size"), F.when(hit, F.array(i)).otherwise(F.array().cast("array<int>")).alias("indices"),
+            F.when(hit, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+    return df.withColumns(out)
 
 
 def one_hot_drop_last(df: DataFrame, index_cols: Mapping[str, int], suffix: str = "Vector",
@@ -182,19 +188,17 @@ def one_hot_fit(df: DataFrame, columns: Sequence[str]) -> OneHotModel:
 # label codes and min-max scaling
 
 
-def label_encoder(df: DataFrame, column: str) -> list:
-    """Sorted distinct classes of a label column (NULL excluded)."""
-    distinct = df.where(F.col(column).isNotNull()).select(F.lit(column).alias("column"), F.col(column).alias("value"))
-    rows = _bounded_collect(distinct.distinct(), 1, ["column", "value"])
-    classes = sorted(r["value"] for r in rows)
-    return classes
+def label_encoder(df: DataFrame, column: str) -> DataFrame:
+    """``(value, code)``: the distinct classes of a label column (NULL excluded) with their place in sorted order."""
+    distinct = df.where(quoted(column).isNotNull()).select(F.lit(0).alias("__all"), quoted(column).alias("value")).distinct()
+    return distributed_rank(distinct, "__all", [F.col("value")], "code").select("value", F.col("code").cast("int").alias("code"))
 
 
-def label_encode(df: DataFrame, column: str, classes: Sequence | None = None, out: str | None = None) -> DataFrame:
-    """Class → position in the sorted class list (int)."""
-    classes = list(classes) if classes is not None else label_encoder(df, column)
-    m = F.create_map(*[x for i, v in enumerate(classes) for x in (F.lit(v), F.lit(i))])
-    return df.withColumn(out or f"{column}_code", F.element_at(m, F.col(column)).cast("int"))
+def label_encode(df: DataFrame, column: str, classes: DataFrame | None = None, out: str | None = None) -> DataFrame:
+    """Class → position in the sorted classes (int), by a join with the fitted table; NULL or an unseen class → NULL."""
+    classes = label_encoder(df, column) if classes is None else classes
+    own = classes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+    return df.join(own, quoted(column) == F.col("__value"), "left").withColumn(out or f"{column}_code", F.col("__code")).drop("__value", "__code")
 
 
 @dataclass(frozen=True)

@@ -141,3 +141,32 @@ def test_side_by_side_one_row_frames(spark):
     assert (row.n_base, row.n_current, row.total_psi) == (3, 5, 0.25)
     plan = DR.side_by_side(a, b, c)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_bins_equal_numpy(spark):
+    """Edge values, values outside the range, NaN, and a constant baseline."""
+    import numpy as np
+
+    base = [round(0.01 * (i % 11), 2) for i in range(500)] + [0.07] * 3
+    cur = [0.03, 0.06, 0.07, 0.1, 0.0, -1.0, 0.2, 0.05, 0.0299999]
+    for b, c in ((base, cur), ([5.0] * 4, [5.0, 4.0, 6.0]), ([1.0, 4.0, 2.5], [1.3, 1.6, 4.0])):
+        got = DR.histogram(spark.createDataFrame([(float(x),) for x in [*b, float("nan")]], "x double"),
+                           spark.createDataFrame([(float(x),) for x in c], "x double"), ["x"], 10, "count").orderBy("bin").collect()
+        edges = np.linspace(min(b), max(b), 11)
+        assert [r.n_base for r in got] == np.histogram(b, edges)[0].tolist()
+        assert [r.n_cur for r in got] == np.histogram(c, edges)[0].tolist()
+
+
+def test_nan_is_no_category(spark):
+    b = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,)], "x double")
+    c = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    assert DR.psi_categorical(b, c, ["x"]).first().psi == 0.0
+
+
+def test_describe_with_infinity_and_an_empty_column(spark):
+    from cascara.operators.profile import describe_numeric
+
+    df = spark.range(60_001).select(F.when(F.col("id") == 7, float("inf")).otherwise(F.col("id").cast("double")).alias("x"), F.lit(None).cast("double").alias("none"))
+    got = {r.feature: r for r in describe_numeric(df).collect()}
+    assert got["none"]["count"] == 0 and got["none"].p50 is None
+    assert got["x"]["count"] == 60_001 and got["x"].p50 == 30_001.0 and got["x"].max == float("inf")

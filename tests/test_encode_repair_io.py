@@ -32,7 +32,7 @@ def test_minmax_constant_column_is_zero(spark):
 def test_string_index_frequency_then_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "s string")
     m = E.string_indexer(df, ["s"])
-    assert list(m.labels["s"]) == ["c", "a", "b"]
+    assert [r.value for r in m.labels.orderBy("index").collect()] == ["c", "a", "b"] and m.sizes == {"s": 3}
     with pytest.raises(Exception):
         m.transform(spark.createDataFrame([("zz",)], "s string")).collect()
     kept = m.transform(spark.createDataFrame([("zz",)], "s string"), handle_invalid="keep").first()
@@ -152,10 +152,50 @@ def test_cardinality_guard_refuses_before_collecting(spark, monkeypatch):
     df = spark.range(50).select(F.col("id").cast("string").alias("k"))
     with pytest.raises(ValueError, match="not categorical"):
         E.one_hot_fit(df, ["k"])
-    with pytest.raises(ValueError, match="not categorical"):
-        E.string_indexer(df, ["k"])
-    with pytest.raises(ValueError, match="not categorical"):
-        E.label_encoder(df, "k")
+
+
+def test_index_and_codes_of_many_categories(spark):
+    df = spark.range(20_000).select(F.format_string("v%05d", "id").alias("k"))
+    got = E.string_indexer(df, ["k"]).transform(df)
+    assert got.where(F.col("kIndexed") != F.substring("k", 2, 5).cast("int")).count() == 0 and got.count() == 20_000
+    codes = E.label_encode(df, "k")
+    assert codes.where(F.col("k_code") != F.substring("k", 2, 5).cast("int")).count() == 0 and codes.count() == 20_000
+
+
+def test_sparse_vectors_drop_the_last_label(spark):
+    df = spark.createDataFrame([(0.0,), (2.0,)], "aIndexed double")
+    got = [tuple(r.aVector) for r in E.one_hot_sparse(df, {"aIndexed": 3}).orderBy("aIndexed").collect()]
+    assert got == [(2, [0], [1.0]), (2, [], [])]
+
+
+def test_bounds_and_scaling_skip_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    assert E.minmax_fit(df, ["x"]).bounds == {"x": (1.0, 3.0)}
+
+
+def test_ingest_keeps_one_row_per_key_over_files_and_runs(spark, churn01):
+    from cascara.session import scratch_path
+    from cascara.streaming.ingest import ingest_landing, read_sink
+
+    landing, sink, ckpt = (scratch_path(spark, f"k-{n}") for n in ("landing", "sink", "ckpt"))
+    expected = P.clean(churn01)
+    half = F.pmod(F.xxhash64(*churn01.columns), F.lit(2))
+    for i in range(2):  # rows of one key lie in files of both runs
+        churn01.where(half == i).repartition(3).write.mode("append").option("header", True).csv(landing)
+        ingest_landing(spark, landing, CHURN_SCHEMA, sink, ckpt, P.clean, max_files_per_trigger=1)
+    got = read_sink(spark, sink)
+    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+
+
+def test_names_and_literals_with_special_characters(spark):
+    from cascara.operators import clean as C
+    from cascara.operators.profile import schema_profile, value_counts
+
+    df = spark.createDataFrame([("a\\b", 1.0), ("it's", 2.0), ("bad", 3.0), ("z", None)], "`x.y` string, `o'k` double")
+    rule = C.domain_rule("d", "x.y", ["a\\b", "it's", "z"])
+    assert sorted(r[0] for r in C.reject(df, rule).collect()) == ["a\\b", "it's", "z"]
+    assert value_counts(df).count() == 7
+    assert [r["column"] for r in schema_profile(df).orderBy("position").collect()] == ["x.y", "o'k"]
 
 
 def test_csv_corrupt_record_column_keeps_bad_lines(spark):
