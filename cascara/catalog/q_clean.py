@@ -130,21 +130,18 @@ def q_churn_by_contract(spark, sf):
     return cleaned(spark, sf).groupBy("Contract", "Churn").agg(F.count(F.lit(1)).alias("n"))
 
 
-_REPORT_RULES = [(0, "child_phone", S.P_CHILD_PHONE), (1, "child_internet", S.P_CHILD_INTERNET),
-                 (2, "domain_senior", S.P_DOMAIN), (3, "missing_phone", S.P_MISSING_PHONE),
-                 (4, "missing_internet", S.P_MISSING_INTERNET)]
-_REPORT_SQL = S.with_chain(
-    "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT {i} AS stage, '{n}' AS rule, "
-        f"(SELECT count(*) FROM {'req' if i == 0 else 'r' + str(i)}) AS rows_in, "
-        f"(SELECT count(*) FROM {'req' if i == 0 else 'r' + str(i)}) - (SELECT count(*) FROM r{i + 1}) AS rows_removed, "
-        f"(SELECT count(*) FROM r{i + 1}) AS rows_out"
-        for i, n, _ in _REPORT_RULES) + ") t")
+_REPORT = [("distinct_rows", "renamed", "dist"), ("dedup_by_key", "dist", "keyed"), ("dropna_required", "keyed", "req"),
+           ("child_phone", "req", "r1"), ("child_internet", "r1", "r2"), ("domain_senior", "r2", "r3"),
+           ("missing_phone", "r3", "r4"), ("missing_internet", "r4", "r5"), ("invalid_numeric", "r5", "r6")]
+_REPORT_SQL = S.with_chain(" UNION ALL ".join(
+    f"SELECT {i} AS stage, '{n}' AS rule, (SELECT count(*) FROM {a}) AS rows_in, (SELECT count(*) FROM {a}) - "
+    f"(SELECT count(*) FROM {b}) AS rows_removed, (SELECT count(*) FROM {b}) AS rows_out" for i, (n, a, b) in enumerate(_REPORT)))
 
 
 @query("rule_report", _REPORT_SQL)
 def q_rule_report(spark, sf):
-    return C.rule_report(required(spark, sf), P.PRE_FILL_RULES)
+    """Rows in, removed and out of every stage of the chain, from exact duplicates to the numeric rule."""
+    return P.stage_report(raw(spark, sf))
 
 
 @query("except_rows", S.with_chain(

@@ -33,13 +33,50 @@ def q_fuzzy_repair(spark, sf):
     return P.repaired(raw(spark, sf), "levenshtein", 80.0)
 
 
-@query("fuzzy_repair_indel")
+def _indel_sql() -> str:
+    """Indel similarity 100 * 2 * LCS / (len a + len b). The longest common subsequence by dynamic programming, one step
+    per character of the value: the state is the last row of the table, one entry per character of the choice."""
+    return """,
+ind AS (
+  SELECT col, value, pos, choice, 0 AS i, list_transform(range(length(choice) + 1), lambda x: 0) AS state
+  FROM (SELECT l.col, l.value, v.pos, v.choice FROM lng l JOIN vocab v ON l.col = v.col) p
+  UNION ALL
+  SELECT col, value, pos, choice, i + 1, list_reduce(range(1, length(choice) + 1), lambda acc, j: list_append(acc,
+      CASE WHEN substr(value, CAST(i + 1 AS BIGINT), 1) = substr(choice, j, 1) THEN state[j] + 1
+           ELSE greatest(state[j + 1], acc[len(acc)]) END), [0])
+  FROM ind WHERE i < length(value)),
+sc AS (SELECT col, value, pos, choice, CASE WHEN length(value) + length(choice) = 0 THEN 100.0 ELSE
+  200.0 * state[len(state)] / (length(value) + length(choice)) END AS score FROM ind WHERE i = length(value)),
+"""
+
+
+_INDEL_CTES = _REPAIR_CTES[: _REPAIR_CTES.index(",\nsc AS (")] + _indel_sql() + _REPAIR_CTES[_REPAIR_CTES.index("best AS ("):]
+_RECURSIVE = S.with_chain("").rstrip().replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("fuzzy_repair_indel", _RECURSIVE + _INDEL_CTES + f"SELECT {_SELECT} FROM renamed r")
 def q_fuzzy_repair_indel(spark, sf):
-    """The same with the Indel (LCS) similarity; checked against a brute-force Python scorer in the tests."""
+    """The same with the Indel (LCS) similarity."""
     return P.repaired(raw(spark, sf), "indel", 80.0)
 
 
-@query("clean_repaired")
+def _chain_on_repaired() -> str:
+    """The cleaning chain with the repaired rows in place of the renamed ones."""
+    head, tail = S.CHAIN.split("dist AS (", 1)
+    head = head.replace("renamed AS (", "original AS (", 1)
+    repair = _REPAIR_CTES.replace("FROM renamed", "FROM original").strip().lstrip(",").rstrip()
+    return f"WITH {head}{repair},\nrenamed AS (SELECT {_SELECT} FROM original r),\ndist AS ({tail}\n"
+
+
+@query("clean_repaired_levenshtein", _chain_on_repaired() + "SELECT * FROM clean")
+def q_clean_repaired_levenshtein(spark, sf):
+    """The cleaning chain with typo repair (Levenshtein scorer) after the rename."""
+    return P.clean_repaired(raw(spark, sf), scorer="levenshtein")
+
+
+@query("clean_repaired", _chain_on_repaired().replace("WITH ", "WITH RECURSIVE ", 1).replace(
+    _REPAIR_CTES.replace("FROM renamed", "FROM original").strip().lstrip(",").rstrip(),
+    _INDEL_CTES.replace("FROM renamed", "FROM original").strip().lstrip(",").rstrip()) + "SELECT * FROM clean")
 def q_clean_repaired(spark, sf):
     """The cleaning chain with typo repair (Indel scorer) after the rename."""
     return P.clean_repaired(raw(spark, sf), scorer="indel")

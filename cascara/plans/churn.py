@@ -10,8 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cascara.operators import clean as C
+from cascara.operators.drift import side_by_side
 
 # Fixed values of the churn table (column names, service switches and their sentinel values).
 RENAMES = {"customerID": "CustomerID", "gender": "Gender", "tenure": "Tenure"}
@@ -94,6 +96,23 @@ def clean(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     return C.recode_booleans(clean_strings(raw, spec), spec.booleans)
 
 
+def stage_report(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
+    """``(stage, rule, rows_in, rows_removed, rows_out)`` for every stage that removes rows: exact duplicates, key dedup,
+    missing fields, the rules and the numeric rule. Two aggregates count the first two stages, one scan of the
+    deduplicated rows counts the rest (fills touch no column that a later rule reads)."""
+    renamed = C.rename_columns(raw, spec.renames)
+    missing = " OR ".join(f"`{c}` IS NULL" + (f" OR isnan(`{c}`)" if renamed.schema[c].dataType.typeName() in ("float", "double") else "")
+                          for c in spec.required)
+    rules = [C.Rule("dropna_required", missing), *spec.pre_fill_rules, *spec.post_fill_rules]
+    later = C.rule_report(C.dedup_by_key(renamed, spec.key, list(spec.dedup_order)), rules)
+    counts = C.distinct_rows(renamed).agg(F.count(F.lit(1)).alias("rows_out"), F.count_distinct(F.struct(F.col(spec.key))).alias("keys"))
+    first = renamed.agg(F.count(F.lit(1)).alias("rows_in"))
+    both = side_by_side(first, counts)
+    row = [F.struct(F.lit(i).alias("stage"), F.lit(n).alias("rule"), a.alias("rows_in"), (a - b).alias("rows_removed"), b.alias("rows_out"))
+           for i, (n, a, b) in enumerate((("distinct_rows", F.col("rows_in"), F.col("rows_out")), ("dedup_by_key", F.col("rows_out"), F.col("keys"))))]
+    return both.select(F.inline(F.array(*row))).unionByName(later.withColumn("stage", F.col("stage") + len(row)))
+
+
 # The allowed words of the repairable columns, in the order the original job lists them.
 GENDERS = ["Male", "Female"]
 YES_NO = ["Yes", "No"]
