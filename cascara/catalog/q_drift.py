@@ -11,7 +11,7 @@ from cascara.catalog.registry import query, table
 from cascara.functions.columns import rounded, time_literal
 from cascara.operators import drift as DR
 
-# every churn feature but the key and the target
+# Every churn feature but the key and the target, and the lineitem columns.
 FEATURES = ["Gender", "SeniorCitizen", "Partner", "Dependents", "Tenure", "PhoneService", "MultipleLines",
             "InternetService", *S.ADDONS, "Contract", "PaperlessBilling", "PaymentMethod", "MonthlyCharges",
             "TotalCharges"]

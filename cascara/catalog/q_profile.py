@@ -10,6 +10,7 @@ from cascara.catalog.registry import query, table
 from cascara.functions.columns import rounded
 from cascara.operators import profile as PR
 
+# Column names of the profiled tables.
 CHURN_CAT = ["CustomerID", "Gender", "SeniorCitizen", "Partner", "Dependents", "Tenure", "PhoneService",
              "MultipleLines", "InternetService", *S.ADDONS, "Contract", "PaperlessBilling", "PaymentMethod", "Churn"]
 CHURN_NUM = ["Tenure", "MonthlyCharges", "TotalCharges"]

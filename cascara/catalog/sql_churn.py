@@ -2,60 +2,46 @@
 
 from __future__ import annotations
 
+from cascara.sources import churn_values as V
 from cascara.sources.churn import churn_raw_sql
 
-ADDONS = ["OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies"]
-COLS = [
-    "CustomerID", "Gender", "SeniorCitizen", "Partner", "Dependents", "Tenure", "PhoneService", "MultipleLines",
-    "InternetService", *ADDONS, "Contract", "PaperlessBilling", "PaymentMethod", "MonthlyCharges", "TotalCharges",
-    "Churn",
-]
-_REST = [c for c in COLS if c not in ("CustomerID", "Tenure", "Gender", "MonthlyCharges")]
-_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ["Tenure", "Gender", "MonthlyCharges", *_REST])
-_REQ = ["CustomerID", "Gender", "SeniorCitizen", "Partner", "Dependents", "Tenure", "PhoneService",
-        "InternetService", "Contract", "PaperlessBilling", "PaymentMethod", "MonthlyCharges", "TotalCharges", "Churn"]
-_REQ_SQL = " AND ".join([f"{c} IS NOT NULL" for c in _REQ] + ["NOT isnan(MonthlyCharges)", "NOT isnan(TotalCharges)"])
+ADDONS = V.INTERNET_CHILDREN
+COLS = V.COLUMNS
+_ORDER = ", ".join(f"{c} NULLS FIRST" for c in [*V.DEDUP_ORDER, *(c for c in COLS if c not in (V.KEY, *V.DEDUP_ORDER))])
+_REQ_SQL = " AND ".join([f"{c} IS NOT NULL" for c in V.REQUIRED] + [f"NOT isnan({c})" for c in V.FLOATS])
 _ALL = ", ".join(COLS)
 
-P_CHILD_PHONE = "PhoneService = 'No' AND MultipleLines <> 'No phone service'"
-P_CHILD_INTERNET = "InternetService = 'No' AND (" + " OR ".join(f"{c} <> 'No internet service'" for c in ADDONS) + ")"
-P_DOMAIN = "SeniorCitizen <> 0 AND SeniorCitizen <> 1"
-P_MISSING_PHONE = "PhoneService = 'Yes' AND MultipleLines IS NULL"
-P_MISSING_INTERNET = "InternetService = 'Yes' AND (" + " OR ".join(f"{c} IS NULL" for c in ADDONS) + ")"
-P_MISSING_INTERNET_STRICT = "InternetService <> 'No' AND (" + " OR ".join(f"{c} IS NULL" for c in ADDONS) + ")"
-P_NUMERIC = ("Tenure < 0 OR MonthlyCharges < 0 OR TotalCharges < 0 OR isnan(MonthlyCharges) "
-             "OR isnan(TotalCharges)")
+
+def _literal(v: object) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _or(columns, test: str) -> str:
+    return "(" + " OR ".join(f"{c} {test}" for c in columns) + ")"
+
+
+P_CHILD_PHONE = f"{V.PHONE_PARENT} = 'No' AND {_or(V.PHONE_CHILDREN, f'<> {_literal(V.NO_PHONE)}')}"
+P_CHILD_INTERNET = f"{V.INTERNET_PARENT} = 'No' AND {_or(ADDONS, f'<> {_literal(V.NO_INTERNET)}')}"
+P_DOMAIN = " AND ".join(f"SeniorCitizen <> {_literal(v)}" for v in V.SENIOR)
+P_MISSING_PHONE = f"{V.PHONE_PARENT} = 'Yes' AND {_or(V.PHONE_CHILDREN, 'IS NULL')}"
+P_MISSING_INTERNET = f"{V.INTERNET_PARENT} = 'Yes' AND {_or(ADDONS, 'IS NULL')}"
+P_MISSING_INTERNET_STRICT = f"{V.INTERNET_PARENT} <> 'No' AND {_or(ADDONS, 'IS NULL')}"
+P_NUMERIC = " OR ".join([f"{c} < 0" for c in V.NUMERIC] + [f"isnan({c})" for c in V.FLOATS])
 
 
 def keep(p: str) -> str:
     return f"NOT coalesce({p}, false)"
 
 
+_FILLED = {c: (V.PHONE_PARENT, V.NO_PHONE) for c in V.PHONE_CHILDREN} | {c: (V.INTERNET_PARENT, V.NO_INTERNET) for c in ADDONS}
 _FILL = ", ".join(
-    [
-        "CustomerID", "Gender", "SeniorCitizen", "Partner", "Dependents", "Tenure", "PhoneService",
-        "CASE WHEN PhoneService = 'No' THEN 'No phone service' ELSE MultipleLines END AS MultipleLines",
-        "InternetService",
-        *[f"CASE WHEN InternetService = 'No' THEN 'No internet service' ELSE {c} END AS {c}" for c in ADDONS],
-        "Contract", "PaperlessBilling", "PaymentMethod", "MonthlyCharges", "TotalCharges", "Churn",
-    ]
-)
-
-_RECODE = ", ".join(
-    [
-        "CustomerID", "Gender", "coalesce(SeniorCitizen = 1, false) AS SeniorCitizen",
-        "coalesce(Partner = 'Yes', false) AS Partner", "coalesce(Dependents = 'Yes', false) AS Dependents", "Tenure",
-        "coalesce(PhoneService = 'Yes', false) AS PhoneService", "MultipleLines", "InternetService", *ADDONS,
-        "Contract", "coalesce(PaperlessBilling = 'Yes', false) AS PaperlessBilling", "PaymentMethod",
-        "MonthlyCharges", "TotalCharges", "coalesce(Churn = 'Yes', false) AS Churn",
-    ]
-)
+    f"CASE WHEN {_FILLED[c][0]} = 'No' THEN {_literal(_FILLED[c][1])} ELSE {c} END AS {c}" if c in _FILLED else c for c in COLS)
+_RECODE = ", ".join(f"coalesce({c} = {_literal(V.BOOLEANS[c])}, false) AS {c}" if c in V.BOOLEANS else c for c in COLS)
+_RENAMED = {new: old for old, new in V.RENAMES.items()}
 
 # WITH-list of the whole chain; every stage is a named CTE the oracle queries can select from.
 CHAIN = f"""raw AS ({churn_raw_sql('customer')}),
-renamed AS (SELECT customerID AS CustomerID, gender AS Gender, SeniorCitizen, Partner, Dependents, tenure AS Tenure,
-  PhoneService, MultipleLines, InternetService, {', '.join(ADDONS)}, Contract, PaperlessBilling, PaymentMethod,
-  MonthlyCharges, TotalCharges, Churn FROM raw),
+renamed AS (SELECT {', '.join(f'{_RENAMED[c]} AS {c}' if c in _RENAMED else c for c in COLS)} FROM raw),
 dist AS (SELECT DISTINCT * FROM renamed),
 keyed AS (SELECT {_ALL} FROM (SELECT *, row_number() OVER (PARTITION BY CustomerID ORDER BY {_ORDER}) AS rn
   FROM dist) t WHERE rn = 1),

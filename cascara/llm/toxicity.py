@@ -22,6 +22,7 @@ general list alone votes; repeated rows get equal scores; an empty table gives n
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -80,21 +81,35 @@ def starts_of(text: str) -> set[tuple[str, int]]:
     return {(t, level) for t, k in n.items() for level in LEVELS if k >= level}
 
 
-def induce(sample: list[tuple[str, int]], terms: int = TERMS, voters: int = LEXICON_VOTERS) -> Lexicon:
-    """Terms that mark the labelled class, and voters that cover the toxic documents, if possible several times."""
+def packed(text: str) -> bytes:
+    """A sampled text as the driver keeps it."""
+    return zlib.compress(text.encode(), 1)
+
+
+def unpacked(text: bytes) -> str:
+    return zlib.decompress(text).decode()
+
+
+def induce(sample: list[tuple[bytes, int]], terms: int = TERMS, voters: int = LEXICON_VOTERS) -> Lexicon:
+    """Terms that mark the labelled class, and voters that cover the toxic documents, if possible several times.
+    ``sample``: packed texts and their labels."""
     positive = sum(y for _, y in sample)
     negative = len(sample) - positive
     if not positive or not negative:
         return Lexicon([], [])
+    least = max(3, positive // 500)
+    # Counted by hash first: the features themselves are only kept if they are frequent.
+    marks, n = np.unique(np.concatenate([np.fromiter((hash(f) for f in starts_of(unpacked(t))), np.int64) for t, y in sample if y]), return_counts=True)
+    often = set(marks[n >= least].tolist())
+    own: dict[tuple[str, int], tuple[str, int]] = {}
+    kept = [{own.setdefault(f, f) for f in starts_of(unpacked(t)) if hash(f) in often} for t, y in sample if y]
     held = (Counter(), Counter())
-    kept = [starts_of(t) for t, y in sample if y]
     for found in kept:
         held[1].update(found)
-    least = max(3, positive // 500)
     frequent = {t for t, n in held[1].items() if n >= least}
     for text, y in sample:
         if not y:
-            held[0].update(frequent & starts_of(text))
+            held[0].update(frequent & starts_of(unpacked(text)))
     scored = []
     for term in frequent:
         n, m = held[1][term], held[0][term]
@@ -241,14 +256,17 @@ def _shares(fires: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> np.ndarray:
     """Weights (intercept last) of a ridge-penalised logistic regression on soft labels, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], penalty)
+    n, m = x.shape
+    w = np.zeros(m + 1)
+    ridge = np.full(m + 1, penalty)
     ridge[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + ridge * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        grad, hess = ridge * w, np.diag(ridge)
+        for a in range(0, n, 2000):
+            part = np.hstack([x[a : a + 2000], np.ones((len(x[a : a + 2000]), 1))])
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            grad += part.T @ (p - y[a : a + 2000])
+            hess += (part * (p * (1 - p))[:, None]).T @ part
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-5:
@@ -271,10 +289,10 @@ def _scored(read: DataFrame, weights: list[float], intercept: float) -> DataFram
 def _fit(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Lexicon, list[float], float, DataFrame]:
     """(lexicon, weight of each feature, intercept, doc_id, features and votes of every document)."""
     prepare(docs.sparkSession)
-    rows = [((r["text"] or ""), r["toxic"]) for r in labelled_sample(docs, labels, sample).toLocalIterator()]
+    rows = [(packed(r["text"] or ""), r["toxic"]) for r in labelled_sample(docs, labels, sample).toLocalIterator()]
     lexicon = induce(rows)
     reader = Reader(lexicon)
-    read_sample = [reader.read(t) for t, _ in rows]
+    read_sample = [reader.read(unpacked(t)) for t, _ in rows]
     marks = [y for _, y in rows]
     del rows
 
@@ -294,7 +312,7 @@ def _fit(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Lexicon, list
         votes = np.array([v for _, v in read_sample], np.int64)
         posterior = fit_label_model(patterns, lexicon.size, votes, y)
         if len(read_sample):
-            x = np.zeros((len(read_sample), width), np.float32)
+            x = np.zeros((len(read_sample), width), np.int8)
             for i, (f, v) in enumerate(read_sample):
                 x[i, _features(f, v, lexicon)] = 1
             p = np.clip(np.array([posterior[int(v)] for v in votes]), 1e-6, 1 - 1e-6)
@@ -302,7 +320,7 @@ def _fit(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Lexicon, list
             soft = 1 / (1 + np.exp(-(np.log(p / (1 - p)) + (2 * y - 1) * LABEL)))
         else:  # no labelled documents: the patterns themselves stand for the sample
             keys = list(posterior)
-            x = ((np.array(keys)[:, None] >> np.arange(lexicon.size)) & 1).astype(np.float32)
+            x = ((np.array(keys)[:, None] >> np.arange(lexicon.size)) & 1).astype(np.int8)
             soft = np.array([posterior[k] for k in keys])
         w = fit_logistic(x, soft)
         weights, intercept = w[:-1], float(w[-1])

@@ -14,29 +14,26 @@ from pyspark.sql import functions as F
 
 from cascara.operators import clean as C
 from cascara.operators.drift import side_by_side
-
-# Fixed values of the churn table (column names, service switches and their sentinel values).
-RENAMES = {"customerID": "CustomerID", "gender": "Gender", "tenure": "Tenure"}
-KEY = "CustomerID"
-DEDUP_ORDER = ["Tenure", "Gender", "MonthlyCharges"]
-REQUIRED = [
-    "CustomerID", "Gender", "SeniorCitizen", "Partner", "Dependents", "Tenure", "PhoneService", "InternetService",
-    "Contract", "PaperlessBilling", "PaymentMethod", "MonthlyCharges", "TotalCharges", "Churn",
-]
-PHONE_PARENT = "PhoneService"
-PHONE_CHILDREN = ["MultipleLines"]
-NO_PHONE = "No phone service"
-INTERNET_PARENT = "InternetService"
-INTERNET_CHILDREN = ["OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies"]
-NO_INTERNET = "No internet service"
-NUMERIC = ["Tenure", "MonthlyCharges", "TotalCharges"]
-FLOATS = ["MonthlyCharges", "TotalCharges"]
-BOOLEANS = {"SeniorCitizen": 1, "Partner": "Yes", "Dependents": "Yes", "PhoneService": "Yes",
-            "PaperlessBilling": "Yes", "Churn": "Yes"}
+from cascara.sources.churn_values import (
+    BOOLEANS,
+    DEDUP_ORDER,
+    FLOATS,
+    INTERNET_CHILDREN,
+    INTERNET_PARENT,
+    KEY,
+    NO_INTERNET,
+    NO_PHONE,
+    NUMERIC,
+    PHONE_CHILDREN,
+    PHONE_PARENT,
+    RENAMES,
+    REQUIRED,
+    SENIOR,
+)
 
 RULE_CHILD_PHONE = C.dependency_rule("child_phone", PHONE_PARENT, "No", PHONE_CHILDREN, NO_PHONE)
 RULE_CHILD_INTERNET = C.dependency_rule("child_internet", INTERNET_PARENT, "No", INTERNET_CHILDREN, NO_INTERNET)
-RULE_DOMAIN_SENIOR = C.domain_rule("domain_senior", "SeniorCitizen", [0, 1])
+RULE_DOMAIN_SENIOR = C.domain_rule("domain_senior", "SeniorCitizen", SENIOR)
 RULE_MISSING_PHONE = C.required_if_rule("missing_phone", PHONE_PARENT, "Yes", PHONE_CHILDREN)
 RULE_MISSING_INTERNET = C.required_if_rule("missing_internet", INTERNET_PARENT, "Yes", INTERNET_CHILDREN)
 RULE_MISSING_INTERNET_STRICT = C.required_unless_rule("missing_internet_strict", INTERNET_PARENT, "No",

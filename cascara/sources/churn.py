@@ -11,9 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # The 21 columns of the raw churn CSV, in file order, with their declared types.
-# customerID gender SeniorCitizen Partner Dependents tenure PhoneService MultipleLines InternetService
-# OnlineSecurity OnlineBackup DeviceProtection TechSupport StreamingTV StreamingMovies Contract
-# PaperlessBilling PaymentMethod MonthlyCharges TotalCharges Churn
 CHURN_SCHEMA = T.StructType(
     [
         T.StructField("customerID", T.StringType(), nullable=False),
