@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cascara.llm.common import prepare, stage
+from cascara.llm.common import prepare, release, stage
 
 CAPACITY = 1024
 END = np.uint32(0).tobytes()
@@ -100,6 +100,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
                 rows += [(doc, a // 4, min(len(raw) - a, width) // 4, zlib.crc32(raw[a : a + width]), n) for a in range(0, len(raw), width)]
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
 

@@ -8,6 +8,7 @@ once per chunk), are counted per key bucket, and only the keys that pass the tes
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -135,6 +136,15 @@ def member(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == keys
 
 
+def release() -> None:
+    """Give a worker's freed memory back to the system: the same Python workers serve one stage after another, and what
+    each has once used would add up otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts (one aggregate over one column)."""
     return docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
@@ -203,6 +213,7 @@ def repeated(blobs: DataFrame, width: int) -> DataFrame:
     """(chunk, keys): of each chunk's keys those that occur more than once over all chunks, or twice in it."""
 
     def count(table: pa.Table) -> pa.Table:
+        release()
         rows = [unpack(k.as_py(), width) for k in table["keys"]]
         many = [np.unpackbits(np.frombuffer(m.as_py(), np.uint8), count=len(k)).astype(bool) for m, k in zip(table["many"], rows, strict=True)]
         keys = np.sort(np.concatenate([*rows, *(k[m] for k, m in zip(rows, many, strict=True))]))
@@ -222,7 +233,12 @@ def reply_keys(replies: pa.Table, width: int) -> np.ndarray:
 
 def by_chunk(frame: DataFrame, replies: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Each chunk of documents together with what came back to it."""
-    return frame.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(lambda left, right: work(ordered(left), right), schema)
+
+    def whole(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()  # of the chunk before
+        return work(ordered(left), right)
+
+    return frame.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(whole, schema)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -248,6 +264,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, target: int) -> Itera
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             yield batch.slice(a, b - a)
+            release()
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascara.llm.common import prepare, stage
+from cascara.llm.common import prepare, release, stage
 
 #: Labelled documents that the lexicon and the classifier are fitted on, at most.
 SAMPLE = 20_000
@@ -301,6 +301,7 @@ def _fit(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Lexicon, list
         for batch in batches:
             got = [reader.read(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_features(f, v, lexicon) for f, v in got], pa.list_(pa.int32())), pa.array([v for _, v in got], pa.int32())], ["doc_id", "features", "votes"])
+        release()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     read = stage(texts.mapInArrow(work, "doc_id long, features array<int>, votes int"), "toxicity-votes")
@@ -345,5 +346,6 @@ def clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: f
                 found, votes = reader.read(t.as_py() or "")
                 keep.append(bool(w[_features(found, votes, lexicon)].sum() + intercept < least))
             yield batch.filter(pa.array(keep, pa.bool_()))
+        release()
 
     return docs.mapInArrow(work, docs.schema)
