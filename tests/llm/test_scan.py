@@ -183,6 +183,38 @@ def test_reshard_odd_rows(spark):
     assert reshard.assign(docs.limit(0)).count() == 0
 
 
+def test_reshard_writes_every_row(spark, monkeypatch, tmp_path):
+    """Null ids, equal ids and equal rows reach the files, each once, in the planned shard and slot."""
+    paths = []
+    monkeypatch.setattr(reshard, "scratch_path", lambda s, name: paths.append(str(tmp_path / f"{name}-{len(paths)}")) or paths[-1])
+    docs = documents(spark, [(None, None), (None, "x"), (None, "x"), *[(7000, "equal rows " * 9)] * 300]).withColumn("_metadata", F.lit(1))
+    docs.write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    columns = ["doc_id", "size", "text_crc32", "old_shard", "shard", "slot"]
+    plan = sorted(map(str, reshard.assign(docs).select(columns).collect()))
+    for row in (None, reshard.place_in_file(docs)):
+        assert sorted(map(str, reshard.moved(docs, row).select(columns).collect())) == plan
+        back = spark.read.parquet(paths[-1])
+        assert sorted(back.columns) == sorted([*docs.columns, "shard"])
+        assert sorted(map(str, rows_of(back))) == sorted(map(str, rows_of(docs)))
+    assert reshard.moved(docs.limit(0)).count() == 0
+    written = reshard.rewrite(docs, reshard.assign(docs), str(tmp_path / "rewritten"))
+    back = spark.read.parquet(str(tmp_path / "rewritten"))
+    assert back.count() == reshard.assign(docs).where(F.col("shard").isin(written)).count()
+
+
+def test_reshard_query_writes_the_texts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(reshard, "scratch_path", lambda s, name: str(tmp_path / name))
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op5_min_cost_flow_resharding"](spark, sf).toPandas()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    back = spark.read.parquet(str(tmp_path / "reshard-shards")).toPandas()
+    assert sorted(zip(back.doc_id, back.text.fillna(""), strict=True)) == sorted((i, t or "") for i, t in rows_of(docs))
+    assert sorted(zip(back.doc_id, back["shard"], strict=True)) == sorted(zip(got.doc_id, got["shard"], strict=True))
+    plan = reshard.assign(docs).toPandas()
+    assert sorted(zip(plan.doc_id, plan["shard"], plan.slot, strict=True)) == sorted(zip(got.doc_id, got["shard"], got.slot, strict=True))
+
+
 # Packing
 
 
