@@ -134,7 +134,7 @@ def text_nodes(html: str) -> tuple[list[str], list[int], list[int], list[tuple[i
 
 def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: float = 0.9) -> str:
     """The article of a page. ``radius``: nodes to either side that smooth a node's ratio; ``spread``: the threshold in
-    standard deviations of the smoothed ratios; ``share``: of the selected text, what the container must hold."""
+    standard deviations of the smoothed ratios; ``share``: of the selected text, what an article or main element must hold to be the container by its tag."""
     if not html:
         return ""
     raw, owners, blocks, elements = text_nodes(html)
@@ -161,22 +161,17 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
     padded = np.pad(ratio, radius, mode="edge")
     smooth = np.convolve(padded, kernel / kernel.sum(), "valid")
     selected = [(i, len(nodes[i][0])) for i, r in zip(kept, smooth, strict=True) if r >= spread * smooth.std()]
-    # The narrowest container of nearly all the selected text, or the article around it.
+    # The innermost article that holds nearly all the selected text; without one, the narrowest container of all of it.
     weight: dict[int, int] = {}
     for i, n in selected:
         e = nodes[i][1]
         while e >= 0:
             weight[e] = weight.get(e, 0) + n
             e = elements[e][0]
-    enough = share * sum(n for _, n in selected)
+    whole = sum(n for _, n in selected)
     depth = lambda e: len(path(e))
-    home = max((e for e, w in weight.items() if w >= enough and (e == 0 or elements[e][1] in _CONTAINER)), key=depth, default=0)
-    e = home
-    while e > 0:
-        if elements[e][1] in ("article", "main"):
-            home = e
-            break
-        e = elements[e][0]
+    marked = [e for e, w in weight.items() if w >= share * whole and elements[e][1] in ("article", "main")]
+    home = max(marked or (e for e, w in weight.items() if w == whole and (e == 0 or elements[e][1] in _CONTAINER)), key=depth, default=0)
     inside = {home}
     for e in range(home + 1, len(elements)):
         if elements[e][0] in inside:

@@ -41,6 +41,14 @@ def test_article_without_its_tag():
     assert html_paths.main_text(f"<body>{body}") == "Head Long text, with words. " + "Many words, indeed. " * 9 + "Short."
 
 
+def test_article_keeps_what_stands_around_its_longest_part():
+    body = "Many words, indeed. " * 200
+    page = f"<body><div class=content><div class=lead>A lead, of some length.</div><div class=text>{body}</div><div class=end>The end, at last.</div></div></body>"
+    assert html_paths.main_text(page) == f"A lead, of some length. {body}The end, at last."
+    marked = f"<body><div><p>{body}</p><article><p>{body}</p></article></div></body>"  # half the text is outside the article
+    assert html_paths.main_text(marked) == f"{body}{body}".strip()
+
+
 def test_pages_equal_their_articles(spark):
     from html import unescape
 
