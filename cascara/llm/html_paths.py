@@ -46,7 +46,9 @@ _ENDS = {
 }
 
 #: What is never the article: by tag, by role, by a word of the class or id.
-_OTHER_TAGS = frozenset("head nav header footer aside form menu dialog button label fieldset".split())
+_OTHER_TAGS = frozenset("head nav header footer aside menu dialog button label".split())
+#: By tag, unless most of the text is in it.
+_OTHER_WRAPPERS = frozenset("form fieldset".split())
 _OTHER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _OTHER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
@@ -54,28 +56,37 @@ _OTHER_WORDS = frozenset(
     "modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
     "disqus respond reply replies pagination pager toolbar copyright".split()
 )
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that hold running text: a low score alone does not drop them.
+_TEXT = frozenset("blockquote caption dd dt figcaption li p pre summary td th".split())
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 
 
-def _excluded(tag: str, attributes: str) -> bool:
+def _excluded(tag: str, attributes: str) -> int:
+    """2: never the article; 1: not unless it holds most of the text; 0: not excluded."""
     if tag in _OTHER_TAGS:
-        return True
+        return 2
+    out = int(tag in _OTHER_WRAPPERS)
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return 2
         if name == "role" and value.strip() in _OTHER_ROLES:
-            return True
+            if value.strip() != "form":
+                return 2
+            out = 1
         if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not _OTHER_WORDS.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
+            out = 1
         if name in ("class", "id") and tag == "article" and {"comment", "comments"} & set(re.split(r"[\s_-]+", value)):
-            return True
-    return False
+            out = 1
+    return out
 
 
-def text_nodes(html: str) -> tuple[list[str], list[int], list[int], list[tuple[int, str]]]:
-    """(texts, element of each, block of each, elements as (parent, tag)) outside excluded elements, in page order."""
+def text_nodes(html: str) -> tuple[list[str], list[int], list[int], list[tuple[int, str]], list[int]]:
+    """(texts, element of each, block of each, elements as (parent, tag)) outside elements that are never the article,
+    in page order, and the elements that are not unless they hold most of the text."""
     elements: list[tuple[int, str]] = [(-1, "")]
+    doubted: list[int] = []
     stack, skipped = [(0, "")], 0  # skipped: depth of the stack at which an excluded element began
     texts, owners, blocks = [], [], []
     block = last = 0
@@ -124,12 +135,15 @@ def text_nodes(html: str) -> tuple[list[str], list[int], list[int], list[tuple[i
                     break
         elements.append((stack[-1][0], tag))
         stack.append((len(elements) - 1, tag))
-        if not skipped and _excluded(tag, m[4]):
-            skipped = len(stack)
+        if not skipped and (other := _excluded(tag, m[4])):
+            if other == 2:
+                skipped = len(stack)
+            else:
+                doubted.append(len(elements) - 1)
         if m[4].endswith("/") and tag not in _BLOCK:
             close(len(stack) - 1)
     text(len(html))
-    return texts, owners, blocks, elements
+    return texts, owners, blocks, elements, doubted
 
 
 def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: float = 0.9) -> str:
@@ -137,11 +151,8 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
     standard deviations of the smoothed ratios; ``share``: of the selected text, what an article or main element must hold to be the container by its tag."""
     if not html:
         return ""
-    raw, owners, blocks, elements = text_nodes(html)
-    nodes = [(" ".join(unescape(t).split()), o, b, t) for t, o, b in zip(raw, owners, blocks, strict=True)]
-    kept = [i for i, n in enumerate(nodes) if n[0]]
-    if not kept:
-        return ""
+    raw, owners, blocks, elements, doubted = text_nodes(html)
+    texts = [" ".join(unescape(t).split()) for t in raw]
     paths: dict[int, tuple[str, ...]] = {}
 
     def path(e: int) -> tuple[str, ...]:
@@ -149,38 +160,93 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
             paths[e] = (*path(elements[e][0]), elements[e][1]) if e else ()
         return paths[e]
 
-    # Ratios of each path, fused, at each of its nodes.
-    total: dict[tuple[str, ...], list[float]] = {}
-    for i in kept:
-        x = total.setdefault(path(nodes[i][1]), [0, 0, 0])
-        x[0] += len(nodes[i][0])
-        x[1] += len(_PUNCTUATION.findall(nodes[i][0]))
-        x[2] += 1
-    ratio = np.array([(x := total[path(nodes[i][1])])[0] / x[2] * (1 + x[1] / x[2]) for i in kept])
-    kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / max(1, radius / 2)) ** 2)
-    padded = np.pad(ratio, radius, mode="edge")
-    smooth = np.convolve(padded, kernel / kernel.sum(), "valid")
-    selected = [(i, len(nodes[i][0])) for i, r in zip(kept, smooth, strict=True) if r >= spread * smooth.std()]
+    def within(tops: set[int]) -> set[int]:
+        out = set(tops)
+        for e in range(min(tops, default=len(elements)) + 1, len(elements)):
+            if elements[e][0] in out:
+                out.add(e)
+        return out
+
+    def select(left: list[int]) -> tuple[dict[int, int], set[tuple[str, ...]]]:
+        """Selected text in each element, and the paths that score low themselves."""
+        total: dict[tuple[str, ...], list[float]] = {}  # ratios of each path, fused, at each of its nodes
+        for i in left:
+            x = total.setdefault(path(owners[i]), [0, 0, 0])
+            x[0] += len(texts[i])
+            x[1] += len(_PUNCTUATION.findall(texts[i]))
+            x[2] += 1
+        fused = {p: x[0] / x[2] * (1 + x[1] / x[2]) for p, x in total.items()}
+        ratio = np.array([fused[path(owners[i])] for i in left])
+        kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / max(1, radius / 2)) ** 2)
+        smooth = np.convolve(np.pad(ratio, radius, mode="edge"), kernel / kernel.sum(), "valid")
+        bound = spread * smooth.std()
+        weight: dict[int, int] = {}
+        for i, r in zip(left, smooth, strict=True):
+            e = owners[i] if r >= bound else -1
+            while e >= 0:
+                weight[e] = weight.get(e, 0) + len(texts[i])
+                e = elements[e][0]
+        return weight, {p for p, r in fused.items() if r < bound}
+
+    kept = [i for i, t in enumerate(texts) if t]
+    if not kept:
+        return ""
+    if doubted:
+        weight, _ = select(kept)
+        most = [e for e in doubted if 2 * weight.get(e, 0) > weight.get(0, 0)]
+        apart = within(set(doubted))
+        # An article or main element elsewhere says itself what the page is about, however long the comments on it are.
+        if most and not any(elements[e][1] in ("article", "main") and w and e not in apart and most[-1] not in within({e}) for e, w in weight.items()):
+            doubted = [e for e in doubted if e not in most]
+            apart = within(set(doubted))
+        kept = [i for i in kept if owners[i] not in apart]
+        if not kept:
+            return ""
+    else:
+        apart = set()
+    weight, low = select(kept)
     # The innermost article that holds nearly all the selected text; without one, the narrowest container of all of it.
-    weight: dict[int, int] = {}
-    for i, n in selected:
-        e = nodes[i][1]
-        while e >= 0:
-            weight[e] = weight.get(e, 0) + n
-            e = elements[e][0]
-    whole = sum(n for _, n in selected)
+    whole = weight.get(0, 0)
     depth = lambda e: len(path(e))
     marked = [e for e, w in weight.items() if w >= share * whole and elements[e][1] in ("article", "main")]
     home = max(marked or (e for e, w in weight.items() if w == whole and (e == 0 or elements[e][1] in _CONTAINER)), key=depth, default=0)
-    inside = {home}
-    for e in range(home + 1, len(elements)):
-        if elements[e][0] in inside:
-            inside.add(e)
-    joined: dict[int, list[str]] = {}
-    for t, o, b in zip(raw, owners, blocks, strict=True):
+    inside = within({home}) - apart
+    joined: dict[int, list[int]] = {}
+    for i, (o, b) in enumerate(zip(owners, blocks, strict=True)):
         if o in inside:
-            joined.setdefault(b, []).append(t)
-    return " ".join(filter(None, (" ".join(unescape("".join(parts)).split()) for _, parts in sorted(joined.items()))))
+            joined.setdefault(b, []).append(i)
+    # Blocks whose paths all score low go if they are no text elements or mostly links, headings with all beside them.
+    dropped, holds = set(), set()
+    for b, own in joined.items():
+        size = sum(len(texts[i]) for i in own)
+        if not size:
+            continue
+        tops, links = set(), 0
+        for i in own:
+            if texts[i]:
+                e, link = owners[i], False
+                while e and elements[e][1] not in _BLOCK:
+                    link |= elements[e][1] == "a"
+                    e = elements[e][0]
+                tops.add(e)
+                links += link * len(texts[i])
+        if any(elements[e][1] in _HEADING for e in tops):
+            continue
+        if home not in tops and all(path(owners[i]) in low for i in own if texts[i]) and (2 * links > size or not any(elements[e][1] in _TEXT for e in tops)):
+            dropped.add(b)
+        else:
+            for e in tops:
+                while e > home and e not in holds:
+                    holds.add(e)
+                    e = elements[e][0]
+    holds.add(home)
+    for b, own in joined.items():
+        for e in (owners[i] for i in own if texts[i]):
+            while e and elements[e][1] not in _HEADING and elements[e][1] not in _BLOCK:
+                e = elements[e][0]
+            if elements[e][1] in _HEADING and e != home and elements[e][0] not in holds:
+                dropped.add(b)
+    return " ".join(filter(None, (" ".join(unescape("".join(raw[i] for i in own)).split()) for b, own in sorted(joined.items()) if b not in dropped)))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -49,6 +49,24 @@ def test_article_keeps_what_stands_around_its_longest_part():
     assert html_paths.main_text(marked) == f"{body}{body}".strip()
 
 
+@pytest.mark.parametrize("wrapper", ["div class='has-sidebar'", "div id=page-with-ads", "section class='related-work'", "form action=/x", "div role=form"])
+def test_wrapper_of_the_page_is_no_advert(wrapper):
+    body = "".join(f"<p>{'Many words, indeed. ' * 20}</p>" for _ in range(6))
+    text = " ".join(["Many words, indeed. " * 20] * 6).split()
+    page = f"<body><nav>Home</nav><{wrapper}><h1>Title</h1>{body}<div class=sidebar><p>Other, things.</p></div></{wrapper.split()[0]}><div class=ads>Buy, now.</div></body>"
+    assert html_paths.main_text(page).split() == ["Title", *text]
+    comments = f"<body><article><p>A short article, with some words in it.</p></article><div class=comments>{body}</div></body>"
+    assert html_paths.main_text(comments) == "A short article, with some words in it."
+
+
+def test_low_paths_inside_the_article():
+    long = f"<p>{'Many words, indeed. ' * 20}</p>"
+    advert = "<div class=zone7><h3>Deal</h3><span>Buy <a>now</a></span></div><ul><li><a>One</a></li><li><a>Two</a></li></ul>"
+    page = f"<body><article><h1>Title</h1>{long * 3}<h2>Part</h2><ul><li>First.</li><li>Second, <a>linked</a> point.</li></ul><section><h2>End</h2><p>Short <b>one</b>.</p></section>{advert}{long}</article></body>"
+    many = "Many words, indeed. " * 20
+    assert html_paths.main_text(page).split() == f"Title {many * 3} Part First. Second, linked point. End Short one. {many}".split()
+
+
 def test_pages_equal_their_articles(spark):
     from html import unescape
 
