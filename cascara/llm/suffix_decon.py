@@ -6,10 +6,11 @@ binary-searched in the shard word by word, all of them at once; the range that i
 match. Documents stay where they are: nothing is shuffled, and the shards are as many as the data need.
 
 The benchmark is the only side that goes to every task. Its size is measured; beyond ``ITEM_BYTES`` it is cut into
-slices by item id that are searched one after the other and summed per document.
+slices by item id and text that are searched one after the other and summed per document.
 
 Defined cases: null and empty texts have no words and are clean; an item without words hits nothing; equal item ids
-count as one item; repeated documents are judged each for itself; an empty table of documents gives no rows, an empty
+count as one item; an item with a null id is searched like any other, and its words count as hit, but it is no counted or
+listed item; repeated documents are judged each for itself; an empty table of documents gives no rows, an empty
 benchmark leaves every document clean; only the named columns are read, other columns may have any name (``clean``
 returns them all).
 """
@@ -119,7 +120,7 @@ class Items:
 
     def __init__(self, ids: list, texts: list[str | None], window: int):
         self.window = window
-        self.ids = np.array([str(i) for i in ids], object)
+        self.ids = np.array([None if i is None else str(i) for i in ids], object)
         self.words, first = words(pa.array(texts, pa.string()))
         n = np.diff(first) - 1
         count = np.where(n >= window, n - window + 1, (n > 0).astype(np.int64))
@@ -157,11 +158,11 @@ def item_slices(benchmark: DataFrame) -> list[DataFrame]:
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     n = math.ceil(total / ITEM_BYTES)
-    return [rows] if n <= 1 else [rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i) for i in range(n)]
+    return [rows] if n <= 1 else [rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
 def _items(rows: DataFrame, window: int) -> Items:
-    got = rows.where("item_id is not null").collect()  # at most about ITEM_BYTES, see item_slices
+    got = rows.collect()  # at most about ITEM_BYTES, see item_slices
     return Items([r["item_id"] for r in got], [r["text"] for r in got], window)
 
 
@@ -207,7 +208,8 @@ def _judge(items: Items, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[
     found: list[list[str]] = [[] for _ in n_words]
     pairs = np.unique(row * len(items.ids) + items.item[suffix]) if len(row) else []
     for p in pairs:
-        found[p // len(items.ids)].append(items.ids[p % len(items.ids)])
+        if items.ids[p % len(items.ids)] is not None:
+            found[p // len(items.ids)].append(items.ids[p % len(items.ids)])
     return n_words, n_hit, [sorted(set(x)) for x in found]
 
 

@@ -121,6 +121,26 @@ def test_decontamination(spark, monkeypatch, shard, bound):
     assert max(r["n_words"] for r in longest) == len(texts[3].split())
 
 
+@pytest.mark.parametrize("bound", [32_000_000, 300])
+def test_decontamination_by_items_without_id(spark, monkeypatch, bound):
+    monkeypatch.setattr(suffix_decon, "ITEM_BYTES", bound)
+    docs = documents(spark).where("doc_id != 1000")
+    texts = [t for _, t in rows_of(docs) if t]
+    items = [(None, " ".join(texts[3].split()[4:30])), (None, "two words"), (7, texts[5][:200]), (7, texts[3])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r for r in suffix_decon.judge(docs, benchmark).collect()}
+    only = {r["doc_id"]: r for r in suffix_decon.judge(docs, benchmark.where("item_id is null")).collect()}
+    for i, n_words, n_hit, _, _, hit in brute_decontamination(rows_of(docs), [(0, t) for _, t in items]):
+        assert (got[i]["n_words"], got[i]["n_hit"], got[i]["contaminated"]) == (n_words, n_hit, hit)
+    for i, _, _, n, digest, _ in brute_decontamination(rows_of(docs), items[2:]):
+        assert (got[i]["n_items"], got[i]["items_sha256"]) == (n, digest)
+    for i, _, n_hit, _, _, hit in brute_decontamination(rows_of(docs), [(0, t) for _, t in items[:2]]):
+        assert (only[i]["n_hit"], only[i]["n_items"], only[i]["contaminated"]) == (n_hit, 0, hit)
+    assert sum(r["contaminated"] for r in only.values()) >= 2
+    clean = suffix_decon.clean(docs, benchmark).collect()
+    assert {r["doc_id"] for r in clean} == {i for i, r in got.items() if not r["contaminated"]}
+
+
 def test_decontamination_of_nothing(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "item_id long, text string")
