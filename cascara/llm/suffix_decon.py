@@ -6,7 +6,8 @@ binary-searched in the shard word by word, all of them at once; the range that i
 match. Documents stay where they are: nothing is shuffled, and the shards are as many as the data need.
 
 The benchmark is the only side that goes to every task. Its size is measured; beyond ``ITEM_BYTES`` it is cut into
-slices by item id and text that are searched one after the other and summed per document.
+slices by item id and text that are searched one after the other; the documents are then written once with a key per
+row, and what the slices find is brought together by that key.
 
 Defined cases: null and empty texts have no words and are clean; an item without words hits nothing; equal item ids
 count as one item; an item with a null id is searched like any other, and its words count as hit, but it is no counted or
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascara.llm.common import LOWER, buffers, find_words, hash_words, prepare, slices
+from cascara.llm.common import LOWER, buffers, find_words, hash_words, prepare, slices, stage
 
 WINDOW = 10
 #: Text bytes and words of a shard; a shard has at most 2**21 suffixes unless one document is longer.
@@ -231,18 +232,20 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
     if all_items:
         return rows.mapInArrow(work, RESULT)
-    # A benchmark beyond the bound: all places from all slices, joined to the documents' words per document.
-    found = matches(docs, benchmark, window)
+    # A benchmark beyond the bound: all places from all slices, joined to the documents' words. Ids may be null or repeat,
+    # so rows are written with a key of their own, which must be the same for every slice.
+    kept = stage(rows.withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
+    found = matches(kept.select(F.col("row").alias("doc_id"), "text"), benchmark, window).withColumnRenamed("doc_id", "row")
     size = F.least("n_words", F.lit(window))
-    places = found.groupBy("doc_id").agg(F.collect_set(F.struct(F.col("doc_start").alias("a"), (F.col("doc_start") + size).alias("b"))).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items"))
+    places = found.groupBy("row").agg(F.collect_set(F.struct(F.col("doc_start").alias("a"), (F.col("doc_start") + size).alias("b"))).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items"))
     empty = Items([], [], window)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SHARD_BYTES):
             n_words, _, _ = _judge(empty, batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64())], ["doc_id", "n_words"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(n_words, pa.int64())], ["row", "doc_id", "n_words"])
 
-    counted = rows.mapInArrow(count, "doc_id long, n_words long").join(places, "doc_id", "left")
+    counted = kept.select("row", "doc_id", "text").mapInArrow(count, "row long, doc_id long, n_words long").join(places, "row", "left")
     step = F.aggregate(
         F.array_sort("spans"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
         lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(s["to"], x["a"]))).alias("n"), F.greatest(s["to"], x["b"]).alias("to")),

@@ -141,6 +141,21 @@ def test_decontamination_by_items_without_id(spark, monkeypatch, bound):
     assert {r["doc_id"] for r in clean} == {i for i, r in got.items() if not r["contaminated"]}
 
 
+def test_decontamination_is_the_same_above_the_bound(spark, monkeypatch):
+    """Null ids, and an id that rows with different texts share."""
+    docs = documents(spark)
+    texts = [t for _, t in rows_of(docs) if t]
+    more = [(None, texts[3]), (None, texts[6]), (1000, texts[3]), (1000, texts[9]), (None, None)]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    items = [(1, " ".join(texts[3].split()[4:30])), (2, "two words"), (5, texts[6][-300:]), (12, texts[3])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = rows_of(docs)
+    expected = sorted(str((rows[r[0]][0], *r[1:])) for r in brute_decontamination([(k, t) for k, (_, t) in enumerate(rows)], items))
+    for bound in (32_000_000, 300):
+        monkeypatch.setattr(suffix_decon, "ITEM_BYTES", bound)
+        assert sorted(str(tuple(r)) for r in suffix_decon.judge(docs, benchmark).collect()) == expected
+
+
 def test_decontamination_of_nothing(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "item_id long, text string")
