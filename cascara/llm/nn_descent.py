@@ -5,7 +5,8 @@ from exact neighbours inside small cells of random hyperplanes. Then each round
 meet in groups together with their current neighbours, everything that meets is compared, and each node keeps its best;
 rounds end when they change little. A cell that is too large (a dense cluster) is split at random, so no group grows
 with the data. Inner product becomes a metric's order by one more coordinate that fills every vector up to the longest.
-Vectors travel to the groups in half precision; the search scores the original vectors in double precision.
+That coordinate is near 1 for all but the longest, so what is compared is the product less 1, a sum of terms of the size of
+the short vectors' own products. Vectors travel to the groups as directions in half precision with their lengths; the search scores the original vectors in double precision.
 
 A search starts at the query's own node and at a few fixed entries (the longest vectors, which inner products favour,
 and some others) and expands the best unexpanded nodes of its beam, hop by hop, all queries at once, until the 2 k
@@ -41,6 +42,9 @@ ENTRIES = 128
 #: Rows that the hyperplanes' medians are taken from.
 SAMPLE = 4_000
 
+#: Below every score of two nodes, which is their product less 1.
+NONE = -4.0
+
 GRAPH = "node long, near array<long>, score array<float>"
 
 
@@ -65,20 +69,27 @@ def matrix(column: pa.ChunkedArray, kind: type = np.float32) -> np.ndarray:
 
 
 def halves(nodes: DataFrame, longest: float) -> DataFrame:
-    """(node, half): vectors filled up to the longest one's length, scaled to length 1, in half precision."""
+    """(node, half): each vector's direction in half precision, then its length as a share of the longest one's in single
+    precision."""
 
     def work(batches):
         for batch in batches:
-            x = matrix(pa.chunked_array([batch.column(1)])) / longest
-            rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1, keepdims=True)))
-            half = np.hstack([x, rest]).astype("<f2")
+            x = matrix(pa.chunked_array([batch.column(1)]), np.float64)
+            norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+            share = np.minimum(norm / longest, 1).astype("<f4")
+            half = np.hstack([(x / norm).astype("<f2").view(np.uint8).reshape(len(x), -1), share.view(np.uint8).reshape(len(x), -1)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in half], pa.binary())], ["node", "half"])
 
     return nodes.select("node", "embedding").mapInArrow(work, "node long, half binary")
 
 
-def _half(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<f2").reshape(len(column), -1).astype(np.float32)
+def _half(blobs: list[bytes]) -> np.ndarray:
+    """Vectors at most 1 long, and by how much the coordinate that fills each up to length 1 falls short of 1."""
+    raw = np.frombuffer(b"".join(blobs), np.uint8).reshape(len(blobs), -1)
+    share = np.ascontiguousarray(raw[:, -4:]).view("<f4")
+    x = np.ascontiguousarray(raw[:, :-4]).view("<f2").astype(np.float32) * share
+    square = share.astype(np.float64) ** 2
+    return np.hstack([x, (square / (1 + np.sqrt(1 - square))).astype(np.float32)])
 
 
 def cells(points: DataFrame, count: int, size: int, seed: int) -> DataFrame:
@@ -86,13 +97,13 @@ def cells(points: DataFrame, count: int, size: int, seed: int) -> DataFrame:
     with more is split at random."""
     bits = max(0, round(math.log2(max(1, count / size))))
     sample = [r["half"] for r in points.orderBy(F.xxhash64("node")).limit(SAMPLE).select("half").collect()]
-    x = np.frombuffer(b"".join(sample), "<f2").reshape(len(sample), -1).astype(np.float32)
+    x = _half(sample) if sample else np.zeros((0, 0), np.float32)
     planes = np.random.default_rng(seed).normal(size=(x.shape[1], bits)).astype(np.float32)
     medians = np.median(x @ planes, axis=0) if bits else np.zeros(0)
 
     def work(batches):
         for batch in batches:
-            sides = _half(pa.chunked_array([batch.column(1)])) @ planes > medians
+            sides = _half(batch.column(1).to_pylist()) @ planes > medians
             cell = (sides.astype(np.int64) << np.arange(bits)).sum(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell, pa.int64())], ["node", "cell"])
 
@@ -107,13 +118,15 @@ def _compare(degree: int):
 
     def work(table: pa.Table) -> pa.Table:
         ids = table["node"].to_numpy()
-        x = _half(table["half"])
+        x = _half(table["half"].to_pylist())
+        short, one = x[:, -1:], np.ones((len(x), 1), np.float32)
+        left, right = np.hstack([x, -short, one]), np.hstack([x, one, -short])  # x y + (1 - a) (1 - b) - 1
         least = table["least"].to_numpy()
         n = len(ids)
         take = min(degree, n - 1)
         node, near, score = [], [], []
         for a in range(0, n, 512) if take > 0 else ():
-            s = x[a : a + 512] @ x.T
+            s = left[a : a + 512] @ right.T
             s[np.arange(len(s)), np.arange(a, a + len(s))] = -np.inf
             best = np.argpartition(s, n - take, axis=1)[:, n - take :]
             got = np.take_along_axis(s, best, axis=1)
@@ -160,14 +173,14 @@ def build(points: DataFrame, count: int, degree: int = DEGREE) -> DataFrame:
     start = None
     for seed in range(TREES):
         cell = cells(points, count, CELL, seed)
-        found = cell.join(points, "node").select("cell", "node", "half", F.lit(-2.0).cast("float").alias("least")).groupBy("cell").applyInArrow(kernel, GRAPH)
+        found = cell.join(points, "node").select("cell", "node", "half", F.lit(NONE).cast("float").alias("least")).groupBy("cell").applyInArrow(kernel, GRAPH)
         start = found if start is None else start.unionByName(found)
     graph = stage(merged(start, buckets, degree), "neighbours-0")
     for turn in range(1, ROUNDS + 1):
         group = stage(cells(points, count, GROUP, 1000 + turn), "neighbours-cells")
         around = group.join(graph, "node", "left").select("cell", F.explode(F.concat(F.array("node"), F.coalesce("near", F.array().cast("array<long>")))).alias("node")).distinct()
-        least = graph.select("node", F.when(F.size("near") >= degree, F.element_at("score", -1)).otherwise(F.lit(-2.0)).cast("float").alias("least"))
-        known = points.join(least, "node", "left").select("node", "half", F.coalesce("least", F.lit(-2.0).cast("float")).alias("least"))
+        least = graph.select("node", F.when(F.size("near") >= degree, F.element_at("score", -1)).otherwise(F.lit(NONE)).cast("float").alias("least"))
+        known = points.join(least, "node", "left").select("node", "half", F.coalesce("least", F.lit(NONE).cast("float")).alias("least"))
         better = around.join(known, "node").select("cell", "node", "half", "least").groupBy("cell").applyInArrow(kernel, GRAPH)
         new = stage(merged(graph.unionByName(better), buckets, degree), f"neighbours-{turn}")
         fresh = new.join(graph.select("node", F.col("near").alias("was")), "node", "left")

@@ -343,6 +343,24 @@ def test_neighbours(spark):
     assert nn_descent.nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_beside_a_very_long_vector(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 48))
+    x = centres[rng.integers(0, 60, 4000)] + 0.5 * rng.normal(size=(4000, 48))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True) * rng.uniform(0.8, 1, size=(4000, 1))).astype(np.float32)
+    x[1] *= 20 / np.linalg.norm(x[1])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in nn_descent.nearest(table, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    m, hits = x.astype(np.float64), []
+    for i in range(0, 4000, 20):
+        s = m @ m[i]
+        s[i] = -np.inf
+        hits.append(len(got[i] & set(np.argsort(-s)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.95, np.mean(hits)
+
+
 # Toxicity
 
 
