@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, ngram_join, nn_descent, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
+from cascara.llm import bin_slack, html_paths, kneser_ney, ngram_join, nn_descent, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
 from cascara.llm.sql import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def op9_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a Kneser-Ney model of the training documents."""
+    return kneser_ney.score(table(spark, sf_dir, "documents"))
