@@ -25,6 +25,7 @@ import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ SUMS = 5
 END, BEGIN = np.uint64(0x5851F42D4C957F2C), np.uint64(0x14057B7EF767814E)
 FALLBACK = (0.5, 1.0, 1.5)
 
+_SMALL = "chunk long, doc_id long, text binary, held_out boolean"
 _ASKED = "chunk long, level int, part int, keys binary, sums binary"
 _ANSWERS = "chunk long, level int, part int, sums binary, owned binary"
 _TOTALS = ("ones", "twos", "threes", "fours", "kinds", "sum", "words", "tokens")
@@ -70,11 +72,11 @@ def score(docs: DataFrame, held_out: Column | None = None, order: int = ORDER, f
         held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
     frame = docs.select(
         F.pmod(F.xxhash64("doc_id", F.col("text").cast("string")), F.lit(chunks)).alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+        F.col("text").cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")).mapInArrow(_small, _SMALL)
 
     def first(table: pa.Table) -> pa.Table:
         release()
-        grams = _Grams(ordered(table), order)
+        grams = _Grams(table, order)
         return _asked(grams, order, [grams.count(order)], parts)
 
     def lower(level: int):
@@ -82,7 +84,7 @@ def score(docs: DataFrame, held_out: Column | None = None, order: int = ORDER, f
             release()
             if not table.num_rows:
                 return _empty(_ASKED)
-            grams = _Grams(ordered(table), order)
+            grams = _Grams(table, order)
             return _asked(grams, level, grams.contributions(level, *_answers(back, level + 1, order)), parts)
 
         return work
@@ -95,7 +97,9 @@ def score(docs: DataFrame, held_out: Column | None = None, order: int = ORDER, f
         else:
             asked = frame.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lower(level), _ASKED)
         ranges = asked.groupBy("part")
-        answers = ranges.applyInArrow(_answerer(folder, level, order), _ANSWERS).repartition("chunk")  # one exchange for both readers
+        answers = ranges.applyInArrow(_answerer(folder, level, order), _ANSWERS)
+        if level > 1:
+            answers = answers.repartition("chunk")  # one exchange for both readers
         every += [answers, _to_all(ranges.applyInArrow(_totals(level, order), ", ".join(f"{c} long" for c in _TOTALS)), level, chunks)]
     known = every[0]
     for more in every[1:]:
@@ -103,7 +107,7 @@ def score(docs: DataFrame, held_out: Column | None = None, order: int = ORDER, f
 
     def finish(table: pa.Table, back: pa.Table) -> pa.Table:
         release()
-        return _scores(_Grams(ordered(table), order), back, order) if table.num_rows else _empty(_SCORES)
+        return _scores(_Grams(table, order), back, order) if table.num_rows else _empty(_SCORES)
 
     return frame.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(finish, _SCORES)
 
@@ -114,11 +118,27 @@ def perplexity(scores: DataFrame) -> DataFrame:
     return scores.groupBy("held_out").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), *mean)
 
 
+def squeezed(data: bytes, pack_it: bool = True) -> bytes:
+    """Bytes as they travel, behind their length: compressed, or (``pack_it`` false) back as they were."""
+    if pack_it:
+        return len(data).to_bytes(6, "little") + pa.compress(data, "zstd", asbytes=True)
+    return pa.decompress(data[6:], int.from_bytes(data[:6], "little"), "zstd", asbytes=True)
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the exchange that every level reads."""
+    for b in batches:
+        text = pa.array([t and squeezed(t) for t in b.column("text").cast(pa.binary()).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column("chunk"), b.column("doc_id"), text, b.column("held_out")], names=["chunk", "doc_id", "text", "held_out"])
+
+
 class _Grams:
     """The n-grams of a chunk's documents by level (their length): for each token the key of the n-gram that it ends,
     the distinct keys in order, and where a key or context stands among them."""
 
     def __init__(self, table: pa.Table, order: int):
+        texts = pa.array([t and squeezed(t, False) for t in table["text"].to_pylist()], pa.binary()).cast(pa.string())
+        table = ordered(table.set_column(table.schema.get_field_index("text"), "text", texts))
         self.order = order
         self.chunk = table["chunk"][0].as_py()
         self.ids = table["doc_id"]
@@ -208,22 +228,27 @@ def _asked(grams: _Grams, level: int, sums: list[np.ndarray], parts: int) -> pa.
             "chunk": pa.array(np.full(len(used), grams.chunk, np.int64)),
             "level": pa.array(np.full(len(used), level, np.int32)),
             "part": pa.array(used.astype(np.int32)),
-            "keys": pa.array([pack(keys[cuts[p] : cuts[p + 1]], 8) for p in used], pa.binary()),
-            "sums": pa.array([b"".join(pack(s[cuts[p] : cuts[p + 1]], WIDTH) for s in sums) for p in used], pa.binary()),
+            "keys": pa.array([squeezed(pack(keys[cuts[p] : cuts[p + 1]], 8)) for p in used], pa.binary()),
+            "sums": pa.array([squeezed(b"".join(pack(s[cuts[p] : cuts[p + 1]], WIDTH) for s in sums)) for p in used], pa.binary()),
         }
     )
 
 
 def _split(blob: bytes, columns: int) -> np.ndarray:
     """The columns of packed sums."""
+    blob = squeezed(blob, False)
     size = len(blob) // columns
     return np.stack([unpack(blob[c * size : (c + 1) * size], WIDTH) for c in range(columns)])
 
 
+def _keys(blob: pa.Scalar) -> np.ndarray:
+    return unpack(squeezed(blob.as_py(), False), 8)
+
+
 def _merged(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
     """All keys of a range, each once and in order, with their sums; the order of what the chunks sent (by chunk), the
     first of each key in it, and how many keys each chunk sent."""
-    rows = [unpack(k.as_py(), 8) for k in table["keys"]]
+    rows = [_keys(k) for k in table["keys"]]
     sums = np.concatenate([_split(s.as_py(), columns) for s in table["sums"]], axis=1)
     keys = np.concatenate(rows)
     by_key = np.argsort(keys, kind="stable")
@@ -250,12 +275,13 @@ def _answerer(folder: str, level: int, order: int):
         owned[by_key[owner]] = True
         out_sums, out_owned, begin = [], [], 0
         for row, n in zip(table["keys"], sent, strict=True):
-            asked = unpack(row.as_py(), 8)
+            asked = _keys(row)
             place = np.searchsorted(known, asked)
             place[place == len(known)] = 0
             hit = known[place] == asked if len(known) else np.zeros(n, bool)
-            out_sums.append(b"".join(pack(np.where(hit, s[place], 0).astype(np.uint64) if len(known) else np.zeros(n, np.uint64), WIDTH) for s in stored))
-            out_owned.append(np.packbits(owned[begin : begin + n]).tobytes())
+            found = [np.where(hit, s[place], 0).astype(np.uint64) if len(known) else np.zeros(n, np.uint64) for s in stored]
+            out_sums.append(squeezed(b"".join(pack(s, WIDTH) for s in found)))
+            out_owned.append(squeezed(np.packbits(owned[begin : begin + n]).tobytes()))
             begin += n
         return pa.table(
             {
@@ -295,7 +321,7 @@ def _answers(back: pa.Table, level: int, order: int) -> tuple[np.ndarray, np.nda
     columns = _columns(level, order)
     back = back.filter(pa.compute.equal(back["level"], level)).sort_by("part")
     sums = [_split(s.as_py(), columns) for s in back["sums"]]
-    owned = [np.unpackbits(np.frombuffer(o.as_py(), np.uint8), count=s.shape[1]) for o, s in zip(back["owned"], sums, strict=True)]
+    owned = [np.unpackbits(np.frombuffer(squeezed(o.as_py(), False), np.uint8), count=s.shape[1]) for o, s in zip(back["owned"], sums, strict=True)]
     return np.concatenate(sums, axis=1), np.concatenate(owned).astype(bool)
 
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm import bin_slack, html_paths, kneser_ney, ngram_join, nn_descent, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
+from cascara.llm import bin_slack, equal_average, html_paths, kneser_ney, ngram_join, nn_descent, ptolemaic, reshard, run_length_dedup, secrets, substring_dedup, suffix_decon, toxicity
 from cascara.llm.sql import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,7 +97,20 @@ def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFram
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_ptolemaic_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of the embeddings after three rounds."""
+    return ptolemaic.cluster(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under a Kneser-Ney model of the training documents."""
-    return kneser_ney.score(table(spark, sf_dir, "documents"))
+    out = kneser_ney.score(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})  # sums of any order agree so far
+
+
+@query
+def op13_equal_average_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings in four parts of 256 entries after four rounds."""
+    return equal_average.encode(table(spark, sf_dir, "embeddings"))

@@ -40,4 +40,95 @@ least_ AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM least_ LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLE = {"op2_suffix_array_decontamination": DECONTAMINATION, "op3_level_wise_doubling": SUBSTRINGS, "op6_vertical_partition_join": CLASSES}
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_GAP = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+_MEAN = "((s - ((s % n) + n) % n) // n)::BIGINT"  # floor, also of negative sums
+
+
+def _clusters(rounds: int = 3) -> str:
+    """Rounds of assigning and averaging; ``a{i}`` are the assignments under the centroids ``c{i}``."""
+    sql = f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+                        FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1)::INTEGER AS c, v FROM e QUALIFY c < 16)"""
+    for i in range(rounds + 1):
+        sql += f""",
+a{i} AS MATERIALIZED (SELECT r, vec_id, e.v, c, {_GAP.format("e.v", "k.v")}::BIGINT AS d FROM e, c{i} k QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+        if i < rounds:
+            sql += f""",
+m{i} AS (SELECT c, list({_MEAN} ORDER BY p) AS v FROM (SELECT c, p, sum(v[p]) AS s, count(*) AS n FROM a{i}, range(1, 65) q(p) GROUP BY c, p) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.v, o.v) AS v FROM c{i} o LEFT JOIN m{i} m ON o.c = m.c)"""
+    return sql + f"""
+SELECT vec_id, a.c AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(k.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} k ON a.c = k.c
+"""
+
+
+def _codes(rounds: int = 4) -> str:
+    """Rounds of assigning and averaging per part; ``a{i}`` are the assignments under the codebooks ``b{i}``."""
+    sql = f"""
+WITH e AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS w
+           FROM embeddings WHERE embedding IS NOT NULL AND {_FINITE}),
+x AS MATERIALIZED (SELECT r, p, w[p * len(w) // 4 + 1:(p + 1) * len(w) // 4] AS v FROM e, range(0, 4) q(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS k, v FROM x WHERE r <= 256)"""
+    for i in range(rounds + 1):
+        sql += f""",
+a{i} AS MATERIALIZED (SELECT r, x.p, x.v, k, {_GAP.format("x.v", "b.v")}::BIGINT AS d FROM x JOIN b{i} b ON x.p = b.p QUALIFY row_number() OVER (PARTITION BY r, x.p ORDER BY d, k) = 1)"""
+        if i < rounds:
+            sql += f""",
+m{i} AS (SELECT p, k, list({_MEAN} ORDER BY j) AS v FROM (SELECT p, k, j, sum(v[j]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(v) + 1)) AS j FROM a{i}) GROUP BY p, k, j) GROUP BY p, k),
+b{i + 1} AS MATERIALIZED (SELECT o.p, o.k, coalesce(m.v, o.v) AS v FROM b{i} o LEFT JOIN m{i} m ON o.p = m.p AND o.k = m.k)"""
+    return sql + f""",
+coded AS (SELECT r, string_agg(lower(lpad(to_hex(k), 2, '0')), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, k)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN e USING (r)
+"""
+
+
+def _discounts(level: str) -> str:
+    """The three discounts of a level (a table with counts ``a``), or the fallback."""
+    return f"""SELECT CASE WHEN ok THEN e1 ELSE 0.5 END AS d1, CASE WHEN ok THEN e2 ELSE 1 END AS d2, CASE WHEN ok THEN e3 ELSE 1.5 END AS d3, n, n1, n2, total
+  FROM (SELECT *, coalesce(e1 > 0 AND e1 <= 1 AND e2 > 0 AND e2 <= 2 AND e3 > 0 AND e3 <= 3 AND n1 > 0 AND n2 > 0 AND n3 > 0, false) AS ok
+    FROM (SELECT *, 1 - 2 * y * n2 / n1 AS e1, 2 - 3 * y * n3 / n2 AS e2, 3 - 4 * y * n4 / n3 AS e3
+      FROM (SELECT *, n1 / (n1 + 2 * n2) AS y FROM (SELECT count(*) AS n, sum(a) AS total, count(*) FILTER (a = 1) AS n1, count(*) FILTER (a = 2) AS n2,
+        count(*) FILTER (a = 3) AS n3, count(*) FILTER (a = 4) AS n4 FROM {level}))))"""
+
+
+_CUT = "CASE WHEN {0} IS NULL THEN 0 WHEN {0} = 1 THEN 1 - {1}.d1 WHEN {0} = 2 THEN 2 - {1}.d2 ELSE {0} - {1}.d3 END"
+
+# the end mark is one space and the begin mark two, which no word holds
+KNESER_NEY = rf"""
+WITH bits AS (SELECT list(list_reduce(list_concat([i::BIGINT], [0::BIGINT, 1, 2, 3, 4, 5, 6, 7]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384::BIGINT, a >> 1) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) q(i)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) % 7 = 2, false) AS held_out,
+         coalesce(regexp_extract_all({_LOWER.format("text")}, '[^ 	-
+]+'), []) || [' '] AS w FROM documents, bits),
+ev AS MATERIALIZED (SELECT r, held_out, w[i] AS w, CASE WHEN i = 1 THEN '  ' ELSE w[i - 1] END AS v FROM docs, range(1, len(w) + 1) q(i)),
+two AS MATERIALIZED (SELECT v, w, count(*) AS a FROM ev WHERE NOT held_out GROUP BY v, w),
+one AS MATERIALIZED (SELECT w, count(*) AS a FROM two GROUP BY w),
+plain AS MATERIALIZED (SELECT w, count(*) AS c FROM ev WHERE NOT held_out GROUP BY w),
+d2 AS ({_discounts("two")}),
+d1 AS ({_discounts("one")}),
+size AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM plain),
+context AS MATERIALIZED (SELECT v, sum(a) AS total, sum(CASE WHEN a = 1 THEN d1 WHEN a = 2 THEN d2 ELSE d3 END) AS rest FROM two, d2 GROUP BY v),
+words AS MATERIALIZED (SELECT plain.w, c, CASE WHEN d1.n = 0 THEN 1 / (size.v + 1) ELSE ({_CUT.format("a", "d1")}) / d1.total END AS p FROM plain LEFT JOIN one ON plain.w = one.w, d1, size),
+scored AS (SELECT r, coalesce(c, 0) AS c, coalesce(words.p, 0) + CASE WHEN d1.n = 0 THEN CASE WHEN words.p IS NULL THEN 1 / (size.v + 1) ELSE 0 END
+               ELSE (d1.d1 * d1.n1 + d1.d2 * d1.n2 + d1.d3 * (d1.n - d1.n1 - d1.n2)) / d1.total / (size.v + 1) END AS p1,
+             {_CUT.format("two.a", "d2")} AS cut, context.total, rest, size.n, size.v
+           FROM ev LEFT JOIN words ON ev.w = words.w LEFT JOIN two ON ev.v = two.v AND ev.w = two.w LEFT JOIN context ON ev.v = context.v, d1, d2, size),
+sums AS (SELECT r, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, sum(log10((c + 1) / (n + 1 * (v + 1)))) AS base,
+           sum(log10(CASE WHEN total IS NULL THEN p1 ELSE (cut + rest * p1) / total END)) AS score FROM scored GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, (SELECT n FROM size)::BIGINT AS train_tokens, round(base, 6) AS base_score, round(score, 6) AS score
+FROM docs JOIN sums USING (r)
+"""
+
+ORACLE = {
+    "op2_suffix_array_decontamination": DECONTAMINATION,
+    "op3_level_wise_doubling": SUBSTRINGS,
+    "op6_vertical_partition_join": CLASSES,
+    "op11_ptolemaic_pivots": _clusters(),
+    "op12_kneser_ney": KNESER_NEY,
+    "op13_equal_average_search": _codes(),
+}

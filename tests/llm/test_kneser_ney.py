@@ -40,19 +40,18 @@ class Plain:
             found = defaultdict(list)
             for g, c in level.items():
                 found[g[:-1]].append(c)
-            self.contexts[k] = found
             n = Counter(level.values())
             self.d[k] = kneser_ney.discounts(n[1], n[2], n[3], n[4])
+            self.contexts[k] = {h: (sum(c), sum(self.d[k][min(x, 3) - 1] for x in c)) for h, c in found.items()}
 
     def p(self, h, w):
         out = 1 / (len(self.plain) + 1)
         for k in range(1, self.order + 1):
             context = tuple(h[len(h) - k + 1 :])
-            counts = self.contexts[k].get(context)
-            if counts:
+            if context in self.contexts[k]:
+                total, rest = self.contexts[k][context]
                 c = self.levels[k].get((*context, w), 0)
-                cut = lambda c, k=k: self.d[k][min(c, 3) - 1] if c else 0
-                out = (max(c - cut(c), 0) + sum(map(cut, counts)) * out) / sum(counts)
+                out = ((c - self.d[k][min(c, 3) - 1] if c else 0) + rest * out) / total
         return out
 
     def score(self, text):
