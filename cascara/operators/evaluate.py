@@ -1,6 +1,7 @@
 """Model evaluation: repeatable split, stratified folds, exact k-nearest neighbours, voting, grid search, metrics.
 
-k-NN is an all-pairs problem; it runs as a distributed block nested loop. Query rows are hashed into ``QB`` blocks and
+k-NN on few rows runs as a distributed block nested loop; on many, only block pairs that can hold a neighbour are formed
+(``knn_pruned``). In the nested loop query rows are hashed into ``QB`` blocks and
 train rows into ``TB`` blocks; each query row is replicated to the ``TB`` train blocks and each train row to the
 ``QB`` query blocks, and ``cogroup(...).applyInPandas`` receives one (query block, train block) pair per group —
 bounded by ``block_rows`` on each side whatever the table size. Inside, numpy computes the distance block and keeps
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -60,9 +62,11 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 3, seed: int
     offsets = counts.select(label, "__b", F.coalesce(F.sum("__n").over(wo), F.lit(0)).alias("__off"))
     wr = Window.partitionBy(label, "__b").orderBy("__h", key)
     ranked = tagged.withColumn("__r", F.row_number().over(wr) - 1)
-    return (ranked.join(offsets, [label, "__b"])
+    offsets = offsets.withColumnsRenamed({label: "__label", "__b": "__bucket"})
+    same = F.col(label).eqNullSafe(F.col("__label")) & (F.col("__b") == F.col("__bucket"))  # rows without a label are a class
+    return (ranked.join(offsets, same)
             .withColumn(out, ((F.col("__off") + F.col("__r")) % F.lit(k)).cast("int"))
-            .drop("__h", "__b", "__r", "__off"))
+            .drop("__h", "__b", "__r", "__off", "__label", "__bucket"))
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -164,7 +168,7 @@ def _groups(train: DataFrame, column: str, most: int = 16) -> list | None:
 def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: str, vec: str = "vec",
                    label: str = "label", metrics: Sequence[str] = METRICS, exclude_same: str | None = None,
                    block_rows: int = 2048, counts: tuple[int, int] | None = None,
-                   decimals: int | None = None) -> DataFrame:
+                   decimals: int | None = None, prune_from: int = 256, report: dict | None = None) -> DataFrame:
     """``(qid, metric, rank, tid, tlabel, dist)``: the ``k`` nearest train rows of every query row, per metric. Keys
     may be of any type with an order; equal distances go to the smaller key.
 
@@ -172,6 +176,10 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
     neighbours; with few values the blocks are cut by value and such pairs are never formed. ``counts`` = (query rows,
     train rows) if known; otherwise two counts are run to size the blocks. ``decimals`` rounds distances before they
     are ranked, only for comparing results with an engine that sums in another order; the default is exact.
+
+    From ``prune_from`` block pairs on, blocks hold near rows and only pairs that can hold a neighbour are formed (see
+    ``knn_pruned``); below, bounding costs more than it saves, and rows are dealt into blocks by key. The result is the
+    same. ``report`` takes, per metric, the numbers of blocks and of pairs formed.
     """
     from cascara.session import ship_package
 
@@ -185,6 +193,24 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
     nq, nt = counts if counts is not None else (q.count(), t.count())
     parts = len(groups) if groups else 1
     qb, tb = _block_counts(spark, math.ceil(nq / parts), math.ceil(nt / parts), block_rows)
+    kinds = {f.name: f.dataType.simpleString() for f in [*q.schema.fields, *t.schema.fields]}
+    schema = f"qid {kinds['qid']}, metric string, tid {kinds['tid']}, tlabel long, dist double"
+    masked = bool(exclude_same) and not groups
+    pairs = qb * tb * parts * max(1, parts - 1)
+    w = Window.partitionBy("qid", "metric").orderBy("dist", "tid")
+    if math.ceil(nq / block_rows) * math.ceil(nt / block_rows) >= prune_from:
+        from cascara.operators.knn_pruned import pruned_pairs
+
+        if not exclude_same:
+            q, t = q.withColumn("grp", F.lit(None).cast("int")), t.withColumn("grp", F.lit(None).cast("int"))
+        found = []
+        for m in metrics:
+            seen = None if report is None else report.setdefault(m, {})
+            found.append(pruned_pairs(
+                q, t, k, lambda a, b, m=m: _distances(a, b, [m])[m], _topk_block(k, [m], masked, decimals), schema, grouped=bool(groups),
+                masked=masked, block_rows=block_rows, n_train=nt, decimals=decimals, report=seen))
+        per_block = reduce(DataFrame.unionByName, found)
+        return per_block.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
     def others(column: str):
         """The groups that a row meets: all but its own."""
@@ -197,16 +223,12 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
              .withColumn("tg", others("grp")).withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(tb - 1)))))
     t_rep = (t.withColumn("tg", own).withColumn("tb", F.pmod(F.xxhash64("tid"), F.lit(tb)).cast("int"))
              .withColumn("qg", others("grp")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    kinds = {f.name: f.dataType.simpleString() for f in [*q.schema.fields, *t.schema.fields]}
-    schema = f"qid {kinds['qid']}, metric string, tid {kinds['tid']}, tlabel long, dist double"
     # The replicated blocks are few bytes but heavy compute: an explicit partition count, set by the cluster's size and
     # not by the number of block pairs, keeps adaptive execution from coalescing them into a couple of tasks.
-    pairs = qb * tb * parts * max(1, parts - 1)
     tasks = min(pairs, 4 * spark.sparkContext.defaultParallelism)
     key = ["qg", "qb", "tg", "tb"]
     per_block = (q_rep.repartition(tasks, *key).groupBy(*key).cogroup(t_rep.repartition(tasks, *key).groupBy(*key))
-                 .applyInPandas(_topk_block(k, metrics, bool(exclude_same) and not groups, decimals), schema))
-    w = Window.partitionBy("qid", "metric").orderBy("dist", "tid")
+                 .applyInPandas(_topk_block(k, metrics, masked, decimals), schema))
     return per_block.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

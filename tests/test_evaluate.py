@@ -98,3 +98,46 @@ def test_package_is_shipped_to_python_workers(spark, emb):
 
     ship_package(spark)
     assert any("cascara-" in p and p.endswith(".zip") for p in spark.sparkContext._python_includes)
+
+
+def _clustered(spark, n=1500, dim=6):
+    rng = np.random.default_rng(5)
+    centres = rng.uniform(-50, 50, (25, dim))
+    x = centres[rng.integers(0, 25, n)] + rng.normal(0, 0.4, (n, dim))
+    x[: n // 3] = x[0]  # a third of all rows are one point
+    x[n - 1] = 4000.0  # and one lies far from all
+    rows = [(f"k{i:05d}", [float(v) for v in r], i % 4, i % 3) for i, r in enumerate(x)]
+    return x, spark.createDataFrame(rows, "id string, vec array<double>, label int, fold int")
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_pruned_neighbours_equal_brute_force(spark, metric):
+    x, df = _clustered(spark)
+    report = {}
+    args = dict(qkey="id", tkey="id", metrics=[metric], block_rows=64)
+    got = EV.knn_neighbours(df, df, 5, prune_from=0, report=report, **args).toPandas()
+    r = report[metric]
+    assert r["formed"] < 0.35 * r["query_blocks"] * r["train_blocks"]
+    d = EV._distances(x, x, [metric])[metric]
+    order = np.stack([np.lexsort((np.arange(len(x)), row))[:5] for row in d])
+    got = got.sort_values(["qid", "rank"])
+    assert got.tid.tolist() == [f"k{i:05d}" for i in order.ravel()]
+    assert np.allclose(got.dist.to_numpy(), np.take_along_axis(d, order, 1).ravel())
+
+
+@pytest.mark.parametrize("column", ["fold", "vec_class"])
+def test_pruned_neighbours_leave_out_own_group(spark, column):
+    """Few groups (blocks cut by group) and many (masked in the kernel) agree with the nested loop."""
+    _, df = _clustered(spark, 500)
+    df = df.withColumn("vec_class", F.substring("id", 5, 2))
+    args = dict(qkey="id", tkey="id", block_rows=64, exclude_same=column, metrics=["manhattan"])
+    got, want = (sorted(map(tuple, EV.knn_neighbours(df, df, 4, prune_from=n, **args).collect())) for n in (0, 10**9))
+    assert got == want and len(got) == 500 * 4
+
+
+def test_folds_keep_rows_without_a_label(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 3).cast("int").alias("label"))
+    got = EV.stratified_folds(df, "id", "label", 3)
+    assert got.count() == 30 and got.columns == ["id", "label", "fold"]
+    sizes = got.groupBy("label", "fold").count().collect()
+    assert {r["label"] for r in sizes} == {None, 1, 2} and max(r["count"] for r in sizes) - min(r["count"] for r in sizes) <= 1
