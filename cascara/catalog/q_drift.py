@@ -136,6 +136,36 @@ def q_drift_gate(spark, sf):
     return g.withColumn("total_psi", rounded(F.col("total_psi")))
 
 
+_GATE_SQL = _churn_sql(
+    D.counts_ctes("base", "cur", FEATURES) + f",\npf AS (SELECT feature, {D.psi_expr()} AS psi FROM sh GROUP BY feature)",
+    "SELECT (SELECT count(*) FROM base) AS n_base, (SELECT count(*) FROM cur) AS n_current, "
+    "round(sum(psi), 6) AS total_psi, 0.2 AS threshold, coalesce(sum(psi) > 0.2 AND NOT isnan(sum(psi)), false) AS refresh "
+    "FROM pf")
+
+
+@query("drift_gate_stored", _GATE_SQL)
+def q_drift_gate_stored(spark, sf):
+    """The gate from a summary published with the snapshot: the baseline is not read again."""
+    from cascara.session import scratch_path
+    from cascara.sources import files as IO
+
+    b, c = split(spark, sf)
+    snapshot = scratch_path(spark, "summed-snapshot")
+    IO.publish_snapshot(b, snapshot, beside=DR.baseline_summary(b, CATEGORICAL, NUMERIC, "values"))
+    g = DR.StoredDrift(IO.read_beside(spark, snapshot), c, CATEGORICAL, NUMERIC, mode="values").score()
+    return g.withColumn("total_psi", rounded(F.col("total_psi")))
+
+
+@query("psi_all_features_stored", _ALL_SQL)
+def q_psi_all_features_stored(spark, sf):
+    """PSI of every feature, numeric ones in bins, from a stored baseline summary with edges."""
+    from cascara.session import written
+
+    b, c = split(spark, sf)
+    summary = written(DR.baseline_summary(b, CATEGORICAL, NUMERIC, "share"), "baseline-summary")
+    return _psi_round(DR.StoredDrift(summary, c, CATEGORICAL, NUMERIC, "share").psi())
+
+
 @query("drift_gate_no_baseline", S.with_chain(
     "SELECT CAST(0 AS BIGINT) AS n_base, count(*) AS n_current, 1.0::DOUBLE AS total_psi, 0.2 AS threshold, "
     "true AS refresh FROM clean"))

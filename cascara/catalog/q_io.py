@@ -133,27 +133,35 @@ def _hour_text(c):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias("window_start")
 
 
-@query("psi_hourly_stream", _HOURLY_SQL)
-def q_psi_hourly_stream(spark, sf):
-    """The same through Structured Streaming: watermark + hourly windows, PSI per closed hour in foreachBatch.
-    The newest hours are still open when the stream ends; being bounded, it closes them at the end."""
+def _streamed(spark, sf, slices, merge_after=()):
+    """Run the hourly job after each slice of ``events`` that lands, and score all hours at the end."""
     ev = table(spark, sf, "events")
     shares = H.baseline_shares(ev.where(F.col("ts") < time_literal(ev, "ts", BASELINE_END)), "event_type")
-    src = scratch_path(spark, "events-src")
-    sink, ckpt = scratch_path(spark, "hourly-sink"), scratch_path(spark, "hourly-ckpt")
-    # four time slices land one after another, and the job runs after each
-    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
-    step = (hi - lo) / 4
-    for i in range(4):
-        cond = F.lit(True)
-        if i > 0:
-            cond = cond & (F.col("ts") >= F.lit(lo + step * i))
-        if i < 3:
-            cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)))
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("events-src", "hourly-sink", "hourly-ckpt"))
+    for i, cond in enumerate(slices(ev)):
         ev.where(cond).write.mode("append").parquet(src)
-        H.hourly_psi_stream(spark.readStream.schema(ev.schema).parquet(src), shares, "ts", "event_type", sink, ckpt)
-    H.close_open_hours(spark.read.schema(ev.schema).parquet(src), shares, "ts", "event_type", sink)
-    ntz = str(ev.schema["ts"].dataType) == "TimestampNTZType()"
-    start = F.col("window_start").cast("timestamp_ntz") if ntz else F.col("window_start")
-    return spark.read.parquet(sink).select(
-        _hour_text(start), F.col("n").cast("long").alias("n"), rounded(F.col("psi")).alias("psi"))
+        H.hourly_psi_stream(spark.readStream.schema(ev.schema).parquet(src), "ts", "event_type", sink, ckpt)
+        if i in merge_after:
+            H.merge_counts(spark, sink)
+    return H.streamed_psi(spark, sink, shares).select(
+        _hour_text(F.col("window_start")), F.col("n").cast("long").alias("n"), rounded(F.col("psi")).alias("psi"))
+
+
+@query("psi_hourly_stream", _HOURLY_SQL)
+def q_psi_hourly_stream(spark, sf):
+    """The same through Structured Streaming: four time slices land one after another, and the job runs after each."""
+    def slices(ev):
+        lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+        step = (hi - lo) / 4
+        cuts = [F.lit(lo + step * i) for i in range(1, 4)]
+        part = F.size(F.filter(F.array(*cuts), lambda c: c <= F.col("ts")))
+        return [F.coalesce(part, F.lit(0)) == i for i in range(4)]
+
+    return _streamed(spark, sf, slices)
+
+
+@query("psi_hourly_late", _HOURLY_SQL)
+def q_psi_hourly_late(spark, sf):
+    """Every hour's rows are spread over all five slices, so all but the first bring late rows for closed hours; counts
+    are merged in between."""
+    return _streamed(spark, sf, lambda ev: [F.pmod(F.xxhash64(*ev.columns), F.lit(5)) == i for i in (3, 0, 4, 2, 1)], merge_after=(1, 3))

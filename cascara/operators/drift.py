@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cascara.functions.columns import clamp_zero, psi_term, quoted, without_nan
+from cascara.session import written
 
 EPS = 1e-10
 DEFAULT_THRESHOLD = 0.2
@@ -184,8 +185,11 @@ def psi_features(base: DataFrame, cur: DataFrame, categorical: Sequence[str], nu
     if mode not in ("share", "density"):
         raise ValueError(f"unknown mode {mode!r}")
     edges = baseline_edges(base, numeric)
-    counts = tagged_counts(base, cur, categorical, numeric, edges, bins)
-    if mode == "share" or not edges:
+    return _psi_of_counts(tagged_counts(base, cur, categorical, numeric, edges, bins), edges, mode, bins)
+
+
+def _psi_of_counts(counts: DataFrame, edges: Edges, mode: str, bins: int) -> DataFrame:
+    if mode != "density" or not edges:
         return _psi(_with_shares(counts, ["feature", "key"]))
     placed = counts.join(F.broadcast(_edge_frame(counts, edges, bins)), ["feature", "key"], "left")
     shares = _with_shares(placed.withColumn("width", F.col("hi_edge") - F.col("lo_edge")), ["feature", "key", "width"])
@@ -231,3 +235,79 @@ def drift_score(base: DataFrame | None, cur: DataFrame, categorical: Sequence[st
     tot = psi_total(psi_features(base, cur, categorical, numeric, mode, bins)).select("total_psi")
     one = side_by_side(n_base, n_cur, tot).select("n_base", "n_current", "total_psi")
     return drift_gate(one, threshold)
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# a stored summary of the baseline
+
+
+#: The "feature" whose count is the number of rows, and the columns of a summary.
+_ROWS = "*"
+SUMMARY = "feature string, key string, n long, lo double, hi double"
+
+
+def _counted(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], edges: Edges, bins: int) -> DataFrame:
+    """``(feature, key, n)`` of every feature, and the number of rows, from one scan."""
+    cols = {c: without_nan(df, c).cast("string") for c in categorical}
+    cols |= {f: bin_of(quoted(f).cast("double"), *edges[f], bins).cast("string") for f in numeric if f in edges}
+    slim = df.select(*[e.alias(n) for n, e in cols.items()], F.lit("").alias(_ROWS))
+    long = slim.unpivot([], [quoted(c) for c in [*cols, _ROWS]], "feature", "key")
+    return long.where(F.col("key").isNotNull()).groupBy("feature", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def baseline_summary(base: DataFrame, categorical: Sequence[str], numeric: Sequence[str] = (), mode: str = "share",
+                     bins: int = 10) -> DataFrame:
+    """All that drift needs to know of a baseline, to be stored with it: counts per feature and category or bin, the
+    number of rows (feature ``*``), and the edges of binned features (rows with ``lo`` and ``hi``). One scan, two where
+    features are binned; a row per distinct value of a feature."""
+    numeric, categorical = ([], [*categorical, *numeric]) if mode == "values" else (list(numeric), list(categorical))
+    edges = baseline_edges(base, numeric) if numeric else {}
+    return _summary(_counted(base, categorical, numeric, edges, bins), edges)
+
+
+def _summary(counts: DataFrame, edges: Edges) -> DataFrame:
+    none = F.lit(None).cast("double")
+    rows = counts.select("feature", "key", "n", none.alias("lo"), none.alias("hi"))
+    if not edges:
+        return rows
+    return rows.unionByName(counts.sparkSession.createDataFrame([(f, None, None, lo, hi) for f, (lo, hi) in edges.items()], SUMMARY))
+
+
+class StoredDrift:
+    """Drift of a current table against a stored baseline summary: the current side is scanned once, the baseline never.
+    The counts, a row per distinct value, are written once; every figure is derived from them."""
+
+    def __init__(self, summary: DataFrame, cur: DataFrame, categorical: Sequence[str], numeric: Sequence[str] = (),
+                 mode: str = "share", bins: int = 10):
+        if mode not in ("values", "share", "density"):
+            raise ValueError(f"unknown mode {mode!r}")
+        if mode == "values":
+            categorical, numeric = [*categorical, *numeric], []
+        self.mode, self.bins = mode, bins
+        self.edges = {r["feature"]: (r["lo"], r["hi"]) for r in summary.where(F.col("lo").isNotNull()).collect()} if numeric else {}  # a row per feature
+        zero = F.lit(0).cast("long")
+        old = summary.where(F.col("lo").isNull()).select("feature", "key", F.col("n").alias("n_base"), zero.alias("n_cur"))
+        new = _counted(cur, categorical, numeric, self.edges, bins).select("feature", "key", zero.alias("n_base"), F.col("n").alias("n_cur"))
+        rows = old.where(F.col("feature").isin([_ROWS, *categorical, *self.edges])).unionByName(new)
+        grid = [(f, str(i), 0, 0) for f in self.edges for i in range(bins)]
+        if grid:
+            rows = rows.unionByName(cur.sparkSession.createDataFrame(grid, "feature string, key string, n_base long, n_cur long"))
+        self.counts = written(rows.groupBy("feature", "key").agg(F.sum("n_base").alias("n_base"), F.sum("n_cur").alias("n_cur")), "drift-counts")
+
+    def psi(self) -> DataFrame:
+        """``(feature, psi)``, equal to ``psi_features`` on the tables themselves."""
+        return _psi_of_counts(self.counts.where(F.col("feature") != _ROWS), self.edges, self.mode, self.bins)
+
+    def score(self, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+        """One row ``(n_base, n_current, total_psi, threshold, refresh)``, equal to ``drift_score``."""
+        rows = self.counts.where(F.col("feature") == _ROWS).agg(
+            F.coalesce(F.sum("n_base"), F.lit(0)).alias("n_base"), F.coalesce(F.sum("n_cur"), F.lit(0)).alias("n_current"))
+        one = side_by_side(rows, psi_total(self.psi()).select("total_psi")).select(
+            "n_base", "n_current", F.when(F.col("n_base") == 0, 1.0).otherwise(F.col("total_psi")).alias("total_psi"))
+        return drift_gate(one, threshold)
+
+    def current_summary(self) -> DataFrame | None:
+        """The current side as the next baseline, without another scan; None where its bins would need edges of its own."""
+        if self.edges:
+            return None
+        return _summary(self.counts.where("n_cur > 0").select("feature", "key", F.col("n_cur").alias("n")), {})

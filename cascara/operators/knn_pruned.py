@@ -66,15 +66,15 @@ def place(rows: DataFrame, points: np.ndarray, distance) -> DataFrame:
     return rows.mapInArrow(work, f"{fields}, cell int, own double, common array<double>")
 
 
-def into_blocks(rows: DataFrame, edges: DataFrame, key: str, block_rows: int) -> DataFrame:
-    """Adds ``ring`` and ``block``: a ring with more rows than a block takes is dealt out by key, whether it holds many
+def into_blocks(rows: DataFrame, edges: DataFrame, key: str, block_rows: int, grouped: bool) -> DataFrame:
+    """Adds ``ring`` and ``block`` (of one group, if ``grouped``): a ring with more rows than a block takes is dealt out by key, whether it holds many
     near rows or many copies of one."""
     ringed = rows.join(edges, "cell", "left").withColumn("ring", F.size(F.filter(F.coalesce("edges", F.array().cast("array<double>")), lambda e: e <= F.col("own")))).drop("edges")
-    at = ["grp", "cell", "ring"]
+    at = [*(["grp"] if grouped else []), "cell", "ring"]
     sizes = ringed.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("__parts"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in at])
     sized = ringed.join(sizes.withColumnsRenamed({c: f"__{c}" for c in at}), same)
-    name = F.concat_ws("/", F.coalesce(F.col("grp").cast("string"), F.lit("")), "cell", "ring", F.pmod(F.xxhash64(key), F.col("__parts")))
+    name = F.concat_ws("/", *at, F.pmod(F.xxhash64(key), F.col("__parts")))
     return sized.withColumn("block", name).drop("__parts", *[f"__{c}" for c in at])
 
 
@@ -119,7 +119,7 @@ def pruned_pairs(q: DataFrame, t: DataFrame, k: int, distance, kernel, schema: s
     cuts = [i / rings for i in range(1, rings)]
     edges = placed_t.groupBy("cell").agg((F.percentile_approx("own", cuts, max(100, 10 * rings)) if cuts else F.array().cast("array<double>")).alias("edges"))
     edges = written(edges, "knn-rings")  # approximate quantiles: the same ones for all readers
-    t_rows, q_rows = into_blocks(placed_t, edges, "tid", block_rows), into_blocks(placed_q, edges, "qid", block_rows)
+    t_rows, q_rows = into_blocks(placed_t, edges, "tid", block_rows, grouped), into_blocks(placed_q, edges, "qid", block_rows, grouped)
     t_blocks, q_blocks = written(summaries(t_rows, common, "t"), "knn-train-blocks"), written(summaries(q_rows, common, "q"), "knn-query-blocks")
 
     # cells: at most PIVOTS rows per group, and there are few groups

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cascara.streaming.manifest import file_system, folders, now_ms, remove, replace_file
 
 
 class NoDataSourceError(RuntimeError):
@@ -101,35 +102,34 @@ def first_file(spark: SparkSession, path: str, min_bytes: int = 1) -> DataFrame:
 
 
 _POINTER = "CURRENT"
+#: A replaced version stays this long for those who read it (a day).
+KEEP_MS = 24 * 3600 * 1000
 
 
-def publish_snapshot(df: DataFrame, target: str) -> str:
+def publish_snapshot(df: DataFrame, target: str, keep_ms: int = KEEP_MS, beside: DataFrame | None = None) -> str:
     """Make ``df`` the snapshot at ``target``.
 
     Each version has a folder of its own below ``target`` (so ``df`` may itself read the old one), and a one-line file
-    names the current one. The switch is an atomic rename of that file; the old version is removed after it. A
-    failure before the switch leaves the old snapshot in place, never an empty path.
+    names the current one. The switch is an atomic rename of that file. A failure before the switch leaves the old
+    snapshot in place, never an empty path; of two publishers at once the later switch counts, whole. A frame read before
+    a publish still reads its own version: versions are removed only by a publish ``keep_ms`` or more after the one that
+    replaced them. ``beside`` is a table published in the same switch (see ``read_beside``).
     """
     spark = df.sparkSession
     target = target.rstrip("/")
-    version = f"version-{uuid.uuid4().hex[:12]}"
+    version = f"version-{now_ms():015d}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(f"{target}/{version}")
-    old = _current(spark, target)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(target).getFileSystem(conf)
-    fresh = path(f"{target}/.{version}")
-    out = fs.create(fresh, True)
-    try:
-        out.write(bytearray(version, "ascii"))
-    finally:
-        out.close()
-    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fresh, path(f"{target}/{_POINTER}"), overwrite)
-    if old:
-        fs.delete(path(f"{target}/{old}"), True)
+    if beside is not None:
+        beside.write.parquet(f"{target}/beside-{version}")
+    replace_file(spark, f"{target}/{_POINTER}", version)
+    fs, path, _ = file_system(spark, target)
+    found = folders(spark, target, "version-")
+    versions = sorted(found)
+    for old, successor in zip(versions[:-1], versions[1:], strict=True):
+        replaced = fs.getFileStatus(path(found[successor])).getModificationTime()
+        if f"version-{old}" != version and replaced <= now_ms() - keep_ms:
+            remove(spark, f"{target}/version-{old}")
+            remove(spark, f"{target}/beside-version-{old}")
     return target
 
 
@@ -146,3 +146,12 @@ def read_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
     """The current snapshot, or None when none was published yet."""
     version = _current(spark, target.rstrip("/"))
     return spark.read.parquet(f"{target.rstrip('/')}/{version}") if version else None
+
+
+def read_beside(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table published beside the current snapshot, or None when there is none."""
+    target = target.rstrip("/")
+    version = _current(spark, target)
+    if version is None or version not in folders(spark, target, "beside-"):
+        return None
+    return spark.read.parquet(f"{target}/beside-{version}")

@@ -10,11 +10,11 @@ that exist are touched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cascara.operators.drift import EPS
+from cascara.streaming.manifest import folders, now_ms, read_manifest, remove, write_manifest
 
 
 def _term(a, e):
@@ -57,32 +57,54 @@ def hourly_psi(events: DataFrame, base: DataFrame, ts: str, column: str, width:
     return psi_by_window(hourly_counts(events, ts, column, width), baseline_shares(base, column))
 
 
-def hourly_psi_stream(stream: DataFrame, shares: DataFrame, ts: str, column: str, sink: str, checkpoint: str,
-                      width: str = "1 hour", watermark: str = "1 hour") -> None:
-    """Streaming form: windowed counts with a watermark (append mode emits each hour once it is closed), then the
-    PSI of the closed hours in ``foreachBatch`` against the baseline shares. Reads what is there (``availableNow``) and
-    returns when it is done; hours that are still open stay in the state for the next run."""
-    stream = _instants(stream, ts)
-    counts = (stream.withWatermark(ts, watermark).where(F.col(column).isNotNull())
-              .groupBy(F.window(ts, width), F.col(column).cast("string").alias("value"))
-              .agg(F.count(F.lit(1)).alias("n"))
-              .select(F.col("window.start").alias("window_start"), "value", "n"))
+def hourly_psi_stream(stream: DataFrame, ts: str, column: str, sink: str, checkpoint: str, width: str = "1 hour") -> int:
+    """Streaming form: adds what has arrived to the table of counts below ``sink`` (``availableNow``) and returns the number
+    of batches. Counts of (window, value) can be added up in any order, so no row is ever too late: one of a closed hour
+    corrects it. A batch replayed after a failure replaces its own folder."""
+    sink = sink.rstrip("/")
+    batches = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        psi_by_window(batch, shares).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
-
-    (counts.writeStream.outputMode("append").foreachBatch(write_batch)
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
-
-
-def close_open_hours(events: DataFrame, shares: DataFrame, ts: str, column: str, sink: str, width: str = "1 hour") -> None:
-    """At the end of a bounded stream: score the hours that no watermark has closed (those not in the sink yet)."""
-    spark = events.sparkSession
-    done = spark.read.parquet(sink).select("window_start")
-    still = hourly_counts(_instants(events, ts), ts, column, width).join(done, "window_start", "left_anti")
-    psi_by_window(still, shares).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id=-1")
-
-
-def _instants(events: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need an instant: wall-clock times are read in the session time zone."""
-    return events.withColumn(ts, F.col(ts).cast("timestamp")) if isinstance(events.schema[ts].dataType, T.TimestampNTZType) else events
+        hourly_counts(batch, ts, column, width).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        batches.append(batch_id)
+
+    (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    return len(batches)
+
+
+def read_counts(spark: SparkSession, sink: str) -> DataFrame | None:
+    """``(window_start, value, n)`` over all batches: the merged ones and those since; None before the first."""
+    sink = sink.rstrip("/")
+    state = read_manifest(spark, f"{sink}/MANIFEST") or {"upto": -1, "merged": None}
+    paths = [path for i, path in folders(spark, sink, "batch_id=").items() if int(i) > state["upto"]]
+    paths += [f"{sink}/{state['merged']}"] if state["merged"] else []
+    if not paths:
+        return None
+    return spark.read.parquet(*paths).groupBy("window_start", "value").agg(F.sum("n").alias("n"))
+
+
+def merge_counts(spark: SparkSession, sink: str) -> None:
+    """Between runs: make one folder of all batches so far, so that the number of folders does not grow with the runs. The
+    manifest is switched by an atomic rename; what it replaces is removed after that."""
+    sink = sink.rstrip("/")
+    before = read_manifest(spark, f"{sink}/MANIFEST") or {"upto": -1, "merged": None}
+    batches = {int(i): path for i, path in folders(spark, sink, "batch_id=").items()}
+    upto = max([*batches, before["upto"]])
+    if upto > before["upto"]:
+        merged = f"merged-{upto:012d}-{now_ms()}"
+        read_counts(spark, sink).write.parquet(f"{sink}/{merged}")
+        write_manifest(spark, f"{sink}/MANIFEST", {"upto": upto, "merged": merged})
+        if before["merged"]:
+            remove(spark, f"{sink}/{before['merged']}")
+    for i, path in batches.items():
+        if i <= upto:
+            remove(spark, path)
+
+
+def streamed_psi(spark: SparkSession, sink: str, shares: DataFrame) -> DataFrame:
+    """PSI of every window that the table of counts knows, against the baseline shares."""
+    counts = read_counts(spark, sink)
+    if counts is None:
+        return spark.createDataFrame([], "window_start timestamp, n long, psi double")
+    return psi_by_window(counts, shares)
