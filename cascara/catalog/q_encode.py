@@ -194,7 +194,7 @@ def _feature_parts(fit_on_train: bool = False) -> tuple[str, list[str], list[str
     """(chain + enc CTEs, scaled expressions, names) of the feature pipeline in the oracle dialect; bounds from all
     rows, or from the training rows of the md5 split only."""
     enc = [(c, f"CAST({c} AS DOUBLE)") for c in _FEATURE_NUMERIC] + _onehot_sql_cols()
-    inner = ("SELECT CustomerID, Churn, substr(md5(CustomerID || '42'), 1, 8) < '33333333' AS is_test, "
+    inner = ("SELECT CustomerID, Churn, row_number() OVER (ORDER BY md5(CustomerID || '42')) <= ceil(0.2::DOUBLE * count(*) OVER ()) AS is_test, "
              + ", ".join(f"{e} AS {_qi(n)}" for n, e in enc) + " FROM clean")
     fit = "enc WHERE NOT is_test" if fit_on_train else "enc"
     exprs = []

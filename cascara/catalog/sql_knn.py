@@ -13,7 +13,7 @@ EMB_SOURCE = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIG
 def base_sql(source: str) -> str:
     """Split and folds over any ``(vec_id, v, label)`` relation."""
     return f"""e AS (SELECT *, md5(CAST(vec_id AS VARCHAR) || '42') AS h FROM ({source}) src),
-s AS (SELECT *, substr(h, 1, 8) < '33333333' AS is_test FROM e),
+s AS (SELECT *, row_number() OVER (ORDER BY h) <= ceil(0.2::DOUBLE * count(*) OVER ()) AS is_test FROM e),
 tr AS (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY h, vec_id) - 1) % 3 AS INTEGER) AS fold
   FROM s WHERE NOT is_test),
 te AS (SELECT * FROM s WHERE is_test)"""

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cascara.operators.radix import ranked
+
 METRICS = ("euclidean", "manhattan")
 WEIGHTS = ("uniform", "distance")
 
@@ -31,18 +33,22 @@ WEIGHTS = ("uniform", "distance")
 
 def hash_of(key: str, seed: int | str) -> F.Column:
     """md5 hex of ``key || seed``: a repeatable shuffle order, independent of partitioning and engine."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-
-
-def split_threshold(fraction: float) -> str:
-    """8-hex-digit threshold so that ``substr(md5, 1, 8) < threshold`` selects ``fraction`` of the keys."""
-    return format(min(int(round(fraction * 16**8)), 16**8 - 1), "08x")
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))))
 
 
 def train_test_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int | str = 42,
                      out: str = "is_test") -> DataFrame:
-    """Adds ``is_test``: a repeatable ``test_fraction`` split by key hash (no shuffle, no window)."""
-    return df.withColumn(out, F.substring(hash_of(key, seed), 1, 8) < F.lit(split_threshold(test_fraction)))
+    """Adds ``is_test``: a repeatable split by key hash with ``ceil(test_fraction * rows)`` test rows. The hash at that
+    rank is found by radix selection (aggregates only: no shuffle of the rows, no global sort). Rows of one key stay on
+    one side, so the size is exact where keys are distinct; rows without a key are one key."""
+    order = hash_of(key, seed)
+    # the first 60 bits of the hash, as the upper bits of a positive long
+    place = F.shiftleft(F.conv(F.substring(order, 1, 15), 16, 10).cast("long"), 3)
+    found = ranked(df.select(F.lit("").alias("feature"), place.alias("image")), lambda n: [max(0, math.ceil(test_fraction * n) - 1)])
+    if not found or test_fraction <= 0:
+        return df.withColumn(out, F.lit(False))
+    (last,) = found[""][1].values()
+    return df.withColumn(out, place <= F.lit(last))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 3, seed: int | str = 42,

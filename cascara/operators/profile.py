@@ -9,12 +9,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascara.functions.columns import quoted
+from cascara.operators.radix import double_of, image, ranked
 from cascara.operators.reshape import to_long
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -73,108 +73,33 @@ def minmax_bounds(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 # exact quantiles without collecting a column into one task
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float], buckets: int = 4096, final_limit: int = 50_000,
-                    max_rounds: int = 16) -> dict[tuple[str, float], float]:
+def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> dict[tuple[str, float], float]:
     """Exact quantiles with linear interpolation (``quantile_cont`` / Spark ``percentile``) per feature.
 
-    ``long`` has columns ``feature`` and ``value`` (double); NULL and NaN are ignored, infinities are counted apart
-    (they would make a search range endless). Distributed selection: each
-    round counts rows per equal-width bucket of every open search range (one aggregate, map-side combined; the
-    wanted ranks that share a range share its counts), the driver picks the bucket holding each wanted rank and the
-    range narrows to it. A range with at most ``final_limit`` rows — or few distinct values — is finished by a
-    grouped count of its distinct values and a running sum; a value repeated a billion times collapses to one row
-    before the shuffle. Only bucket counts (ranges × buckets) reach the driver.
+    ``long`` has columns ``feature`` and ``value`` (double); NULL and NaN are ignored, infinities are values. The values
+    at the ranks around each quantile are found by radix selection: at most five aggregates over the rows for any data.
     """
-    usable = long.where(F.col("value").isNotNull() & ~F.isnan("value")).select("feature", "value")
-    data = usable.where(F.abs("value") < float("inf"))
-    # {feature: (all rows, -inf rows, finite rows, least and greatest finite value)}
-    x = F.col("value")
-    finite = F.when(F.abs(x) < float("inf"), x)
-    stats = {r["feature"]: (r["n"], r["below"], r["finite"], r["lo"], r["hi"]) for r in usable.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(x == float("-inf")).alias("below"), F.count(finite).alias("finite"),
-        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()}
-    spark = long.sparkSession
-    found: dict[tuple[str, int], float] = {}
-    # open ranges: (feature, lo, hi) -> [rows in range, few distinct values?, {global rank: rank inside range}]
-    ranges: dict[tuple, list] = {}
-    for feat, (n, below, inside, lo, hi) in stats.items():
-        wants = {}
-        for p in probs:
-            r0 = int(math.floor((n - 1) * p))
-            for r in (r0, min(r0 + 1, n - 1)):
-                if r < below:
-                    found[(feat, r)] = float("-inf")
-                elif r >= below + inside:
-                    found[(feat, r)] = float("inf")
-                else:
-                    wants[r] = r - below
-        if wants:
-            ranges[(feat, lo, hi)] = [inside, False, wants]
-    for rnd in range(max_rounds + 1):
-        if not ranges:
-            break
-        for key in [k for k in ranges if k[1] == k[2]]:  # a single value
-            for g in ranges.pop(key)[2]:
-                found[(key[0], g)] = key[1]
-        done = {k: v for k, v in ranges.items() if v[0] <= final_limit or v[1] or rnd == max_rounds}
-        if done:
-            _finish(spark, data, done, found)
-        ranges = {k: v for k, v in ranges.items() if k not in done}
-        if not ranges:
-            break
-        keys = list(ranges)
-        rng = spark.createDataFrame([(i, k[0], float(k[1]), float(k[2])) for i, k in enumerate(keys)],
-                                    "rid int, feature string, lo double, hi double")
-        b = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets),
-                    F.lit(buckets - 1)).cast("int")
-        rows = (data.join(F.broadcast(rng), "feature")  # the open ranges: a few rows per feature
-                .where(F.col("value").between(F.col("lo"), F.col("hi")))
-                .groupBy("rid", b.alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"),
-                     F.approx_count_distinct("value").alias("nd"))
-                .collect())
-        cells: dict[int, list] = {}
-        for r in rows:
-            cells.setdefault(r["rid"], []).append((r["b"], r["n"], r["mn"], r["mx"], r["nd"]))
-        nxt: dict[tuple, list] = {}
-        for i, key in enumerate(keys):
-            cs = sorted(cells[i])
-            cum = np.cumsum(np.array([c[1] for c in cs], dtype=np.int64))
-            for g, local in ranges[key][2].items():
-                j = int(np.searchsorted(cum, local, side="right"))
-                before = int(cum[j - 1]) if j > 0 else 0
-                _, n_b, mn, mx, nd = cs[j]
-                entry = nxt.setdefault((key[0], mn, mx), [n_b, nd <= final_limit // 2, {}])
-                entry[2][g] = local - before
-        ranges = nxt
+    found = ranked(long.select("feature", image(F.col("value")).alias("image")),
+                   lambda n: [r for p in probs for r in _around(n, p)])
     out = {}
-    for feat, (n, *_) in stats.items():
+    for feature, (n, at) in found.items():
         for p in probs:
-            pos = (n - 1) * p
-            r0 = int(math.floor(pos))
-            r1 = min(r0 + 1, n - 1)
-            v0, v1 = found[(feat, r0)], found[(feat, r1)]
-            out[(feat, p)] = v0 if v0 == v1 else v0 + (pos - r0) * (v1 - v0)
+            low, high = _around(n, p)
+            v0, v1 = double_of(at[low]), double_of(at[high])
+            part = (n - 1) * p - low
+            if v0 == v1 or part == 0:
+                out[(feature, p)] = v0
+            elif math.isinf(v1 - v0) and not math.isinf(v0) and not math.isinf(v1):  # too far apart for a difference
+                out[(feature, p)] = (1 - part) * v0 + part * v1
+            else:
+                out[(feature, p)] = v0 + part * (v1 - v0)
     return out
 
 
-def _finish(spark, data, ranges: dict, found: dict) -> None:
-    """Rank inside narrowed ranges: distinct values with counts and a running sum (one window per range)."""
-    keys = list(ranges)
-    rng = spark.createDataFrame(
-        [(i, k[0], float(k[1]), float(k[2]), [int(x) for x in ranges[k][2].values()]) for i, k in enumerate(keys)],
-        "rid int, feature string, lo double, hi double, wants array<long>")
-    grouped = (data.join(F.broadcast(rng), "feature")
-               .where(F.col("value").between(F.col("lo"), F.col("hi")))
-               .groupBy("rid", "value").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("rid").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = grouped.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(rng.select("rid", "wants")), "rid")
-    hits = cum.select("rid", "value", F.explode(F.filter(
-        "wants", lambda x: (F.col("cum") - F.col("c") <= x) & (x < F.col("cum")))).alias("want")).collect()
-    local_to_global = [{v: g for g, v in ranges[k][2].items()} for k in keys]
-    for r in hits:
-        key = keys[r["rid"]]
-        found[(key[0], local_to_global[r["rid"]][r["want"]])] = r["value"]
+def _around(n: int, p: float) -> tuple[int, int]:
+    """The ranks around a quantile of n rows."""
+    low = int(math.floor((n - 1) * p))
+    return low, min(low + 1, n - 1)
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,

@@ -72,16 +72,53 @@ def test_gate_threshold(clean01):
     assert DR.drift_score(b, c, ["Contract", "TotalCharges"], mode="values").first().refresh is True
 
 
-@pytest.mark.parametrize("buckets,limit", [(4096, 1_000_000), (4, 10), (2, 3)])
-def test_exact_quantiles_match_numpy(spark, buckets, limit):
+def test_exact_quantiles_match_numpy(spark):
+    """Skewed, tied, tiny, log-spaced and extreme values, of both signs."""
     rng = np.random.default_rng(7)
-    vals = np.concatenate([rng.exponential(5.0, 400), np.full(300, 2.5), rng.normal(0, 1e-3, 50), [1e6]])
-    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    long = df.select(F.lit("x").alias("feature"), F.col("x").alias("value"))
+    sets = {
+        "mixed": np.concatenate([rng.exponential(5.0, 400), np.full(300, 2.5), rng.normal(0, 1e-3, 50), [1e6]]),
+        "extreme": np.concatenate([rng.uniform(-1, 1, 300) * 1.7e308, [1.7e308, -1.7e308, 0.0, -0.0]]),
+        "log": np.concatenate([10.0 ** rng.uniform(-300, 300, 200), -(10.0 ** rng.uniform(-320, 5, 200)), [5e-324, -5e-324]]),
+        "one": np.array([4.0]),
+        "infinite": np.array([float("-inf"), 1.0, 2.0, 3.0, float("inf")]),
+    }
+    df = spark.createDataFrame([(k, float(v)) for k, x in sets.items() for v in x] + [("mixed", None), ("mixed", float("nan"))], "feature string, value double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = PR.exact_quantiles(long, probs, buckets=buckets, final_limit=limit)
-    for p in probs:
-        assert math.isclose(got[("x", p)], float(np.quantile(vals, p)), rel_tol=1e-12, abs_tol=1e-12)
+    got = PR.exact_quantiles(df, probs)
+    for k, x in sets.items():
+        for p in probs if k != "infinite" else [0.0, 0.25, 0.5, 0.75, 1.0]:
+            low, high = PR._around(len(x), p)
+            s, part = np.sort(x), (len(x) - 1) * p - low
+            want = float(s[low] if s[low] == s[high] else (1 - part) * s[low] + part * s[high] if part else s[low])
+            assert got[(k, p)] == want or math.isclose(got[(k, p)], want, rel_tol=1e-12), (k, p)
+
+
+def test_images_keep_the_order_of_doubles(spark):
+    from cascara.operators.radix import double_of, image
+
+    values = [s * 2.0**e * f for e in range(-1074, 1024, 7) for f in (1.0, 1.5, 1.9999999999999998, 0.9999999999999999) for s in (1, -1)]
+    values += [2.0**e for e in range(-1074, 1024)] + [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, float("inf"), float("-inf")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", image(F.col("v")).alias("i")).collect()
+    want = np.array([r.v for r in rows]) + 0.0
+    bits = np.abs(want).view(np.int64) * np.where(want < 0, -1, 1)
+    assert [r.i for r in rows] == bits.tolist() and [double_of(r.i) for r in rows] == want.tolist()
+    nan = spark.createDataFrame([(float("nan"),), (None,)], "v double").select(image(F.col("v")).alias("i")).collect()
+    assert [r.i for r in nan] == [None, None]
+
+
+def test_quantiles_take_five_aggregates_at_most(spark, monkeypatch):
+    """Whatever the values: evenly spread, log-spaced, or all but a few the same."""
+    from cascara.operators import radix
+
+    rounds = []
+    real = F.min
+    monkeypatch.setattr(radix.F, "min", lambda c: (rounds.append(1), real(c))[1])
+    base = spark.range(4000).withColumn("feature", F.lit("x"))
+    for value in (F.col("id").cast("double"), F.pow(F.lit(10.0), F.col("id") / 8 - 250), F.when(F.col("id") < 3990, 1.0).otherwise(F.col("id").cast("double")),
+                  (F.col("id") - 2000) * 8.5e304):
+        rounds.clear()
+        PR.exact_quantiles(base.select("feature", value.alias("value")), [0.25, 0.5, 0.75])
+        assert len(rounds) <= 5
 
 
 def test_value_shares_exclude_nulls(spark):

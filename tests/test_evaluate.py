@@ -18,7 +18,7 @@ def emb(spark):
 def test_split_and_folds_are_disjoint_and_complete(emb):
     s = EV.train_test_split(emb, "vec_id")
     n, n_test = s.count(), s.where("is_test").count()
-    assert 0.1 < n_test / n < 0.3
+    assert n_test == int(np.ceil(0.2 * n))
     folds = EV.stratified_folds(s.where(~F.col("is_test")), "vec_id", "label", 3).cache()
     assert folds.count() == n - n_test
     assert folds.select("vec_id").distinct().count() == n - n_test
@@ -141,3 +141,13 @@ def test_folds_keep_rows_without_a_label(spark):
     assert got.count() == 30 and got.columns == ["id", "label", "fold"]
     sizes = got.groupBy("label", "fold").count().collect()
     assert {r["label"] for r in sizes} == {None, 1, 2} and max(r["count"] for r in sizes) - min(r["count"] for r in sizes) <= 1
+
+
+def test_split_has_the_exact_size(spark):
+    for n in (1, 4, 35, 1001):
+        df = spark.range(n).select(F.col("id").cast("string").alias("k"))
+        got = EV.train_test_split(df, "k")
+        assert got.where("is_test").count() == int(np.ceil(0.2 * n)) and got.count() == n
+    keyless = spark.createDataFrame([(None,), (None,), ("a",)], "k string")
+    assert EV.train_test_split(keyless, "k").where("is_test is null").count() == 0
+    assert EV.train_test_split(keyless.limit(0), "k").count() == 0 and not EV.train_test_split(keyless, "k", 0.0).where("is_test").count()
