@@ -15,7 +15,8 @@ only the three columns named are read, so other columns may have any name.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -25,12 +26,10 @@ from pyspark.sql import functions as F
 
 from cascara.llm.common import prepare
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(script|style|title|textarea|noscript|iframe|template|svg|xmp|select|object)\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
-    re.S | re.I,
-)
+#: Elements whose content is no markup, read up to their end tag.
+_RAW = re.compile(r"<(script|style|title|textarea|noscript|iframe|template|svg|xmp|select|object)\b", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,65 +81,117 @@ def _excluded(tag: str, attributes: str) -> int:
     return out
 
 
+def tokens(html: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash of an end tag, tag, attributes) of all markup in page order; comments, declarations and raw
+    elements have no tag. A tag ends at the first ``>`` outside quotes; without one its ``<`` is text. Linear in the page:
+    where a tag was once found not to end, no later one is read on from there."""
+    last = html.rfind(">")
+    lone: dict[str, int] = {}  # of each quote the position from which on no other follows
+    endless: set[int] = set()  # positions outside quotes from which on no tag ends
+
+    def tag_end(at: int) -> int:
+        seen = []
+        while at not in endless:
+            seen.append(at)
+            stop = _STOP.search(html, at)
+            if stop is None:
+                break
+            at = stop.end()
+            if stop[0] == ">":
+                return at
+            partner = html.find(stop[0], at) if at < lone.get(stop[0], len(html) + 1) else -1
+            if partner < 0:
+                lone[stop[0]] = min(at, lone.get(stop[0], at))
+                break
+            at = partner + 1
+        endless.update(seen)
+        return -1
+
+    at = html.find("<")
+    while at >= 0:
+        end, slash, tag, attributes = -1, "", "", ""
+        if html.startswith("<!--", at) or html[at : at + 9].upper() == "<![CDATA[":
+            close = "-->" if html.startswith("<!--", at) else "]]>"
+            end = html.find(close, at + (4 if close == "-->" else 9))
+            end = len(html) if end < 0 else end + 3
+        elif at < last:
+            if html[at + 1] in "!?":
+                end = html.index(">", at) + 1
+            elif raw := _RAW.match(html, at):
+                end = html.index(">", raw.end()) + 1
+                if html[end - 2] != "/":
+                    close = _closing(raw[1].lower()).search(html, end)
+                    end = close.end() if close else len(html)
+            elif m := _TAG.match(html, at):
+                end = tag_end(m.end())
+                slash, tag, attributes = m[1], m[2], html[m.end() : end - 1] if end > 0 else ""
+        if end < 0:
+            at = html.find("<", at + 1)
+            continue
+        yield at, end, slash, tag, attributes
+        at = html.find("<", end)
+
+
+@lru_cache(maxsize=32)
+def _closing(tag: str) -> re.Pattern[str]:
+    return re.compile(rf"</{tag}\s*>", re.I)
+
+
 def text_nodes(html: str) -> tuple[list[str], list[int], list[int], list[tuple[int, str]], list[int]]:
     """(texts, element of each, block of each, elements as (parent, tag)) outside elements that are never the article,
     in page order, and the elements that are not unless they hold most of the text."""
     elements: list[tuple[int, str]] = [(-1, "")]
     doubted: list[int] = []
     stack, skipped = [(0, "")], 0  # skipped: depth of the stack at which an excluded element began
+    open_at: dict[str, list[int]] = {}  # where the open elements of each tag stand in the stack
     texts, owners, blocks = [], [], []
     block = last = 0
 
     def close(to: int) -> None:
         nonlocal skipped
-        del stack[to:]
+        while len(stack) > to:
+            open_at[stack.pop()[1]].pop()
         if len(stack) < skipped:
             skipped = 0
 
+    def innermost(tags: Iterable[str]) -> int:
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
+
     def text(end: int) -> None:
         if not skipped and end > last:
             texts.append(html[last:end])
             owners.append(stack[-1][0])
             blocks.append(block)
 
-    for m in _TOKEN.finditer(html):
-        text(m.start())
-        last = m.end()
-        if not m[3]:
+    for start, end, slash, tag, attributes in tokens(html):
+        text(start)
+        last = end
+        if not tag:
             continue
-        tag = m[3].lower()
+        tag = tag.lower()
         if tag in _BLOCK or tag == "br":
             block += 1
-        if m[2]:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][1] == tag), 0)
-            if at:
+        if slash:
+            if at := innermost([tag]):
                 close(at)
             continue
         if tag in _VOID:
             continue
-        if tag in _BLOCK:
-            for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if stack[i][1] == "p":
-                    close(i)
-                    break
-                if stack[i][1] in _CONTAINER:
-                    break
+        if tag in _BLOCK and innermost(["p"]) > innermost(_CONTAINER):  # a block ends an open paragraph
+            close(innermost(["p"]))
         if tag in _ENDS:
             ended, within = _ENDS[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][1] in within:
-                    break
-                if stack[i][1] in ended:
-                    close(i)
-                    break
+            if innermost(ended) > innermost(within):
+                close(innermost(ended))
         elements.append((stack[-1][0], tag))
+        open_at.setdefault(tag, []).append(len(stack))
         stack.append((len(elements) - 1, tag))
-        if not skipped and (other := _excluded(tag, m[4])):
+        if not skipped and (other := _excluded(tag, attributes)):
             if other == 2:
                 skipped = len(stack)
             else:
                 doubted.append(len(elements) - 1)
-        if m[4].endswith("/") and tag not in _BLOCK:
+        if attributes.endswith("/") and tag not in _BLOCK:
             close(len(stack) - 1)
     text(len(html))
     return texts, owners, blocks, elements, doubted
@@ -153,12 +204,15 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
         return ""
     raw, owners, blocks, elements, doubted = text_nodes(html)
     texts = [" ".join(unescape(t).split()) for t in raw]
-    paths: dict[int, tuple[str, ...]] = {}
-
-    def path(e: int) -> tuple[str, ...]:
-        if e not in paths:
-            paths[e] = (*path(elements[e][0]), elements[e][1]) if e else ()
-        return paths[e]
+    # a path is a number: that of the parent's path and the tag
+    numbers: dict[tuple[int, str], int] = {}
+    paths, depths = [0], [0]
+    holder, linked = [0], [False]  # the innermost block around an element's text, and whether a link is on the way to it
+    for e, (parent, tag) in enumerate(elements[1:], 1):
+        paths.append(numbers.setdefault((paths[parent], tag), len(numbers) + 1))
+        depths.append(depths[parent] + 1)
+        holder.append(e if tag in _BLOCK else holder[parent])
+        linked.append(tag not in _BLOCK and (tag == "a" or linked[parent]))
 
     def within(tops: set[int]) -> set[int]:
         out = set(tops)
@@ -167,25 +221,26 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
                 out.add(e)
         return out
 
-    def select(left: list[int]) -> tuple[dict[int, int], set[tuple[str, ...]]]:
+    def select(left: list[int]) -> tuple[dict[int, int], set[int]]:
         """Selected text in each element, and the paths that score low themselves."""
-        total: dict[tuple[str, ...], list[float]] = {}  # ratios of each path, fused, at each of its nodes
+        total: dict[int, list[float]] = {}  # ratios of each path, fused, at each of its nodes
         for i in left:
-            x = total.setdefault(path(owners[i]), [0, 0, 0])
+            x = total.setdefault(paths[owners[i]], [0, 0, 0])
             x[0] += len(texts[i])
             x[1] += len(_PUNCTUATION.findall(texts[i]))
             x[2] += 1
         fused = {p: x[0] / x[2] * (1 + x[1] / x[2]) for p, x in total.items()}
-        ratio = np.array([fused[path(owners[i])] for i in left])
+        ratio = np.array([fused[paths[owners[i]]] for i in left])
         kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / max(1, radius / 2)) ** 2)
         smooth = np.convolve(np.pad(ratio, radius, mode="edge"), kernel / kernel.sum(), "valid")
         bound = spread * smooth.std()
-        weight: dict[int, int] = {}
+        sums = [0] * len(elements)
         for i, r in zip(left, smooth, strict=True):
-            e = owners[i] if r >= bound else -1
-            while e >= 0:
-                weight[e] = weight.get(e, 0) + len(texts[i])
-                e = elements[e][0]
+            if r >= bound:
+                sums[owners[i]] += len(texts[i])
+        for e in range(len(elements) - 1, 0, -1):  # an element comes after its parent
+            sums[elements[e][0]] += sums[e]
+        weight = {e: w for e, w in enumerate(sums) if w}
         return weight, {p for p, r in fused.items() if r < bound}
 
     kept = [i for i, t in enumerate(texts) if t]
@@ -207,9 +262,8 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
     weight, low = select(kept)
     # The innermost article that holds nearly all the selected text; without one, the narrowest container of all of it.
     whole = weight.get(0, 0)
-    depth = lambda e: len(path(e))
     marked = [e for e, w in weight.items() if w >= share * whole and elements[e][1] in ("article", "main")]
-    home = max(marked or (e for e, w in weight.items() if w == whole and (e == 0 or elements[e][1] in _CONTAINER)), key=depth, default=0)
+    home = max(marked or (e for e, w in weight.items() if w == whole and (e == 0 or elements[e][1] in _CONTAINER)), key=depths.__getitem__, default=0)
     inside = within({home}) - apart
     joined: dict[int, list[int]] = {}
     for i, (o, b) in enumerate(zip(owners, blocks, strict=True)):
@@ -224,15 +278,11 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
         tops, links = set(), 0
         for i in own:
             if texts[i]:
-                e, link = owners[i], False
-                while e and elements[e][1] not in _BLOCK:
-                    link |= elements[e][1] == "a"
-                    e = elements[e][0]
-                tops.add(e)
-                links += link * len(texts[i])
+                tops.add(holder[owners[i]])
+                links += linked[owners[i]] * len(texts[i])
         if any(elements[e][1] in _HEADING for e in tops):
             continue
-        if home not in tops and all(path(owners[i]) in low for i in own if texts[i]) and (2 * links > size or not any(elements[e][1] in _TEXT for e in tops)):
+        if home not in tops and all(paths[owners[i]] in low for i in own if texts[i]) and (2 * links > size or not any(elements[e][1] in _TEXT for e in tops)):
             dropped.add(b)
         else:
             for e in tops:
@@ -241,9 +291,7 @@ def main_text(html: str | None, radius: int = 2, spread: float = 0.5, share: flo
                     e = elements[e][0]
     holds.add(home)
     for b, own in joined.items():
-        for e in (owners[i] for i in own if texts[i]):
-            while e and elements[e][1] not in _HEADING and elements[e][1] not in _BLOCK:
-                e = elements[e][0]
+        for e in (holder[owners[i]] for i in own if texts[i]):
             if elements[e][1] in _HEADING and e != home and elements[e][0] not in holds:
                 dropped.add(b)
     return " ".join(filter(None, (" ".join(unescape("".join(raw[i] for i in own)).split()) for b, own in sorted(joined.items()) if b not in dropped)))

@@ -67,6 +67,23 @@ def test_low_paths_inside_the_article():
     assert html_paths.main_text(page).split() == f"Title {many * 3} Part First. Second, linked point. End Short one. {many}".split()
 
 
+def test_deep_and_unterminated_markup():
+    """Linear time and no recursion, whatever the markup; the page around it is still read."""
+    import time
+
+    body = "<article><h1>Title</h1><p>Some words, in a row.</p></article>"
+    bad = ["<a " * 300_000, '<a "' * 250_000, "<a x='" * 160_000, "<! " * 300_000, "<script " * 120_000, '<a ">"' * 150_000, "<a '\">" * 140_000, "</b>" * 250_000, "<" * 1_000_000]
+    for tail in bad:
+        begin = time.process_time()
+        html_paths.main_text(body + tail)
+        assert time.process_time() - begin < 4, tail[:10]
+    for tag in ("div", "span", "ul", "li", "p", "section"):
+        begin = time.process_time()
+        assert "Some words, in a row." in html_paths.main_text(f"<{tag}>" * 50_000 + body + f"x</{tag}>" * 50_000)
+        assert time.process_time() - begin < 8, tag
+    assert html_paths.main_text("<ul>" + "<span>" * 20_000 + "<li>a" * 20_000).split() == ["a"] * 20_000
+
+
 def test_pages_equal_their_articles(spark):
     from html import unescape
 
