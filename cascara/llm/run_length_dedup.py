@@ -62,7 +62,7 @@ class Chunk:
             self.starts = self.counts = np.zeros(0, np.int64)
             self.keys = np.zeros(0, np.uint64)
             return
-        up, self._down = _powers(max(20, n.bit_length()))
+        up, self._down = _powers(max(22, n.bit_length()))  # chunks are about 2**21 bytes: one size for those just over it too
         self._sums = np.zeros(n + 1, np.uint64)
         np.cumsum(byte_table(7)[self.data] * up[:n], out=self._sums[1:])
         part = self.hashes(np.arange(n - anchor + 1), anchor)
