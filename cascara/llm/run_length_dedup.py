@@ -36,6 +36,7 @@ INDEXED = 1_500_000
 
 ANCHORS = "chunk long, keys binary, hot binary"
 PIECES = "chunk long, bucket int, hot boolean, keys binary, many binary, sizes binary, text binary"
+#: ``hot`` is null in the row that brings a chunk's very common anchors back to it.
 MARKS = "chunk long, hot boolean, keys binary, marks binary"
 RESULT = "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>"
 
@@ -244,13 +245,20 @@ def deduplicate(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: in
             text = b"".join([raw[s : s + z] for s, z in zip(chunk.starts[cold[j]].tolist(), sizes.tolist(), strict=True)])
             rows.append((number, b, False, pack(content[j], 8), np.packbits(n[j] > 1).tobytes(), sizes.tobytes(), text))
         if spread.any():
+            # its very common anchors come back to this chunk with the strings that repeat
+            rows.append((number, indexed + number % indexed, True, pack(np.unique(own[pick[spread]]), 8), None, b"anchors", None))
             blobs = to_blobs(number, chunk.hashes(chunk.places(pick[spread]), size), 8, indexed).to_pylist()
             rows += [(number, indexed + r["bucket"], True, r["keys"], r["many"], None, None) for r in blobs]
         return _table(rows, [pa.int64(), pa.int32(), pa.bool_(), *[pa.binary()] * 4], PIECES)
 
     def index(table: pa.Table) -> pa.Table:
         """Marks, for each chunk's pieces, of the places whose string occurs elsewhere."""
-        rows = table.to_pydict()
+        only = pa.compute.and_(table["hot"], pa.compute.is_valid(table["sizes"]))
+        anchored = table.filter(only).select(["chunk", "keys"]).to_pylist()
+        out = [(r["chunk"], None, r["keys"], None) for r in anchored]
+        rows = table.filter(pa.compute.invert(only)).to_pydict()
+        if not rows["keys"]:
+            return _table(out, [pa.int64(), pa.bool_(), pa.binary(), pa.binary()], MARKS)
         keys = [unpack(k, 8) for k in rows["keys"]]
         lengths = [len(k) for k in keys]
         key = np.concatenate(keys)
@@ -275,7 +283,7 @@ def deduplicate(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: in
             marks = inside & (repeated[:, None] | (longest[np.minimum(at[:, None] + grid, len(longest) - 1)] >= size))
             kept = marks.any(axis=1)
             marks = np.packbits(marks, axis=1)
-        out, at = [], 0
+        at = 0
         for chunk, length in zip(rows["chunk"], lengths, strict=True):
             own = inverse[at : at + length]
             own = own[kept[own]]
@@ -289,7 +297,7 @@ def deduplicate(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: in
         edge = np.zeros(chunk.n + 1, np.int32)
         rows = back.to_pydict()
         starts = []
-        cold = [(unpack(k, 8), m) for k, m, h in zip(rows["keys"], rows["marks"], rows["hot"], strict=True) if not h]
+        cold = [(unpack(k, 8), m) for k, m, h in zip(rows["keys"], rows["marks"], rows["hot"], strict=True) if h is False]
         if cold:
             key = np.concatenate([k for k, _ in cold])
             marks = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8).reshape(len(k), -1), axis=1)[:, :places] for k, m in cold])
@@ -302,7 +310,8 @@ def deduplicate(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, hot: in
             starts.append(chunk.starts[hit[which]] + place)
         hot_keys = [unpack(k, 8) for k, h in zip(rows["keys"], rows["hot"], strict=True) if h]
         if hot_keys:
-            at = chunk.places(np.arange(len(chunk.starts)))
+            common = np.sort(np.concatenate([unpack(k, 8) for k, h in zip(rows["keys"], rows["hot"], strict=True) if h is None]))
+            at = chunk.places(np.flatnonzero(member(chunk.keys & low, common)))
             starts.append(at[member(chunk.hashes(at, size), np.sort(np.concatenate(hot_keys)))])
         if starts:
             at = np.unique(np.concatenate(starts))
