@@ -12,7 +12,9 @@ from cascara.functions.columns import rounded, time_literal
 from cascara.plans import churn as P
 from cascara.session import scratch_path
 from cascara.sources import files as IO
+from cascara.sources import quarantine as Q
 from cascara.sources.churn import CHURN_SCHEMA
+from cascara.sources.churn_values import RENAMES
 from cascara.streaming import hourly as H
 from cascara.streaming.ingest import ingest_landing, read_sink
 
@@ -59,27 +61,54 @@ def q_parquet_scan(spark, sf):
         .select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-_PARTS = 4  # a known number of files, so that the listing has an oracle
+#: Customers as lines, dealt into a known number of files: names and sizes follow from the data.
+_PARTS = 4
+_PARTS_SQL = f"""SELECT CAST(c_custkey % {_PARTS} AS INTEGER) AS part, CAST(sum(strlen(c_custkey || '|' || c_name) + 1) AS BIGINT) AS bytes
+FROM customer GROUP BY ALL"""
 
 
 def _landed_parts(spark, sf, listing):
     path = scratch_path(spark, "landing")
-    IO.write_csv(raw(spark, sf), path, partitions=_PARTS)
-    return listing(spark, path, 1).select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("part"), (F.col("length") > 1).alias("has_data"))
+    lines = table(spark, sf, "customer").select((F.col("c_custkey") % _PARTS).cast("int").alias("part"), F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name").alias("value"))
+    lines.repartition("part").write.partitionBy("part").text(path)
+    return listing(spark, path, 1).select(F.regexp_extract("path", r"part=(\d+)", 1).cast("int").alias("part"), F.col("length").alias("bytes"))
 
 
-@query("list_landing_files", f"SELECT CAST(part AS INTEGER) AS part, true AS has_data FROM range({_PARTS}) r(part), (SELECT 1 FROM customer LIMIT 1)")
+@query("list_landing_files", _PARTS_SQL)
 def q_list_landing_files(spark, sf):
     """Landed files with more than one byte (the ``_SUCCESS`` marker is empty and is skipped)."""
     return _landed_parts(spark, sf, IO.list_files)
 
 
-@query("landing_first_file", "SELECT 0 AS part, true AS has_data FROM customer LIMIT 1")
+@query("landing_first_file", f"SELECT * FROM ({_PARTS_SQL}) ORDER BY part LIMIT 1")
 def q_landing_first_file(spark, sf):
     """The first qualifying landed file, in path order."""
     return _landed_parts(spark, sf, IO.first_file)
 
 
+_BROKEN = "substr(md5(coalesce(customerID, '')), 1, 1) IN ('0', '1')"
+_ROW_RULES = [P.RULE_CHILD_PHONE, P.RULE_CHILD_INTERNET, P.RULE_DOMAIN_SENIOR, P.RULE_MISSING_PHONE, P.RULE_MISSING_INTERNET, P.RULE_NUMERIC]
+_ROW_SQL = [S.P_CHILD_PHONE, S.P_CHILD_INTERNET, S.P_DOMAIN, S.P_MISSING_PHONE, S.P_MISSING_INTERNET, S.P_NUMERIC]
+_VERDICT_SQL = "CASE WHEN substr(md5(coalesce(CustomerID, '')), 1, 1) IN ('0', '1') THEN 'malformed' " + " ".join(
+    f"WHEN coalesce({p}, false) THEN '{r.name}'" for r, p in zip(_ROW_RULES, _ROW_SQL)) + " ELSE 'ok' END"
+
+
+@query("csv_quarantine", S.with_chain(f"SELECT verdict, CustomerID, count(*) AS n FROM (SELECT *, {_VERDICT_SQL} AS verdict FROM renamed) GROUP BY ALL"))
+def q_csv_quarantine(spark, sf):
+    """A landing in which an eighth of the lines break off after eight fields: every line lands once, with its verdict."""
+    landing = scratch_path(spark, "broken-landing")
+    rows = raw(spark, sf)
+    line = F.to_csv(F.struct(*rows.columns))
+    rows.select(F.when(F.expr(_BROKEN), F.substring_index(line, ",", 8)).otherwise(line).alias("value")).write.text(landing)
+    target = Q.split_landing(spark, landing, CHURN_SCHEMA, _ROW_RULES, scratch_path(spark, "verdicts"), renames=RENAMES, header=False)
+    bad = Q.quarantined(spark, target)
+    # the key of a rejected line: its field in the row's values, or the first field of the line as it was
+    first = F.split("line", ",")[0]
+    key = F.when(F.col("rule") == Q.MALFORMED, F.when(~first.isin('""', ""), first)).otherwise(F.get_json_object("line", "$.CustomerID"))
+    both = bad.select(F.col("rule").alias("verdict"), key.alias("CustomerID")).unionByName(Q.accepted(spark, target).select(F.lit(Q.OK).alias("verdict"), "CustomerID"))
+    return both.groupBy("verdict", "CustomerID").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("snapshot_publish", S.with_chain("SELECT * FROM clean"))
 def q_snapshot_publish(spark, sf):
     """Publish twice to the same snapshot path; the second replaces the first."""

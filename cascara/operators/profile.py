@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from cascara.functions.columns import quoted
 from cascara.operators.radix import double_of, image, ranked
 from cascara.operators.reshape import to_long
+from cascara.session import written
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -132,18 +134,27 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def schema_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """``(position, column, type, n_rows, n_null, n_distinct)`` for every column, from one aggregate.
+    """``(position, column, type, n_rows, n_null, n_distinct)`` for every column.
 
-    ``approx=True`` uses HyperLogLog distinct counts (no per-column shuffle of values) for very large tables.
+    Each column is grouped by itself, so that its repeated values combine before the shuffle and no row is copied once per
+    column; the rows are written once, and each group-by reads its own column of them. ``approx=True`` uses HyperLogLog
+    distinct counts in one aggregate over the input (no shuffle of values), for very large tables.
     """
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, f in enumerate(fields):
-        c = quoted(f.name)
-        aggs.append(F.count_if(c.isNull()).alias(f"__null{i}"))
-        aggs.append((F.approx_count_distinct(c) if approx else F.countDistinct(c)).alias(f"__nd{i}"))
-    one = df.agg(*aggs)
-    each = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
-                     F.col("__n").alias("n_rows"), F.col(f"__null{i}").alias("n_null"), F.col(f"__nd{i}").alias("n_distinct"))
-            for i, f in enumerate(fields)]
-    return one.select(F.inline(F.array(*each)))
+    if approx:
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        for i, f in enumerate(fields):
+            c = quoted(f.name)
+            aggs += [F.count_if(c.isNull()).alias(f"__null{i}"), F.approx_count_distinct(c).alias(f"__nd{i}")]
+        each = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+                         F.col("__n").alias("n_rows"), F.col(f"__null{i}").alias("n_null"), F.col(f"__nd{i}").alias("n_distinct"))
+                for i, f in enumerate(fields)]
+        return df.agg(*aggs).select(F.inline(F.array(*each)))
+    rows = written(df.toDF(*[f"c{i}" for i in range(len(fields))]), "profile")
+    return reduce(DataFrame.unionByName, [
+        rows.groupBy(F.col(f"c{i}").alias("v")).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+            F.count("v").alias("n_distinct")).select(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), "n_rows", "n_null", "n_distinct")
+        for i, f in enumerate(fields)])
+
+

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cascara.operators import clean as C
-from cascara.operators.drift import side_by_side
 from cascara.sources.churn_values import (
     BOOLEANS,
     DEDUP_ORDER,
@@ -95,19 +94,37 @@ def clean(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
 
 def stage_report(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     """``(stage, rule, rows_in, rows_removed, rows_out)`` for every stage that removes rows: exact duplicates, key dedup,
-    missing fields, the rules and the numeric rule. Two aggregates count the first two stages, one scan of the
-    deduplicated rows counts the rest (fills touch no column that a later rule reads)."""
-    renamed = C.rename_columns(raw, spec.renames)
-    missing = " OR ".join(f"`{c}` IS NULL" + (f" OR isnan(`{c}`)" if renamed.schema[c].dataType.typeName() in ("float", "double") else "")
-                          for c in spec.required)
-    rules = [C.Rule("dropna_required", missing), *spec.pre_fill_rules, *spec.post_fill_rules]
-    later = C.rule_report(C.dedup_by_key(renamed, spec.key, list(spec.dedup_order)), rules)
-    counts = C.distinct_rows(renamed).agg(F.count(F.lit(1)).alias("rows_out"), F.count_distinct(F.struct(F.col(spec.key))).alias("keys"))
-    first = renamed.agg(F.count(F.lit(1)).alias("rows_in"))
-    both = side_by_side(first, counts)
-    row = [F.struct(F.lit(i).alias("stage"), F.lit(n).alias("rule"), a.alias("rows_in"), (a - b).alias("rows_removed"), b.alias("rows_out"))
-           for i, (n, a, b) in enumerate((("distinct_rows", F.col("rows_in"), F.col("rows_out")), ("dedup_by_key", F.col("rows_out"), F.col("keys"))))]
-    return both.select(F.inline(F.array(*row))).unionByName(later.withColumn("stage", F.col("stage") + len(row)))
+    missing fields, the rules and the numeric rule, counted while one run writes the cleaned rows (see
+    ``clean_and_report``)."""
+    from cascara.session import scratch_path
+
+    return clean_and_report(raw, scratch_path(raw.sparkSession, "cleaned"), spec)
+
+
+def clean_and_report(raw: DataFrame, path: str, spec: CleanSpec = CleanSpec()) -> DataFrame:
+    """Write the cleaned rows to ``path`` and return the stage report of that same run: each stage counts the rows that
+    leave it as they pass (``Observation``), so the raw table is scanned once and no stage runs again. The counts are those
+    of the tasks that ran; where an executor was lost they can hold repeated tasks, which the rows written do not."""
+    seen: list[tuple[str, Observation]] = []
+
+    def counted(df: DataFrame, stage: str) -> DataFrame:
+        seen.append((stage, Observation()))
+        return df.observe(seen[-1][1], F.count(F.lit(1)).alias("n"))
+
+    df = counted(C.rename_columns(raw, spec.renames), "")
+    df = counted(C.distinct_rows(df), "distinct_rows")
+    df = counted(C.dedup_by_key(df, spec.key, list(spec.dedup_order)), "dedup_by_key")
+    df = counted(C.drop_missing(df, list(spec.required)), "dropna_required")
+    for rule in spec.pre_fill_rules:
+        df = counted(C.reject(df, rule), rule.name)
+    for parent, off, children, sentinel in spec.fills:
+        df = C.fill_dependent(df, parent, off, list(children), sentinel)
+    for rule in spec.post_fill_rules:
+        df = counted(C.reject(df, rule), rule.name)
+    C.recode_booleans(df, spec.booleans).write.mode("overwrite").parquet(path)
+    n = [o.get["n"] for _, o in seen]
+    rows = [(i, stage, n[i], n[i] - n[i + 1], n[i + 1]) for i, (stage, _) in enumerate(seen[1:])]
+    return raw.sparkSession.createDataFrame(rows, "stage int, rule string, rows_in long, rows_removed long, rows_out long")
 
 
 # The allowed words of the repairable columns, in the order the original job lists them.

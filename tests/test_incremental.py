@@ -178,3 +178,58 @@ def test_refresh_reads_the_summary_and_not_the_snapshot(spark, churn, monkeypatc
     with monkeypatch.context() as m:
         m.setattr(IO, "read_snapshot", _fails)
         assert not R.refresh_job(spark, churn, scratch_path(spark, "cleaned"), snapshot, *args).first().refresh
+
+
+def test_quarantine_keeps_every_line(spark, churn):
+    from cascara.sources import quarantine as Q
+
+    landing = scratch_path(spark, "q-landing")
+    line = F.to_csv(F.struct(*churn.columns))
+    broken = F.coalesce(F.substring("customerID", -1, 1).isin("1", "2"), F.lit(False))
+    churn.select(F.when(broken, F.substring_index(line, ",", 4)).otherwise(line).alias("value")).coalesce(2).write.text(landing)
+    target = Q.split_landing(spark, landing, CHURN_SCHEMA, [P.RULE_NUMERIC], scratch_path(spark, "q-verdicts"), P.CleanSpec().renames, header=False)
+    bad, good = Q.quarantined(spark, target), Q.accepted(spark, target)
+    rules = {r["rule"]: r["count"] for r in bad.groupBy("rule").count().collect()}
+    assert rules["malformed"] == churn.where(broken).count() > 0 and set(rules) <= {"malformed", "invalid_numeric"}
+    assert good.count() + bad.count() == churn.count()
+    assert bad.where("source is null or line is null or source not like '%part-%'").count() == 0
+    assert bad.where("rule = 'malformed' and size(split(line, ',')) = 4").count() == rules["malformed"]
+
+
+def test_report_comes_from_the_run_that_writes(spark, churn):
+    path = scratch_path(spark, "reported")
+    report = {r.rule: r for r in P.clean_and_report(churn, path).collect()}
+    assert report["invalid_numeric"].rows_out == spark.read.parquet(path).count() == P.clean(churn).count()
+    assert _same(spark.read.parquet(path), P.clean(churn)) and report["distinct_rows"].rows_in == churn.count()
+
+
+def test_profile_copies_no_rows(spark, churn):
+    from cascara.operators.profile import schema_profile
+
+    got = schema_profile(churn)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    want = {r.column: (r.n_rows, r.n_null) for r in schema_profile(churn, approx=True).collect()}
+    assert {r.column: (r.n_rows, r.n_null) for r in got.collect()} == want
+    assert schema_profile(churn.limit(0)).where("n_rows + n_null + n_distinct > 0").count() == 0
+
+
+@pytest.mark.parametrize("scorer", ["levenshtein", "indel"])
+@pytest.mark.parametrize("threshold", [80.0, 55.0, 0.0])
+def test_near_pairs_lose_no_word(spark, scorer, threshold):
+    """Equal to scoring the whole product."""
+    import random
+
+    from cascara.functions.text import SCORERS
+    from cascara.operators import repair as R
+
+    rng = random.Random(1)
+    words = ["", "a", "No", "Yes", "No internet service", "Männer"] + ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 12))) for _ in range(40)]
+    values = words[:20] + ["yess", "No internt servce", "x", "Maenner"] + ["".join(rng.choice("abcd") for _ in range(rng.randint(0, 13))) for _ in range(60)]
+    v = spark.createDataFrame([("c", x) for x in sorted(set(values))], "column string, value string")
+    w = spark.createDataFrame([("c", i, x) for i, x in enumerate(words)], "column string, pos int, choice string")
+    score = SCORERS[scorer](F.col("value"), F.col("choice"))
+    full = v.join(w, "column").where(score >= threshold).select("value", "pos")
+    near = R.near_pairs(v, w, scorer, threshold)
+    assert _same(near.where(score >= threshold).select("value", "pos"), full)
+    if threshold == 80.0:
+        assert near.count() < v.count() * w.count() / 3
