@@ -279,7 +279,7 @@ def _answerer(folder: str, level: int, order: int):
             place = np.searchsorted(known, asked)
             place[place == len(known)] = 0
             hit = known[place] == asked if len(known) else np.zeros(n, bool)
-            found = [np.where(hit, s[place], 0).astype(np.uint64) if len(known) else np.zeros(n, np.uint64) for s in stored]
+            found = [np.where(hit, s[place], np.uint64(0)) if len(known) else np.zeros(n, np.uint64) for s in stored]
             out_sums.append(squeezed(b"".join(pack(s, WIDTH) for s in found)))
             out_owned.append(squeezed(np.packbits(owned[begin : begin + n]).tobytes()))
             begin += n
@@ -382,26 +382,40 @@ def _file(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri("file://" + path.removeprefix("file:").replace("//", "/") if path.startswith(("file:", "/")) else path)
 
 
+class Column:
+    """Whole numbers, most of them small: a byte each, and those of 255 and more apart, by position."""
+
+    def __init__(self, small: np.ndarray, at: np.ndarray, large: np.ndarray):
+        self.small, self.at, self.large = small, at, large
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        out = self.small[places].astype(np.uint64)
+        high = np.flatnonzero(out == 255)
+        out[high] = self.large[np.searchsorted(self.at, places[high])]
+        return out
+
+
 def store(path: str, keys: np.ndarray, sums: np.ndarray) -> str:
-    """Write keys (sorted, those with any sum) and sums as plain arrays: the number of keys and the bytes of each
-    column's numbers, then the keys, then the columns. The file appears whole, by a rename; a task that runs again
-    writes the same."""
+    """Write keys (sorted, those with any sum) and sums as plain arrays: the number of keys, of columns and of each column's
+    large numbers, then the keys, then the columns, each with the places of its large numbers, these, and its bytes. The
+    file appears whole, by a rename; a task that runs again writes the same."""
     kept = sums.any(axis=0)
     keys, sums = keys[kept], sums[:, kept]
-    widths = [next(w for w in (1, 2, 4, 8) if not len(keys) or int(s.max()) < 256**w) for s in sums]
+    large = [np.flatnonzero(s >= 255) for s in sums]
     system, name = _file(path)
     system.create_dir(os.path.dirname(name), recursive=True)
     fresh = f"{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(fresh) as out:
-        out.write(np.array([len(keys), len(widths), *widths], np.int64).tobytes())
+        out.write(np.array([len(keys), len(sums), *map(len, large)], np.int64).tobytes())
         out.write(keys.astype("<u8").tobytes())
-        for s, w in zip(sums, widths, strict=True):
-            out.write(s.astype(f"<u{w}").tobytes())
+        for s, at in zip(sums, large, strict=True):
+            out.write(at.astype("<i8").tobytes() + s[at].astype("<u8").tobytes())
+            out.write(np.minimum(s, 255).astype(np.uint8).tobytes())
     system.move(fresh, name)
     return path
 
 
-def mapped(path: str) -> tuple[np.ndarray, list[np.ndarray]]:
+def mapped(path: str) -> tuple[np.ndarray, list[Column]]:
     """Keys and sums of a stored range, mapped into memory. Where the shared folder is no mounted file system, the file
     is fetched first into one without a name, which goes with the mapping."""
     system, name = _file(path)
@@ -413,13 +427,19 @@ def mapped(path: str) -> tuple[np.ndarray, list[np.ndarray]]:
                 local.write(block)
             local.flush()
             data = np.memmap(local, np.uint8, "r")
-    n, columns = data[:16].view(np.int64)
-    widths = data[16 : 16 + 8 * columns].view(np.int64)
-    at = 16 + 8 * columns
-    keys = data[at : at + 8 * n].view("<u8")
-    at += 8 * n
+    at = 0
+
+    def read(n: int, kind: str) -> np.ndarray:
+        nonlocal at
+        size = n * np.dtype(kind).itemsize
+        at += size
+        return data[at - size : at].view(kind)
+
+    n, columns = read(2, "<i8").tolist()
+    large = read(columns, "<i8").tolist()
+    keys = read(n, "<u8")
     sums = []
-    for w in widths:
-        sums.append(data[at : at + w * n].view(f"<u{w}"))
-        at += w * n
+    for m in large:
+        places, values = read(m, "<i8"), read(m, "<u8")
+        sums.append(Column(read(n, "u1"), places, values))
     return keys, sums
