@@ -57,6 +57,9 @@ class _Ids(dict):
 
     def __init__(self, vocabulary: str):
         self.encode = encoder(vocabulary).encode_ordinary
+        with open(vocabulary, encoding="utf-8") as f:
+            self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in json.load(f)["added_tokens"]}
+        self.split = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHED:
@@ -71,7 +74,15 @@ _BREAK = re.compile(r"\s ")
 
 
 def token_bytes(text: str, ids: _Ids) -> bytes:
-    """The ids of a text. Byte-level BPE never joins across a space that follows a visible character, so what stands
+    """The ids of a text: those of the file's added tokens, wherever their literals stand, and of what is between them."""
+    if not ids.split.search(text):
+        return _between(text, ids)
+    parts = [p for p in ids.split.split(text) if p]
+    return b"".join(ids.added[p] if p in ids.added else _between(p, ids) for p in parts)
+
+
+def _between(text: str, ids: _Ids) -> bytes:
+    """The ids of a text without added tokens. Byte-level BPE never joins across a space that follows a visible character, so what stands
     between two of these is encoded alone (and mostly known already)."""
     if _BREAK.search(text):
         return np.array(ids.encode(text), "<u4").tobytes()

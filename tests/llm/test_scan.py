@@ -299,9 +299,8 @@ def test_reshard_query_writes_the_texts(spark, monkeypatch, tmp_path):
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
-    docs = documents(spark, [(3000, "a  b\n\n c  \t <|endoftext|>x  "), (3001, " lead don't  we'll\n\nA 12 3\r\n ")]).where("doc_id != 1000")
+    docs = documents(spark, [(3000, "a  b\n\n c  \t <|endoftext|>x  "), (3002, "<|endoftext|>"), (3003, "a <|endoftext|> b <|endoftext|><|endoftext|> c<|endoftext"), (3001, " lead don't  we'll\n\nA 12 3\r\n ")]).where("doc_id != 1000")
     t = Tokenizer.from_file(tokenizer_file())
-    t.encode_special_tokens = True
     got = bin_slack.packed(docs, tokenizer_file()).toPandas()
     for i, text in rows_of(docs):
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
