@@ -33,12 +33,14 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascara.llm.common import combine, doc_words, ordered, pack, prepare, release, text_bytes, unpack
+from cascara.llm.common import LOWER, buffers, combine, find_words, hash_words, ordered, pack, prepare, release, text_bytes, unpack
 from cascara.session import scratch_path
 
 ORDER = 2
 CHUNK_BYTES = 8_000_000
 RANGE_BYTES = 24_000_000
+#: Words hashed at a time.
+HASHED = 150_000
 #: Bytes of a count on its way, and what an order below the highest counts of an n-gram: different words before it, the
 #: sum of the counts of its continuations, and its continuations counted once, twice and more often.
 WIDTH = 6
@@ -137,13 +139,20 @@ class _Grams:
     the distinct keys in order, and where a key or context stands among them."""
 
     def __init__(self, table: pa.Table, order: int):
-        texts = pa.array([t and squeezed(t, False) for t in table["text"].to_pylist()], pa.binary()).cast(pa.string())
+        texts = pa.array((t and squeezed(t, False) for t in table["text"].to_pylist()), pa.binary()).cast(pa.string())
         table = ordered(table.set_column(table.schema.get_field_index("text"), "text", texts))
+        del texts
         self.order = order
         self.chunk = table["chunk"][0].as_py()
         self.ids = table["doc_id"]
         self.held_out = table["held_out"].combine_chunks().to_numpy(zero_copy_only=False)
-        _, _, _, first, h = doc_words(table.drop_columns("held_out"), lower=True)
+        data, offs = buffers(table["text"])
+        data = LOWER[data]
+        starts, ends, first = find_words(data, offs)
+        h = np.empty(len(starts), np.uint64)
+        for a in range(0, len(starts), HASHED):  # hashing takes several times the bytes it reads
+            h[a : a + HASHED] = hash_words(data, starts[a : a + HASHED], ends[a : a + HASHED])
+        del data, starts, ends
         self.sizes = np.diff(first) + 1
         stops = np.cumsum(self.sizes)
         self.begins = stops - self.sizes
