@@ -3,11 +3,11 @@
 Each task cuts its documents into shards of bounded size and sorts the shard's word suffixes (prefix doubling, ranks and
 positions packed in one 64-bit word so that plain sorts do the work). Every suffix of every benchmark item is then
 binary-searched in the shard word by word, all of them at once; the range that is left holds the places of the verbatim
-match. Documents stay where they are: nothing is shuffled, and the shards are as many as the data need.
+match, which is followed to its end: the longest match and its location. Words that longest matches cover are hit.
+Documents stay where they are: nothing is shuffled, and the shards are as many as the data need.
 
-The benchmark is the only side that goes to every task. Its size is measured; beyond ``ITEM_BYTES`` it is cut into
-slices by item id and text that are searched one after the other; the documents are then written once with a key per
-row, and what the slices find is brought together by that key.
+The benchmark is the only side that goes to every task, in slices of about ``ITEM_BYTES`` (by item id and text) that are
+searched one after the other within the same stage.
 
 Defined cases: null and empty texts have no words and are clean; an item without words hits nothing; equal item ids
 count as one item; an item with a null id is searched like any other, and its words count as hit, but it is no counted or
@@ -18,7 +18,6 @@ returns them all).
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -27,15 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascara.llm.common import LOWER, buffers, find_words, hash_words, prepare, slices, stage
+from cascara.llm.common import LOWER, buffers, find_words, hash_words, prepare, slices
 
 WINDOW = 10
 #: Text bytes and words of a shard; a shard has at most 2**21 suffixes unless one document is longer.
 SHARD_BYTES = 4_000_000
 PACKED = 21
-ITEM_BYTES = 32_000_000
-
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+#: Text bytes of a slice of the benchmark.
+ITEM_BYTES = 8_000_000
 
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -195,64 +193,70 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     return out
 
 
-def _judge(items: Items, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-    """Words and hit words of each text, and the items that occur in it."""
+def _judge(items: Items, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[str]]]:
+    """First word of each text (and the words' number), begins and ends of the runs of hit words (no run goes over a
+    text's end), and the items that occur in each text. The runs come from the longest matches: of a match's suffixes
+    only the first, which no equal word precedes, is followed to its end; it covers the others."""
     h, first, suffix, position = items.matches(texts)
+    begin = items.begin[suffix]
+    inner = (items.place[suffix] > 0) & (position > 0)
+    inner[inner] = items.words[begin[inner] - 1] == h[position[inner] - 1]
+    starts = position[~inner]
     edge = np.zeros(len(h) + 1, np.int64)
-    np.add.at(edge, position, 1)
-    np.add.at(edge, position + items.size[suffix], -1)
-    covered = np.cumsum(np.cumsum(edge) > 0)
-    covered = np.concatenate([[0], covered])
-    n_words = np.diff(first) - 1
-    n_hit = covered[first[1:]] - covered[first[:-1]]
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + items.longest(h, suffix[~inner], starts), -1)
+    hit = np.diff(np.concatenate([[0], (np.cumsum(edge) > 0).astype(np.int8)]))
     row = np.searchsorted(first, position, "right") - 1
-    found: list[list[str]] = [[] for _ in n_words]
+    found: list[list[str]] = [[] for _ in range(len(first) - 1)]
     pairs = np.unique(row * len(items.ids) + items.item[suffix]) if len(row) else []
     for p in pairs:
         if items.ids[p % len(items.ids)] is not None:
             found[p // len(items.ids)].append(items.ids[p % len(items.ids)])
-    return n_words, n_hit, [sorted(set(x)) for x in found]
+    return first, np.flatnonzero(hit == 1), np.flatnonzero(hit == -1), found
+
+
+#: What a search hands on: runs of hit words (begin, end) and items found so far.
+FOUND = "doc_id long, text string, n_words long, runs array<struct<a: long, b: long>>, items array<string>"
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: words, words inside a window of an item, items with such windows and their digest, and whether
-    any word is hit."""
+    any word is hit. The slices of the benchmark are searched one after the other, each row where it is: a search
+    hands on the texts with what it and those before have found."""
     prepare(docs.sparkSession)
+    none = F.array()
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), none.cast("array<struct<a: long, b: long>>").alias("runs"), none.cast("array<string>").alias("items"))
     parts = item_slices(benchmark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    all_items = [_items(p, window) for p in parts] if len(parts) == 1 else None
+    for k, part in enumerate(parts):
+        out = out.mapInArrow(_search(_items(part, window), k == len(parts) - 1), FOUND)
+    # Runs of several slices may overlap.
+    step = F.aggregate(
+        F.array_sort("runs"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
+        lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(s["to"], x["a"]))).alias("n"), F.greatest(s["to"], x["b"]).alias("to")),
+    )["n"]
+    names = F.array_sort(F.array_distinct("items"))
+    judged = out.select("doc_id", "n_words", step.alias("n_hit"), names.alias("items"))
+    return judged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def _search(items: Items, last: bool):
+    """The rows with the runs and items that a slice adds; the last search hands on no texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SHARD_BYTES):
-            n_words, n_hit, found = _judge(all_items[0], batch.column("text"))
-            digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in found]
-            columns = [batch.column("doc_id"), n_words, n_hit, [len(x) for x in found], digests, n_hit > 0]
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) if not isinstance(c, pa.Array) else c for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in RESULT.split(", ")])
-
-    if all_items:
-        return rows.mapInArrow(work, RESULT)
-    # A benchmark beyond the bound: all places from all slices, joined to the documents' words. Ids may be null or repeat,
-    # so rows are written with a key of their own, which must be the same for every slice.
-    kept = stage(rows.withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
-    found = matches(kept.select(F.col("row").alias("doc_id"), "text"), benchmark, window).withColumnRenamed("doc_id", "row")
-    size = F.least("n_words", F.lit(window))
-    places = found.groupBy("row").agg(F.collect_set(F.struct(F.col("doc_start").alias("a"), (F.col("doc_start") + size).alias("b"))).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items"))
-    empty = Items([], [], window)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SHARD_BYTES):
-            n_words, _, _ = _judge(empty, batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(n_words, pa.int64())], ["row", "doc_id", "n_words"])
+            first, begins, ends, found = _judge(items, batch.column("text"))
+            row = np.searchsorted(first, begins, "right") - 1
+            runs = batch.column("runs").to_pylist()
+            for i, a, b in zip(row.tolist(), (begins - first[row]).tolist(), (ends - first[row]).tolist(), strict=True):
+                runs[i].append({"a": a, "b": b})
+            names = [[*old, *new] for old, new in zip(batch.column("items").to_pylist(), found, strict=True)]
+            text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column("text")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), text, pa.array(np.diff(first) - 1, pa.int64()), pa.array(runs, batch.column("runs").type), pa.array(names, pa.list_(pa.string()))],
+                ["doc_id", "text", "n_words", "runs", "items"],
+            )
 
-    counted = kept.select("row", "doc_id", "text").mapInArrow(count, "row long, doc_id long, n_words long").join(places, "row", "left")
-    step = F.aggregate(
-        F.array_sort("spans"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
-        lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(s["to"], x["a"]))).alias("n"), F.greatest(s["to"], x["b"]).alias("to")),
-    )["n"]
-    hit = F.coalesce(step, F.lit(0)).cast("long")
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    return counted.select("doc_id", "n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+    return work
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -265,8 +269,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
         def work(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", SHARD_BYTES):
-                _, n_hit, _ = _judge(items, batch.column("text"))
-                yield batch.filter(pa.array(n_hit == 0))
+                first, begins, _, _ = _judge(items, batch.column("text"))
+                clean_ = np.ones(batch.num_rows, bool)
+                clean_[np.searchsorted(first, begins, "right") - 1] = False
+                yield batch.filter(pa.array(clean_))
 
         out = out.mapInArrow(work, docs.schema)
     return out
