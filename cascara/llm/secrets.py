@@ -1,11 +1,13 @@
 """Secret scans with character Markov models, in DataFrame operations only.
 
-Base patterns (assignments to names of secrets, access keys, long hex strings) give spans of their own and, with them,
-labelled samples of random strings. Long tokens of letters alone or digits alone are the labelled ordinary identifiers.
-Two first-order character models are counted over the whole corpus (a row per label and character pair); the random one
-is mixed with the uniform distribution, as secrets use more alphabets than the samples show. Every other long token that
-has both letters and digits is scored by the log-likelihood ratio of the models, and becomes a span of kind ``markov``
-if the ratio exceeds ``RATIO``.
+Base patterns (assignments to names of secrets, access keys, long hex strings) give spans of their own and, with their
+different values, the labelled sample of random strings. The labelled ordinary identifiers are the different runs of letters
+and digits that are shorter than any scored token and occur more than once in the corpus, so no long key, of whatever
+characters, is among them, and a general list that stands for a corpus too to show its identifiers. Two first-order character models are counted from these samples. Every other long token is
+scored by the log-likelihood ratio of a random string against an ordinary identifier, and becomes a span of kind ``markov``
+if the ratio exceeds ``RATIO``. A random string follows, half and half, the model of the random sample or draws evenly
+from the letters and digits of the token's kinds, as secrets use more alphabets than the samples show; an ordinary one may
+also repeat its last character (rules and fillers) or go on with a capital. Pairs with a separator (``+/_=-``) say nothing.
 
 Positions count code points: a text is cut at the matches of a pattern, and the lengths of the parts are summed up.
 
@@ -30,12 +32,33 @@ HEX = r"[0-9a-f]{24,}"
 VALUE = 6
 KINDS = ("assign", "access", "hex", "markov")
 
-#: Tokens that the models read, and their characters.
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
-ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-"
-ORDINARY = r"^([A-Za-z]+|[0-9]+)$"
-MIXED = r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]"
-UNIFORM = 0.5
+#: Tokens that are scored: LONG characters or more. The models read their letters and digits.
+LONG = 16
+TOKEN = rf"[A-Za-z0-9+/_=-]{{{LONG},}}"
+ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+#: Weight of the characters' own shares in a model; of an ordinary identifier's repeating its last character; of its
+#: going on with a new word's capital; of its being written in capitals.
+BACK, REPEAT, CAMEL, CAPITALS = 5.0, 0.1, 0.05, 0.1
+#: General words of identifiers. Each, with the next one in capitals, is worth GENERAL_WEIGHT identifiers of
+#: the corpus, and so is every pair of digits.
+GENERAL = (
+    "about access account action address after average before begin between block buffer button cache "
+    "call category change channel class client close code column command comment common config connect content context control "
+    "copy count create current customer data date default delete description detail device different directory display document "
+    "domain email enable error event every export extension field file filter find first folder follow format "
+    "found function general group handle history image import index input insert internal item label language "
+    "last length limit line link list load local location long message method model month "
+    "name network next node normal number object offset open option order ordinary other output page part path "
+    "place point position previous process product profile property public query question "
+    "read record reference resource response result return review right sample save search "
+    "section select series server service size small some source space special standard start state status store "
+    "string structure style support system table target task template test text that their there these thing this time "
+    "title total track type unique update user value version very what where which window with word work world "
+    "would year"
+).split()
+GENERAL_WEIGHT = 20
+#: A random string's alphabet has this many characters at least.
+LEAST = 16
 #: Natural log of the odds that a token must show: secrets are rare among tokens.
 RATIO = 10.0
 MASK = "[SECRET]"
@@ -87,44 +110,83 @@ def _free(spans: Column, base: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < _end(s)) & (s["start"] < b["end"])))
 
 
-def train(found: DataFrame) -> list[float]:
-    """Log-likelihood ratios, random against ordinary, of each second character after each first one."""
-    random = F.transform(F.concat("assign", "access", "hex"), lambda s: F.struct(s["value"].alias("token"), F.lit(1).alias("random")))
-    plain = F.filter("tokens", lambda s: s["token"].rlike(ORDINARY) & ~F.exists(F.concat("assign", "access", "hex"), lambda b: (b["start"] < _end(s)) & (s["start"] < _end(b))))
-    samples = found.select(F.explode(F.concat(random, F.transform(plain, lambda s: F.struct(s["token"].alias("token"), F.lit(0).alias("random"))))).alias("s")).select("s.*").where(F.char_length("token") >= 2)
-    pairs = samples.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("token") - 1), lambda i: F.substring("token", i, F.lit(2)))).alias("pair"))
-    counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}  # at most 2 x 68 x 68 rows
-    size = len(ALPHABET)
+def ordinary(docs: DataFrame) -> DataFrame:
+    """The labelled ordinary identifiers: short runs of letters and digits that occur more than once."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    runs = docs.select(F.explode(F.split(text, "[^A-Za-z0-9]+", -1)).alias("token")).where(F.char_length("token").between(2, LONG - 1))
+    return runs.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
 
-    def model(label: int) -> list[list[float]]:
-        """Probability of each second character: the pair's share, backed by the character's share overall."""
-        rows = [[counts.get((label, a + b), 0) for b in ALPHABET] for a in ALPHABET]
-        every = [sum(r[b] for r in rows) for b in range(size)]
-        single = [(n + 0.05) / (sum(every) + 0.05 * size) for n in every]
-        return [[(n + single[b]) / (sum(r) + 1) for b, n in enumerate(r)] for r in rows]
 
-    ordinary, secret = model(0), model(1)
-    return [math.log(((1 - UNIFORM) * q + UNIFORM / size) / p) if counts else 0.0 for p_, q_ in zip(ordinary, secret, strict=True) for p, q in zip(p_, q_, strict=True)]
+def _letters(token: Column) -> Column:
+    return F.split(token, "", -1)
 
 
-def ratio(token: Column, table: list[float]) -> Column:
-    """Log-likelihood ratio of a token (of characters of ALPHABET)."""
-    values = F.from_json(F.lit("[" + ",".join(f"{v:.6f}" for v in table) + "]"), "array<double>")
-    place = lambda i: F.position(F.substring(token, i, F.lit(1)), F.lit(ALPHABET))
-    steps = F.sequence(F.lit(1), F.char_length(token) - 1)
-    return F.aggregate(steps, F.lit(0.0), lambda s, i: s + F.element_at(values, (place(i) - 1) * len(ALPHABET) + place(i + 1)))
+def train(found: DataFrame, plain: DataFrame) -> tuple[list[float], list[float]]:
+    """Natural logs, for each two characters in a row (0: another character than ALPHABET's): the random model's
+    likelihood of the second over the ordinary model's, and one over the ordinary model's."""
+    random = found.select(F.explode(F.transform(F.concat("assign", "access", "hex"), lambda s: s["value"])).alias("token")).distinct()
+    samples = random.select("token", F.lit(1).alias("random")).unionByName(plain.select("token", F.lit(0).alias("random")))
+    after = F.slice(_letters(F.col("token")), 2, F.greatest(F.char_length("token") - 1, F.lit(0)))
+    pairs = samples.select("random", F.explode(F.zip_with(_letters(F.col("token")), after, lambda a, b: F.concat(a, b))).alias("pair")).where(F.col("pair").rlike("^[A-Za-z0-9]{2}$"))
+    counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}  # at most 2 x 62 x 62 rows
+    return tables(counts)
 
 
-def _markov(table: list[float]) -> Column:
-    mixed = F.filter("tokens", lambda s: s["token"].rlike(MIXED))
-    scored = F.filter(_free(mixed, _base()), lambda s: ratio(s["token"], table) >= RATIO)
+def tables(counts: dict[tuple[int, str], int]) -> tuple[list[float], list[float]]:
+    """See ``train``; ``counts`` of (random, pair)."""
+    size = len(ALPHABET)
+    learnt = {0: {}, 1: {}}
+    known = [a + b.capitalize() for a, b in zip(GENERAL, GENERAL[1:] + GENERAL[:1], strict=True)] + [a + b for a in "0123456789" for b in "0123456789"]
+    general = [((0, w[i : i + 2]), GENERAL_WEIGHT) for w in known for i in range(len(w) - 1)]
+    for (label, pair), n in [*counts.items(), *general]:
+        learnt[label][pair] = learnt[label].get(pair, 0) + n
+        if not label and pair.isalpha() and pair != pair.upper():
+            learnt[0][pair.upper()] = learnt[0].get(pair.upper(), 0) + CAPITALS * n
+
+    def model(label: int) -> list[list[float]]:
+        """Probability of each second character: the pair's share, backed by the character's share overall."""
+        rows = [[learnt[label].get(a + b, 0) for b in ALPHABET] for a in ALPHABET]
+        every = [sum(r[b] for r in rows) for b in range(size)]
+        single = [(0.95 * n / sum(every) if sum(every) else 0.95 / size) + 0.05 / size for n in every]
+        return [[(n + BACK * single[b]) / (sum(r) + BACK) for b, n in enumerate(r)] for r in rows]
+
+    plain, secret = model(0), model(1)
+    against, cost = [0.0] * (size + 1) ** 2, [0.0] * (size + 1) ** 2
+    for a in range(size):
+        for b in range(size):
+            camel = ALPHABET[a].islower() and ALPHABET[b].isupper()
+            p = (1 - REPEAT - CAMEL) * plain[a][b] + REPEAT * (a == b) + CAMEL / 26 * camel
+            at = (a + 1) * (size + 1) + b + 1
+            against[at], cost[at] = round(math.log(secret[a][b] / p), 6), round(-math.log(p), 6)
+    return against, cost
+
+
+def ratio(token: Column, table: tuple[list[float], list[float]]) -> Column:
+    """Log-likelihood ratio of a token."""
+    against, cost = (F.from_json(F.lit("[" + ",".join(f"{v:.6f}" for v in t) + "]"), "array<double>") for t in table)
+    place = F.transform(_letters(token), lambda c: F.position(c, F.lit(ALPHABET)))
+    after = F.slice(place, 2, F.greatest(F.char_length(token) - 1, F.lit(0)))
+    at = F.zip_with(place, after, lambda a, b: F.when((a > 0) & (b > 0), a * (len(ALPHABET) + 1) + b + 1).otherwise(F.lit(1)))
+    kinds = sum((F.when(token.rlike(k), n).otherwise(0) for k, n in (("[a-z]", 26), ("[A-Z]", 26), ("[0-9]", 10))), F.lit(0))
+    even = F.log(F.greatest(kinds, F.lit(LEAST)).cast("double"))
+    start = F.struct(F.lit(0.0).alias("learnt"), F.lit(0.0).alias("even"))
+
+    def step(s: Column, i: Column) -> Column:
+        one = F.element_at(cost, i)
+        return F.struct((s["learnt"] + F.element_at(against, i)).alias("learnt"), (s["even"] + F.when(one > 0, one - even).otherwise(0.0)).alias("even"))
+
+    return F.aggregate(at, start, step, lambda s: F.greatest(s["learnt"], s["even"])) - F.lit(math.log(2))
+
+
+def _markov(table: tuple[list[float], list[float]]) -> Column:
+    scored = F.filter(_free(F.col("tokens"), _base()), lambda s: ratio(s["token"], table) >= RATIO)
     return F.transform(scored, lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), _end(s).alias("end")))
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id, base and all spans of every document: arrays of (start, kind, end), kind as its place in KINDS."""
     found = stage(scan(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id"), "secrets-found")
-    return found.select("doc_id", F.array_sort(_base()).alias("base"), F.array_sort(F.concat(_base(), _markov(train(found)))).alias("spans"))
+    return found.select("doc_id", F.array_sort(_base()).alias("base"), F.array_sort(F.concat(_base(), _markov(train(found, ordinary(docs))))).alias("spans"))
 
 
 def written(spans_: str) -> Column:
@@ -139,7 +201,7 @@ def count_of(kind: str) -> Column:
 
 def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """The documents with every span replaced by ``mask``, with all columns; ``n_chars``, if there, follows the text."""
-    table = train(stage(scan(docs), "secrets-found"))
+    table = train(stage(scan(docs), "secrets-found"), ordinary(docs))
     rest = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     found = scan(rest, "row").select("row", F.array_sort(F.concat(_base(), _markov(table))).alias("spans"))
     text = F.coalesce(F.col("row.text"), F.lit(""))
