@@ -6,10 +6,11 @@
 2. Votes. One pass over all documents records, per document, which voters fire and which induced terms occur in the
    whole text. Counts of vote patterns are aggregated by Spark (at most 2**16 patterns).
 3. Generative label model. Expectation-maximisation over the pattern counts of the whole corpus estimates each voter's
-   firing rates in both classes (its accuracy) and the class balance. Correlations left within a class are measured
-   from the same counts; strongly correlated voters share one vote, so copies of a rule do not count twice.
-4. A logistic regression on the induced terms and voters is trained on the posterior labels of the sample (the given
-   label counts as one more voter there), and scores every document.
+   accuracy. The given label is one more voter of the sample's documents; its accuracy is estimated from the other
+   voters. Correlations left within a class are measured from the same counts; a voter's weight is divided by the
+   variance it shares with others, so copies of a rule do not count twice.
+4. A logistic regression on the induced terms and voters is trained on the model's posterior of the sample's documents,
+   and scores every document.
 
 Labels are learnt only from rows whose crc32(doc_id as text) mod 4 is not 2; labels, lang, source and doc_id are no
 inputs of a score. The sample's bound is ``SAMPLE`` documents (those whose ids hash lowest), everything else covers all.
@@ -42,8 +43,10 @@ LEXICON_VOTERS = 12
 #: A term counts as present, as repeated, as frequent.
 LEVELS = (1, 2, 4)
 THRESHOLD = 0.3
-#: Log-odds that a document's own label adds to its posterior: right 19 times in 20.
-LABEL = float(np.log(19))
+#: How often the class is toxic where a label says toxic, and where it says clean, before the label model estimates it,
+#: and how many documents of each kind that guess is worth.
+LABEL = (0.95, 0.02)
+LABEL_WEIGHT = 20
 
 #: A general list of insults, for the voter that needs no labels.
 INSULTS = (
@@ -198,60 +201,78 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
     return texts.join(F.broadcast(marks), "doc_id")  # bounded by ``size`` rows
 
 
-def fit_label_model(patterns: dict[int, int], voters: int, votes: np.ndarray | None = None, labels: np.ndarray | None = None, rounds: int = 100) -> dict[int, float]:
-    """Posterior of the toxic class for each vote pattern. A voter that does not fire abstains; one more voter fires
-    where all abstain, and votes for the clean class. Each voter's accuracy (how often the class is toxic where it
-    fires) is estimated from all documents, beginning with and held to the labelled sample (``votes``, ``labels``)."""
-    def fired(keys: np.ndarray) -> np.ndarray:
-        f = ((keys[:, None] >> np.arange(voters)) & 1).astype(np.float64)
-        return np.hstack([f, f.sum(axis=1, keepdims=True) == 0])
-
-    keys = np.array(sorted(patterns), np.int64)
-    weight = np.array([patterns[k] for k in keys.tolist()], np.float64)
-    fires = fired(keys)
-    known = np.zeros(voters + 1), np.zeros(voters + 1)  # toxic and all documents of the sample in which each fires
+def fit_label_model(patterns: dict[int, int], voters: int, votes: np.ndarray | None = None, labels: np.ndarray | None = None, rounds: int = 100) -> tuple[dict[int, float], np.ndarray]:
+    """Posterior of the toxic class for each vote pattern, and for each document of the labelled sample (``votes``,
+    ``labels``) with its label as one more voter. A voter that does not fire abstains; one more voter fires where all
+    abstain, and votes for the clean class. Each voter's accuracy (how often the class is toxic where it fires) is
+    estimated from all documents by expectation-maximisation that begins with the sample's labels. The label's own two
+    accuracies (where it says toxic, where it says clean) are estimated from the other voters alone, so that it cannot
+    confirm itself."""
+    votes = np.zeros(0, np.int64) if votes is None else votes
+    labels = np.zeros(0) if labels is None else labels
+    given = Counter(zip(votes.tolist(), (labels > 0.5).tolist(), strict=True))
+    rest = {k: max(0, n - given[(k, False)] - given[(k, True)]) for k, n in patterns.items()}
+    rows = [(k, None, n) for k, n in sorted(rest.items())] + [(k, y, n) for (k, y), n in sorted(given.items())]
+    keys = np.array([k for k, _, _ in rows], np.int64)
+    weight = np.array([n for _, _, n in rows], np.float64)
+    says = np.array([[y is True, y is False] for _, y, _ in rows], np.float64).reshape(-1, 2)
+    fires = ((keys[:, None] >> np.arange(voters)) & 1).astype(np.float64)
+    fires = np.hstack([fires, fires.sum(axis=1, keepdims=True) == 0])
+    marked = weight * says.sum(axis=1)
+    positive = float((weight * says[:, 0]).sum())
     balance = 0.1
     accuracy = np.append(np.full(voters, 0.8), 0.02)
-    if labels is not None and 0 < labels.sum() < len(labels):
-        f = fired(votes)
-        known = f.T @ labels, f.sum(axis=0)
-        balance = float(labels.mean())
+    # What the estimates are held to: the labels where both kinds are there, general rates otherwise.
+    if 0 < positive < marked.sum():
+        balance = positive / float(marked.sum())
+        known = (weight * says[:, 0]) @ fires, marked @ fires
         accuracy = (known[0] + balance) / (known[1] + 1)
     else:
         accuracy[voters - PATTERNS + 1 : voters] = balance  # patterns alone say nothing
         known = accuracy * 50, np.full(voters + 1, 50.0)
+    label = np.array(LABEL)
     share = np.ones(voters + 1)
     prior = np.log(balance / (1 - balance))
 
-    def posterior() -> np.ndarray:
-        a = np.clip(accuracy, 1e-3, 1 - 1e-3)
-        odds = prior + fires @ (share * (np.log(a / (1 - a)) - prior))
-        return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+    def logit(x: np.ndarray) -> np.ndarray:
+        x = np.clip(x, 1e-3, 1 - 1e-3)
+        return np.log(x / (1 - x))
+
+    def sigmoid(x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
     for step in range(rounds):
-        p = posterior()
+        others = prior + fires @ (share * (logit(accuracy) - prior))
+        p = sigmoid(others + says @ (logit(label) - prior))
         new = (known[0] + (weight * p) @ fires + balance) / (known[1] + weight @ fires + 1)
-        moved = np.abs(new - accuracy).max()
-        accuracy = new
+        seen = np.array(LABEL) * LABEL_WEIGHT + (weight * sigmoid(others)) @ says
+        new_label = seen / (LABEL_WEIGHT + weight @ says)
+        moved = max(np.abs(new - accuracy).max(), np.abs(new_label - label).max())
+        accuracy, label = new, new_label
         if step in (3, 12):
             share = _shares(fires, weight, p)
         if step > 12 and moved < 1e-6:
             break
-    return dict(zip(keys.tolist(), posterior().tolist(), strict=True))
+    others = prior + fires @ (share * (logit(accuracy) - prior))
+    alone = dict(zip(keys.tolist(), sigmoid(others).tolist(), strict=True))
+    with_label = dict(zip([(k, y) for k, y, _ in rows], sigmoid(others + says @ (logit(label) - prior)).tolist(), strict=True))
+    return alone, np.array([with_label[(int(k), bool(y > 0.5))] for k, y in zip(votes, labels, strict=True)])
 
 
 def _shares(fires: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Votes per voter: one, divided among voters that stay correlated within the classes."""
-    excess = np.zeros((fires.shape[1],) * 2)
+    """Votes per voter: one, divided by the variance that it shares with the voters it stays correlated with inside a
+    class (itself included). Copies of a rule have one vote together; voters that fire independently keep theirs."""
+    shared = np.zeros((fires.shape[1],) * 2)
     for q in (1 - p, p):
         w = weight * q
         n = max(w.sum(), 1e-9)
         mean = w @ fires / n
         cov = (fires * w[:, None]).T @ fires / n - np.outer(mean, mean)
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-        excess = np.maximum(excess, np.where(np.minimum.outer(sd, sd) > 1e-3, cov / np.outer(sd, sd), 0))
-    np.fill_diagonal(excess, 1)
-    return 1 / np.where(excess > 0.5, excess, 0).sum(axis=1)
+        rho = np.where(np.minimum.outer(sd, sd) > 1e-3, cov / np.outer(sd, sd), 0)
+        shared = np.maximum(shared, np.maximum(rho, 0) ** 2)
+    np.fill_diagonal(shared, 1)
+    return 1 / shared.sum(axis=1)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -311,18 +332,15 @@ def _fit(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Lexicon, list
     if patterns:
         y = np.array(marks, np.float64)
         votes = np.array([v for _, v in read_sample], np.int64)
-        posterior = fit_label_model(patterns, lexicon.size, votes, y)
+        alone, soft = fit_label_model(patterns, lexicon.size, votes, y)
         if len(read_sample):
             x = np.zeros((len(read_sample), width), np.int8)
             for i, (f, v) in enumerate(read_sample):
                 x[i, _features(f, v, lexicon)] = 1
-            p = np.clip(np.array([posterior[int(v)] for v in votes]), 1e-6, 1 - 1e-6)
-            # The given label is one more voter of the document.
-            soft = 1 / (1 + np.exp(-(np.log(p / (1 - p)) + (2 * y - 1) * LABEL)))
         else:  # no labelled documents: the patterns themselves stand for the sample
-            keys = list(posterior)
+            keys = list(alone)
             x = ((np.array(keys)[:, None] >> np.arange(lexicon.size)) & 1).astype(np.int8)
-            soft = np.array([posterior[k] for k in keys])
+            soft = np.array([alone[k] for k in keys])
         w = fit_logistic(x, soft)
         weights, intercept = w[:-1], float(w[-1])
     return lexicon, [float(v) for v in weights], intercept, read
