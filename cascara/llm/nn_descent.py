@@ -10,7 +10,8 @@ the short vectors' own products. Vectors travel to the groups as directions in h
 
 A search starts at the query's own node and at a few fixed entries (the longest vectors, which inner products favour,
 and some others) and expands the best unexpanded nodes of its beam, hop by hop, all queries at once, until the 2 k
-nearest found so far are all expanded.
+nearest found so far are all expanded. A query expands a node once, so every beam closes in the end; a query that has
+closed leaves the search, the others go on without a limit of hops.
 
 Defined cases: rows whose vector is null, zero, of another length than most, or has null or non-finite parts take no
 part, as queries or as candidates; rows that repeat an id and vector count once; fewer candidates than asked for are
@@ -19,6 +20,7 @@ all returned; an empty table gives no rows; only ``vec_id`` and ``embedding`` ar
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -33,8 +35,8 @@ K = 20
 DEGREE = 24
 #: Nodes of a first cell, first cells per node, and nodes that bring their neighbours to a group.
 CELL, TREES, GROUP = 640, 3, 128
-#: A round that renews less than this share of all neighbours is the last; and the most rounds and hops.
-SETTLED, ROUNDS, HOPS = 0.01, 8, 12
+#: A round that renews less than this share of all neighbours is the last.
+SETTLED = 0.01
 #: Beam of a search, nodes expanded per hop, queries of a search group.
 BEAM, EXPAND, QUERIES = 64, 10, 32
 #: Nodes of either kind where every search starts.
@@ -48,15 +50,21 @@ NONE = -4.0
 GRAPH = "node long, near array<long>, score array<float>"
 
 
+def precision(vectors: DataFrame) -> str:
+    """The element type that vectors are kept in: double if they hold doubles, else float."""
+    return "double" if dict(vectors.dtypes)["embedding"] == "array<double>" else "float"
+
+
 def nodes_of(vectors: DataFrame, k: int = K) -> DataFrame:
     """(node, embedding, ids): each different usable vector with its least ids (k + 1 at most; node is the least)."""
-    e = F.col("embedding").cast("array<float>")
+    kind = precision(vectors)
+    e = F.col("embedding").cast(f"array<{kind}>")
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding")).where("vec_id is not null and embedding is not null").where(usable)
     size = rows.groupBy(F.size("embedding").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
     rows = rows.where(F.size("embedding") == (size["size"] if size else 0))
     # -0.0 and 0.0 are the same number.
-    rows = rows.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0).cast("float")))
+    rows = rows.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0).cast(kind)))
     first = rows.distinct().withColumn("place", F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))).where(F.col("place") <= k + 1)
     return first.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.sort_array(F.collect_list("vec_id")).alias("ids")).select("node", "embedding", "ids")
 
@@ -176,7 +184,7 @@ def build(points: DataFrame, count: int, degree: int = DEGREE) -> DataFrame:
         found = cell.join(points, "node").select("cell", "node", "half", F.lit(NONE).cast("float").alias("least")).groupBy("cell").applyInArrow(kernel, GRAPH)
         start = found if start is None else start.unionByName(found)
     graph = stage(merged(start, buckets, degree), "neighbours-0")
-    for turn in range(1, ROUNDS + 1):
+    for turn in itertools.count(1):  # every change puts a nearer neighbour in, so the rounds come to an end
         group = stage(cells(points, count, GROUP, 1000 + turn), "neighbours-cells")
         around = group.join(graph, "node", "left").select("cell", F.explode(F.concat(F.array("node"), F.coalesce("near", F.array().cast("array<long>")))).alias("node")).distinct()
         least = graph.select("node", F.when(F.size("near") >= degree, F.element_at("score", -1)).otherwise(F.lit(NONE)).cast("float").alias("least"))
@@ -187,11 +195,10 @@ def build(points: DataFrame, count: int, degree: int = DEGREE) -> DataFrame:
         changed = fresh.agg(F.sum(F.size(F.array_except("near", F.coalesce("was", F.array().cast("array<long>"))))).alias("n")).first()["n"] or 0
         graph = new
         if changed < SETTLED * count * degree:
-            break
-    return graph
+            return graph
 
 
-BEAMS = "node long, cell long, beam array<long>, score array<double>, open array<boolean>, done boolean"
+BEAMS = "node long, cell long, beam array<long>, score array<double>, open array<boolean>, spent array<long>, done boolean"
 
 
 def _hop(k: int, entry_ids: np.ndarray, entry: np.ndarray):
@@ -203,22 +210,23 @@ def _hop(k: int, entry_ids: np.ndarray, entry: np.ndarray):
             ids, x = np.append(ids, entry_ids[fresh]), np.vstack([x, entry[fresh]]) if len(x) else entry[fresh]
         scores = q @ x.T if len(ids) else np.zeros((len(q), 0))
         rows = []
-        for i, row in enumerate(queries.select(["node", "cell", "beam", "score", "open"]).to_pylist()):
+        for i, row in enumerate(queries.select(["node", "cell", "beam", "score", "open", "spent"]).to_pylist()):
             # Both sides are sorted out by score, then by id; a node that is known keeps its state.
             state = {b: (s, o) for b, s, o in zip(row["beam"], row["score"], row["open"], strict=True)}
-            shut = sorted(state, key=lambda b: (-state[b][0], b))
-            spent = {b for b in shut if state[b][1]}
-            for b in [b for b in shut if b in spent][:EXPAND]:
+            ranked = sorted(state, key=lambda b: (-state[b][0], b))
+            expanded = [b for b in ranked if state[b][1]][:EXPAND]
+            for b in expanded:
                 state[b] = (state[b][0], False)
+            spent = set(row["spent"]).union(expanded)
             take = min(BEAM, len(ids))
             best = np.argpartition(scores[i], len(ids) - take)[len(ids) - take :] if take else []
             for j in best:
-                state.setdefault(int(ids[j]), (float(scores[i, j]), True))
+                state.setdefault(int(ids[j]), (float(scores[i, j]), int(ids[j]) not in spent))
             beam = sorted(state, key=lambda b: (-state[b][0], b))[:BEAM]
             done = not any(state[b][1] for b in beam[: 2 * k])
-            rows.append((row["node"], row["cell"], beam, [state[b][0] for b in beam], [state[b][1] for b in beam], done))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.bool_()]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            rows.append((row["node"], row["cell"], beam, [state[b][0] for b in beam], [state[b][1] for b in beam], sorted(spent), done))
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.bool_()]
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
         return pa.table({n.split()[0]: pa.array(c, t) for n, c, t in zip(BEAMS.split(", "), columns, kinds, strict=True)})
 
     return work
@@ -228,7 +236,7 @@ def search(nodes: DataFrame, points: DataFrame, graph: DataFrame, asked: DataFra
     """(node, beam, score): for the nodes asked for, the nearest nodes found, the node itself among them."""
     count = asked.count()
     place = cells(points.join(asked, "node", "left_semi"), count, QUERIES, 77)
-    empty = [F.array().cast(f"array<{t}>").alias(n) for n, t in (("beam", "long"), ("score", "double"), ("open", "boolean"))]
+    empty = [F.array().cast(f"array<{t}>").alias(n) for n, t in (("beam", "long"), ("score", "double"), ("open", "boolean"), ("spent", "long"))]
     beams = stage(place.select("node", "cell", *empty, F.lit(False).alias("done")), "search-0")
     vectors = nodes.select("node", "embedding")
     length = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
@@ -236,7 +244,7 @@ def search(nodes: DataFrame, points: DataFrame, graph: DataFrame, asked: DataFra
     entries = dict((r["node"], r["embedding"]) for r in entries)
     entry_ids, entry = np.array(list(entries), np.int64), np.array(list(entries.values()), np.float64)
     finished = []
-    for hop in range(HOPS):
+    for hop in itertools.count():
         if hop == 0:
             at = beams.select("cell", F.col("node").alias("from"))
         else:
@@ -244,13 +252,12 @@ def search(nodes: DataFrame, points: DataFrame, graph: DataFrame, asked: DataFra
             at = beams.select("cell", F.explode(F.transform(F.slice(ranked, 1, EXPAND), lambda b: b["beam"])).alias("from")).distinct()
         around = at.join(graph.withColumnRenamed("node", "from"), "from", "left").select("cell", F.explode(F.concat(F.array("from"), F.coalesce("near", F.array().cast("array<long>")))).alias("near")).distinct()
         seen = around.join(vectors.withColumnRenamed("node", "near"), "near").select(F.col("cell").alias("group"), "near", F.col("embedding").alias("vector"))
-        queries = beams.join(vectors, "node").select("cell", "node", "embedding", "beam", "score", "open")
+        queries = beams.join(vectors, "node").select("cell", "node", "embedding", "beam", "score", "open", "spent")
         beams = stage(queries.groupBy("cell").cogroup(seen.groupBy("group")).applyInArrow(_hop(k, entry_ids[: 0 if hop else None], entry[: 0 if hop else None]), BEAMS), f"search-{hop + 1}")
         finished.append(beams.where("done").select("node", "beam", "score"))
         beams = beams.where("not done")
         if beams.isEmpty():
             break
-    finished.append(beams.select("node", "beam", "score"))
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)
@@ -266,7 +273,8 @@ def nearest(vectors: DataFrame, asked: Column, k: int = K) -> DataFrame:
     if not size["n"]:
         return nodes.select(F.col("node").alias("query_id"), F.lit(1).alias("rank"), F.col("node").alias("vec_id"), F.lit(0.0).alias("score"))
     graph = build(points, size["n"])
-    ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<float>"), lambda x: x + F.lit(0.0).cast("float")).alias("embedding")).where(asked)
+    kind = precision(vectors)
+    ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast(f"array<{kind}>"), lambda x: x + F.lit(0.0).cast(kind)).alias("embedding")).where(asked)
     queries = stage(ids.join(nodes.select("node", "embedding"), "embedding").select(F.col("vec_id").alias("query_id"), "node").distinct(), "neighbours-queries")
     found = search(nodes, points, graph, queries.select("node").distinct(), k)
     each = found.select("node", F.explode(F.arrays_zip("beam", "score")).alias("b")).select("node", F.col("b.beam").alias("near"), F.col("b.score").alias("score"))
