@@ -6,8 +6,8 @@
 2. Votes. One pass over all documents records, per document, which voters fire and which induced terms occur in the
    whole text. Counts of vote patterns are aggregated by Spark (at most 2**16 patterns).
 3. Generative label model. Expectation-maximisation over the pattern counts of the whole corpus estimates each voter's
-   accuracy. The given label is one more voter of the sample's documents; its accuracy is estimated from the other
-   voters. Correlations left within a class are measured from the same counts; a voter's weight is divided by the
+   firing rates in both classes (its accuracy) and the class balance. The given label is one more voter of the sample's
+   documents, with rates that are estimated like the others. Correlations left within a class are measured from the same counts; a voter's weight is divided by the
    variance it shares with others, so copies of a rule do not count twice.
 4. A logistic regression on the induced terms and voters is trained on the model's posterior of the sample's documents,
    and scores every document.
@@ -43,10 +43,11 @@ LEXICON_VOTERS = 12
 #: A term counts as present, as repeated, as frequent.
 LEVELS = (1, 2, 4)
 THRESHOLD = 0.3
-#: How often the class is toxic where a label says toxic, and where it says clean, before the label model estimates it,
-#: and how many documents of each kind that guess is worth.
-LABEL = (0.95, 0.02)
-LABEL_WEIGHT = 20
+#: How often a label says toxic in toxic and in clean documents, before the label model estimates it, and how many
+#: documents of each class that guess is worth.
+LABEL, LABEL_WEIGHT = (0.95, 0.02), 20
+#: Without labels: how often the general list fires in toxic documents, and every voter in any class otherwise.
+GENERAL_RATES = (0.6, 0.015)
 
 #: A general list of insults, for the voter that needs no labels.
 INSULTS = (
@@ -203,11 +204,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
 
 def fit_label_model(patterns: dict[int, int], voters: int, votes: np.ndarray | None = None, labels: np.ndarray | None = None, rounds: int = 100) -> tuple[dict[int, float], np.ndarray]:
     """Posterior of the toxic class for each vote pattern, and for each document of the labelled sample (``votes``,
-    ``labels``) with its label as one more voter. A voter that does not fire abstains; one more voter fires where all
-    abstain, and votes for the clean class. Each voter's accuracy (how often the class is toxic where it fires) is
-    estimated from all documents by expectation-maximisation that begins with the sample's labels. The label's own two
-    accuracies (where it says toxic, where it says clean) are estimated from the other voters alone, so that it cannot
-    confirm itself."""
+    ``labels``) with its label as one more voter.
+
+    The model: a document is toxic with a probability, and each voter fires with one rate in toxic documents and another
+    in clean ones. Both rates of each voter, of the label too, and the class balance are estimated by
+    expectation-maximisation over all documents, beginning with the sample's labels. Documents without a label weigh no
+    more in all than the labelled ones, so that they cannot turn the classes into something else."""
     votes = np.zeros(0, np.int64) if votes is None else votes
     labels = np.zeros(0) if labels is None else labels
     given = Counter(zip(votes.tolist(), (labels > 0.5).tolist(), strict=True))
@@ -215,48 +217,51 @@ def fit_label_model(patterns: dict[int, int], voters: int, votes: np.ndarray | N
     rows = [(k, None, n) for k, n in sorted(rest.items())] + [(k, y, n) for (k, y), n in sorted(given.items())]
     keys = np.array([k for k, _, _ in rows], np.int64)
     weight = np.array([n for _, _, n in rows], np.float64)
-    says = np.array([[y is True, y is False] for _, y, _ in rows], np.float64).reshape(-1, 2)
+    marked = np.array([y is not None for _, y, _ in rows])
+    says = np.array([y is True for _, y, _ in rows], np.float64)
     fires = ((keys[:, None] >> np.arange(voters)) & 1).astype(np.float64)
-    fires = np.hstack([fires, fires.sum(axis=1, keepdims=True) == 0])
-    marked = weight * says.sum(axis=1)
-    positive = float((weight * says[:, 0]).sum())
-    balance = 0.1
-    accuracy = np.append(np.full(voters, 0.8), 0.02)
-    # What the estimates are held to: the labels where both kinds are there, general rates otherwise.
-    if 0 < positive < marked.sum():
-        balance = positive / float(marked.sum())
-        known = (weight * says[:, 0]) @ fires, marked @ fires
-        accuracy = (known[0] + balance) / (known[1] + 1)
-    else:
-        accuracy[voters - PATTERNS + 1 : voters] = balance  # patterns alone say nothing
-        known = accuracy * 50, np.full(voters + 1, 50.0)
-    label = np.array(LABEL)
-    share = np.ones(voters + 1)
-    prior = np.log(balance / (1 - balance))
-
-    def logit(x: np.ndarray) -> np.ndarray:
-        x = np.clip(x, 1e-3, 1 - 1e-3)
-        return np.log(x / (1 - x))
+    positive, sample = float(weight[marked] @ says[marked]), float(weight[marked].sum())
+    if 0 < positive < sample:
+        weight[~marked] *= min(1.0, sample / max(1.0, weight[~marked].sum()))
+        p, held = np.where(says > 0, *LABEL), np.where(marked, weight, 0.0)
+        prior, strength = (weight @ fires + 0.5) / (weight.sum() + 1), 1.0
+        prior = np.vstack([prior, prior])
+        balance = positive / sample
+    else:  # the general list alone has a known meaning
+        p, held = np.zeros(len(keys)), np.zeros(len(keys))
+        prior, strength = np.tile(GENERAL_RATES[1], (2, voters)), 50.0
+        prior[0, voters - PATTERNS] = GENERAL_RATES[0]
+        balance = 0.1
+    share = np.ones(voters)
+
+    def rates(p: np.ndarray, w: np.ndarray, of: np.ndarray, before: np.ndarray, worth: float) -> np.ndarray:
+        """How often each column fires in toxic (row 0) and in clean documents (row 1)."""
+        mass = np.vstack([w * p, w * (1 - p)])
+        return np.clip((mass @ of + worth * before) / (mass.sum(axis=1, keepdims=True) + worth), 1e-5, 1 - 1e-5)
+
+    def evidence(of: np.ndarray, rate: np.ndarray) -> np.ndarray:
+        """Log-odds of the toxic class that each column's firing, or not firing, adds."""
+        return of * np.log(rate[0] / rate[1]) + (1 - of) * np.log((1 - rate[0]) / (1 - rate[1]))
 
     def sigmoid(x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
+    before, own = np.zeros(len(keys)), np.array([[LABEL[0]], [LABEL[1]]])
+    rate = rates(p, held, fires, prior, strength)
+    alone = p
     for step in range(rounds):
-        others = prior + fires @ (share * (logit(accuracy) - prior))
-        p = sigmoid(others + says @ (logit(label) - prior))
-        new = (known[0] + (weight * p) @ fires + balance) / (known[1] + weight @ fires + 1)
-        seen = np.array(LABEL) * LABEL_WEIGHT + (weight * sigmoid(others)) @ says
-        new_label = seen / (LABEL_WEIGHT + weight @ says)
-        moved = max(np.abs(new - accuracy).max(), np.abs(new_label - label).max())
-        accuracy, label = new, new_label
+        alone = np.log(balance / (1 - balance)) + evidence(fires, rate) @ share
+        p = sigmoid(alone + marked * evidence(says[:, None], own)[:, 0])
+        if np.abs(p - before).max(initial=0) < 1e-6 and step > 12:
+            break
+        before = p
+        balance = float(np.clip((weight @ p + 0.5) / (weight.sum() + 5), 1e-4, 0.5))
+        rate = rates(p, weight, fires, prior, strength)
+        own = rates(p, weight * marked, says[:, None], np.array([[LABEL[0]], [LABEL[1]]]), LABEL_WEIGHT)
         if step in (3, 12):
             share = _shares(fires, weight, p)
-        if step > 12 and moved < 1e-6:
-            break
-    others = prior + fires @ (share * (logit(accuracy) - prior))
-    alone = dict(zip(keys.tolist(), sigmoid(others).tolist(), strict=True))
-    with_label = dict(zip([(k, y) for k, y, _ in rows], sigmoid(others + says @ (logit(label) - prior)).tolist(), strict=True))
-    return alone, np.array([with_label[(int(k), bool(y > 0.5))] for k, y in zip(votes, labels, strict=True)])
+    with_label = dict(zip([(k, y) for k, y, _ in rows], p.tolist(), strict=True))
+    return dict(zip(keys.tolist(), sigmoid(alone).tolist(), strict=True)), np.array([with_label[(int(k), bool(y > 0.5))] for k, y in zip(votes, labels, strict=True)])
 
 
 def _shares(fires: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:

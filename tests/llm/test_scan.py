@@ -440,6 +440,14 @@ def test_neighbours_beside_a_very_long_vector(spark):
     assert np.mean(hits) >= 0.95, np.mean(hits)
 
 
+def test_neighbours_of_double_vectors_keep_double_precision(spark):
+    x = np.random.default_rng(9).normal(size=(300, 8))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nn_descent.nearest(table, F.col("vec_id") % 20 == 0).collect()
+    assert len(got) == 15 * 20
+    assert all(abs(r["score"] - x[r["query_id"]] @ x[r["vec_id"]]) < 1e-13 for r in got)
+
+
 # Toxicity
 
 
@@ -453,6 +461,35 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id)
 
 
+def planted_votes(rng, n, rates, noise):
+    """Vote patterns of independent voters (how often each fires on toxic, on clean), the truth, and noisy labels."""
+    truth = rng.random(n) < 0.3
+    fires = np.array([rng.random(n) < np.where(truth, t, c) for t, c in rates])
+    return fires, truth, np.where(rng.random(n) < noise, ~truth, truth).astype(float)
+
+
+def test_label_model_mends_noisy_labels():
+    rng = np.random.default_rng(5)
+    rates = [(0.7, 0.02), (0.6, 0.03), (0.65, 0.02), (0.5, 0.01), (0.6, 0.05), (0.7, 0.04)]
+    fires, truth, labels = planted_votes(rng, 8000, rates, 0.1)
+    votes = (fires.T << np.arange(len(rates))).sum(axis=1)
+    patterns = dict(zip(*(v.tolist() for v in np.unique(votes, return_counts=True)), strict=True))
+    alone, soft = toxicity.fit_label_model(patterns, len(rates), votes[:3000], labels[:3000])
+    wrong = (labels[:3000] > 0.5) != truth[:3000]
+    # The label is outvoted where the voters agree, and the posterior is nearer to the truth than the label is.
+    assert ((soft > 0.5) != truth[:3000]).mean() < 0.5 * wrong.mean()
+    held = np.array([alone[int(v)] for v in votes[3000:]])
+    assert ((held > 0.5) != truth[3000:]).mean() < 0.05
+
+
+def test_label_model_counts_copies_of_a_voter_once():
+    rng = np.random.default_rng(6)
+    fires, truth, _ = planted_votes(rng, 20000, [(0.6, 0.1), (0.6, 0.1)], 0)
+    patterns = np.vstack([fires[0], fires[0], fires[0], fires[1]]).T.astype(float)
+    share = toxicity._shares(patterns, np.ones(len(patterns)), truth.astype(float))
+    assert np.allclose(share[:3] * 3, share[3], rtol=0.2)
+
+
 def test_toxicity_odd_rows(spark):
     docs = documents(spark, [(None, "you stupid idiot moron"), (4000, "you STUPID idiot, moron!!!!")])
     labels = spark.createDataFrame([], "doc_id long, toxic int")
