@@ -209,7 +209,8 @@ def fit_label_model(patterns: dict[int, int], voters: int, votes: np.ndarray | N
     The model: a document is toxic with a probability, and each voter fires with one rate in toxic documents and another
     in clean ones. Both rates of each voter, of the label too, and the class balance are estimated by
     expectation-maximisation over all documents, beginning with the sample's labels. Documents without a label weigh no
-    more in all than the labelled ones, so that they cannot turn the classes into something else."""
+    more in all than the labelled ones, so that they cannot turn the classes into something else. Without labels of both
+    kinds nothing is estimated, and the general list alone votes."""
     votes = np.zeros(0, np.int64) if votes is None else votes
     labels = np.zeros(0) if labels is None else labels
     given = Counter(zip(votes.tolist(), (labels > 0.5).tolist(), strict=True))
@@ -221,7 +222,8 @@ def fit_label_model(patterns: dict[int, int], voters: int, votes: np.ndarray | N
     says = np.array([y is True for _, y, _ in rows], np.float64)
     fires = ((keys[:, None] >> np.arange(voters)) & 1).astype(np.float64)
     positive, sample = float(weight[marked] @ says[marked]), float(weight[marked].sum())
-    if 0 < positive < sample:
+    learnt = 0 < positive < sample
+    if learnt:
         weight[~marked] *= min(1.0, sample / max(1.0, weight[~marked].sum()))
         p, held = np.where(says > 0, *LABEL), np.where(marked, weight, 0.0)
         prior, strength = (weight @ fires + 0.5) / (weight.sum() + 1), 1.0
@@ -252,7 +254,7 @@ def fit_label_model(patterns: dict[int, int], voters: int, votes: np.ndarray | N
     for step in range(rounds):
         alone = np.log(balance / (1 - balance)) + evidence(fires, rate) @ share
         p = sigmoid(alone + marked * evidence(says[:, None], own)[:, 0])
-        if np.abs(p - before).max(initial=0) < 1e-6 and step > 12:
+        if not learnt or (np.abs(p - before).max(initial=0) < 1e-6 and step > 12):
             break
         before = p
         balance = float(np.clip((weight @ p + 0.5) / (weight.sum() + 5), 1e-4, 0.5))
@@ -346,7 +348,8 @@ def _fit(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Lexicon, list
             keys = list(alone)
             x = ((np.array(keys)[:, None] >> np.arange(lexicon.size)) & 1).astype(np.int8)
             soft = np.array([alone[k] for k in keys])
-        w = fit_logistic(x, soft)
+        # Without a sample the posterior is itself linear in the general list's vote: nothing to shrink.
+        w = fit_logistic(x, soft, penalty=1.0 if len(read_sample) else 1e-3)
         weights, intercept = w[:-1], float(w[-1])
     return lexicon, [float(v) for v in weights], intercept, read
 
