@@ -12,6 +12,8 @@ import math
 import struct
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,20 +22,16 @@ _SHIFTS = [max(0, 64 - DIGIT * i) for i in range(1, math.ceil(64 / DIGIT) + 1)]
 
 
 def image(x: Column) -> Column:
-    """The bits of a double as a long in the order of the doubles: ±(exponent and fraction), from exact multiplications
-    by powers of two. -0.0 and 0.0 are one value; infinities are the ends; NaN and NULL give NULL."""
-    a = F.abs(x)
-
-    def two(e: Column) -> Column:
-        return F.pow(F.lit(2.0), e.cast("double"))
-
-    guess = F.floor(F.log2(F.least(a, F.lit(1.7976931348623157e308)))).cast("int")  # off by one at most
-    e = F.greatest(F.lit(-1022), F.least(F.lit(1023), guess + (a >= two(guess + 1)).cast("int") - (a < two(guess)).cast("int")))
-    normal = (e.cast("long") + 1022) * (1 << 52) + (a * two(-e) * float(1 << 52)).cast("long")
-    tiny = (a * 2.0**537 * 2.0**537).cast("long")
-    bits = (F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(2047 << 52))
-            .when(a < 2.0**-1022, tiny).otherwise(normal))
-    return F.when(~F.isnan(x), F.when(x < 0, -bits).otherwise(bits))
+    """The bits of a double as a long in the order of the doubles: ±(exponent and fraction). -0.0 and 0.0 are one value;
+    infinities are the ends; NaN and NULL give NULL."""
+    def bits(column: pa.Array) -> pa.Array:
+        v = np.asarray(column.to_numpy(zero_copy_only=False), np.float64) + 0.0  # NULL becomes NaN, -0.0 becomes 0.0
+        raw = v.view(np.int64)
+        return pa.array(np.where(raw < 0, -(raw & np.int64(2**63 - 1)), raw), pa.int64(), mask=np.isnan(v))
+
+    bits.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    # so marked, the plan neither copies it into the filters above nor computes it again for them
+    return F.arrow_udf(bits, "long").asNondeterministic()(x.cast("double"))
 
 
 def double_of(bits: int) -> float:

@@ -207,3 +207,14 @@ def test_describe_with_infinity_and_an_empty_column(spark):
     got = {r.feature: r for r in describe_numeric(df).collect()}
     assert got["none"]["count"] == 0 and got["none"].p50 is None
     assert got["x"]["count"] == 60_001 and got["x"].p50 == 30_001.0 and got["x"].max == float("inf")
+
+
+def test_image_is_computed_once_for_a_row(spark):
+    """The image is one vectorised step of the plan: written out as arithmetic, it was repeated some hundred times wherever it was used."""
+    from cascara.operators.radix import image
+
+    df = spark.createDataFrame([(1.5,), (-0.0,), (None,), (float("-inf"),)], "v double").select(image(F.col("v")).alias("i"))
+    counts = df.where("i is not null").groupBy((F.col("i") % 7).alias("d")).agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("lo"))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "POWER(" not in plan and "LOG2(" not in plan
+    assert {r["i"] for r in df.collect()} == {0x3FF8 << 48, 0, None, -(0x7FF0 << 48)}
