@@ -4,8 +4,8 @@ k-NN on few rows runs as a distributed block nested loop; on many, only block pa
 (``knn_pruned``). In the nested loop query rows are hashed into ``QB`` blocks and
 train rows into ``TB`` blocks; each query row is replicated to the ``TB`` train blocks and each train row to the
 ``QB`` query blocks, and ``cogroup(...).applyInPandas`` receives one (query block, train block) pair per group —
-bounded by ``block_rows`` on each side whatever the table size. Inside, numpy computes the distance block and keeps
-the ``k`` nearest per query row and metric; only those leave the task (never the pairs). A final ``row_number``
+bounded by ``block_rows`` on each side whatever the table size. Inside, numpy keeps the ``k`` nearest per query row and
+metric by lower bounds and few exact distances (``knn_kernel``); only those leave the task (never the pairs). A final ``row_number``
 over ``(query, metric)`` — at most ``TB · k`` rows per query, planned as a WindowGroupLimit — picks the global top k.
 Ties are broken by train key, so the result is deterministic.
 """
@@ -17,10 +17,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cascara.operators.knn_kernel import nearest
 from cascara.operators.radix import ranked
 
 METRICS = ("euclidean", "manhattan")
@@ -119,52 +121,74 @@ def _smallest(D: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(cols, np.argsort(vals, axis=1, kind="stable"), axis=1)
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    lists = column.combine_chunks()
+    if lists.null_count or pc.count_distinct(pc.list_value_length(lists)).as_py() > 1:
+        raise ValueError("every row needs a vector, all of one length")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), -1)
+
+
 def _topk_block(k: int, metrics: Sequence[str], has_group: bool, decimals: int | None,
                 chunk_elems: int = 1 << 17):
-    """The per-(query block, train block) kernel. Query rows are taken in chunks of ``chunk_elems`` distance cells
-    (about 64 rows against 2048 train rows), so the working arrays stay in cache: twice as fast as whole blocks."""
+    """The per-(query block, train block) kernel. Full distances are computed for chunks of ``chunk_elems`` cells (about 64
+    rows against 2048 train rows), so the working arrays stay in cache. Query rows may have a distance ``far`` beyond
+    which no neighbour is wanted."""
     metrics = list(metrics)
     for m in metrics:
         if m not in METRICS:
             raise ValueError(m)
 
-    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qid", "metric", "tid", "tlabel", "dist"]
-        if q.empty or t.empty:
-            return pd.DataFrame({c: [] for c in cols})
-        t = t.sort_values("tid", kind="stable")  # column order = key order: ties go to the smaller key
-        T = np.stack(t["vec"].to_numpy()).astype(np.float64)
-        Q = np.stack(q["vec"].to_numpy()).astype(np.float64)
-        tid = t["tid"].to_numpy()
-        tlab = t["label"].to_numpy()
-        qid = q["qid"].to_numpy()
-        qgrp = q["grp"].to_numpy() if has_group else None
-        tgrp = t["grp"].to_numpy() if has_group else None
-        kk = min(k, len(t))
+    def full(Q: np.ndarray, T: np.ndarray, metric: str, same):
+        """The k nearest by the whole distance matrix."""
+        kk = min(k, len(T))
         step = max(1, chunk_elems // max(1, len(T)))
         out = []
         for s in range(0, len(Q), step):
-            dists = _distances(Q[s:s + step], T, metrics)
-            mask = (qgrp[s:s + step, None] == tgrp[None, :]) if has_group else None
+            d = _distances(Q[s:s + step], T, [metric])[metric]
+            if decimals is not None:
+                # distances equal up to rounding noise must tie in every engine: rank on rounded values
+                d = np.round(d, decimals)
+            if same is not None:
+                d = np.where(same(np.arange(s, s + len(d))[:, None], np.arange(len(T))[None, :]), np.inf, d)
+            order = _smallest(d, kk)
+            dd = np.take_along_axis(d, order, axis=1)
+            keep = np.isfinite(dd).ravel()
+            out.append((np.repeat(np.arange(s, s + len(d)), kk)[keep], order.ravel()[keep], dd.ravel()[keep]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def fn(q: pa.Table, t: pa.Table) -> pa.Table:
+        names = ["qid", "metric", "tid", "tlabel", "dist"]
+        out = []
+        if q.num_rows and t.num_rows:
+            # column order = key order: ties go to the smaller key
+            t = t.take(pc.sort_indices(t, sort_keys=[("tid", "ascending")]))
+            Q, T = _matrix(q["vec"]), _matrix(t["vec"])
+            far = q["far"].to_numpy() if "far" in q.column_names else None
+            same = None
+            if has_group:
+                qgrp, tgrp = q["grp"].to_pandas().to_numpy(), t["grp"].to_pandas().to_numpy()
+                same = lambda r, c: qgrp[r] == tgrp[c]
             for m in metrics:
-                d = dists[m]
-                if decimals is not None:
-                    # distances equal up to rounding noise must tie in every engine: rank on rounded values
-                    d = np.round(d, decimals)
-                if mask is not None:
-                    d = np.where(mask, np.inf, d)
-                order = _smallest(d, kk)
-                dd = np.take_along_axis(d, order, axis=1)
-                keep = np.isfinite(dd).ravel()
-                rows = np.repeat(np.arange(order.shape[0]), kk)[keep]
-                sel = order.ravel()[keep]
-                out.append(pd.DataFrame({"qid": qid[s:s + step][rows], "metric": m, "tid": tid[sel],
-                                         "tlabel": tlab[sel], "dist": dd.ravel()[keep]}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: [] for c in cols})
+                found = nearest(Q, T, k, m, decimals, same, lambda a, b, m=m: _distances(a, b, [m])[m], far)
+                rows, cols, dist = full(Q, T, m, same) if found is None else found
+                out.append(pa.table([q["qid"].take(pa.array(rows)), pa.array([m]).take(pa.array(np.zeros(len(rows), np.int64))),
+                                     t["tid"].take(pa.array(cols)), t["label"].take(pa.array(cols)), pa.array(dist)], names=names))
+        none = [pa.chunked_array([], x) for x in (q["qid"].type, pa.string(), t["tid"].type, pa.int64(), pa.float64())]
+        return pa.concat_tables(out) if out else pa.table(none, names=names)
 
     return fn
 
 
+def _rows_of_blocks(train: DataFrame, n: int) -> int:
+    """Rows of a block: as many blocks of a table whatever its size, so that copies of rows grow with the rows, but no
+    more than 16384 rows or 64 MB of vectors."""
+    if n <= 32768:
+        return 2048
+    width = train.agg(F.max(F.size("vec"))).first()[0] or 1
+    return max(1, min(16384, max(4096, math.ceil(n / 64)), 2**23 // max(1, width)))
+
+
 def _groups(train: DataFrame, column: str, most: int = 16) -> list | None:
     """The values of a column with few distinct ones (folds, say), else None."""
     rows = train.select(column).distinct().limit(most + 1).collect()
@@ -173,7 +197,7 @@ def _groups(train: DataFrame, column: str, most: int = 16) -> list | None:
 
 def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: str, vec: str = "vec",
                    label: str = "label", metrics: Sequence[str] = METRICS, exclude_same: str | None = None,
-                   block_rows: int = 2048, counts: tuple[int, int] | None = None,
+                   block_rows: int | None = None, counts: tuple[int, int] | None = None,
                    decimals: int | None = None, prune_from: int = 256, report: dict | None = None) -> DataFrame:
     """``(qid, metric, rank, tid, tlabel, dist)``: the ``k`` nearest train rows of every query row, per metric. Keys
     may be of any type with an order; equal distances go to the smaller key.
@@ -182,6 +206,7 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
     neighbours; with few values the blocks are cut by value and such pairs are never formed. ``counts`` = (query rows,
     train rows) if known; otherwise two counts are run to size the blocks. ``decimals`` rounds distances before they
     are ranked, only for comparing results with an engine that sums in another order; the default is exact.
+    ``block_rows``: rows of a block on each side, by default set by the number of train rows.
 
     From ``prune_from`` block pairs on, blocks hold near rows and only pairs that can hold a neighbour are formed (see
     ``knn_pruned``); below, bounding costs more than it saves, and rows are dealt into blocks by key. The result is the
@@ -197,6 +222,7 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
     t = train.select(F.col(tkey).alias("tid"), F.col(vec).cast("array<double>").alias("vec"),
                      F.col(label).cast("long").alias("label"), *extra)
     nq, nt = counts if counts is not None else (q.count(), t.count())
+    block_rows = block_rows or _rows_of_blocks(t, nt)
     parts = len(groups) if groups else 1
     qb, tb = _block_counts(spark, math.ceil(nq / parts), math.ceil(nt / parts), block_rows)
     kinds = {f.name: f.dataType.simpleString() for f in [*q.schema.fields, *t.schema.fields]}
@@ -234,7 +260,7 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
     tasks = min(pairs, 4 * spark.sparkContext.defaultParallelism)
     key = ["qg", "qb", "tg", "tb"]
     per_block = (q_rep.repartition(tasks, *key).groupBy(*key).cogroup(t_rep.repartition(tasks, *key).groupBy(*key))
-                 .applyInPandas(_topk_block(k, metrics, masked, decimals), schema))
+                 .applyInArrow(_topk_block(k, metrics, masked, decimals), schema))
     return per_block.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

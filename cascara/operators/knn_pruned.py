@@ -5,7 +5,8 @@ blocks of about ``block_rows`` rows. Of every block the least and greatest dista
 ones is known; by the triangle inequality these bound the distance of any two rows of two blocks from below.
 
 Two rounds. First every query block meets the one block that lies nearest, which gives each of its queries a k-th best
-distance; then it meets only those blocks whose bound does not exceed the greatest of these. A pair of blocks that cannot
+distance; then it meets only those blocks whose bound does not exceed the greatest of these, and each query keeps only rows
+within its own. A pair of blocks that cannot
 hold a neighbour is never formed, so its rows are never copied. Pivots only guide the work: they are fitted on a bounded
 sample (``SAMPLE`` rows) and every row is placed and searched; whatever they are, the result is exact.
 
@@ -159,16 +160,21 @@ def pruned_pairs(q: DataFrame, t: DataFrame, k: int, distance, kernel, schema: s
             pairs = pairs.where(F.col("q_grp") != F.col("t_grp"))
         return pairs.withColumn("bound", block_bound(F.col("between")))
 
-    def met(pairs: DataFrame) -> DataFrame:
-        left = q_rows.withColumnRenamed("block", "q_block").join(pairs, "q_block").select("q_block", "t_block", "qid", "vec", "grp")
+    def met(pairs: DataFrame, limits: DataFrame | None = None) -> DataFrame:
+        left = q_rows.withColumnRenamed("block", "q_block")
+        if limits is not None:
+            left = left.join(limits, (F.col("block_of") == F.col("q_block")) & F.col("qid").eqNullSafe(F.col("id_of")), "left")
+            left = left.withColumn("far", F.coalesce("far", F.lit(float("inf"))))
+        left = left.join(pairs, "q_block").select("q_block", "t_block", "qid", "vec", "grp", *(["far"] if limits is not None else []))
         right = t_rows.withColumnRenamed("block", "t_block").join(pairs, "t_block").select("q_block", "t_block", "tid", "vec", "label", "grp")
         tasks = 4 * spark.sparkContext.defaultParallelism  # few bytes but much arithmetic: no merging of partitions
         key = ["q_block", "t_block"]
 
-        def run(at: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-            return kernel(a, b).assign(q_block=at[0])
+        def run(at: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+            found = kernel(a, b)
+            return found.append_column("q_block", pa.array([at[0].as_py()] * found.num_rows, pa.string()))
 
-        return left.repartition(tasks, *key).groupBy(*key).cogroup(right.repartition(tasks, *key).groupBy(*key)).applyInPandas(run, f"{schema}, q_block string")
+        return left.repartition(tasks, *key).groupBy(*key).cogroup(right.repartition(tasks, *key).groupBy(*key)).applyInArrow(run, f"{schema}, q_block string")
 
     middle = F.abs(F.col("q_own_lo") + F.col("q_own_hi") - F.col("t_own_lo") - F.col("t_own_hi"))
     nearest = Window.partitionBy("q_block").orderBy((F.col("t_n") < k).cast("int"), F.greatest("bound", F.lit(0.0)), middle, "t_block")
@@ -176,8 +182,8 @@ def pruned_pairs(q: DataFrame, t: DataFrame, k: int, distance, kernel, schema: s
     home = written(home.select("q_block", "t_block"), "knn-home")
     first = written(met(home), "knn-first")
 
-    reach = (first.groupBy("q_block", "qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("far"))
-             .groupBy("q_block").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("seen")))
+    limits = first.groupBy("q_block", "qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("far"))
+    reach = (limits.groupBy("q_block").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("seen")))
     reached = q_blocks.join(reach, "q_block", "left").withColumn(
         "reach", F.when(F.col("seen") == F.col("q_n"), F.col("far")).otherwise(F.lit(float("inf")))).drop("far", "seen")
     slack = 10.0 ** -decimals if decimals is not None else 0.0
@@ -185,4 +191,5 @@ def pruned_pairs(q: DataFrame, t: DataFrame, k: int, distance, kernel, schema: s
     rest = written(rest.join(home, ["q_block", "t_block"], "left_anti").select("q_block", "t_block"), "knn-pairs")
     if report is not None:
         report.update(query_blocks=q_blocks.count(), train_blocks=t_blocks.count(), formed=home.count() + rest.count())
-    return first.drop("q_block").unionByName(met(rest).drop("q_block"))
+    limits = limits.withColumnsRenamed({"q_block": "block_of", "qid": "id_of"})
+    return first.drop("q_block").unionByName(met(rest, limits).drop("q_block"))

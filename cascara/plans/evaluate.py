@@ -63,7 +63,7 @@ class SearchResult:
 
 def knn_search(df: DataFrame, *, key: str, vec: str, label: str, ks: Sequence[int] = (3, 5, 7),
                metrics: Sequence[str] = EV.METRICS, weights: Sequence[str] = EV.WEIGHTS, n_folds: int = 3,
-               seed: int | str = 42, test_fraction: float = 0.2, block_rows: int = 2048,
+               seed: int | str = 42, test_fraction: float = 0.2, block_rows: int | None = None,
                decimals: int | None = None, checkpoint: bool = True) -> SearchResult:
     base = df.select(F.col(key).alias(key), F.col(vec).cast("array<double>").alias(vec),
                      F.col(label).cast("long").alias(label))

@@ -151,3 +151,59 @@ def test_split_has_the_exact_size(spark):
     keyless = spark.createDataFrame([(None,), (None,), ("a",)], "k string")
     assert EV.train_test_split(keyless, "k").where("is_test is null").count() == 0
     assert EV.train_test_split(keyless.limit(0), "k").count() == 0 and not EV.train_test_split(keyless, "k", 0.0).where("is_test").count()
+
+
+def _vectors(kind, n, rng):
+    if kind == "one-hot":
+        return np.column_stack([rng.integers(0, 2, (n, 12)), rng.integers(0, 100, (n, 2)) / 100]).astype(float)
+    if kind == "far from zero":
+        return rng.normal(size=(n, 8)) + 1e9
+    if kind == "lattice":
+        return rng.integers(0, 4, (n, 6)).astype(float)
+    x = rng.normal(size=(n, 16))
+    if kind == "copies":
+        return x[rng.integers(0, n // 9, n)]
+    if kind == "outliers":
+        x[::97] *= 1e6
+    return x
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+@pytest.mark.parametrize("kind", ["spread", "one-hot", "far from zero", "lattice", "copies", "outliers"])
+def test_bounded_kernel_equals_the_full_matrix(kind, metric):
+    """Same neighbours and bits as the full distance matrix, ties, left out pairs and limits included; most of the matrix is
+    never computed where vectors are spread."""
+    from cascara.operators.knn_kernel import nearest
+
+    rng = np.random.default_rng(3)
+    t = _vectors(kind, 1500, rng)
+    q = np.concatenate([t[:40], _vectors(kind, 260, rng)])
+    group_q, group_t = np.arange(len(q)) % 3, np.arange(len(t)) % 3
+    cells = []
+
+    def matrix(a, b):
+        cells.append(len(a) * len(b))
+        return EV._distances(a, b, [metric])[metric]
+
+    for same in (None, lambda r, c: group_q[r] == group_t[c]):
+        d = np.round(EV._distances(q, t, [metric])[metric], 9)
+        if same is not None:
+            d[group_q[:, None] == group_t[None, :]] = np.inf
+        order = np.stack([np.lexsort((np.arange(len(t)), row))[:5] for row in d])
+        want = np.take_along_axis(d, order, 1)
+        for limit in (None, want[:, -1]):
+            cells.clear()
+            r, c, dist = nearest(q, t, 5, metric, 9, same, matrix, limit)
+            assert (r == np.repeat(np.arange(len(q)), 5)).all()
+            assert (c.reshape(-1, 5) == order).all() and (dist.reshape(-1, 5) == want).all()
+            if kind == "spread":
+                assert sum(cells) <= 0.1 * d.size
+
+
+def test_blocks_do_not_grow_in_number(spark):
+    """Rows are copied once per block of the other side: a larger table has larger blocks, not more of them."""
+    t = spark.createDataFrame([([0.0] * 64,)], "vec array<double>")
+    blocks = [n / EV._rows_of_blocks(t, n) for n in (50_000, 200_000, 1_000_000)]
+    assert max(blocks) <= 64 and EV._rows_of_blocks(t, 10**9) == 16384
+    wide = spark.createDataFrame([([0.0] * 8192,)], "vec array<double>")
+    assert EV._rows_of_blocks(wide, 10**9) == 1024
