@@ -240,7 +240,7 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
             seen = None if report is None else report.setdefault(m, {})
             found.append(pruned_pairs(
                 q, t, k, lambda a, b, m=m: _distances(a, b, [m])[m], _topk_block(k, [m], masked, decimals), schema, grouped=bool(groups),
-                masked=masked, block_rows=block_rows, n_train=nt, decimals=decimals, report=seen))
+                masked=masked, block_rows=block_rows, n_train=math.ceil(nt / parts), decimals=decimals, report=seen))
         per_block = reduce(DataFrame.unionByName, found)
         return per_block.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -107,7 +107,8 @@ def pruned_pairs(q: DataFrame, t: DataFrame, k: int, distance, kernel, schema: s
     """The ``k`` nearest candidates of every block pair that can hold a neighbour, for one metric.
 
     ``q`` has (qid, vec, grp), ``t`` (tid, vec, label, grp); ``grouped``: blocks of one group never meet; ``masked``: the
-    kernel leaves out pairs of one group by itself. ``kernel(q, t)`` returns rows of ``schema``. ``report`` takes the
+    kernel leaves out pairs of one group by itself. ``n_train``: train rows, of one group if blocks are cut by group.
+    ``kernel(q, t)`` returns rows of ``schema``. ``report`` takes the
     numbers of blocks and of pairs formed.
     """
     spark = q.sparkSession
