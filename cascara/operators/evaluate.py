@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cascara.operators.knn_kernel import nearest
+from cascara.operators.knn_kernel import matrix_of, nearest
 from cascara.operators.radix import ranked
 
 METRICS = ("euclidean", "manhattan")
@@ -121,14 +121,6 @@ def _smallest(D: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(cols, np.argsort(vals, axis=1, kind="stable"), axis=1)
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Lists of one length as the rows of a matrix."""
-    lists = column.combine_chunks()
-    if lists.null_count or pc.count_distinct(pc.list_value_length(lists)).as_py() > 1:
-        raise ValueError("every row needs a vector, all of one length")
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), -1)
-
-
 def _topk_block(k: int, metrics: Sequence[str], has_group: bool, decimals: int | None,
                 chunk_elems: int = 1 << 17):
     """The per-(query block, train block) kernel. Full distances are computed for chunks of ``chunk_elems`` cells (about 64
@@ -163,7 +155,7 @@ def _topk_block(k: int, metrics: Sequence[str], has_group: bool, decimals: int |
         if q.num_rows and t.num_rows:
             # column order = key order: ties go to the smaller key
             t = t.take(pc.sort_indices(t, sort_keys=[("tid", "ascending")]))
-            Q, T = _matrix(q["vec"]), _matrix(t["vec"])
+            Q, T = matrix_of(q["vec"]), matrix_of(t["vec"])
             far = q["far"].to_numpy() if "far" in q.column_names else None
             same = None
             if has_group:
@@ -208,9 +200,10 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
     are ranked, only for comparing results with an engine that sums in another order; the default is exact.
     ``block_rows``: rows of a block on each side, by default set by the number of train rows.
 
-    From ``prune_from`` block pairs on, blocks hold near rows and only pairs that can hold a neighbour are formed (see
-    ``knn_pruned``); below, bounding costs more than it saves, and rows are dealt into blocks by key. The result is the
-    same. ``report`` takes, per metric, the numbers of blocks and of pairs formed.
+    From ``prune_from`` block pairs on, blocks hold near rows and a query row goes only to blocks that can hold a neighbour
+    of it (see ``knn_pruned``); below, bounding costs more than it saves, and rows are dealt into blocks by key. The result
+    is the same. ``report`` takes, per metric, the numbers of query rows (``query_blocks``: each meets train blocks by
+    itself), train blocks and pairs of both formed.
     """
     from cascara.session import ship_package
 
@@ -239,8 +232,8 @@ def knn_neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, t
         for m in metrics:
             seen = None if report is None else report.setdefault(m, {})
             found.append(pruned_pairs(
-                q, t, k, lambda a, b, m=m: _distances(a, b, [m])[m], _topk_block(k, [m], masked, decimals), schema, grouped=bool(groups),
-                masked=masked, block_rows=block_rows, n_train=math.ceil(nt / parts), decimals=decimals, report=seen))
+                q, t, k, m, _topk_block(k, [m], masked, decimals), schema, groups=groups, block_rows=block_rows,
+                n_train=math.ceil(nt / parts), decimals=decimals, report=seen))
         per_block = reduce(DataFrame.unionByName, found)
         return per_block.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -207,3 +207,42 @@ def test_blocks_do_not_grow_in_number(spark):
     assert max(blocks) <= 64 and EV._rows_of_blocks(t, 10**9) == 16384
     wide = spark.createDataFrame([([0.0] * 8192,)], "vec array<double>")
     assert EV._rows_of_blocks(wide, 10**9) == 1024
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_rows_of_many_patterns_meet_few_blocks(spark, metric):
+    """One-hot rows lie in corners, far from each other but at few distances from any pivot: boxes tell them apart. Infinite
+    values, blocks with fewer than k rows and repeated keys change nothing."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 2, (2000, 7)), rng.uniform(size=(2000, 2)) / 4]).astype(float)
+    x[6, 0] = np.inf
+    rows = [(f"k{i % 1990:05d}", [float(v) for v in r], i % 4, i % 3 if i < 1900 else 3) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id string, vec array<double>, label int, fold int")
+    args = dict(qkey="id", tkey="id", metrics=[metric], exclude_same="fold")
+    report = {}
+    got = sorted(map(tuple, EV.knn_neighbours(df, df, 4, block_rows=64, prune_from=0, report=report, **args).collect()))
+    assert got == sorted(map(tuple, EV.knn_neighbours(df, df, 4, prune_from=10**9, **args).collect()))
+    r = report[metric]
+    assert r["formed"] < 0.4 * r["query_blocks"] * r["train_blocks"]
+
+
+def test_tile_meets_only_near_leaves():
+    """Inside a pair of blocks, too: of rows in 64 far corners a tile computes bounds for its own corner's alone."""
+    from cascara.operators import knn_kernel
+
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.integers(0, 2, (8000, 6)), rng.uniform(size=(8000, 1)) / 9]).astype(float)
+    met = []
+
+    class Counted(knn_kernel.Euclidean):
+        def near(self, s, c, reach):
+            met.append(len(self.q[s]) * self.t[:, c].shape[1])
+            return super().near(s, c, reach)
+
+    d = EV._distances(x[:500], x, ["euclidean"])["euclidean"]
+    with pytest.MonkeyPatch.context() as m:
+        m.setitem(knn_kernel.BOUNDS, "euclidean", Counted)
+        far = np.sort(d, axis=1)[:, 4]
+        r, c, dist = knn_kernel.nearest(x[:500], x, 5, "euclidean", None, None, lambda a, b: EV._distances(a, b, ["euclidean"])["euclidean"], far)
+    assert (c.reshape(-1, 5) == np.stack([np.lexsort((np.arange(len(x)), row))[:5] for row in d])).all()
+    assert sum(met) < 0.3 * d.size
