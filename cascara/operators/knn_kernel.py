@@ -189,6 +189,7 @@ def nearest(q: np.ndarray, t: np.ndarray, k: int, metric: str, decimals: int | N
     starts = ends - [len(x) for x in leaves]
     t = t[column]
     low, high = np.minimum.reduceat(t, starts), np.maximum.reduceat(t, starts)
+    smallest = np.minimum.reduceat(column, starts)
     bound = BOUNDS[metric](q, t)
     if metric == "manhattan" and bound.levels < 64:
         return None
@@ -209,6 +210,8 @@ def nearest(q: np.ndarray, t: np.ndarray, k: int, metric: str, decimals: int | N
                 reach = np.minimum(best_d[:, -1], most)
                 far = reach.max() + slack
                 left = left[gap[left] <= far]
+                if best_d[:, -1].max() == 0:  # k copies of every row are known: only those of smaller columns may follow
+                    left = left[smallest[left] < best_c[:, -1].max()]
                 if np.isfinite(far) and 2 * len(left) > len(leaves):
                     left = np.sort(left)  # most are within: leaves in their order are slices
                 size = min(TILE, max(FIRST, seen)) if np.isinf(most).any() else TILE
